@@ -23,10 +23,12 @@ ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset")
 
 
 def _has_required() -> Column:
-    present = F.lit(True)
-    for name in REQUIRED:
-        present = present & F.col(name).isNotNull()
-    return present
+    """Asked of the columns as they are stored, so that a scan can apply it."""
+    return (
+        F.col("device_id").isNotNull()
+        & F.col("event_timestamp").try_cast("timestamp_ntz").isNotNull()
+        & F.col("schema_version").isNotNull()
+    )
 
 
 def standardize(bronze: DataFrame) -> DataFrame:
@@ -60,13 +62,14 @@ def clean(bronze: DataFrame) -> DataFrame:
     The status is checked after deduplication: an event whose last copy is invalid is
     dropped altogether rather than replaced by an older copy.
     """
-    complete = standardize(bronze).filter(_has_required())
+    complete = standardize(bronze.filter(_has_required()))
     return latest_copies(complete).filter(F.col("system_status").isin(*VALID_STATUSES))
 
 
 def date_range(df: DataFrame, column: str = "event_timestamp") -> tuple[date, date] | None:
     """First and last event date, or None without any; one row reaches the driver."""
-    day = F.to_date(F.col(column).try_cast("timestamp_ntz"))
+    # A partition column costs no column to read.
+    day = F.col("event_date") if "event_date" in df.columns else F.to_date(F.col(column).try_cast("timestamp_ntz"))
     low, high = df.agg(F.min(day), F.max(day)).first()
     return None if low is None else (low, high)
 
@@ -94,8 +97,7 @@ def cleaning_funnel(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """
     arrival = F.struct(*[F.col(c) for c in ARRIVAL_ORDER])
     per_event = (
-        standardize(bronze)
-        .withColumn("_complete", _has_required())
+        standardize(bronze.withColumn("_complete", _has_required()))
         .groupBy(*[F.when(F.col("_complete"), F.col(c)).alias(c) for c in IDENTITY])
         .agg(F.count(F.lit(1)).alias("copies"), F.max_by("system_status", arrival).alias("last_status"))
     )

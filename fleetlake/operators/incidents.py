@@ -79,26 +79,34 @@ def event_key(device_id: Column, event_timestamp: Column, incident_type: Column)
     return F.concat(F.lit("EVT-"), F.upper(F.substring(F.sha2(identity, 256), 1, 24)))
 
 
+def _by_rule(pick) -> Column:
+    """``pick`` of the rule that fired; only that rule's expression is evaluated."""
+    choice = F.col("_rule")
+    out = None
+    for number, rule in enumerate(rules()):
+        out = F.when(choice == number, pick(rule)) if out is None else out.when(choice == number, pick(rule))
+    return out
+
+
 def detect(events: DataFrame) -> DataFrame:
-    """All incidents of all events: one narrow pass without a shuffle."""
-    fired = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    rule.fires,
-                    F.struct(
-                        F.lit(rule.incident_type).alias("incident_type"),
-                        F.lit(rule.severity).alias("severity"),
-                        rule.description.alias("description"),
-                    ),
-                )
-                for rule in rules()
-            ]
-        )
+    """All incidents of all events: one narrow pass without a shuffle.
+
+    Rows unfold into the numbers of their rules; texts and keys are made afterwards, for
+    rules that fired and only if a query asks for them.
+    """
+    numbers = F.array(*[F.when(rule.fires, F.lit(number)) for number, rule in enumerate(rules())])
+    fired = events.withColumn("_rule", F.explode(numbers)).filter(F.col("_rule").isNotNull())
+    typed = fired.withColumns(
+        {
+            "incident_type": _by_rule(lambda rule: F.lit(rule.incident_type)),
+            "severity": _by_rule(lambda rule: F.lit(rule.severity)),
+            "description": _by_rule(lambda rule: rule.description),
+        }
+    )
+    key = event_key(F.col("device_id"), F.col("event_timestamp"), F.col("incident_type"))
+    return typed.select(
+        key.alias("event_key"), "device_id", "incident_type", "severity", "description", "event_timestamp"
     )
-    exploded = events.select("device_id", "event_timestamp", F.explode(fired).alias("incident"))
-    key = event_key(F.col("device_id"), F.col("event_timestamp"), F.col("incident.incident_type"))
-    return exploded.select(key.alias("event_key"), "device_id", "incident.*", "event_timestamp")
 
 
 def absent(found: DataFrame, existing: DataFrame, dates: tuple[date, date] | None = None) -> DataFrame:

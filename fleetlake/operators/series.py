@@ -30,7 +30,7 @@ def with_time_slice(df: DataFrame, column: str, slices: int, sample: DataFrame |
     """
     source = (df if sample is None else sample).select(micros(F.col(column)).cast("double").alias("_us"))
     steps = [i / slices for i in range(1, slices)]
-    bounds = source.approxQuantile("_us", steps, 1 / (4 * slices)) if steps else []
+    bounds = source.approxQuantile("_us", steps, 1 / (2 * slices)) if steps else []
     if not bounds:
         return df.withColumn("_slice", F.lit(0.0))
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
@@ -93,12 +93,12 @@ def time_spine(entities: DataFrame, start: Column, end: Column, step_minutes: in
 def missing_slots(events: DataFrame, step_minutes: int = SPINE_MINUTES) -> DataFrame:
     """Slots of the common time spine in which a device sent nothing."""
     step = step_minutes * 60_000_000
-    first = events.agg(F.min("event_timestamp")).scalar()
-    last = events.agg(F.max("event_timestamp")).scalar()
-    slot = F.floor((micros(F.col("event_timestamp")) - micros(F.col("_first"))) / step)
-    observed = events.withColumn("_first", first).select("device_id", slot.alias("slot")).distinct()
-    devices = observed.select("device_id").distinct()
-    spine = time_spine(devices.withColumns({"_first": first, "_last": last}), F.col("_first"), F.col("_last"), step_minutes)
+    ends = F.struct(F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"))
+    span = events.agg(ends).scalar()
+    slot = F.floor((micros(F.col("event_timestamp")) - micros(F.col("_span.first"))) / step)
+    observed = events.withColumn("_span", span).select("device_id", slot.alias("slot")).distinct()
+    devices = observed.select("device_id").distinct().withColumn("_span", span)
+    spine = time_spine(devices, F.col("_span.first"), F.col("_span.last"), step_minutes)
     return spine.join(observed, ["device_id", "slot"], "left_anti").select("device_id", "slot_start")
 
 

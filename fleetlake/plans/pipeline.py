@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,20 +15,29 @@ from fleetlake.operators.health import device_health
 from fleetlake.operators.incidents import absent, detect, device_summary, opened, type_summary
 from fleetlake.operators.quality import CHECKS, gate, quality_report
 from fleetlake.schemas import DEVICE_HEALTH, DEVICES
-from fleetlake.sources.tables import Lake, merge_upsert
+from fleetlake.sources.tables import EVENT_DATE, Lake, merge_upsert
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def refresh_silver(lake: Lake) -> int:
+Dates = tuple[date, date]
+
+
+def _read_dates(lake: Lake, table: str, dates: Dates | None) -> DataFrame:
+    """An event table, cut to the date partitions asked for."""
+    rows = lake.read(table)
+    return rows if dates is None else rows.filter(F.col(EVENT_DATE).between(*dates))
+
+
+def refresh_silver(lake: Lake, dates: Dates | None = None) -> int:
     """Append bronze events that silver lacks; returns their number."""
-    bronze = lake.read("bronze.telemetry")
-    dates = date_range(bronze)
-    if dates is None:
+    bronze = _read_dates(lake, "bronze.telemetry", dates)
+    span = date_range(bronze)
+    if span is None:
         return 0
-    return lake.append_events("silver.telemetry", unseen(clean(bronze), lake.read("silver.telemetry"), dates))
+    return lake.append_events("silver.telemetry", unseen(clean(bronze), lake.read("silver.telemetry"), span))
 
 
 def refresh_gold(lake: Lake) -> int:
@@ -56,27 +65,36 @@ def sync_current_health(lake: Lake, now: datetime | None = None) -> None:
     lake.replace("ops.device_health_current", merged)
 
 
-def record_incidents(lake: Lake, detected_at: datetime | None = None) -> tuple[int, int]:
-    """Insert new incidents of all silver events; returns (inserted, already there)."""
-    silver = lake.read("silver.telemetry")
+def record_incidents(lake: Lake, detected_at: datetime | None = None, dates: Dates | None = None) -> tuple[int, int]:
+    """Insert new incidents of silver events; returns (inserted, already there)."""
+    silver = _read_dates(lake, "silver.telemetry", dates)
+    span = date_range(silver)
+    if span is None:
+        return 0, 0
     found = detect(silver)
-    new_ones = absent(found, lake.read("ops.incidents"), date_range(silver))
+    new_ones = absent(found, lake.read("ops.incidents"), span)
     inserted = lake.append_events("ops.incidents", opened(new_ones, detected_at or utc_now()))
     return inserted, found.count() - inserted
 
 
-def run_pipeline(lake: Lake, as_of: datetime | None = None, fail_on: Collection[str] = CHECKS) -> dict:
-    """Gate, silver, gold, current health, incidents; the outcome is kept in ``pipeline_runs``."""
+def run_pipeline(
+    lake: Lake, as_of: datetime | None = None, fail_on: Collection[str] = CHECKS, dates: Dates | None = None
+) -> dict:
+    """Gate, silver, gold, current health, incidents; the outcome is kept in ``pipeline_runs``.
+
+    ``dates`` limits the gate, silver and incidents to the date partitions that received
+    events; gold always describes all of silver.
+    """
     started = utc_now()
     run = {"pipeline_name": "telemetry", "run_status": "SUCCESS", "bronze_rows": None, "silver_rows": None, "gold_rows": None}
     try:
-        bronze = lake.read("bronze.telemetry")
+        bronze = _read_dates(lake, "bronze.telemetry", dates)
         run["bronze_rows"] = bronze.count()
         gate(quality_report(bronze, as_of or utc_now()), fail_on)
-        run["silver_rows"] = refresh_silver(lake)
+        run["silver_rows"] = refresh_silver(lake, dates)
         run["gold_rows"] = refresh_gold(lake)
         sync_current_health(lake, as_of)
-        record_incidents(lake, as_of)
+        record_incidents(lake, as_of, dates)
     except Exception:
         run["run_status"] = "FAILED"
         raise

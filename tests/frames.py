@@ -1,0 +1,51 @@
+"""Small telemetry frames for the tests."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+from fleetlake.schemas import TELEMETRY
+
+NOON = datetime(2026, 8, 22, 12)
+
+NORMAL = {
+    "device_id": "DEV001",
+    "event_timestamp": NOON,
+    "temperature_mk": 15.0,
+    "cpu_usage_pct": 40.0,
+    "memory_usage_pct": 50.0,
+    "queue_depth": 30,
+    "active_jobs": 10,
+    "signal_noise_ratio": 30.0,
+    "cryogenic_pressure_mbar": 1.05,
+    "hardware_error_rate": 0.002,
+    "system_status": "HEALTHY",
+    "schema_version": "v2",
+    "ingested_at": NOON,
+    "kafka_partition": 0,
+    "kafka_offset": 0,
+}
+
+# Trips five of the six rules.
+DEGRADED = {
+    **NORMAL,
+    "device_id": "DEV002",
+    "temperature_mk": 21.5,
+    "queue_depth": 95,
+    "signal_noise_ratio": 18.0,
+    "cryogenic_pressure_mbar": None,
+    "hardware_error_rate": 0.0081,
+    "system_status": "DEGRADED",
+}
+
+
+def telemetry(spark, *rows: dict):
+    """Rows that differ from a normal event in the given columns; offsets count up."""
+    full = [{**NORMAL, "kafka_offset": i, **row} for i, row in enumerate(rows)]
+    schema = TELEMETRY
+    nullable = type(schema)([type(f)(f.name, f.dataType, True) for f in schema.fields])
+    return spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in full], nullable)
+
+
+def at(minutes: float) -> datetime:
+    return NOON + timedelta(minutes=minutes)

@@ -1,0 +1,225 @@
+"""Calibrations, jobs and time series against small worked examples and brute force."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from frames import NOON, at, telemetry
+from pyspark.sql import functions as F
+
+from fleetlake.operators import calibration, jobs, profile, series
+from fleetlake.operators.assertions import incident_assertions
+from fleetlake.schemas import CALIBRATIONS_CSV, JOBS_CSV
+
+DAY = datetime(2024, 3, 1, 6)
+
+
+def calibrations(spark, rows):
+    """Rows of (device, qubit, day, gate, readout, t1, t2)."""
+    full = [
+        (f"CAL{i:08d}", d, q, DAY + timedelta(days=day), float(t1), float(t2), gate, readout, 5.0, "PASS")
+        for i, (d, q, day, gate, readout, t1, t2) in enumerate(rows)
+    ]
+    return spark.createDataFrame(full, CALIBRATIONS_CSV)
+
+
+def job_rows(spark, rows):
+    """Rows of (device, day, status)."""
+    full = []
+    for i, (device, day, status) in enumerate(rows):
+        t = DAY + timedelta(days=day)
+        full.append((f"JOB{i:08d}", "USR00001", device, t, t, None, None, 1500, 250, 100, 5, status, None))
+    return spark.createDataFrame(full, JOBS_CSV)
+
+
+def test_drift_follows_its_ramp(spark):
+    plain = [("DEV002", "Q017", day, 0.002, 0.02, 100, 90) for day in range(12)]
+    other = [("DEV002", "Q001", day, 0.002, 0.02, 100, 90) for day in range(3)] + [("DEV001", "Q017", 11, 0.02, 0.02, 100, 90)]
+    df = calibration.with_drift(calibrations(spark, plain + other), "DEV002", "Q017")
+    rows = {(r.device_id, r.qubit_id, (r.calibration_timestamp - DAY).days): r for r in df.collect()}
+    assert len(rows) == 16
+    for day in range(12):
+        s = 1 + 5 * (day - 2) / 9 if day >= 2 else 1
+        r = rows["DEV002", "Q017", day]
+        assert r.gate_error == pytest.approx(0.002 * s, abs=1e-6)
+        assert r.readout_error == pytest.approx(0.02 * (1 + 0.8 * (s - 1)), abs=1e-6)
+        assert r.t1_us == pytest.approx(100 * (1 - 0.12 * (s - 1)), abs=1e-3)
+        assert r.t2_us == pytest.approx(90 * (1 - 0.15 * (s - 1)), abs=1e-3)
+        failing = r.gate_error > 0.01 or r.readout_error > 0.08 or r.t1_us < 40 or r.t2_us < 30
+        assert r.calibration_status == ("FAIL" if failing else "PASS")
+    assert rows["DEV002", "Q017", 11].calibration_status == "FAIL"
+    assert rows["DEV002", "Q001", 2].gate_error == 0.002
+    assert rows["DEV001", "Q017", 11].calibration_status == "FAIL"
+
+
+def test_drift_of_a_single_or_no_record(spark):
+    one = calibrations(spark, [("DEV002", "Q017", 0, 0.002, 0.02, 100, 90)])
+    assert calibration.with_drift(one, "DEV002", "Q017").first().gate_error == 0.002
+    assert calibration.with_drift(one, "DEV002", "Q099").first().gate_error == 0.002
+
+
+def test_latest_records(spark):
+    rows = [("DEV001", "Q001", day, 0.0, 0.0, 1, 1) for day in range(15)] + [("DEV001", "Q002", 3, 0.0, 0.0, 1, 1)]
+    latest = calibration.latest_records(calibrations(spark, rows), 4).collect()
+    assert sorted((r.qubit_id, r.recency, (r.calibration_timestamp - DAY).days) for r in latest) == [
+        ("Q001", 1, 14), ("Q001", 2, 13), ("Q001", 3, 12), ("Q001", 4, 11), ("Q002", 1, 3),
+    ]
+
+
+def test_distinct_counts_with_nulls(spark):
+    df = spark.createDataFrame([("A", "1"), ("A", "1"), ("A", None), (None, "1"), (None, None)], "device_id string, qubit_id string")
+    assert calibration.distinct_counts(df).first().asDict() == {"records": 5, "devices": 1, "device_qubits": 4}
+
+
+def test_failure_probability(spark):
+    history = calibration.with_status(
+        calibrations(
+            spark,
+            [
+                ("DEV001", "Q001", 0, 0.002, 0.02, 100, 90),
+                ("DEV001", "Q002", 0, 0.004, 0.02, 10, 90),
+                ("DEV002", "Q001", 0, 0.002, 0.02, 100, 90),
+                ("DEV002", "Q001", 20, 0.002, 0.02, 100, 90),
+                ("DEV003", "Q001", 20, 0.2, 0.2, 100, 90),
+            ],
+        )
+    )
+    df = job_rows(spark, [("DEV001", 0, "SUCCESS"), ("DEV002", 0, "SUCCESS"), ("DEV002", 20, "FAILED"), ("DEV003", 20, "FAILED"), ("DEV002", 19, "FAILED")])
+    got = {r.job_id: r.failure_probability for r in jobs.failure_probability(df, history).collect()}
+    assert got["JOB00000000"] == pytest.approx(0.03 + 0.003 * 3 + 0.02 * 0.4 + 0.005)
+    assert got["JOB00000001"] == pytest.approx(0.03 + 0.002 * 3 + 0.02 * 0.4)
+    assert got["JOB00000002"] == pytest.approx(0.03 + 0.002 * 3 + 0.02 * 0.4 + 9 * 0.018)
+    assert got["JOB00000003"] == 0.35
+    assert got["JOB00000004"] == 0.03
+
+
+def test_rates_against_the_fleet(spark):
+    df = job_rows(spark, [("A", 0, "FAILED"), ("A", 0, "SUCCESS"), ("B", 0, "SUCCESS"), ("C", 0, "FAILED"), ("C", 0, "SUCCESS"), ("C", 0, "SUCCESS")])
+    rows = {r.device_id: r for r in jobs.rate_against_fleet(df).collect()}
+    assert rows["A"].failure_rate_pct == 50 and rows["C"].failure_rate_pct == 33.33
+    assert rows["A"].other_devices_pct == pytest.approx(33.33 / 2) and rows["A"].elevated
+    assert not rows["B"].elevated
+    alone = jobs.rate_against_fleet(job_rows(spark, [("A", 0, "FAILED")])).first()
+    assert alone.other_devices_pct is None
+
+
+def test_timeline(spark):
+    r = jobs.timeline(job_rows(spark, [("A", 0, "FAILED")])).first()
+    assert (r.started_at, r.completed_at) == (DAY + timedelta(seconds=1.5), DAY + timedelta(seconds=1.75))
+
+
+def test_unknown_devices(spark):
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "device_id string")
+    got = jobs.unknown_devices(ids("A"), one=ids("A", "B", "B"), two=ids("C", None))
+    assert sorted((r.dataset, r.device_id or "-") for r in got.collect()) == [("one", "B"), ("two", "-"), ("two", "C")]
+
+
+def test_running_total_against_brute_force(spark):
+    rng = random.Random(5)
+    times = rng.sample(range(10_000), 900)
+    rows = [("DEV001" if i % 3 == 0 else f"DEV{rng.randrange(5):03d}", at(t), rng.randrange(100)) for i, t in enumerate(times)]
+    rows.append(("DEV099", NOON, 7))
+    df = spark.createDataFrame(rows, "device_id string, event_timestamp timestamp_ntz, n int")
+    expected, sums = {}, defaultdict(int)
+    for device, t, n in sorted(rows):
+        sums[device] += n
+        expected[device, t] = sums[device]
+    for slices in (1, 4, 37):
+        got = series.running_total(df, F.col("n"), "total", slices=slices).collect()
+        assert {(r.device_id, r.event_timestamp): r.total for r in got} == expected
+    assert series.running_total(df.limit(0), F.col("n"), "total").count() == 0
+
+
+def test_time_slices_split_a_dominant_device(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("D"), F.col("id"))).alias("device_id"),
+        (F.lit(NOON).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("event_timestamp"),
+    )
+    sliced = series.with_time_slice(df, "event_timestamp", 10)
+    largest = sliced.groupBy("device_id", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest <= 3000 / 10 * 2 / 3 + 1
+
+
+def test_uptime(spark):
+    df = telemetry(spark, {"event_timestamp": at(15)}, {}, {"event_timestamp": at(30)}, {"device_id": "DEV002"})
+    got = {(r.device_id, r.event_timestamp): r.uptime_hours for r in series.uptime_hours(df, 100).collect()}
+    assert got == {
+        ("DEV001", NOON): 100.25,
+        ("DEV001", at(15)): 100.5,
+        ("DEV001", at(30)): 100.75,
+        ("DEV002", NOON): 100.25,
+    }
+
+
+def test_spine_includes_both_ends(spark):
+    devices = spark.createDataFrame([("A",), ("B",)], "device_id string")
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in (NOON, NOON + timedelta(days=90)))
+    assert series.time_spine(devices, start, end).count() == 2 * (90 * 96 + 1)
+
+
+def test_gaps(spark):
+    df = telemetry(spark, {}, {"event_timestamp": at(31)}, {"event_timestamp": at(45)}, {"device_id": "DEV002", "event_timestamp": at(15)})
+    missing = sorted((r.device_id, r.slot_start) for r in series.missing_slots(df).collect())
+    assert missing == [("DEV001", at(15)), ("DEV002", NOON), ("DEV002", at(30)), ("DEV002", at(45))]
+    summary = {r.device_id: (r.missing_slots, r.first_missing, r.last_missing) for r in series.gap_summary(df).collect()}
+    assert summary == {"DEV001": (1, at(15), at(15)), "DEV002": (3, NOON, at(45))}
+
+
+def test_drift_scenario(spark):
+    day = 24 * 60
+    base = {"device_id": "DEV002", "temperature_mk": 20.0, "signal_noise_ratio": 30.0}
+    df = telemetry(
+        spark,
+        {**base, "event_timestamp": at(-10 * day)},
+        {**base, "event_timestamp": at(-10 * day - 1)},
+        {**base, "event_timestamp": at(-5 * day)},
+        {**base},
+        {"temperature_mk": 2.0, "cpu_usage_pct": 130.0, "event_timestamp": at(-1)},
+    )
+    rows = {r.kafka_offset: r for r in series.with_drift(df, "DEV002").collect()}
+    assert [rows[i].temperature_mk for i in range(5)] == [20.0, 20.0, 22.35, 24.7, 5.0]
+    assert [rows[i].queue_depth for i in range(4)] == [30, 30, 60, 90]
+    assert [rows[i].active_jobs for i in range(4)] == [10, 10, 20, 30]
+    assert [rows[i].signal_noise_ratio for i in range(4)] == [30, 30, 24, 18]
+    assert [rows[i].system_status for i in range(5)] == ["HEALTHY", "HEALTHY", "DEGRADED", "DEGRADED", "HEALTHY"]
+    assert rows[4].cpu_usage_pct == 100
+
+
+def test_profile_counts_null(spark):
+    df = telemetry(spark, {}, {"schema_version": None}, {"system_status": None})
+    got = {(r.section, r.value): r.row_count for r in profile.profile(df).collect()}
+    assert got == {
+        ("rows", None): 3,
+        ("schema_version", "v2"): 2,
+        ("schema_version", None): 1,
+        ("system_status", "HEALTHY"): 2,
+        ("system_status", None): 1,
+        ("device_id", "DEV001"): 3,
+    }
+    assert profile.value_counts(df, "system_status").count() == 1
+    assert profile.value_counts(df, "system_status", with_null=True).count() == 2
+    assert profile.head(df, 2).count() == 2
+    assert profile.lineage_sample(df.drop("ingested_at")).columns == ["device_id", "kafka_partition", "kafka_offset"]
+
+
+def test_incident_assertions(spark):
+    history = calibration.with_drift(
+        calibrations(spark, [("DEV002", "Q017", day, 0.002, 0.02, 100, 90) for day in range(12)]), "DEV002", "Q017"
+    )
+    work = job_rows(spark, [("DEV001", 0, "SUCCESS"), ("DEV002", 0, "FAILED")])
+    events = telemetry(spark, {}, {"device_id": "DEV002", "system_status": "DEGRADED"}, {"device_id": "DEV002", "system_status": "CRITICAL"})
+    registry = spark.createDataFrame([("DEV001",), ("DEV002",)], "device_id string")
+    assert all(r.passed for r in incident_assertions(registry, history, work, events).collect())
+    broken = incident_assertions(registry.limit(0), history.limit(0), work.limit(0), events.limit(0))
+    assert {r.assertion: r.passed for r in broken.collect()} == {
+        "calibration_reaches_fail": False,
+        "telemetry_has_degraded": False,
+        "telemetry_has_critical": False,
+        "job_failures_above_others": False,
+        "calibrations_devices_known": True,
+        "jobs_devices_known": True,
+        "telemetry_devices_known": True,
+    }
