@@ -11,13 +11,18 @@ from fleetlake.operators.calibration import latest_records
 from fleetlake.operators.jobs import rate_against_fleet, unknown_devices
 
 
-def _verdict(df: DataFrame, name: str, observed: Column, expected: str, passed: Column) -> DataFrame:
-    return df.agg(
-        F.lit(name).alias("assertion"),
-        observed.cast("double").alias("observed"),
-        F.lit(expected).alias("expected"),
-        F.coalesce(passed, F.lit(False)).alias("passed"),
-    )
+def _verdicts(df: DataFrame, *checks: tuple[str, Column, str, Column]) -> DataFrame:
+    """One aggregate of ``df``, one row per check ``(name, observed, expected, passed)``."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("assertion"),
+            observed.cast("double").alias("observed"),
+            F.lit(expected).alias("expected"),
+            F.coalesce(passed, F.lit(False)).alias("passed"),
+        )
+        for name, observed, expected, passed in checks
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def incident_assertions(
@@ -32,14 +37,19 @@ def incident_assertions(
     qubit = calibrations.filter((F.col("device_id") == device_id) & (F.col("qubit_id") == qubit_id))
     fails = F.count_if(F.col("calibration_status") == "FAIL")
     events = telemetry.filter(F.col("device_id") == device_id)
-    rows = [_verdict(latest_records(qubit), "calibration_reaches_fail", fails, "> 0", fails > 0)]
-    for status in ("DEGRADED", "CRITICAL"):
-        n = F.count_if(F.col("system_status") == status)
-        rows.append(_verdict(events, f"telemetry_has_{status.lower()}", n, "> 0", n > 0))
+    degraded, critical = (F.count_if(F.col("system_status") == s) for s in ("DEGRADED", "CRITICAL"))
     rate = rate_against_fleet(jobs).filter(F.col("device_id") == device_id)
     uplift = F.max(F.col("failure_rate_pct") - F.col("other_devices_pct"))
-    rows.append(_verdict(rate, "job_failures_above_others", F.round(uplift, 6), "> 0", F.max("elevated")))
-    for name, df in (("calibrations", calibrations), ("jobs", jobs), ("telemetry", telemetry)):
-        n = F.count(F.lit(1))
-        rows.append(_verdict(unknown_devices(devices, **{name: df}), f"{name}_devices_known", n, "= 0", n == 0))
+    unknown = unknown_devices(devices, calibrations=calibrations, jobs=jobs, telemetry=telemetry)
+    strangers = {name: F.count_if(F.col("dataset") == name) for name in ("calibrations", "jobs", "telemetry")}
+    rows = [
+        _verdicts(latest_records(qubit), ("calibration_reaches_fail", fails, "> 0", fails > 0)),
+        _verdicts(
+            events,
+            ("telemetry_has_degraded", degraded, "> 0", degraded > 0),
+            ("telemetry_has_critical", critical, "> 0", critical > 0),
+        ),
+        _verdicts(rate, ("job_failures_above_others", F.round(uplift, 6), "> 0", F.max("elevated"))),
+        _verdicts(unknown, *[(f"{name}_devices_known", n, "= 0", n == 0) for name, n in strangers.items()]),
+    ]
     return reduce(DataFrame.unionByName, rows)

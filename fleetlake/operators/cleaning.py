@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +19,10 @@ IDENTITY = ("device_id", "event_timestamp")
 # Later copies win; the lineage columns make the order total.
 ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset")
 
+# The partition column of event tables, and how many dates a condition lists one by one.
+EVENT_DATE = "event_date"
+MANY_DATES = 1000
+
 
 def _has_required() -> Column:
     """Asked of the columns as they are stored, so that a scan can apply it."""
@@ -66,22 +68,30 @@ def clean(bronze: DataFrame) -> DataFrame:
     return latest_copies(complete).filter(F.col("system_status").isin(*VALID_STATUSES))
 
 
-def date_range(df: DataFrame, column: str = "event_timestamp") -> tuple[date, date] | None:
-    """First and last event date, or None without any; one row reaches the driver."""
-    # A partition column costs no column to read.
-    day = F.col("event_date") if "event_date" in df.columns else F.to_date(F.col(column).try_cast("timestamp_ntz"))
-    low, high = df.agg(F.min(day), F.max(day)).first()
-    return None if low is None else (low, high)
+def date_filter(df: DataFrame, column: str = "event_timestamp") -> Column | None:
+    """A condition on ``event_date`` that all events of ``df`` meet; None without events.
+
+    It lists the dates, so that one stray timestamp does not widen what is read; when there
+    are very many dates it falls back to their range. Only dates reach the driver.
+    """
+    day = F.to_date(F.col(column).try_cast("timestamp_ntz")) if EVENT_DATE not in df.columns else F.col(EVENT_DATE)
+    days = df.select(day.alias("day")).filter(F.col("day").isNotNull())
+    listed = [row.day for row in days.distinct().limit(MANY_DATES + 1).collect()]
+    if not listed:
+        return None
+    if len(listed) <= MANY_DATES:
+        return F.col(EVENT_DATE).isin(listed)
+    return F.col(EVENT_DATE).between(*days.agg(F.min("day"), F.max("day")).first())
 
 
-def unseen(events: DataFrame, silver: DataFrame, dates: tuple[date, date] | None = None) -> DataFrame:
+def unseen(events: DataFrame, silver: DataFrame, dates: Column | None = None) -> DataFrame:
     """Events whose identity is not in silver yet.
 
-    With ``dates`` the silver side is cut to the batch's date partitions, so that an
-    incremental run reads as much of silver as its batch spans rather than all of it.
+    With ``dates`` (see :func:`date_filter`) the silver side is cut to the batch's date
+    partitions, so an incremental run reads as much of silver as its batch touches.
     """
-    if dates is not None and "event_date" in silver.columns:
-        silver = silver.filter(F.col("event_date").between(*dates))
+    if dates is not None and EVENT_DATE in silver.columns:
+        silver = silver.filter(dates)
     seen = silver.select(
         upper_stripped(F.col("device_id")).alias("device_id"),
         F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),

@@ -39,13 +39,13 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return df.join(repeated, same, "left_semi")
 
 
-def duplicate_report(df: DataFrame) -> DataFrame:
-    """The duplicated rows in reading order."""
-    return (
-        duplicate_rows(df)
-        .select("device_id", "event_timestamp", "schema_version", *POSITION, "ingested_at")
-        .orderBy(*POSITION, "event_timestamp", "ingested_at")
-    )
+def duplicate_report(df: DataFrame, top: int | None = None) -> DataFrame:
+    """The duplicated rows to read; with ``top`` the first ones in order of position and time.
+
+    All rows together stay unsorted: a total order would gather equal copies in one task.
+    """
+    rows = duplicate_rows(df).select("device_id", "event_timestamp", "schema_version", *POSITION, "ingested_at")
+    return rows if top is None else rows.orderBy(*POSITION, "event_timestamp", "ingested_at").limit(top)
 
 
 def duplicate_totals(df: DataFrame) -> DataFrame:

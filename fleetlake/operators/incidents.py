@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 from fleetlake.functions.rules import severity_rank
 from fleetlake.functions.text import upper_stripped
 from fleetlake.functions.times import key_text
+from fleetlake.operators.cleaning import EVENT_DATE
+from fleetlake.operators.health import health_report
 
 # Alarm thresholds. They differ from the limits that set a device's status.
 TEMPERATURE_ABOVE = 18.0
@@ -109,10 +111,13 @@ def detect(events: DataFrame) -> DataFrame:
     )
 
 
-def absent(found: DataFrame, existing: DataFrame, dates: tuple[date, date] | None = None) -> DataFrame:
-    """One row per event key that the incident table does not hold yet."""
-    if dates is not None and "event_date" in existing.columns:
-        existing = existing.filter(F.col("event_date").between(*dates))
+def absent(found: DataFrame, existing: DataFrame, dates: Column | None = None) -> DataFrame:
+    """One row per event key that the incident table does not hold yet.
+
+    A key contains its event's time, so ``dates`` can cut the table to the dates of the batch.
+    """
+    if dates is not None and EVENT_DATE in existing.columns:
+        existing = existing.filter(dates)
     one = Window.partitionBy("event_key").orderBy("severity", "description")
     unique = found.withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n")
     return unique.join(existing.select("event_key"), "event_key", "left_anti")
@@ -148,27 +153,29 @@ def type_summary(incidents: DataFrame) -> DataFrame:
     )
 
 
+def _device_totals() -> list[Column]:
+    """Aggregates over the summary by type that describe one device."""
+
+    def of(severity: str) -> Column:
+        return F.sum(F.when(F.col("severity") == severity, F.col("occurrence_count")).otherwise(0))
+
+    return [
+        F.sum("occurrence_count").alias("raw_incident_count"),
+        F.count_distinct("incident_type").alias("incident_type_count"),
+        of("CRITICAL").alias("critical_count"),
+        of("HIGH").alias("high_count"),
+        of("MEDIUM").alias("medium_count"),
+        F.min("incident_start").alias("incident_start"),
+        F.max("incident_end").alias("incident_end"),
+    ]
+
+
 def device_summary(incidents: DataFrame) -> DataFrame:
     """Open incidents by device, added up from the summary by type.
 
     Counting distinct types over that summary needs no second pass over the incidents.
     """
-    of = lambda severity: F.sum(
-        F.when(F.col("severity") == severity, F.col("occurrence_count")).otherwise(0)
-    )
-    return (
-        type_summary(incidents)
-        .groupBy("device_id")
-        .agg(
-            F.sum("occurrence_count").alias("raw_incident_count"),
-            F.count_distinct("incident_type").alias("incident_type_count"),
-            of("CRITICAL").alias("critical_count"),
-            of("HIGH").alias("high_count"),
-            of("MEDIUM").alias("medium_count"),
-            F.min("incident_start").alias("incident_start"),
-            F.max("incident_end").alias("incident_end"),
-        )
-    )
+    return type_summary(incidents).groupBy("device_id").agg(*_device_totals())
 
 
 def summary_of(incidents: DataFrame, device_id: str) -> DataFrame:
@@ -217,13 +224,10 @@ def newest(incidents: DataFrame, top: int = 20) -> DataFrame:
 def device_evidence(devices: DataFrame, gold: DataFrame, incidents: DataFrame) -> DataFrame:
     """Health, incident summary and open incident types of each device, one document per row.
 
-    The list holds one entry per incident type and severity of a device, not per incident.
+    Totals and list come from one grouping. The list holds one entry per incident type and
+    severity of a device, of which the rules make six, not one per incident.
     """
-    from fleetlake.operators.health import health_report
-
-    summary = type_summary(incidents)
-    entry = F.struct(
-        severity_rank(F.col("severity")).alias("rank"),
+    listed = (
         "incident_type",
         "severity",
         "occurrence_count",
@@ -232,12 +236,17 @@ def device_evidence(devices: DataFrame, gold: DataFrame, incidents: DataFrame) -
         "first_detected_at",
         "last_detected_at",
     )
-    listed = summary.groupBy("device_id").agg(F.sort_array(F.collect_list(entry)).alias("open_incidents"))
-    totals = device_summary(incidents)
-    totals = totals.select("device_id", F.struct(*[c for c in totals.columns if c != "device_id"]).alias("incident_summary"))
+    totals = device_summary(incidents).columns[1:]
+    entry = F.struct(severity_rank(F.col("severity")).alias("rank"), *listed)
+    open_types = (
+        type_summary(incidents)
+        .groupBy("device_id")
+        .agg(*_device_totals(), F.sort_array(F.collect_list(entry)).alias("open_incidents"))
+        .select("device_id", F.struct(*totals).alias("incident_summary"), "open_incidents")
+    )
     report = health_report(devices, gold)
     health = report.select("device_id", F.struct(*report.columns).alias("device_health"))
-    return health.join(totals, "device_id", "left").join(listed, "device_id", "left")
+    return health.join(open_types, "device_id", "left")
 
 
 def evidence_json(evidence: DataFrame) -> DataFrame:

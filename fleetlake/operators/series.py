@@ -93,12 +93,11 @@ def time_spine(entities: DataFrame, start: Column, end: Column, step_minutes: in
 def missing_slots(events: DataFrame, step_minutes: int = SPINE_MINUTES) -> DataFrame:
     """Slots of the common time spine in which a device sent nothing."""
     step = step_minutes * 60_000_000
-    ends = F.struct(F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"))
-    span = events.agg(ends).scalar()
-    slot = F.floor((micros(F.col("event_timestamp")) - micros(F.col("_span.first"))) / step)
-    observed = events.withColumn("_span", span).select("device_id", slot.alias("slot")).distinct()
-    devices = observed.select("device_id").distinct().withColumn("_span", span)
-    spine = time_spine(devices, F.col("_span.first"), F.col("_span.last"), step_minutes)
+    ends = events.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    first, last = (F.lit(t).cast("timestamp_ntz") for t in ends)
+    slot = F.floor((micros(F.col("event_timestamp")) - micros(first)) / step)
+    observed = events.select("device_id", slot.alias("slot")).distinct()
+    spine = time_spine(observed.select("device_id").distinct(), first, last, step_minutes)
     return spine.join(observed, ["device_id", "slot"], "left_anti").select("device_id", "slot_start")
 
 

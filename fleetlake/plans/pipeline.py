@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.text import READ_COMMANDS, WRITE_COMMANDS
-from fleetlake.operators.cleaning import clean, date_range, unseen
+from fleetlake.operators.cleaning import EVENT_DATE, clean, date_filter, unseen
 from fleetlake.operators.health import device_health
 from fleetlake.operators.incidents import absent, detect, device_summary, opened, type_summary
 from fleetlake.operators.quality import CHECKS, gate, quality_report
 from fleetlake.schemas import DEVICE_HEALTH, DEVICES
-from fleetlake.sources.tables import EVENT_DATE, Lake, merge_upsert
+from fleetlake.sources.tables import Lake, merge_upsert
 
 
 def utc_now() -> datetime:
@@ -34,10 +34,10 @@ def _read_dates(lake: Lake, table: str, dates: Dates | None) -> DataFrame:
 def refresh_silver(lake: Lake, dates: Dates | None = None) -> int:
     """Append bronze events that silver lacks; returns their number."""
     bronze = _read_dates(lake, "bronze.telemetry", dates)
-    span = date_range(bronze)
-    if span is None:
+    touched = date_filter(bronze)
+    if touched is None:
         return 0
-    return lake.append_events("silver.telemetry", unseen(clean(bronze), lake.read("silver.telemetry"), span))
+    return lake.append_events("silver.telemetry", unseen(clean(bronze), lake.read("silver.telemetry"), touched))
 
 
 def refresh_gold(lake: Lake) -> int:
@@ -68,11 +68,11 @@ def sync_current_health(lake: Lake, now: datetime | None = None) -> None:
 def record_incidents(lake: Lake, detected_at: datetime | None = None, dates: Dates | None = None) -> tuple[int, int]:
     """Insert new incidents of silver events; returns (inserted, already there)."""
     silver = _read_dates(lake, "silver.telemetry", dates)
-    span = date_range(silver)
-    if span is None:
+    touched = date_filter(silver)
+    if touched is None:
         return 0, 0
     found = detect(silver)
-    new_ones = absent(found, lake.read("ops.incidents"), span)
+    new_ones = absent(found, lake.read("ops.incidents"), touched)
     inserted = lake.append_events("ops.incidents", opened(new_ones, detected_at or utc_now()))
     return inserted, found.count() - inserted
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions.numbers import no_nan
+from fleetlake.operators.cleaning import EVENT_DATE
 
 # Tables that grow are partitioned by the event's date, so that incremental work reads
 # the dates it touches; the others hold current state.
@@ -26,7 +27,6 @@ STATE_TABLES = {
     "ops.pipeline_runs": schemas.PIPELINE_RUNS,
 }
 NAMESPACES = ("bronze", "silver", "gold", "ops")
-EVENT_DATE = "event_date"
 STREAM_TABLES = {"bronze.rejected": schemas.REJECTED}
 
 

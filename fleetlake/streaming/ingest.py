@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlake.operators.cleaning import clean, date_range, unseen
+from fleetlake.operators.cleaning import EVENT_DATE, clean, date_filter, unseen
 from fleetlake.operators.incidents import absent, detect, opened
 from fleetlake.plans.pipeline import utc_now
 from fleetlake.schemas import TELEMETRY
 from fleetlake.sources.messages import accepted, decode_telemetry, message_stream, rejected
-from fleetlake.sources.tables import EVENT_DATE, EVENT_TABLES, Lake, conform
+from fleetlake.sources.tables import EVENT_TABLES, Lake, conform
 
 
 def _start(lake: Lake, stream: DataFrame, checkpoint: str, step: Callable[[Lake, DataFrame], None], follow: bool) -> StreamingQuery:
@@ -59,7 +59,7 @@ def add_to_silver(lake: Lake, bronze: DataFrame) -> None:
     A batch that is delivered or retried again adds nothing, because its events are then
     already there.
     """
-    dates = date_range(bronze)
+    dates = date_filter(bronze)
     if dates is None:
         return
     new_events = unseen(clean(bronze), lake.read("silver.telemetry"), dates)
@@ -68,7 +68,7 @@ def add_to_silver(lake: Lake, bronze: DataFrame) -> None:
 
 def add_incidents(lake: Lake, events: DataFrame, detected_at: datetime) -> None:
     """Insert the incidents of a batch of events that are not recorded yet."""
-    dates = date_range(events)
+    dates = date_filter(events)
     if dates is None:
         return
     new_ones = absent(detect(events), lake.read("ops.incidents"), dates)
