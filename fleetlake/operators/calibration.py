@@ -49,9 +49,13 @@ def with_drift(calibrations: DataFrame, device_id: str, qubit_id: str, count: in
     """All calibrations, with the latest records of one qubit degrading step by step.
 
     Only those few records are ranked. They are matched back by ``calibration_id``, the
-    unique key of the data set, so the full table is neither sorted nor windowed.
+    unique key of the data set, so the full table is neither sorted nor windowed. Without
+    any record of the qubit the table is returned as it is; otherwise all rows are rounded
+    and their status is set again.
     """
     target = (F.col("device_id") == device_id) & (F.col("qubit_id") == qubit_id)
+    if calibrations.filter(target).isEmpty():
+        return calibrations
     ranked = latest_records(calibrations.filter(target), count)
     affected = Window.partitionBy(*ENTITY)
     position = F.col("n") - F.col("recency")

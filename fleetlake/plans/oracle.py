@@ -412,7 +412,7 @@ FROM raw WHERE {_BAD_STATUS} GROUP BY 1""",
     "duplicate_pairs": _with(RAW, REDELIVERED) + "SELECT * FROM positions",
     "duplicate_totals": _with(RAW, REDELIVERED)
     + "SELECT count(*) AS duplicate_pairs, CAST(sum(row_count) AS BIGINT) AS rows_involved FROM positions",
-    "bronze_profile": _with(RAW) + _profile("raw"),
+    "profile": _with(RAW) + _profile("raw"),
     "silver_profile": _with(*_S) + _profile("silver"),
     "status_counts": _with(*_S) + "SELECT system_status, count(*) AS row_count FROM silver GROUP BY 1",
     "version_counts": _with(RAW) + "SELECT schema_version, count(*) AS row_count FROM raw GROUP BY 1",
@@ -422,7 +422,7 @@ FROM silver GROUP BY device_id""",
     "registry_totals": _with(DEVICES)
     + "SELECT count(*) AS row_count, CAST(sum(qubit_count) AS BIGINT) AS total FROM devices",
     # Incidents
-    "detected_incidents": _with(*_I)
+    "incidents": _with(*_I)
     + "SELECT event_key, device_id, incident_type, severity, description, event_timestamp FROM found",
     "incidents_insert_absent": _with(*_I) + """SELECT event_key, device_id, incident_type, severity, description,
   event_timestamp, CASE WHEN event_timestamp < TIMESTAMP '2024-01-16' THEN TIMESTAMP '2024-01-16'
@@ -552,6 +552,6 @@ FROM std WHERE device_id IS NOT NULL""",
     "run_metrics": _with(*_S) + """SELECT 'telemetry' AS pipeline_name, 'SUCCESS' AS run_status,
   (SELECT count(*) FROM raw) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows,
   (SELECT count(DISTINCT device_id) FROM silver) AS gold_rows""",
-    "pipeline_incidents": _with(*_I) + """SELECT device_id, count(*) AS raw_incident_count,
+    "incidents_after_two_runs": _with(*_I) + """SELECT device_id, count(*) AS raw_incident_count,
   count(*) FILTER (severity = 'CRITICAL') AS critical_count FROM found GROUP BY device_id""",
 }

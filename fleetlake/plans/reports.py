@@ -42,7 +42,8 @@ REPORTS: dict[str, Query] = {}
 
 
 def report(fn: Query) -> Query:
-    REPORTS[fn.__name__] = fn
+    """Register a query under its function's name, without the underscore that avoids a clash."""
+    REPORTS[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -241,7 +242,7 @@ def duplicate_totals(spark, sf):
 
 
 @report
-def bronze_profile(spark, sf):
+def profile_(spark, sf):
     return profile.profile(_raw(spark, sf))
 
 
@@ -274,7 +275,7 @@ def registry_totals(spark, sf):
 
 
 @report
-def detected_incidents(spark, sf):
+def incidents_(spark, sf):
     return incidents.detect(_silver(spark, sf))
 
 
@@ -601,8 +602,8 @@ def run_metrics(spark, sf):
 
 
 @report
-def pipeline_incidents(spark, sf):
-    """The summary view after two pipeline runs, asked for in SQL; the second run adds nothing."""
+def incidents_after_two_runs(spark, sf):
+    """The summary view after two runs of the batch job, asked for in SQL; the second run adds nothing."""
     lake = _new_lake(spark)
     lake.append_events("bronze.telemetry", _raw(spark, sf))
     for _ in range(2):

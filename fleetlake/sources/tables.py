@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fleetlake import schemas
 from fleetlake.functions.numbers import no_nan
 from fleetlake.operators.cleaning import EVENT_DATE
+from fleetlake.session import use_utc
 
 # Tables that grow are partitioned by the event's date, so that incremental work reads
 # the dates it touches; the others hold current state.
@@ -102,7 +103,7 @@ class Lake:
     """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
-        self.spark = spark
+        self.spark = use_utc(spark)
         self.root = root.rstrip("/")
         self.prefix = prefix
 

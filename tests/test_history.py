@@ -58,7 +58,11 @@ def test_drift_follows_its_ramp(spark):
 def test_drift_of_a_single_or_no_record(spark):
     one = calibrations(spark, [("DEV002", "Q017", 0, 0.002, 0.02, 100, 90)])
     assert calibration.with_drift(one, "DEV002", "Q017").first().gate_error == 0.002
-    assert calibration.with_drift(one, "DEV002", "Q099").first().gate_error == 0.002
+    odd = one.withColumn("gate_error", F.lit(0.0123456789))
+    untouched = calibration.with_drift(odd, "DEV002", "Q099").first()
+    assert (untouched.gate_error, untouched.calibration_status) == (0.0123456789, "PASS")
+    changed = calibration.with_drift(odd, "DEV002", "Q017").first()
+    assert (changed.gate_error, changed.calibration_status) == (0.012346, "FAIL")
 
 
 def test_latest_records(spark):

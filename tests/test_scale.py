@@ -17,7 +17,7 @@ from fleetlake.schemas import CALIBRATIONS_CSV, JOBS_CSV
 from fleetlake.session import scratch_dir, shared_dir
 
 # These write tables or run streams while the result is set up.
-EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "run_metrics", "pipeline_incidents", "csv_roundtrip"}
+EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "run_metrics", "incidents_after_two_runs", "csv_roundtrip"}
 
 
 def plan(df) -> str:
