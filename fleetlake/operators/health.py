@@ -33,22 +33,23 @@ REPORT_DIGITS = {
 }
 
 
-def device_health(silver: DataFrame) -> DataFrame:
-    """One row per device: event counts by status, average readings, score, last event.
-
-    All buffers have a fixed width, so this is a hash aggregate with a partial stage:
-    a device with a large share of the events costs one row per task in the shuffle.
-    """
+def daily_health(silver: DataFrame) -> DataFrame:
+    """Per device and date what adds up to its health: counts, sums and the last event."""
     status = F.col("system_status")
-    averages = [settle(F.avg(c), 6).alias(f"avg_{c}") for c in AVERAGED]
-    counted = silver.groupBy("device_id").agg(
+    sums = [F.sum(F.col(c).cast("double")).alias(f"sum_{c}") for c in AVERAGED]
+    counts = [F.count(c).alias(f"n_{c}") for c in AVERAGED]
+    return silver.groupBy("device_id", F.to_date("event_timestamp").alias("event_date")).agg(
         F.count(F.lit(1)).alias("total_events"),
-        *averages,
+        *sums,
+        *counts,
         F.count_if(status == "HEALTHY").alias("healthy_events"),
         F.count_if(status == "DEGRADED").alias("degraded_events"),
         F.count_if(status == "CRITICAL").alias("critical_events"),
         F.max("event_timestamp").alias("latest_event_timestamp"),
     )
+
+
+def _scored(counted: DataFrame) -> DataFrame:
     score = health_score(
         F.col("healthy_events"), F.col("degraded_events"), F.col("critical_events"), F.col("total_events")
     )
@@ -64,6 +65,35 @@ def device_health(silver: DataFrame) -> DataFrame:
     )
 
 
+def health_of_days(daily: DataFrame) -> DataFrame:
+    """Device health from daily sums; the same result as from the events themselves."""
+    averages = [settle(F.sum(f"sum_{c}") / F.nullif(F.sum(f"n_{c}"), F.lit(0)), 6).alias(f"avg_{c}") for c in AVERAGED]
+    events = [F.sum(c).alias(c) for c in ("total_events", "healthy_events", "degraded_events", "critical_events")]
+    return _scored(
+        daily.groupBy("device_id").agg(*events, *averages, F.max("latest_event_timestamp").alias("latest_event_timestamp"))
+    )
+
+
+def device_health(silver: DataFrame) -> DataFrame:
+    """One row per device: event counts by status, average readings, score, last event.
+
+    All buffers have a fixed width, so this is a hash aggregate with a partial stage:
+    a device with a large share of the events costs one row per task in the shuffle.
+    """
+    status = F.col("system_status")
+    averages = [settle(F.avg(c), 6).alias(f"avg_{c}") for c in AVERAGED]
+    return _scored(
+        silver.groupBy("device_id").agg(
+            F.count(F.lit(1)).alias("total_events"),
+            *averages,
+            F.count_if(status == "HEALTHY").alias("healthy_events"),
+            F.count_if(status == "DEGRADED").alias("degraded_events"),
+            F.count_if(status == "CRITICAL").alias("critical_events"),
+            F.max("event_timestamp").alias("latest_event_timestamp"),
+        )
+    )
+
+
 def _reported(name: str) -> Column:
     return settle(F.col(name), REPORT_DIGITS[name]).alias(name)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.text import READ_COMMANDS, WRITE_COMMANDS
 from fleetlake.operators.cleaning import EVENT_DATE, clean, date_filter, unseen
-from fleetlake.operators.health import device_health
+from fleetlake.operators.health import daily_health, health_of_days
 from fleetlake.operators.incidents import absent, detect, device_summary, opened, type_summary
 from fleetlake.operators.quality import CHECKS, gate, quality_report
 from fleetlake.schemas import DEVICE_HEALTH, DEVICES
@@ -40,12 +40,19 @@ def refresh_silver(lake: Lake, dates: Dates | None = None) -> int:
     return lake.append_events("silver.telemetry", unseen(clean(bronze), lake.read("silver.telemetry"), touched))
 
 
-def refresh_gold(lake: Lake) -> int:
-    """Rebuild device health from silver; returns the number of devices."""
-    silver = lake.read("silver.telemetry")
-    if silver.isEmpty():
+def refresh_gold(lake: Lake, dates: Dates | None = None) -> int:
+    """Rebuild device health; returns the number of devices.
+
+    Silver is read for ``dates`` only (or all of it): its daily sums replace those dates,
+    and health is added up from the sums of all days.
+    """
+    silver = _read_dates(lake, "silver.telemetry", dates)
+    if not silver.isEmpty():
+        lake.replace_dates("gold.device_health_daily", daily_health(silver))
+    daily = lake.read("gold.device_health_daily")
+    if daily.isEmpty():
         return 0
-    return lake.replace("gold.device_health", device_health(silver))
+    return lake.replace("gold.device_health", health_of_days(daily))
 
 
 def sync_devices(lake: Lake, devices: DataFrame) -> None:
@@ -82,8 +89,8 @@ def run_pipeline(
 ) -> dict:
     """Gate, silver, gold, current health, incidents; the outcome is kept in ``pipeline_runs``.
 
-    ``dates`` limits the gate, silver and incidents to the date partitions that received
-    events; gold always describes all of silver.
+    ``dates`` limits all steps to the date partitions that received events; gold describes
+    all of silver in any case.
     """
     started = utc_now()
     run = {"pipeline_name": "telemetry", "run_status": "SUCCESS", "bronze_rows": None, "silver_rows": None, "gold_rows": None}
@@ -92,7 +99,7 @@ def run_pipeline(
         run["bronze_rows"] = bronze.count()
         gate(quality_report(bronze, as_of or utc_now()), fail_on)
         run["silver_rows"] = refresh_silver(lake, dates)
-        run["gold_rows"] = refresh_gold(lake)
+        run["gold_rows"] = refresh_gold(lake, dates)
         sync_current_health(lake, as_of)
         record_incidents(lake, as_of, dates)
     except Exception:

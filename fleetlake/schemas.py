@@ -51,6 +51,19 @@ DEVICE_HEALTH = _schema(
     ("latest_event_timestamp", _TS, "req"),
 )
 
+# Sums per device and day, from which the health above is added up.
+_READINGS = [f.name for f in PAYLOAD.fields if isinstance(f.dataType, (T.DoubleType, T.IntegerType))]
+DEVICE_HEALTH_DAILY = _schema(
+    ("device_id", _S, "req"),
+    ("total_events", _L, "req"),
+    *[(f"sum_{c}", _D) for c in _READINGS],
+    *[(f"n_{c}", _L) for c in _READINGS],
+    ("healthy_events", _L, "req"),
+    ("degraded_events", _L, "req"),
+    ("critical_events", _L, "req"),
+    ("latest_event_timestamp", _TS, "req"),
+)
+
 DEVICES = _schema(
     ("device_id", _S, "req"),
     ("device_name", _S),

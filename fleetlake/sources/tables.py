@@ -20,6 +20,7 @@ EVENT_TABLES = {
     "bronze.telemetry": schemas.TELEMETRY,
     "silver.telemetry": schemas.TELEMETRY,
     "ops.incidents": schemas.INCIDENTS,
+    "gold.device_health_daily": schemas.DEVICE_HEALTH_DAILY,
 }
 STATE_TABLES = {
     "gold.device_health": schemas.DEVICE_HEALTH,
@@ -173,6 +174,17 @@ class Lake:
         rows.write.mode("append").insertInto(self.name(table))
         return seen.get["rows"]
 
+    def replace_dates(self, table: str, df: DataFrame) -> None:
+        """Put the dates that ``df`` has in place of the table's; other dates stay."""
+        spread = df.select(*EVENT_TABLES[table].fieldNames(), EVENT_DATE).hint("rebalance", EVENT_DATE)
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            spread.write.insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+
     def append_rows(self, table: str, df: DataFrame) -> None:
         conform(df, STATE_TABLES[table]).write.mode("append").insertInto(self.name(table))
 

@@ -10,6 +10,7 @@ from frames import DEGRADED, NOON, at, telemetry
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
+from fleetlake.operators import health
 from fleetlake.operators.quality import REPLAY_TOLERANT, QualityError
 from fleetlake.plans import pipeline
 from fleetlake.sources import files, messages
@@ -115,6 +116,33 @@ def test_pipeline_over_some_dates(lake):
     assert pipeline.run_pipeline(lake, at(24 * 60))["silver_rows"] == 1
 
 
+def test_gold_from_daily_sums_equals_gold_from_events(lake):
+    events = [
+        {"event_timestamp": at(h * 60), "device_id": f"DEV{h % 3:03d}", "temperature_mk": 10 + h / 7, "queue_depth": None if h % 5 else h,
+         "hardware_error_rate": None, "system_status": ("HEALTHY", "DEGRADED", "CRITICAL")[h % 4 % 3]}
+        for h in range(100)
+    ]
+    df = telemetry(lake.spark, *events)
+    lake.append_events("silver.telemetry", df)
+    assert pipeline.refresh_gold(lake) == 3
+    columns = schemas.DEVICE_HEALTH.fieldNames()
+    key = lambda r: str(r)
+    assert sorted(lake.read("gold.device_health").collect(), key=key) == sorted(
+        health.device_health(df).select(columns).collect(), key=key
+    )
+    day = at(30 * 60).date()
+    before = {r.device_id: r for r in lake.read("gold.device_health").collect()}
+    lake.append_events("silver.telemetry", telemetry(lake.spark, {"event_timestamp": at(30 * 60 + 1), "system_status": "CRITICAL"}))
+    for _ in range(2):
+        pipeline.refresh_gold(lake, (day, day))
+        after = {r.device_id: r for r in lake.read("gold.device_health").collect()}
+        assert after["DEV000"] == before["DEV000"]
+        assert after["DEV001"].critical_events == before["DEV001"].critical_events + 1
+    assert sorted(map(str, after.values())) == sorted(
+        map(str, health.device_health(lake.read("silver.telemetry")).select(columns).collect())
+    )
+
+
 def test_nothing_to_do(lake):
     assert pipeline.refresh_silver(lake) == 0
     assert pipeline.refresh_gold(lake) == 0
