@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,16 +153,21 @@ def gate(report: DataFrame, fail_on: Collection[str] = CHECKS) -> None:
         raise QualityError(f"bronze telemetry failed {len(messages)} quality checks: " + " ".join(messages))
 
 
+def _row_rules(columns: Collection[str]) -> dict[str, Column]:
+    """The rules that one row can break by itself; NULL counts as kept."""
+    rules = {f"not_null:{c}": F.col(c).isNull() for c in REQUIRED}
+    rules |= {f"range:{c}": _out_of_range(c) for c in RANGES if c in columns}
+    rules["status_values:system_status"] = _bad_status(F.col("system_status"))
+    return rules
+
+
 def with_violations(df: DataFrame) -> DataFrame:
     """Add ``violations``: the names of the row rules each row breaks."""
-    broken = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")) for c in REQUIRED]
-    broken += [F.when(_out_of_range(c), F.lit(f"range:{c}")) for c in RANGES if c in df.columns]
-    broken.append(F.when(_bad_status(F.col("system_status")), F.lit("status_values:system_status")))
+    broken = [F.when(condition, F.lit(name)) for name, condition in _row_rules(df.columns).items()]
     return df.withColumn("violations", F.array_compact(F.array(*broken)))
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantined rows with their violations)."""
-    marked = with_violations(df)
-    bad = F.size("violations") > 0
-    return marked.filter(~bad).drop("violations"), marked.filter(bad)
+    bad = F.coalesce(reduce(Column.__or__, _row_rules(df.columns).values()), F.lit(False))
+    return df.filter(~bad), with_violations(df.filter(bad))

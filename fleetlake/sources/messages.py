@@ -83,10 +83,15 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def _parsed(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add the parsed ``event``.
+
+    Unfolding a one-element array keeps later filters from being moved below it, where
+    each of their conditions would parse the text once more.
+    """
     event = F.from_json(
         "value", _event_schema(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return messages.withColumn("event", event)
+    return messages.withColumn("event", F.explode(F.array(event)))
 
 
 def decode_telemetry(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
