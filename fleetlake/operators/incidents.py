@@ -22,6 +22,14 @@ QUEUE_ABOVE = 80
 SNR_BELOW = 20.0
 
 
+# What an incident says.
+HOT = f"%s temperature reached %.2f mK, above threshold {TEMPERATURE_ABOVE:.2f} mK."
+ERRORS = f"%s hardware error rate reached %.6f, above threshold {ERROR_RATE_ABOVE:.6f}."
+QUEUE = f"%s queue depth reached %d, above threshold {QUEUE_ABOVE}."
+NOISE = f"%s signal-to-noise ratio dropped to %.2f, below threshold {SNR_BELOW:.2f}."
+STATUS = "%s reported %s system status."
+
+
 class Rule(NamedTuple):
     incident_type: str
     severity: str
@@ -30,7 +38,7 @@ class Rule(NamedTuple):
 
 
 def _status_rule(name: str, severity: str) -> Rule:
-    text = F.format_string(f"%s reported {name} system status.", F.col("device_id"))
+    text = F.format_string(STATUS, F.col("device_id"), F.lit(name))
     return Rule(f"DEVICE_{name}", severity, upper_stripped(F.col("system_status")) == name, text)
 
 
@@ -40,36 +48,10 @@ def rules() -> list[Rule]:
     temperature, errors = F.col("temperature_mk"), F.col("hardware_error_rate")
     queue, snr = F.col("queue_depth"), F.col("signal_noise_ratio")
     return [
-        Rule(
-            "HIGH_TEMPERATURE",
-            "HIGH",
-            temperature > TEMPERATURE_ABOVE,
-            F.format_string(
-                f"%s temperature reached %.2f mK, above threshold {TEMPERATURE_ABOVE:.2f} mK.", device, temperature
-            ),
-        ),
-        Rule(
-            "HARDWARE_ERROR_SPIKE",
-            "CRITICAL",
-            errors > ERROR_RATE_ABOVE,
-            F.format_string(
-                f"%s hardware error rate reached %.6f, above threshold {ERROR_RATE_ABOVE:.6f}.", device, errors
-            ),
-        ),
-        Rule(
-            "QUEUE_PRESSURE",
-            "MEDIUM",
-            queue > QUEUE_ABOVE,
-            F.format_string(f"%s queue depth reached %d, above threshold {QUEUE_ABOVE}.", device, queue),
-        ),
-        Rule(
-            "LOW_SNR",
-            "HIGH",
-            snr < SNR_BELOW,
-            F.format_string(
-                f"%s signal-to-noise ratio dropped to %.2f, below threshold {SNR_BELOW:.2f}.", device, snr
-            ),
-        ),
+        Rule("HIGH_TEMPERATURE", "HIGH", temperature > TEMPERATURE_ABOVE, F.format_string(HOT, device, temperature)),
+        Rule("HARDWARE_ERROR_SPIKE", "CRITICAL", errors > ERROR_RATE_ABOVE, F.format_string(ERRORS, device, errors)),
+        Rule("QUEUE_PRESSURE", "MEDIUM", queue > QUEUE_ABOVE, F.format_string(QUEUE, device, queue)),
+        Rule("LOW_SNR", "HIGH", snr < SNR_BELOW, F.format_string(NOISE, device, snr)),
         _status_rule("DEGRADED", "HIGH"),
         _status_rule("CRITICAL", "CRITICAL"),
     ]

@@ -25,6 +25,16 @@ RANGES = {
     "hardware_error_rate": (0, 1),
 }
 
+# What a violation says.
+MISSING_COLUMNS = "Missing required columns: %s"
+NULL_VALUES = "%s contains %d NULL values."
+OUTSIDE_RANGE = "%s has %d values outside [%d, %d]."
+INVALID_STATUS = "system_status has %d invalid values."
+SURPLUS_EVENTS = "Found %d duplicate telemetry events based on device_id + event_timestamp."
+NO_ROWS = "Telemetry dataset is empty."
+NO_TIMES = "No valid event timestamps found."
+STALE = "Telemetry is stale. Latest event: %s."
+
 CHECKS = ("required_columns", "not_null", "ranges", "status_values", "uniqueness", "freshness")
 
 # The checks that stay meaningful when a batch was delivered twice.
@@ -91,28 +101,23 @@ def quality_report(df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> D
     if "event_timestamp" in present:
         measures.append(F.max(F.col("event_timestamp").try_cast("timestamp_ntz")).alias("latest"))
 
-    said = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    rows = [_entry("required_columns", "", F.lit(len(missing)), F.lit(f"Missing required columns: {missing}"))]
+    rows = [_entry("required_columns", "", F.lit(len(missing)), F.lit(MISSING_COLUMNS % missing))]
     for c in required:
         n = F.col(f"null_{c}")
-        rows.append(_entry("not_null", c, n, said(f"{c} contains ", n.cast("string"), " NULL values.")))
+        rows.append(_entry("not_null", c, n, F.format_string(NULL_VALUES, F.lit(c), n)))
     for c in ranged:
-        n, (low, high) = F.col(f"range_{c}"), RANGES[c]
-        rows.append(
-            _entry("ranges", c, n, said(f"{c} has ", n.cast("string"), f" values outside [{low}, {high}]."))
-        )
+        n = F.col(f"range_{c}")
+        rows.append(_entry("ranges", c, n, F.format_string(OUTSIDE_RANGE, F.lit(c), n, *map(F.lit, RANGES[c]))))
     if "system_status" in present:
         n = F.col("bad_status")
-        rows.append(
-            _entry("status_values", "system_status", n, said("system_status has ", n.cast("string"), " invalid values."))
-        )
+        rows.append(_entry("status_values", "system_status", n, F.format_string(INVALID_STATUS, n)))
     if "event_timestamp" in present:
         oldest = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(max_age_hours)} HOURS")
         stale = F.coalesce(F.col("latest") < oldest, F.lit(True))
         why = (
-            F.when(F.col("rows") == 0, "Telemetry dataset is empty.")
-            .when(F.col("latest").isNull(), "No valid event timestamps found.")
-            .otherwise(said("Telemetry is stale. Latest event: ", F.col("latest").cast("string"), "."))
+            F.when(F.col("rows") == 0, NO_ROWS)
+            .when(F.col("latest").isNull(), NO_TIMES)
+            .otherwise(F.format_string(STALE, F.col("latest").cast("string")))
         )
         rows.append(_entry("freshness", "event_timestamp", stale.cast("long"), why))
     report = df.agg(*measures).select(F.inline(F.array(*rows)))
@@ -123,7 +128,7 @@ def quality_report(df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> D
             F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),
         )
         n = F.col("surplus")
-        text = said("Found ", n.cast("string"), " duplicate telemetry events based on device_id + event_timestamp.")
+        text = F.format_string(SURPLUS_EVENTS, n)
         unique = surplus_copies(keys).select(
             F.inline(F.array(_entry("uniqueness", "device_id + event_timestamp", n, text)))
         )

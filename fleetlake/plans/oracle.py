@@ -464,7 +464,7 @@ LEFT JOIN (
   {_r('avg_readout_error', 6)} AS avg_readout_error, {_r('avg_t1_us', 6)} AS avg_t1_us, {_r('avg_t2_us', 6)} AS avg_t2_us,
   failed_calibrations FROM daily""",
     "calibration_status": _with(CALIBRATIONS) + "SELECT * FROM calibrations",
-    "calibration_last10": _with(CALIBRATIONS) + """SELECT device_id, qubit_id, recency, calibration_id,
+    "calibration_last10": _with(CALIBRATIONS) + """SELECT device_id, qubit_id, CAST(recency AS INTEGER) AS recency, calibration_id,
   calibration_timestamp, calibration_status FROM recent""",
     "calibration_drift": _with(CALIBRATIONS) + f"""SELECT calibration_id, device_id, qubit_id, gate_error, readout_error,
   t1_us, t2_us, CASE WHEN {_FAIL} THEN 'FAIL' ELSE 'PASS' END AS calibration_status

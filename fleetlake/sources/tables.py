@@ -164,6 +164,9 @@ class Lake:
     def append_events(self, table: str, df: DataFrame) -> int:
         """Append to an event table, by date; returns the number of rows.
 
+        A bronze table that a stream fills takes its rows from that stream only: its readers
+        go by the stream's log of files.
+
         ``REBALANCE`` lets adaptive execution split a date that holds a large share of the
         rows over several files and merge small ones, so neither one task nor many tiny
         files result. Rows are ordered within files only.

@@ -314,3 +314,24 @@ def test_incident_stream_follows_silver(lake, tmp_path):
     assert table.filter(F.col("detected_at") == F.lit(NOON).cast("timestamp_ntz")).count() == 5
     ingest.add_incidents(lake, telemetry(lake.spark, DEGRADED), LATER)
     assert lake.read("ops.incidents").count() == 10
+
+
+def test_from_messages_to_summary(lake, tmp_path):
+    """A stream fills bronze, the batch job does the rest, and a replay of all messages changes nothing."""
+    folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
+    events = [{}, {"event_timestamp": at(15)}, {**DEGRADED, "event_timestamp": at(24 * 60)}, {"device_id": None}]
+    now, days = at(25 * 60), (NOON.date(), at(24 * 60).date())
+    state = None
+    for _ in range(2):
+        send(lake.spark, folder, *events)
+        for q in ingest.ingest_bronze(lake, {"files": folder}, progress, keep_rejected=False):
+            q.awaitTermination()
+        run = pipeline.run_pipeline(lake, now, REPLAY_TOLERANT, dates=days)
+        tables = ("silver.telemetry", "gold.device_health", "ops.incidents", "ops.device_health_current")
+        found = {t: sorted(map(str, lake.read(t).collect())) for t in tables}
+        assert state is None or found == state
+        state = found
+    assert (run["bronze_rows"], run["silver_rows"], run["gold_rows"]) == (6, 0, 2)
+    pipeline.register_views(lake)
+    view = pipeline.query(lake, "select device_id, incident_type_count from device_incident_summary")
+    assert rows(view, "device_id", "incident_type_count") == [("DEV002", 5)]
