@@ -6,12 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Spark's cast alone would also take a bare year, or a bare time as a time of today.
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}(:\d{2})?)?)?\z"
+
+
 def naive_utc(text: Column) -> Column:
     """ISO-8601 text to a naive UTC timestamp; NULL where it does not parse.
 
     A text with an offset is shifted to UTC, one without is taken as it is.
     """
-    return text.try_cast("timestamp").cast("timestamp_ntz")
+    return F.when(text.rlike(ISO_TEXT), text.try_cast("timestamp").cast("timestamp_ntz"))
 
 
 def micros(ts: Column) -> Column:

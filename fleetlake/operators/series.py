@@ -51,7 +51,8 @@ def running_total(
 
     A window over a whole entity would put all its rows into one task. Here the window
     runs within time slices, and the sum of an entity's earlier slices is added to it;
-    that carry has one row per entity and slice.
+    that carry has one row per entity and slice. By default there are as many slices as
+    shuffle partitions. ``order`` is unique per entity, as event times are in silver.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = with_time_slice(df, order[0], slices, sample).withColumn("_value", value)

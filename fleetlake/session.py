@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -26,6 +27,31 @@ def build_session(app_name: str = "fleetlake", master: str | None = None, **conf
     return use_utc(builder.getOrCreate())
 
 
+def sizing(data_bytes: int) -> dict[str, str]:
+    """SQL settings for a job over about ``data_bytes`` of input.
+
+    Adaptive execution merges small shuffle partitions but, joins apart, does not split
+    large ones, so their number has to fit the data from the start. It is bounded because
+    every map task writes one block per partition; beyond the bound partitions grow and
+    sorts spill. Larger scan splits keep the number of map tasks in check likewise.
+    """
+    mib = 2**20
+    width = min(max(math.ceil(data_bytes / (256 * mib)), 200), 50_000)
+    split = 128 * mib if data_bytes < 10 * 2**40 else 512 * mib
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mib),
+    }
+
+
+def size_for(spark: SparkSession, data_bytes: int) -> SparkSession:
+    """Apply :func:`sizing` to a running session."""
+    for key, value in sizing(data_bytes).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """All naive timestamps in the lake are UTC, so casts between the two types must be too."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -94,7 +94,13 @@ def test_iso_texts_become_utc(spark):
         "2026-08-22T17:47:33.500000+00:00",
         "2026-08-22T17:47:33Z",
         "2026-08-22 17:47:33.000001",
+        "2026-08-22T17:47:00+05:30",
+        "2026-08-22",
         "2026-13-22T17:47:33Z",
+        "2026",
+        "17:47:33",
+        " 2026-08-22",
+        "2026-08-22 soon",
         "soon",
         None,
     ]
@@ -103,9 +109,9 @@ def test_iso_texts_become_utc(spark):
         datetime(2026, 8, 22, 17, 47, 33, 500000),
         datetime(2026, 8, 22, 17, 47, 33),
         datetime(2026, 8, 22, 17, 47, 33, 1),
-        None,
-        None,
-        None,
+        datetime(2026, 8, 22, 12, 17),
+        datetime(2026, 8, 22),
+        *[None] * 7,
     ]
 
 

@@ -14,7 +14,7 @@ from fleetlake.operators import calibration, cleaning, duplicates, health, incid
 from fleetlake.plans import datasets
 from fleetlake.plans.reports import REPORTS
 from fleetlake.schemas import CALIBRATIONS_CSV, JOBS_CSV
-from fleetlake.session import scratch_dir, shared_dir
+from fleetlake.session import scratch_dir, shared_dir, size_for, sizing
 
 # These write tables or run streams while the result is set up.
 EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "run_metrics", "incidents_after_two_runs", "csv_roundtrip"}
@@ -214,3 +214,15 @@ def test_derived_tables_keep_every_row(spark):
 def test_stale_data_is_relative_to_the_given_time(spark):
     report = quality.quality_report(telemetry(spark, {}), NOON + timedelta(days=2))
     assert not report.filter("check_name = 'freshness'").first().passed
+
+
+def test_settings_grow_with_the_data(spark):
+    width = lambda size: int(sizing(size)["spark.sql.shuffle.partitions"])
+    assert (width(2**30), width(2**40), width(100 * 2**40)) == (200, 4096, 50_000)
+    assert sizing(2**40)["spark.sql.files.maxPartitionBytes"] < sizing(100 * 2**40)["spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in sizing(1)}
+    try:
+        assert size_for(spark, 2**40).conf.get("spark.sql.shuffle.partitions") == "4096"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
