@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from fleetlake.functions.numbers import no_nan
 from fleetlake.functions.rules import VALID_STATUSES
 from fleetlake.functions.text import lower_stripped, upper_stripped
+from fleetlake.schemas import EVENT_DATE
 
 REQUIRED = ("device_id", "event_timestamp", "schema_version")
 
@@ -19,8 +20,7 @@ IDENTITY = ("device_id", "event_timestamp")
 # Later copies win; the lineage columns make the order total.
 ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset")
 
-# The partition column of event tables, and how many dates a condition lists one by one.
-EVENT_DATE = "event_date"
+# How many dates a condition lists one by one.
 MANY_DATES = 1000
 
 

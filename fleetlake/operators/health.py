@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.numbers import settle
 from fleetlake.functions.rules import health_score
+from fleetlake.schemas import EVENT_DATE
 
 AVERAGED = (
     "temperature_mk",
@@ -38,7 +39,7 @@ def daily_health(silver: DataFrame) -> DataFrame:
     status = F.col("system_status")
     sums = [F.sum(F.col(c).cast("double")).alias(f"sum_{c}") for c in AVERAGED]
     counts = [F.count(c).alias(f"n_{c}") for c in AVERAGED]
-    return silver.groupBy("device_id", F.to_date("event_timestamp").alias("event_date")).agg(
+    return silver.groupBy("device_id", F.to_date("event_timestamp").alias(EVENT_DATE)).agg(
         F.count(F.lit(1)).alias("total_events"),
         *sums,
         *counts,

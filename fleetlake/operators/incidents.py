@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 from fleetlake.functions.rules import severity_rank
 from fleetlake.functions.text import upper_stripped
 from fleetlake.functions.times import key_text
-from fleetlake.operators.cleaning import EVENT_DATE
 from fleetlake.operators.health import health_report
+from fleetlake.schemas import EVENT_DATE
 
 # Alarm thresholds. They differ from the limits that set a device's status.
 TEMPERATURE_ABOVE = 18.0

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.text import READ_COMMANDS, WRITE_COMMANDS
-from fleetlake.operators.cleaning import EVENT_DATE, clean, date_filter, unseen
+from fleetlake.operators.cleaning import clean, date_filter, unseen
 from fleetlake.operators.health import daily_health, health_of_days
 from fleetlake.operators.incidents import absent, detect, device_summary, opened, type_summary
 from fleetlake.operators.quality import CHECKS, gate, quality_report
-from fleetlake.schemas import DEVICE_HEALTH, DEVICES
+from fleetlake.schemas import DEVICE_HEALTH, DEVICES, EVENT_DATE
 from fleetlake.sources.tables import Lake, merge_upsert
 
 

@@ -8,6 +8,10 @@ _S, _D, _I, _L = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
 _TS, _DT = T.TimestampNTZType(), T.DateType()
 
 
+# The partition column of event tables.
+EVENT_DATE = "event_date"
+
+
 def _schema(*columns: tuple) -> T.StructType:
     return T.StructType([T.StructField(c[0], c[1], nullable="req" not in c[2:]) for c in columns])
 

@@ -32,7 +32,8 @@ def message_stream(spark: SparkSession, source: dict) -> DataFrame:
 
     ``{"kafka": servers, "topic": name}`` reads a topic (the connector must be on the
     class path); ``{"files": folder}`` reads the same envelope as JSON lines. ``max_rows``
-    or ``max_files`` bounds one micro-batch.
+    or ``max_files`` bounds one micro-batch; ``min_partitions`` reads a topic's few or
+    uneven partitions in more tasks than there are partitions.
     """
     if "kafka" in source:
         reader = (
@@ -44,6 +45,8 @@ def message_stream(spark: SparkSession, source: dict) -> DataFrame:
         )
         if "max_rows" in source:
             reader = reader.option("maxOffsetsPerTrigger", source["max_rows"])
+        if "min_partitions" in source:
+            reader = reader.option("minPartitions", source["min_partitions"])
         raw = reader.load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset", "timestamp")
     reader = spark.readStream.schema(ENVELOPE)

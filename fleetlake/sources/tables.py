@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions.numbers import no_nan
-from fleetlake.operators.cleaning import EVENT_DATE
+from fleetlake.schemas import EVENT_DATE
 from fleetlake.session import use_utc
 
 # Tables that grow are partitioned by the event's date, so that incremental work reads

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlake.operators.cleaning import EVENT_DATE, clean, date_filter, unseen
+from fleetlake.operators.cleaning import clean, date_filter, unseen
 from fleetlake.operators.incidents import absent, detect, opened
 from fleetlake.plans.pipeline import utc_now
-from fleetlake.schemas import TELEMETRY
+from fleetlake.schemas import EVENT_DATE, TELEMETRY
 from fleetlake.sources.messages import accepted, decode_telemetry, message_stream, rejected
 from fleetlake.sources.tables import EVENT_TABLES, Lake, conform
 

@@ -143,6 +143,14 @@ def test_gold_from_daily_sums_equals_gold_from_events(lake):
     )
 
 
+def test_writing_no_rows(lake):
+    none = telemetry(lake.spark, {}).limit(0)
+    assert lake.append_events("silver.telemetry", none) == 0
+    assert lake.append_events("silver.telemetry", none.filter("1 = 0")) == 0
+    assert lake.replace("gold.device_health", health.device_health(none)) == 0
+    assert lake.read("gold.device_health").count() == 0
+
+
 def test_nothing_to_do(lake):
     assert pipeline.refresh_silver(lake) == 0
     assert pipeline.refresh_gold(lake) == 0
