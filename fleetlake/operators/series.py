@@ -13,6 +13,7 @@ from fleetlake.functions.times import elapsed_days, from_micros, micros
 
 HOURS_PER_READING = 0.25
 SPINE_MINUTES = 15
+SPINE_STRETCH = 1000
 
 # Daily change of the readings of a drifting device.
 DRIFT_DAYS = 10
@@ -82,12 +83,19 @@ def uptime_hours(events: DataFrame, start: float = 0.0, sample: DataFrame | None
 def time_spine(entities: DataFrame, start: Column, end: Column, step_minutes: int = SPINE_MINUTES) -> DataFrame:
     """One row per entity and slot from ``start`` to ``end``, both included.
 
-    Every entity row unfolds its own slots in place; nothing is joined or shuffled.
+    A list of entities is small, and would be unfolded by one task into a very large
+    result. It first unfolds into stretches of slots, which are spread over all tasks.
     """
     step = step_minutes * 60_000_000
     last = F.floor((micros(end) - micros(start)) / step)
-    return entities.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn(
-        "slot_start", from_micros(micros(start) + F.col("slot") * step)
+    width = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first_slots = F.sequence(F.lit(0).cast("long"), last, F.lit(SPINE_STRETCH).cast("long"))
+    stretches = entities.withColumn("_first", F.explode(first_slots)).repartition(width, *entities.columns, "_first")
+    slots = F.sequence(F.col("_first"), F.least(last, F.col("_first") + SPINE_STRETCH - 1))
+    return (
+        stretches.withColumn("slot", F.explode(slots))
+        .withColumn("slot_start", from_micros(micros(start) + F.col("slot") * step))
+        .drop("_first")
     )
 
 

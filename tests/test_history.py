@@ -161,7 +161,11 @@ def test_uptime(spark):
 def test_spine_includes_both_ends(spark):
     devices = spark.createDataFrame([("A",), ("B",)], "device_id string")
     start, end = (F.lit(t).cast("timestamp_ntz") for t in (NOON, NOON + timedelta(days=90)))
-    assert series.time_spine(devices, start, end).count() == 2 * (90 * 96 + 1)
+    spine = series.time_spine(devices, start, end)
+    assert spine.count() == spine.select("device_id", "slot").distinct().count() == 2 * (90 * 96 + 1)
+    ends = spine.agg(F.min("slot_start"), F.max("slot_start"), F.max("slot")).first()
+    assert tuple(ends) == (NOON, NOON + timedelta(days=90), 90 * 96)
+    assert series.time_spine(devices, start, start).count() == 2
 
 
 def test_gaps(spark):
