@@ -120,15 +120,26 @@ def register_views(lake: Lake) -> None:
     device_summary(incidents).createOrReplaceTempView("device_incident_summary")
 
 
+# Comments and quoted texts, in which a command is only a word. A backslash may or may not
+# escape a quote (it does not in raw literals), so both readings have to be harmless.
+_COMMENT = r"--[^\r\n]*|/\*.*?\*/|`[^`]*`"
+_QUOTED = [
+    re.compile(rf"""{_COMMENT}|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\"""", re.DOTALL),
+    re.compile(rf"""{_COMMENT}|'[^']*'|"[^"]*\"""", re.DOTALL),
+]
+_WRITES = re.compile(rf"\b({'|'.join(WRITE_COMMANDS)})\b", re.IGNORECASE)
+
+
 def require_read_only(statement: str) -> str:
     """The statement without surrounding blanks, if it only reads; otherwise ValueError."""
     text = statement.strip()
     first = re.match(r"\S*", text).group().upper()
     if first not in READ_COMMANDS:
         raise ValueError("only read-only statements are allowed")
-    written = re.search(rf"\b({'|'.join(WRITE_COMMANDS)})\b", text, re.IGNORECASE)
-    if written:
-        raise ValueError(f"blocked operation: {written.group().upper()}")
+    for quoted in _QUOTED:
+        written = _WRITES.search(quoted.sub(" ", text))
+        if written:
+            raise ValueError(f"blocked operation: {written.group().upper()}")
     return text
 
 

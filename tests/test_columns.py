@@ -83,6 +83,12 @@ def test_statement_audit(spark):
 
 def test_read_only_statements():
     assert require_read_only(" select 1 ") == "select 1"
+    for good in ("select * from t where a = 'DELETE'", "select 1 -- drop\n", "select `call`, \"it's a merge\" from t"):
+        assert require_read_only(good) == good.strip()
+    for hidden in ("with x as (select 1) -- '\ninsert into t select 1 -- '", "select '\\'' ; drop table t",
+                   "with x as (select r'\\' a) insert into t select 'b'", "with x as (select 1) -- a\rinsert into t select 1"):
+        with pytest.raises(ValueError):
+            require_read_only(hidden)
     for bad in ("", "drop table t", "select 1; drop table t", "select 1;\nDELETE\nfrom t"):
         with pytest.raises(ValueError):
             require_read_only(bad)
