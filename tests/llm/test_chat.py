@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+from fleetlake.llm import chat
+
+PIECES = st.lists(st.sampled_from([*chat.CONTROL, "\\", "\n", "<", "|", "[", "a", "é", "\ue000", ">"]), max_size=8)
+TEXT = PIECES.map("".join)
+COLUMNS = "conv_id long, turn long, role string, text string, formatted string"
+
+
+@given(st.lists(st.tuples(TEXT, TEXT), max_size=6))
+def test_turns_come_back_and_spans_hold_the_texts(turns):
+    whole, texts, spans, rewriting = chat.render(chat.chatml, turns)
+    assert chat.parse(whole) == turns
+    assert [chat.unescape(whole[a:b]) for a, b in texts] == [text for _, text in turns]
+    assert "".join(whole[a:b] for a, b in spans) == whole
+    assert rewriting == []
+
+
+def test_escaped_texts_hold_no_control_string():
+    for text in chat.CONTROL:
+        assert not any(c in chat.escape(text) for c in chat.CONTROL)
+
+
+def test_a_template_that_rewrites_history_is_found():
+    def forgetful(turns):
+        """Shows earlier answers as an ellipsis."""
+        last = len(turns) - 1
+        return "".join(f"[{r}]{t if r != 'assistant' or i == last else '...'}\n" for i, (r, t) in enumerate(turns))
+
+    turns = [("user", "hi"), ("assistant", "hello"), ("user", "and"), ("assistant", "bye")]
+    whole, texts, spans, rewriting = chat.render(forgetful, turns)
+    assert rewriting == [2]
+    assert spans == [None] * 4
+    assert [t and whole[t[0] : t[1]] for t in texts] == ["hi", None, "and", "bye"]
+
+
+def test_a_template_with_an_end_that_moves_is_found():
+    whole, texts, _, rewriting = chat.render(lambda t: "".join(f"{r}:{x};" for r, x in t) + "END", [("a", "x"), ("b", "y")])
+    assert rewriting == [1]
+    assert [whole[a:b] for a, b in texts] == ["x", "y"]
+
+
+def test_nulls_ties_repeats_and_clashing_columns(spark):
+    rows = [
+        (1, 2, "assistant", "b", "z"), (1, 1, "user", None, None), (1, 2, "assistant", "b", None), (1, 2, "assistant", "a", "z"),
+        (2, None, None, "x", "z"), (None, 1, "user", "n", "z"), (3, 1, "user", "long " * 20_000, "z"),
+    ]
+    out = {r.conv_id: r for r in chat.format_chats(spark.createDataFrame(rows, COLUMNS)).collect()}
+    assert chat.parse(out[1].formatted) == [("user", ""), ("assistant", "a"), ("assistant", "b"), ("assistant", "b")]
+    assert [out[1].formatted[s.start : s.end] for s in out[1].loss_spans] == ["a", "b", "b"]
+    assert chat.parse(out[2].formatted) == [("", "x")]
+    assert chat.parse(out[None].formatted) == [("user", "n")]
+    assert chat.parse(out[3].formatted) == [("user", "long " * 20_000)]
+
+
+def test_an_empty_table(spark):
+    assert chat.format_chats(spark.createDataFrame([], COLUMNS)).collect() == []
