@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, url_filter
+from fleetlake.llm import chat, decontaminate, topk, url_filter, warc
 from fleetlake.llm.common import table
 
 #: Rules of the URL filter: verdict, host, path. Fixed values.
@@ -24,6 +25,35 @@ URL_RULES = (
 MARKED_TEXT = "</s>[INST] ok [/INST]"
 
 
+#: The search: neighbours for each query, every how manieth id is a query, and the factor before floor().
+NEIGHBOURS, QUERY_EVERY, SCALE = 20, 20, 64
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return hits.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"), SCALE)
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0), NEIGHBOURS)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted, and read back from the output."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -68,16 +98,77 @@ def _sha256(text: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op5_warc": op5_warc,
+    "op6_top_k": op6_top_k,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
 }
 
+#: The words of a text; backslashes as the SQL engine's expressions want them.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 _ESCAPED = r"""
     regexp_replace(replace({0}, '\', '\\'),
         '(<)(\|im_start\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>)|(\[)(INST\]|/INST\])', '\1\3\\\2\4', 'g')
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": f"""
+        WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), {decontaminate.WINDOW}) AS n,
+                   list_slice(w, i, i + least(len(w), {decontaminate.WINDOW}) - 1) AS words
+            FROM items, unnest(range(1, len(w) - least(len(w), {decontaminate.WINDOW}) + 2)) AS u(i) WHERE len(w) > 0
+        ),
+        docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+        runs AS (
+            SELECT row, i, n, list_slice(w, i, i + n - 1) AS words
+            FROM docs, (SELECT DISTINCT n FROM windows) AS lengths, unnest(range(1, len(w) - n + 2)) AS u(i)
+        ),
+        hits AS (SELECT row, i, n, item_id FROM runs JOIN windows USING (n, words)),
+        covered AS (SELECT row, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(j) GROUP BY row),
+        named AS (
+            SELECT row, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM hits GROUP BY row
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
+    """,
+    "op5_warc": f"""
+        WITH rows AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ),
+        firsts AS (
+            SELECT *, CASE WHEN payload_bytes >= {warc.MIN_REVISIT_BYTES}
+                           THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+            FROM rows
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM firsts
+    """,
+    "op6_top_k": f"""
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, e.vec_id, list_dot_product(q.v, e.v)::BIGINT AS score
+            FROM whole q JOIN whole e ON q.vec_id <> e.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {NEIGHBOURS}
+    """,
     "op9_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

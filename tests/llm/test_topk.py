@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from fleetlake.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, rank int, score string"
+
+
+def brute(rows, asked, k):
+    floor = [
+        (i, [math.floor(64 * x) for x in v]) for i, v, *_ in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    queries = {(i, tuple(v)) for i, v in floor if asked(i)}
+    out = []
+    for i, v in queries:
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in floor if j != i and len(w) == len(v))
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+def run(spark, rows, asked, k):
+    vectors = topk.quantised(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    return sorted(tuple(r) for r in topk.top_k(vectors, vectors.where(asked), k).collect())
+
+
+@pytest.mark.parametrize("entries, queries, step", [(16_384, 512, 64), (7, 3, 2)])
+def test_against_brute_force(spark, monkeypatch, entries, queries, step):
+    monkeypatch.setattr(topk, "ENTRY_BLOCK", entries)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", queries)
+    monkeypatch.setattr(topk, "STEP", step)
+    rng = random.Random(3)
+    rows = [(i, [rng.choice((-0.5, 0.25, 1.0, rng.uniform(-1, 1))) for _ in range(6)], 0, "x") for i in range(60)]
+    rows += [(100 + i, [0.5] * 6, 0, "x") for i in range(30)]  # one vector many times
+    rows += [rows[5], rows[10], rows[10]]  # repeated rows, one of them a query
+    rows += [(10, [0.0] * 6, 0, "x"), (201, [1.0], 0, "x"), (205, [-1.0], 0, "x"), (300, [], 0, "x"), (301, [], 0, "x")]
+    rows += [(400, None, 0, "x"), (405, [None] * 6, 0, "x"), (410, [math.nan] * 6, 0, "x"), (415, [math.inf] * 6, 0, "x"), (None, [1.0] * 6, 0, "x")]
+    assert run(spark, rows, "vec_id % 5 = 0", 4) == brute(rows, lambda i: i % 5 == 0, 4)
+
+
+def test_fewer_entries_than_asked_for(spark):
+    rows = [(i, [float(i), 1.0], 0, "x") for i in range(4)]
+    assert run(spark, rows, "vec_id = 0", 20) == brute(rows, lambda i: i == 0, 20)
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(i, [float(2**23 + i), float(2**23)], 0, "x") for i in range(6)]
+    assert run(spark, rows, "vec_id < 3", 3) == brute(rows, lambda i: i < 3, 3)
+
+
+def test_empty_table(spark):
+    assert run(spark, [], "vec_id = 0", 3) == []
