@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, decontaminate, topk, url_filter, warc
+from fleetlake.llm import chat, decontaminate, packing, topk, url_filter, warc
 from fleetlake.llm.common import table
 
 #: Rules of the URL filter: verdict, host, path. Fixed values.
@@ -42,6 +42,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(spark, index, payloads=False).select(
@@ -99,6 +106,7 @@ def _sha256(text: str) -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_packing": op2_packing,
     "op5_warc": op5_warc,
     "op6_top_k": op6_top_k,
     "op9_chat_format": op9_chat_format,
