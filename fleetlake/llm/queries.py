@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, decontaminate, packing, topk, url_filter, warc
+from fleetlake.llm import chat, decontaminate, packing, simhash, topk, url_filter, warc
 from fleetlake.llm.common import table
 
 #: Rules of the URL filter: verdict, host, path. Fixed values.
@@ -49,6 +49,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(spark, index, payloads=False).select(
@@ -107,6 +112,7 @@ def _sha256(text: str) -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_packing": op2_packing,
+    "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_top_k": op6_top_k,
     "op9_chat_format": op9_chat_format,
