@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, decontaminate, packing, simhash, topk, url_filter, warc
+from fleetlake.llm import chat, decontaminate, packing, simhash, topk, toxicity, url_filter, warc
 from fleetlake.llm.common import table
 
 #: Rules of the URL filter: verdict, host, path. Fixed values.
@@ -66,6 +66,16 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0), NEIGHBOURS)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity_model(spark, docs, sf_dir))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.train(docs, labels)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted, and read back from the output."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -115,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_top_k": op6_top_k,
+    "op7_toxicity": op7_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
 }
