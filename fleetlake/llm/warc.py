@@ -152,9 +152,13 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     folder = folder or scratch_dir(spark, "warc")
     rows = classify(pages)
+    # Of all rows, about twice the sample have a hash this low; so tasks send no more than that together.
+    share = 2 * SAMPLE_RECORDS / max(pages.count(), 1)
+    key = F.xxhash64("page_id", "url")
     sample = (
-        pages.select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES).alias("html"))
-        .orderBy(F.xxhash64("page_id", "url"))
+        pages.where(key.cast("double") < 2.0**64 * min(share, 1.0) - 2.0**63)
+        .select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES).alias("html"))
+        .orderBy(key)
         .limit(SAMPLE_RECORDS)
     )
     dictionary = _train([record(r.page_id, r.url, r.html.encode(), "0" * 64, None) for r in sample.collect()])
