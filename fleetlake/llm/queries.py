@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, decontaminate, packing, simhash, topk, toxicity, url_filter, warc
+from fleetlake.llm import chat, decontaminate, html_text, packing, simhash, topk, toxicity, url_filter, warc
 from fleetlake.llm.common import table
 
 #: Rules of the URL filter: verdict, host, path. Fixed values.
@@ -49,6 +49,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -122,6 +127,7 @@ def _sha256(text: str) -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_packing": op2_packing,
+    "op3_html_text": op3_html_text,
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_top_k": op6_top_k,
