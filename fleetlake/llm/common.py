@@ -25,13 +25,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if its counted rows fit the limit, else as it is.
+def checked_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows, of ``row_bytes`` each, fit the limit, else as it is.
 
     Without the mark the join shuffles both sides, and adaptive execution splits hot keys.
     ``df`` should be stored, for it is counted here.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    size = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df
 
 
 def ascii_lower(column: Column) -> Column:
