@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fleetlake.llm import chat, decontaminate, html_text, packing, simhash, suffix_dedup, topk, toxicity, url_filter, warc
 from fleetlake.llm.common import table
 
@@ -147,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: The words of a text; backslashes as the SQL engine's expressions want them.
