@@ -64,32 +64,29 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _telling(owner: np.ndarray, column: np.ndarray, size: int, grades: np.ndarray) -> np.ndarray:
-    """Of each feature, whether it is among those whose documents' mean grade differs most from the rest's."""
-    documents = np.bincount(column, minlength=size)
-    mean = grades.mean() if len(grades) else 0.0
-    apart = np.abs(np.bincount(column, (grades - mean)[owner], size)) / np.sqrt(np.maximum(documents, 1))
+def _telling(flat: np.ndarray, owner: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """The features whose documents' mean grade differs most from the rest's, in order."""
+    documents = np.bincount(flat, minlength=FEATURES)
+    apart = np.bincount(flat, (grades - grades.mean())[owner], FEATURES)
+    apart = np.abs(apart) / np.sqrt(np.maximum(documents, 1))
     apart[documents < LEAST_DOCUMENTS] = 0
-    least = np.partition(apart, -WEIGHED)[-WEIGHED] if size > WEIGHED else 0.0
-    return (apart >= least) & (apart > 0)
+    least = np.partition(apart, -WEIGHED)[-WEIGHED]
+    return np.flatnonzero((apart >= least) & (apart > 0))
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = STEPS) -> Model:
-    """A model from documents' feature lists and grades 0 .. levels-1.
+    """A model from documents' lists of distinct features and grades 0 .. levels-1, at least one document.
 
     Proximal gradient steps with per-weight step sizes on the mean negative log likelihood, with an
     absolute-value penalty that leaves most weights at zero.
     """
-    sizes = [len(r) for r in rows]
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    used, column = np.unique(flat, return_inverse=True)
-    present = np.unique(owner * max(len(used), 1) + column)  # a feature counts once per document
-    owner, column = present // max(len(used), 1), present % max(len(used), 1)
-    common = _telling(owner, column, len(used), grades)
-    keep = common[column]
-    owner, column = owner[keep], (np.cumsum(common) - 1)[column[keep]]
-    used = used[common]
+    flat = np.concatenate(rows).astype(np.int32)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    used = _telling(flat, owner, grades)
+    places = np.full(FEATURES, -1, np.int32)
+    places[used] = np.arange(len(used))
+    column = places[flat]
+    owner, column = owner[column >= 0], column[column >= 0]
     weights = np.zeros(len(used))
     shares = 1 - np.arange(1, levels) / levels
     first = np.log((1 - shares) / shares)
@@ -97,10 +94,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = ST
     free = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 0.1))])
     moments = [[np.zeros_like(v), np.zeros_like(v)] for v in (weights, free)]
     # every grade weighs the same, however many of its documents are in the sample
-    weight = 1 / (np.bincount(grades, minlength=levels)[grades] * levels) if len(rows) else np.empty(0)
+    weight = 1 / (np.bincount(grades, minlength=levels)[grades] * levels)
     for step in range(1, steps + 1):
         thresholds = free[0] + np.concatenate([[0], np.cumsum(np.exp(free[1:]))])
-        scores = np.bincount(owner, weights[column], len(rows)) if len(rows) else np.empty(0)
+        scores = np.bincount(owner, weights[column], len(rows))
         above = _logistic(scores[:, None] - thresholds)
         bounds = np.concatenate([np.ones((len(rows), 1)), above, np.zeros((len(rows), 1))], axis=1)
         at = np.arange(len(rows))
@@ -113,7 +110,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = ST
         by_threshold = by_bound[:, 1:levels].sum(axis=0)
         tail = np.cumsum(by_threshold[::-1])[::-1]
         gradients = (
-            np.bincount(column, by_score[owner], len(used)) if len(used) else np.empty(0),
+            np.bincount(column, by_score[owner], len(used)),
             np.concatenate([tail[:1], tail[1:] * np.exp(free[1:])]),
         )
         for value, gradient, (mean, square), shrink in zip((weights, free), gradients, moments, (SHRINK, 0), strict=True):

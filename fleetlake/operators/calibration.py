@@ -1,4 +1,4 @@
-"""Calibration history: daily health, latest records, status, and drift scenarios."""
+"""Calibration history: daily health, latest records and status."""
 
 from __future__ import annotations
 
@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlake.functions.numbers import settle
 from fleetlake.functions.rules import calibration_status
 
-# A drift grows from factor 1 to 6 over the latest ten records.
-DRIFT_RECORDS = 10
-DRIFT_LAST_FACTOR = 6
-READOUT_SLOPE, T1_SLOPE, T2_SLOPE = 0.8, 0.12, 0.15
-ERROR_DIGITS, TIME_DIGITS = 6, 3
+LATEST_RECORDS = 10
 
 ENTITY = ("device_id", "qubit_id")
 
@@ -36,7 +31,7 @@ def with_status(calibrations: DataFrame) -> DataFrame:
     return calibrations.withColumn("calibration_status", status)
 
 
-def latest_records(calibrations: DataFrame, count: int = DRIFT_RECORDS, entity=ENTITY) -> DataFrame:
+def latest_records(calibrations: DataFrame, count: int = LATEST_RECORDS, entity=ENTITY) -> DataFrame:
     """The last ``count`` records of each entity with their ``recency`` (1 = newest).
 
     Each task keeps ``count`` rows per entity before the shuffle.
@@ -45,38 +40,6 @@ def latest_records(calibrations: DataFrame, count: int = DRIFT_RECORDS, entity=E
     return calibrations.withColumn("recency", F.row_number().over(newest)).filter(F.col("recency") <= count)
 
 
-def with_drift(calibrations: DataFrame, device_id: str, qubit_id: str, count: int = DRIFT_RECORDS) -> DataFrame:
-    """All calibrations, with the latest records of one qubit degrading step by step.
-
-    Only those few records are ranked. They are matched back by ``calibration_id``, the
-    unique key of the data set, so the full table is neither sorted nor windowed. Without
-    any record of the qubit the table is returned as it is; otherwise all rows are rounded
-    and their status is set again.
-    """
-    target = (F.col("device_id") == device_id) & (F.col("qubit_id") == qubit_id)
-    if calibrations.filter(target).isEmpty():
-        return calibrations
-    ranked = latest_records(calibrations.filter(target), count)
-    affected = Window.partitionBy(*ENTITY)
-    position = F.col("n") - F.col("recency")
-    factor = F.when(F.col("n") > 1, 1 + (DRIFT_LAST_FACTOR - 1) * position / (F.col("n") - 1)).otherwise(1.0)
-    factors = ranked.withColumn("n", F.count(F.lit(1)).over(affected)).select(
-        F.col("calibration_id").alias("_id"), factor.alias("factor")
-    )
-    # At most ``count`` rows, so the broadcast is bounded whatever the size of the history.
-    joined = calibrations.join(F.broadcast(factors), target & (F.col("calibration_id") == F.col("_id")), "left")
-    step = F.coalesce("factor", F.lit(1.0)) - 1
-    changed = joined.withColumns(
-        {
-            "gate_error": settle(F.col("gate_error") * (step + 1), ERROR_DIGITS),
-            "readout_error": settle(F.col("readout_error") * (1 + step * READOUT_SLOPE), ERROR_DIGITS),
-            "t1_us": settle(F.col("t1_us") * (1 - step * T1_SLOPE), TIME_DIGITS),
-            "t2_us": settle(F.col("t2_us") * (1 - step * T2_SLOPE), TIME_DIGITS),
-        }
-    )
-    return with_status(changed).select(calibrations.columns)
-
-
 def distinct_counts(calibrations: DataFrame) -> DataFrame:
     """Rows, devices and (device, qubit) pairs. A pair with a NULL counts, a NULL device does not."""
     pairs = calibrations.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("n"))

@@ -12,7 +12,6 @@ from fleetlake.operators.calibration import daily_health
 # Parts of the failure probability and its limits.
 BASE_FAILURE = 0.03
 GATE_WEIGHT, READOUT_WEIGHT, FAILED_WEIGHT = 3, 0.4, 0.005
-DRIFT_PER_DAY = 0.018
 LOWEST_FAILURE, HIGHEST_FAILURE = 0.01, 0.35
 
 
@@ -48,36 +47,26 @@ def timeline(jobs: DataFrame) -> DataFrame:
     )
 
 
-def failure_probability(
-    jobs: DataFrame, calibrations: DataFrame, drift_device: str = "DEV002", drift_days: int = 9
-) -> DataFrame:
+def failure_probability(jobs: DataFrame, calibrations: DataFrame) -> DataFrame:
     """Expected failure probability of each job from its device's calibrations that day.
 
-    A job without calibrations that day has exactly the base probability; the drift of
-    ``drift_device`` over the last ``drift_days`` of calibration history adds only to jobs
-    that have some.
+    A job without calibrations that day has exactly the base probability.
     """
     daily = daily_health(calibrations).select(
         "device_id", "date", "avg_gate_error", "avg_readout_error", "failed_calibrations"
     )
-    first_drift_day = F.date_sub(
-        calibrations.agg(F.max(F.to_date("calibration_timestamp"))).scalar(), drift_days
-    )
-    dated = jobs.withColumn("date", F.to_date("submitted_at")).withColumn("_from", first_drift_day)
-    days_in = F.date_diff(F.col("date"), F.col("_from"))
-    drift = F.when((F.col("device_id") == drift_device) & (days_in >= 0), days_in * DRIFT_PER_DAY).otherwise(0.0)
     loaded = (
         BASE_FAILURE
         + F.col("avg_gate_error") * GATE_WEIGHT
         + F.col("avg_readout_error") * READOUT_WEIGHT
         + F.col("failed_calibrations") * FAILED_WEIGHT
-        + drift
     )
     probability = F.when(F.col("failed_calibrations").isNull(), F.lit(BASE_FAILURE)).otherwise(
         clamp(loaded, LOWEST_FAILURE, HIGHEST_FAILURE)
     )
     return (
-        dated.join(daily, ["device_id", "date"], "left")
+        jobs.withColumn("date", F.to_date("submitted_at"))
+        .join(daily, ["device_id", "date"], "left")
         .withColumn("failure_probability", probability)
         .select(*jobs.columns, "failure_probability")
     )

@@ -1,42 +1,19 @@
-"""Time series: running totals, regular time spines, gaps, and drift scenarios."""
+"""Time series: running totals, and gaps in a device's readings."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlake.functions.numbers import clamp, settle
-from fleetlake.functions.rules import operating_status
 from fleetlake.functions.times import elapsed_days, from_micros, micros
 
 HOURS_PER_READING = 0.25
-SPINE_MINUTES = 15
-SPINE_STRETCH = 1000
-
-# Daily change of the readings of a drifting device.
-DRIFT_DAYS = 10
-QUEUE_PER_DAY, JOBS_PER_DAY, SNR_PER_DAY = 6, 2, 1.2
-TEMPERATURE_PER_DAY = 0.35 + 0.12
-LOWEST_TEMPERATURE = 5
-
-
-def with_time_slice(df: DataFrame, column: str, slices: int, sample: DataFrame | None = None) -> DataFrame:
-    """Add ``_slice``: which of about equally large, consecutive time ranges a row is in.
-
-    The boundaries are quantiles of the whole table, so no slice of one entity is larger
-    than an average share of all rows, however dominant the entity. The boundaries enter
-    the plan as constants: a lost task is recomputed with the same slices.
-    """
-    source = (df if sample is None else sample).select(micros(F.col(column)).cast("double").alias("_us"))
-    steps = [i / slices for i in range(1, slices)]
-    bounds = source.approxQuantile("_us", steps, 1 / (2 * slices)) if steps else []
-    if not bounds:
-        return df.withColumn("_slice", F.lit(0.0))
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_us", outputCol="_slice", handleInvalid="keep")
-    return cut.transform(df.withColumn("_us", micros(F.col(column)).cast("double"))).drop("_us")
+SLOT_MINUTES = 15
+SLICE = "hour"
+DAY_MICROS = 86_400_000_000
 
 
 def running_total(
@@ -45,18 +22,15 @@ def running_total(
     name: str,
     entity: str = "device_id",
     order: tuple[str, ...] = ("event_timestamp",),
-    slices: int | None = None,
-    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Running sum of ``value`` per entity in time order.
 
     A window over a whole entity would put all its rows into one task. Here the window
-    runs within time slices, and the sum of an entity's earlier slices is added to it;
-    that carry has one row per entity and slice. By default there are as many slices as
-    shuffle partitions. ``order`` is unique per entity, as event times are in silver.
+    runs within the hours of the first order column, and the sum of an entity's earlier hours is
+    added to it; that carry has one row per entity and hour. ``order`` is unique per
+    entity, as event times are in silver.
     """
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = with_time_slice(df, order[0], slices, sample).withColumn("_value", value)
+    sliced = df.withColumn("_slice", F.date_trunc(SLICE, order[0])).withColumn("_value", value)
     so_far = (
         Window.partitionBy(entity, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -74,78 +48,83 @@ def running_total(
     )
 
 
-def uptime_hours(events: DataFrame, start: float = 0.0, sample: DataFrame | None = None) -> DataFrame:
+def uptime_hours(events: DataFrame, start: float = 0.0) -> DataFrame:
     """Uptime that grows by a quarter of an hour with every reading."""
-    grown = running_total(events, F.lit(HOURS_PER_READING), "uptime_hours", sample=sample)
+    grown = running_total(events, F.lit(HOURS_PER_READING), "uptime_hours")
     return grown.withColumn("uptime_hours", F.round(F.col("uptime_hours") + start, 2))
 
 
-def time_spine(entities: DataFrame, start: Column, end: Column, step_minutes: int = SPINE_MINUTES) -> DataFrame:
-    """One row per entity and slot from ``start`` to ``end``, both included.
+def _slot(time: Column, step: int) -> Column:
+    return F.floor(micros(time) / step).cast("long")
 
-    A list of entities is small, and would be unfolded by one task into a very large
-    result. It first unfolds into stretches of slots, which are spread over all tasks.
-    """
-    step = step_minutes * 60_000_000
-    last = F.floor((micros(end) - micros(start)) / step)
-    width = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first_slots = F.sequence(F.lit(0).cast("long"), last, F.lit(SPINE_STRETCH).cast("long"))
-    stretches = entities.withColumn("_first", F.explode(first_slots)).repartition(width, *entities.columns, "_first")
-    slots = F.sequence(F.col("_first"), F.least(last, F.col("_first") + SPINE_STRETCH - 1))
-    return (
-        stretches.withColumn("slot", F.explode(slots))
-        .withColumn("slot_start", from_micros(micros(start) + F.col("slot") * step))
-        .drop("_first")
-    )
 
+def missing_slots(
+    events: DataFrame,
+    step_minutes: int = SLOT_MINUTES,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """The stretches in which a device that has events sent nothing, one row each.
+
+    Time is cut into slots of ``step_minutes`` from midnight on, so the step divides a day. A stretch reaches from ``gap_start``
+    to before ``gap_end``, with ``missing_slots`` empty slots and ``gap_days`` days. Stretches before
+    a device's first slot and behind its last count from ``start`` to before ``end``; by default these are the first and
+    last slot of all devices.
 
-def missing_slots(events: DataFrame, step_minutes: int = SPINE_MINUTES) -> DataFrame:
-    """Slots of the common time spine in which a device sent nothing."""
+    No slot is made up: occupied slots are compared with the one before within a device's day,
+    and days with the day before, of which there is one row per device and day.
+    """
     step = step_minutes * 60_000_000
-    ends = events.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
-    first, last = (F.lit(t).cast("timestamp_ntz") for t in ends)
-    slot = F.floor((micros(F.col("event_timestamp")) - micros(first)) / step)
-    observed = events.select("device_id", slot.alias("slot")).distinct()
-    spine = time_spine(observed.select("device_id").distinct(), first, last, step_minutes)
-    return spine.join(observed, ["device_id", "slot"], "left_anti").select("device_id", "slot_start")
-
-
-def gap_summary(events: DataFrame, step_minutes: int = SPINE_MINUTES) -> DataFrame:
-    return missing_slots(events, step_minutes).groupBy("device_id").agg(
-        F.count(F.lit(1)).alias("missing_slots"),
-        F.min("slot_start").alias("first_missing"),
-        F.max("slot_start").alias("last_missing"),
+    slot = _slot(F.col("event_timestamp"), step)
+    occupied = events.groupBy("device_id", slot.alias("slot")).agg(F.lit(1).alias("_one"))
+    day = F.floor(F.col("slot") * step / DAY_MICROS).alias("day")
+    occupied = occupied.select("device_id", day, "slot")
+    within = Window.partitionBy("device_id", "day").orderBy("slot")
+    inner = occupied.select("device_id", F.lag("slot").over(within).alias("before"), F.col("slot").alias("after"))
+    days = occupied.groupBy("device_id", "day").agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
+    by_day = Window.partitionBy("device_id").orderBy("day")
+    between = days.select("device_id", F.lag("last").over(by_day).alias("before"), F.col("first").alias("after"))
+    span = days.agg(F.struct(F.min("first").alias("low"), F.max("last").alias("high")).alias("span")).scalar()
+    low = F.col("span.low") if start is None else _slot(F.lit(start).cast("timestamp_ntz"), step)
+    high = F.col("span.high") if end is None else _slot(F.lit(end).cast("timestamp_ntz"), step) - 1
+    ends = days.groupBy("device_id").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    outer = ends.withColumn("span", span).select(
+        "device_id",
+        F.inline(
+            F.array(
+                F.struct((low - 1).alias("before"), F.col("first").alias("after")),
+                F.struct(F.col("last").alias("before"), (high + 1).alias("after")),
+            )
+        ),
+    )
+    began, ended = from_micros((F.col("before") + 1) * step), from_micros(F.col("after") * step)
+    return (
+        inner.unionByName(between)
+        .unionByName(outer)
+        .filter(F.col("after") - F.col("before") > 1)
+        .select(
+            "device_id",
+            began.alias("gap_start"),
+            ended.alias("gap_end"),
+            (F.col("after") - F.col("before") - 1).alias("missing_slots"),
+            elapsed_days(began, ended).alias("gap_days"),
+        )
     )
 
 
-def with_drift(events: DataFrame, device_id: str, days: int = DRIFT_DAYS) -> DataFrame:
-    """All readings, with one device drifting over the last ``days`` of the data.
-
-    Values are then limited to their possible ranges and the status is set again from the
-    unrounded readings of every row.
-    """
-    last = events.agg(F.max("event_timestamp")).scalar()
-    start = F.col("_start")
-    drifting = (F.col("device_id") == device_id) & (F.col("event_timestamp") >= start)
-    elapsed = F.when(drifting, elapsed_days(start, F.col("event_timestamp"))).otherwise(0.0)
-    shifted = events.withColumn("_start", last - F.expr(f"INTERVAL {int(days)} DAYS")).withColumn("_days", elapsed)
-    grown = F.col("_days")
-    moved = shifted.withColumns(
-        {
-            "queue_depth": F.col("queue_depth") + (grown * QUEUE_PER_DAY).cast("int"),
-            "active_jobs": F.col("active_jobs") + (grown * JOBS_PER_DAY).cast("int"),
-            "signal_noise_ratio": clamp(F.col("signal_noise_ratio") - grown * SNR_PER_DAY, low=0),
-            "temperature_mk": clamp(F.col("temperature_mk") + grown * TEMPERATURE_PER_DAY, low=LOWEST_TEMPERATURE),
-            "cpu_usage_pct": clamp(F.col("cpu_usage_pct"), 0, 100),
-            "memory_usage_pct": clamp(F.col("memory_usage_pct"), 0, 100),
-        }
+def gap_summary(
+    events: DataFrame,
+    step_minutes: int = SLOT_MINUTES,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    return (
+        missing_slots(events, step_minutes, start, end)
+        .groupBy("device_id")
+        .agg(
+            F.count(F.lit(1)).alias("gaps"),
+            F.sum("missing_slots").alias("missing_slots"),
+            F.min("gap_start").alias("first_gap_start"),
+            F.max("gap_end").alias("last_gap_end"),
+        )
     )
-    status = operating_status(F.col("temperature_mk"), F.col("signal_noise_ratio"), F.col("queue_depth"))
-    return moved.withColumn("system_status", status).withColumns(
-        {
-            "temperature_mk": settle(F.col("temperature_mk"), 3),
-            "cpu_usage_pct": settle(F.col("cpu_usage_pct"), 2),
-            "memory_usage_pct": settle(F.col("memory_usage_pct"), 2),
-            "signal_noise_ratio": settle(F.col("signal_noise_ratio"), 3),
-        }
-    ).select(events.columns)

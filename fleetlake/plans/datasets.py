@@ -1,7 +1,7 @@
 """The fleet's data sets derived from the benchmark tables.
 
-Each function reads whole tables and only renames and computes columns, so the work of
-every query built on it grows with the tables.
+Each function reads whole tables and keeps every row and key apart, so the work and the result of
+every query built on it grow with the tables.
 """
 
 from __future__ import annotations
@@ -19,10 +19,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def telemetry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze telemetry with untidy ids, statuses and versions, and repeated identities."""
+    """Bronze telemetry with untidy ids, statuses and versions; every eighth event was delivered again an hour later.
+
+    Half of these second copies have a status that is not valid, which drops their event. A
+    quarter of the event times are whole seconds.
+    """
+    sent = _telemetry_sent(spark, sf_dir)
+    again = sent.filter(F.col("kafka_offset") % 8 == 1).withColumns(
+        {
+            "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"),
+            "kafka_partition": F.col("kafka_partition") + 3,
+            "system_status": F.when(F.col("kafka_offset") % 16 == 1, "unknown").otherwise(F.col("system_status")),
+        }
+    )
+    return sent.unionByName(again)
+
+
+def _telemetry_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     number = F.col("event_id")
-    device = coded("DEV", F.col("user_id") % 1000, 3)
+    device = coded("DEV", F.col("user_id"), 3)
     is_v1 = number % 3 == 0
     depth = F.get_json_object("props", "$.k").cast("int")
     return e.select(
@@ -30,7 +46,7 @@ def telemetry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(number % 5 == 0, F.concat(F.lit(" "), F.lower(device), F.lit("\t")))
         .otherwise(device)
         .alias("device_id"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("event_timestamp"),
+        F.when(number % 4 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts")).cast("timestamp_ntz").alias("event_timestamp"),
         F.col("value").alias("temperature_mk"),
         (F.col("value") % 100).alias("cpu_usage_pct"),
         (F.col("value") * 2 % 100).alias("memory_usage_pct"),
@@ -83,7 +99,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         coded("JOB", number, 8).alias("job_id"),
         coded("USR", F.col("o_custkey"), 5).alias("user_id"),
-        coded("DEV", F.col("o_custkey") % 100, 3).alias("device_id"),
+        coded("DEV", F.col("o_custkey"), 3).alias("device_id"),
         F.col("o_orderdate").alias("submitted_at"),
         plus_millis(F.col("o_orderdate"), number % 480 + 20).alias("queued_at"),
         (number % 5000).alias("queue_time_ms"),
@@ -96,12 +112,13 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calibration records without their status; line items are told apart by five columns."""
+    """Calibration records without their status, one for every line item."""
     item = table(spark, sf_dir, "lineitem")
     return item.select(
         F.concat_ws(
             "-",
             coded("CAL", F.col("l_orderkey"), 8),
+            "l_linenumber",
             "l_partkey",
             "l_suppkey",
             F.to_date("l_shipdate").cast("string"),

@@ -20,12 +20,12 @@ def _trim(x: str) -> str:
 
 
 RAW = f"""
-raw AS (
+sent AS (
   SELECT
     CASE WHEN event_id % 97 = 0 THEN NULL
-         WHEN event_id % 5 = 0 THEN ' ' || lower({_code('DEV', 'user_id % 1000', 3)}) || chr(9)
-         ELSE {_code('DEV', 'user_id % 1000', 3)} END AS device_id,
-    CAST(date_trunc('hour', ts) AS TIMESTAMP) AS event_timestamp,
+         WHEN event_id % 5 = 0 THEN ' ' || lower({_code('DEV', 'user_id', 3)}) || chr(9)
+         ELSE {_code('DEV', 'user_id', 3)} END AS device_id,
+    CASE WHEN event_id % 4 = 0 THEN CAST(date_trunc('second', ts) AS TIMESTAMP) ELSE ts END AS event_timestamp,
     value AS temperature_mk,
     value % 100 AS cpu_usage_pct,
     (value * 2) % 100 AS memory_usage_pct,
@@ -40,7 +40,13 @@ raw AS (
     ts AS ingested_at,
     CAST(user_id % 3 AS INTEGER) AS kafka_partition,
     event_id AS kafka_offset
-  FROM events)"""
+  FROM events),
+raw AS (
+  SELECT * FROM sent
+  UNION ALL
+  SELECT * REPLACE (ingested_at + INTERVAL 1 HOUR AS ingested_at, kafka_partition + 3 AS kafka_partition,
+                    CASE WHEN kafka_offset % 16 = 1 THEN 'unknown' ELSE system_status END AS system_status)
+  FROM sent WHERE kafka_offset % 8 = 1)"""
 
 STD = f"""
 std AS (
@@ -94,7 +100,7 @@ devices AS (
 JOBS = f"""
 jobs AS (
   SELECT {_code('JOB', 'o_orderkey', 8)} AS job_id, {_code('USR', 'o_custkey', 5)} AS user_id,
-         {_code('DEV', 'o_custkey % 100', 3)} AS device_id, o_orderdate AS submitted_at,
+         {_code('DEV', 'o_custkey', 3)} AS device_id, o_orderdate AS submitted_at,
          o_orderdate + to_milliseconds(o_orderkey % 480 + 20) AS queued_at,
          o_orderkey % 5000 AS queue_time_ms, o_orderkey % 900 AS execution_time_ms,
          CAST(o_orderkey % 40 * 100 + 100 AS INTEGER) AS shots,
@@ -110,7 +116,7 @@ timed_jobs AS (
 _FAIL = "gate_error > 0.01 OR readout_error > 0.08 OR t1_us < 40 OR t2_us < 30"
 CALIBRATIONS = f"""
 measured AS (
-  SELECT {_code('CAL', 'l_orderkey', 8)} || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_shipdate AS DATE)
+  SELECT {_code('CAL', 'l_orderkey', 8)} || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_shipdate AS DATE)
            || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS calibration_id,
          {_code('DEV', 'l_suppkey', 3)} AS device_id, {_code('Q', 'l_linenumber', 3)} AS qubit_id,
          l_shipdate AS calibration_timestamp, l_quantity * 4 AS t1_us, l_quantity * 3 AS t2_us,
@@ -160,7 +166,8 @@ FOUND = (
     )
     + """),
 found AS (
-  SELECT 'EVT-' || upper(substr(sha256(device_id || '|' || strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') || '|'
+  SELECT 'EVT-' || upper(substr(sha256(device_id || '|' || strftime(event_timestamp, '%Y-%m-%d %H:%M:%S')
+           || CASE WHEN epoch_us(event_timestamp) % 1000000 <> 0 THEN strftime(event_timestamp, '.%f') ELSE '' END || '|'
            || incident_type), 1, 24)) AS event_key, *
   FROM fired),
 incidents AS (
@@ -336,31 +343,20 @@ _CURRENT = (
   SELECT *, TIMESTAMP '2024-01-16' FROM old_gold WHERE device_id NOT IN (SELECT device_id FROM new_gold))""",
 )
 
-_SPINE = (
+_GAPS = (
     *_S,
-    """span AS (SELECT min(event_timestamp) AS low, max(event_timestamp) AS high FROM silver),
-spine AS (SELECT unnest(generate_series(low, high, INTERVAL 1 HOUR)) AS slot_start FROM span),
+    """slots AS (SELECT DISTINCT device_id, epoch_us(event_timestamp) // 3600000000 AS slot FROM silver),
+span AS (SELECT min(slot) AS low, max(slot) AS high FROM slots),
+edges AS (
+  SELECT device_id, lag(slot) OVER (PARTITION BY device_id ORDER BY slot) AS before, slot AS after FROM slots
+  UNION ALL SELECT device_id, max(slot), (SELECT high + 1 FROM span) FROM slots GROUP BY device_id),
 gaps AS (
-  SELECT device_id, slot_start FROM (SELECT DISTINCT device_id FROM silver) d, spine
-  WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.device_id = d.device_id AND s.event_timestamp = slot_start))""",
+  SELECT device_id, make_timestamp((coalesce(before, (SELECT low - 1 FROM span)) + 1) * 3600000000) AS gap_start,
+         make_timestamp(after * 3600000000) AS gap_end,
+         after - coalesce(before, (SELECT low - 1 FROM span)) - 1 AS missing_slots
+  FROM edges WHERE after - coalesce(before, (SELECT low - 1 FROM span)) > 1)""",
 )
 
-_DRIFT = """
-cut AS (SELECT max(event_timestamp) - INTERVAL 10 DAY AS start FROM silver),
-shifted AS (
-  SELECT silver.*, CASE WHEN device_id = 'DEV002' AND event_timestamp >= start
-                        THEN (epoch_us(event_timestamp) - epoch_us(start)) / 86400000000e0 ELSE 0e0 END AS days
-  FROM silver, cut),
-moved AS (
-  SELECT * REPLACE (
-    CAST(queue_depth + CAST(floor(days * 6) AS INTEGER) AS INTEGER) AS queue_depth,
-    CAST(active_jobs + CAST(floor(days * 2) AS INTEGER) AS INTEGER) AS active_jobs,
-    greatest(signal_noise_ratio - days * 1.2e0, 0e0) AS signal_noise_ratio,
-    greatest(temperature_mk + days * (0.35e0 + 0.12e0), 5e0) AS temperature_mk,
-    least(greatest(cpu_usage_pct, 0e0), 100e0) AS cpu_usage_pct,
-    least(greatest(memory_usage_pct, 0e0), 100e0) AS memory_usage_pct)
-  FROM shifted)"""
-
 ORACLE_SQL: dict[str, str] = {
     # Silver
     "clean_silver": _with(*_S) + f"SELECT {_TELEMETRY} FROM silver",
@@ -452,13 +448,10 @@ LEFT JOIN (
     "status_classify_v2": _with(RAW) + f"SELECT kafka_offset, {_operating(True)} AS status FROM raw",
     "running_uptime": _with(*_S) + """SELECT device_id, event_timestamp, 100 + 0.25e0 * row_number() OVER (
   PARTITION BY device_id ORDER BY event_timestamp) AS uptime_hours FROM silver""",
-    "time_spine_gaps": _with(*_SPINE) + "SELECT device_id, slot_start FROM gaps",
-    "gap_summary": _with(*_SPINE) + """SELECT device_id, count(*) AS missing_slots, min(slot_start) AS first_missing,
-  max(slot_start) AS last_missing FROM gaps GROUP BY device_id""",
-    "drift_adjusted": _with(*_S, _DRIFT) + f"""SELECT device_id, event_timestamp, {_r('temperature_mk', 3)} AS temperature_mk,
-  {_r('cpu_usage_pct', 2)} AS cpu_usage_pct, {_r('memory_usage_pct', 2)} AS memory_usage_pct, queue_depth, active_jobs,
-  {_r('signal_noise_ratio', 3)} AS signal_noise_ratio, cryogenic_pressure_mbar, hardware_error_rate,
-  {_operating(False)} AS system_status, kafka_partition, kafka_offset FROM moved""",
+    "time_spine_gaps": _with(*_GAPS) + """SELECT device_id, gap_start, gap_end, missing_slots,
+  (epoch_us(gap_end) - epoch_us(gap_start)) / 86400000000e0 AS gap_days FROM gaps""",
+    "gap_summary": _with(*_GAPS) + """SELECT device_id, count(*) AS gaps, CAST(sum(missing_slots) AS BIGINT) AS missing_slots,
+  min(gap_start) AS first_gap_start, max(gap_end) AS last_gap_end FROM gaps GROUP BY device_id""",
     # Calibrations and jobs
     "calibration_daily": _with(CALIBRATIONS, DAILY) + f"""SELECT device_id, date, {_r('avg_gate_error', 6)} AS avg_gate_error,
   {_r('avg_readout_error', 6)} AS avg_readout_error, {_r('avg_t1_us', 6)} AS avg_t1_us, {_r('avg_t2_us', 6)} AS avg_t2_us,
@@ -466,16 +459,6 @@ LEFT JOIN (
     "calibration_status": _with(CALIBRATIONS) + "SELECT * FROM calibrations",
     "calibration_last10": _with(CALIBRATIONS) + """SELECT device_id, qubit_id, CAST(recency AS INTEGER) AS recency, calibration_id,
   calibration_timestamp, calibration_status FROM recent""",
-    "calibration_drift": _with(CALIBRATIONS) + f"""SELECT calibration_id, device_id, qubit_id, gate_error, readout_error,
-  t1_us, t2_us, CASE WHEN {_FAIL} THEN 'FAIL' ELSE 'PASS' END AS calibration_status
-FROM (
-  SELECT calibration_id, device_id, qubit_id, {_r('gate_error * (s + 1)', 6)} AS gate_error,
-    {_r('readout_error * (1 + s * 0.8e0)', 6)} AS readout_error, {_r('t1_us * (1 - s * 0.12e0)', 3)} AS t1_us,
-    {_r('t2_us * (1 - s * 0.15e0)', 3)} AS t2_us
-  FROM (
-    SELECT calibrations.*, coalesce(factor, 1e0) - 1 AS s FROM calibrations LEFT JOIN (
-      SELECT calibration_id, 1 + 5 * (count(*) OVER () - recency) / (count(*) OVER () - 1) AS factor
-      FROM recent WHERE device_id = 'DEV002' AND qubit_id = 'Q003') USING (calibration_id)))""",
     "distinct_counts": _with(CALIBRATIONS) + """SELECT count(*) AS records, count(DISTINCT device_id) AS devices,
   count(DISTINCT (device_id, qubit_id)) AS device_qubits FROM measured""",
     "job_failure_rate": _with(JOBS, RATES) + "SELECT * FROM rates",
@@ -484,11 +467,9 @@ FROM (
     "job_timeline": _with(JOBS) + "SELECT job_id, submitted_at, queued_at, started_at, completed_at FROM timed_jobs",
     "job_failure_probability": _with(JOBS, CALIBRATIONS, DAILY) + f"""SELECT job_id, device_id, submitted_at,
   {_r('''CASE WHEN failed_calibrations IS NULL THEN 0.03e0 ELSE least(greatest(
-    0.03e0 + avg_gate_error * 3 + avg_readout_error * 0.4e0 + failed_calibrations * 0.005e0
-    + CASE WHEN device_id = 'DEV002' AND job_date >= start THEN (job_date - start) * 0.018e0 ELSE 0e0 END,
+    0.03e0 + avg_gate_error * 3 + avg_readout_error * 0.4e0 + failed_calibrations * 0.005e0,
     0.01e0), 0.35e0) END''', 6)} AS failure_probability
-FROM (SELECT jobs.*, CAST(submitted_at AS DATE) AS job_date,
-             (SELECT CAST(max(calibration_timestamp) AS DATE) - 365 FROM calibrations) AS start FROM jobs)
+FROM (SELECT jobs.*, CAST(submitted_at AS DATE) AS job_date FROM jobs)
 LEFT JOIN (SELECT device_id, date AS job_date, avg_gate_error, avg_readout_error, failed_calibrations FROM daily)
   USING (device_id, job_date)""",
     "fk_violations": _with(*_S, DEVICES, JOBS, CALIBRATIONS) + """SELECT DISTINCT dataset, device_id FROM (

@@ -35,7 +35,6 @@ AS_OF = datetime(2024, 1, 31, 12)
 RESOLVED_BEFORE = datetime(2024, 1, 5)
 SLOT_MINUTES = 60
 TARGET_DEVICE, TARGET_QUBIT = "DEV002", "Q003"
-DRIFT_WINDOW_DAYS = 365
 
 Query = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Query] = {}
@@ -365,7 +364,7 @@ def status_classify_v2(spark, sf):
 
 @report
 def running_uptime(spark, sf):
-    total = series.uptime_hours(_silver(spark, sf), 100.0, sample=_raw(spark, sf))
+    total = series.uptime_hours(_silver(spark, sf), 100.0)
     return total.select("device_id", "event_timestamp", "uptime_hours")
 
 
@@ -379,11 +378,6 @@ def gap_summary(spark, sf):
     return series.gap_summary(_silver(spark, sf), SLOT_MINUTES)
 
 
-@report
-def drift_adjusted(spark, sf):
-    return series.with_drift(_silver(spark, sf), TARGET_DEVICE).drop("ingested_at", "schema_version")
-
-
 # Calibrations and jobs ---------------------------------------------------------------
 
 
@@ -406,13 +400,6 @@ def calibration_last10(spark, sf):
     )
 
 
-@report
-def calibration_drift(spark, sf):
-    return calibration.with_drift(_calibrations(spark, sf), TARGET_DEVICE, TARGET_QUBIT).select(
-        "calibration_id", "device_id", "qubit_id", "gate_error", "readout_error", "t1_us", "t2_us", "calibration_status"
-    )
-
-
 @report
 def distinct_counts(spark, sf):
     return calibration.distinct_counts(datasets.calibrations(spark, sf))
@@ -437,9 +424,7 @@ def job_timeline(spark, sf):
 
 @report
 def job_failure_probability(spark, sf):
-    scored = jobs.failure_probability(
-        datasets.jobs(spark, sf), _calibrations(spark, sf), TARGET_DEVICE, DRIFT_WINDOW_DAYS
-    )
+    scored = jobs.failure_probability(datasets.jobs(spark, sf), _calibrations(spark, sf))
     return scored.select(
         "job_id", "device_id", "submitted_at", settle(F.col("failure_probability"), 6).alias("failure_probability")
     )

@@ -35,36 +35,6 @@ def job_rows(spark, rows):
     return spark.createDataFrame(full, JOBS_CSV)
 
 
-def test_drift_follows_its_ramp(spark):
-    plain = [("DEV002", "Q017", day, 0.002, 0.02, 100, 90) for day in range(12)]
-    other = [("DEV002", "Q001", day, 0.002, 0.02, 100, 90) for day in range(3)] + [("DEV001", "Q017", 11, 0.02, 0.02, 100, 90)]
-    df = calibration.with_drift(calibrations(spark, plain + other), "DEV002", "Q017")
-    rows = {(r.device_id, r.qubit_id, (r.calibration_timestamp - DAY).days): r for r in df.collect()}
-    assert len(rows) == 16
-    for day in range(12):
-        s = 1 + 5 * (day - 2) / 9 if day >= 2 else 1
-        r = rows["DEV002", "Q017", day]
-        assert r.gate_error == pytest.approx(0.002 * s, abs=1e-6)
-        assert r.readout_error == pytest.approx(0.02 * (1 + 0.8 * (s - 1)), abs=1e-6)
-        assert r.t1_us == pytest.approx(100 * (1 - 0.12 * (s - 1)), abs=1e-3)
-        assert r.t2_us == pytest.approx(90 * (1 - 0.15 * (s - 1)), abs=1e-3)
-        failing = r.gate_error > 0.01 or r.readout_error > 0.08 or r.t1_us < 40 or r.t2_us < 30
-        assert r.calibration_status == ("FAIL" if failing else "PASS")
-    assert rows["DEV002", "Q017", 11].calibration_status == "FAIL"
-    assert rows["DEV002", "Q001", 2].gate_error == 0.002
-    assert rows["DEV001", "Q017", 11].calibration_status == "FAIL"
-
-
-def test_drift_of_a_single_or_no_record(spark):
-    one = calibrations(spark, [("DEV002", "Q017", 0, 0.002, 0.02, 100, 90)])
-    assert calibration.with_drift(one, "DEV002", "Q017").first().gate_error == 0.002
-    odd = one.withColumn("gate_error", F.lit(0.0123456789))
-    untouched = calibration.with_drift(odd, "DEV002", "Q099").first()
-    assert (untouched.gate_error, untouched.calibration_status) == (0.0123456789, "PASS")
-    changed = calibration.with_drift(odd, "DEV002", "Q017").first()
-    assert (changed.gate_error, changed.calibration_status) == (0.012346, "FAIL")
-
-
 def test_latest_records(spark):
     rows = [("DEV001", "Q001", day, 0.0, 0.0, 1, 1) for day in range(15)] + [("DEV001", "Q002", 3, 0.0, 0.0, 1, 1)]
     latest = calibration.latest_records(calibrations(spark, rows), 4).collect()
@@ -95,7 +65,7 @@ def test_failure_probability(spark):
     got = {r.job_id: r.failure_probability for r in jobs.failure_probability(df, history).collect()}
     assert got["JOB00000000"] == pytest.approx(0.03 + 0.003 * 3 + 0.02 * 0.4 + 0.005)
     assert got["JOB00000001"] == pytest.approx(0.03 + 0.002 * 3 + 0.02 * 0.4)
-    assert got["JOB00000002"] == pytest.approx(0.03 + 0.002 * 3 + 0.02 * 0.4 + 9 * 0.018)
+    assert got["JOB00000002"] == pytest.approx(0.03 + 0.002 * 3 + 0.02 * 0.4)
     assert got["JOB00000003"] == 0.35
     assert got["JOB00000004"] == 0.03
 
@@ -131,22 +101,11 @@ def test_running_total_against_brute_force(spark):
     for device, t, n in sorted(rows):
         sums[device] += n
         expected[device, t] = sums[device]
-    for slices in (1, 4, 37):
-        got = series.running_total(df, F.col("n"), "total", slices=slices).collect()
-        assert {(r.device_id, r.event_timestamp): r.total for r in got} == expected
+    got = series.running_total(df, F.col("n"), "total").collect()
+    assert {(r.device_id, r.event_timestamp): r.total for r in got} == expected
     assert series.running_total(df.limit(0), F.col("n"), "total").count() == 0
 
 
-def test_time_slices_split_a_dominant_device(spark):
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("D"), F.col("id"))).alias("device_id"),
-        (F.lit(NOON).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("event_timestamp"),
-    )
-    sliced = series.with_time_slice(df, "event_timestamp", 10)
-    largest = sliced.groupBy("device_id", "_slice").count().agg(F.max("count")).first()[0]
-    assert largest <= 3000 / 10 * 2 / 3 + 1
-
-
 def test_uptime(spark):
     df = telemetry(spark, {"event_timestamp": at(15)}, {}, {"event_timestamp": at(30)}, {"device_id": "DEV002"})
     got = {(r.device_id, r.event_timestamp): r.uptime_hours for r in series.uptime_hours(df, 100).collect()}
@@ -158,42 +117,31 @@ def test_uptime(spark):
     }
 
 
-def test_spine_includes_both_ends(spark):
-    devices = spark.createDataFrame([("A",), ("B",)], "device_id string")
-    start, end = (F.lit(t).cast("timestamp_ntz") for t in (NOON, NOON + timedelta(days=90)))
-    spine = series.time_spine(devices, start, end)
-    assert spine.count() == spine.select("device_id", "slot").distinct().count() == 2 * (90 * 96 + 1)
-    ends = spine.agg(F.min("slot_start"), F.max("slot_start"), F.max("slot")).first()
-    assert tuple(ends) == (NOON, NOON + timedelta(days=90), 90 * 96)
-    assert series.time_spine(devices, start, start).count() == 2
-
-
 def test_gaps(spark):
     df = telemetry(spark, {}, {"event_timestamp": at(31)}, {"event_timestamp": at(45)}, {"device_id": "DEV002", "event_timestamp": at(15)})
-    missing = sorted((r.device_id, r.slot_start) for r in series.missing_slots(df).collect())
-    assert missing == [("DEV001", at(15)), ("DEV002", NOON), ("DEV002", at(30)), ("DEV002", at(45))]
-    summary = {r.device_id: (r.missing_slots, r.first_missing, r.last_missing) for r in series.gap_summary(df).collect()}
-    assert summary == {"DEV001": (1, at(15), at(15)), "DEV002": (3, NOON, at(45))}
-
-
-def test_drift_scenario(spark):
-    day = 24 * 60
-    base = {"device_id": "DEV002", "temperature_mk": 20.0, "signal_noise_ratio": 30.0}
-    df = telemetry(
-        spark,
-        {**base, "event_timestamp": at(-10 * day)},
-        {**base, "event_timestamp": at(-10 * day - 1)},
-        {**base, "event_timestamp": at(-5 * day)},
-        {**base},
-        {"temperature_mk": 2.0, "cpu_usage_pct": 130.0, "event_timestamp": at(-1)},
-    )
-    rows = {r.kafka_offset: r for r in series.with_drift(df, "DEV002").collect()}
-    assert [rows[i].temperature_mk for i in range(5)] == [20.0, 20.0, 22.35, 24.7, 5.0]
-    assert [rows[i].queue_depth for i in range(4)] == [30, 30, 60, 90]
-    assert [rows[i].active_jobs for i in range(4)] == [10, 10, 20, 30]
-    assert [rows[i].signal_noise_ratio for i in range(4)] == [30, 30, 24, 18]
-    assert [rows[i].system_status for i in range(5)] == ["HEALTHY", "HEALTHY", "DEGRADED", "DEGRADED", "HEALTHY"]
-    assert rows[4].cpu_usage_pct == 100
+    gaps = sorted((r.device_id, r.gap_start, r.gap_end, r.missing_slots) for r in series.missing_slots(df).collect())
+    assert gaps == [("DEV001", at(15), at(30), 1), ("DEV002", NOON, at(15), 1), ("DEV002", at(30), at(60), 2)]
+    summary = {r.device_id: (r.gaps, r.missing_slots, r.first_gap_start, r.last_gap_end) for r in series.gap_summary(df).collect()}
+    assert summary == {"DEV001": (1, 1, at(15), at(30)), "DEV002": (2, 3, NOON, at(60))}
+    ranged = series.missing_slots(df.filter("device_id = 'DEV002'"), 15, at(-30), at(120)).collect()
+    assert sorted((r.gap_start, r.gap_end) for r in ranged) == [(at(-30), at(15)), (at(30), at(120))]
+    assert series.missing_slots(df.limit(0)).collect() == []
+
+
+def test_a_stray_date_is_one_gap(spark):
+    df = telemetry(spark, {}, {"event_timestamp": at(15)}, {"event_timestamp": datetime(2126, 1, 1)})
+    (gap,) = series.missing_slots(df).collect()
+    assert (gap.gap_start, gap.gap_end) == (at(30), datetime(2126, 1, 1)) and gap.gap_days == pytest.approx(gap.missing_slots / 96)
+
+
+def test_gaps_against_brute_force(spark):
+    rng = random.Random(7)
+    rows = [{"device_id": f"DEV{rng.randrange(4):03d}", "event_timestamp": at(rng.randrange(5_000))} for _ in range(60)]
+    slots = {(r["device_id"], int((r["event_timestamp"] - NOON).total_seconds()) // 900) for r in rows}
+    low, high = min(x for _, x in slots), max(x for _, x in slots)
+    empty = {(d, x) for d in {d for d, _ in slots} for x in range(low, high + 1)} - slots
+    gaps = series.missing_slots(telemetry(spark, *rows)).collect()
+    assert sorted((r.device_id, int((r.gap_start - NOON).total_seconds()) // 900 + i) for r in gaps for i in range(r.missing_slots)) == sorted(empty)
 
 
 def test_profile_counts_null(spark):
@@ -214,8 +162,8 @@ def test_profile_counts_null(spark):
 
 
 def test_incident_assertions(spark):
-    history = calibration.with_drift(
-        calibrations(spark, [("DEV002", "Q017", day, 0.002, 0.02, 100, 90) for day in range(12)]), "DEV002", "Q017"
+    history = calibration.with_status(
+        calibrations(spark, [("DEV002", "Q017", day, 0.002 * day, 0.02, 100, 90) for day in range(12)])
     )
     work = job_rows(spark, [("DEV001", 0, "SUCCESS"), ("DEV002", 0, "FAILED")])
     events = telemetry(spark, {}, {"device_id": "DEV002", "system_status": "DEGRADED"}, {"device_id": "DEV002", "system_status": "CRITICAL"})

@@ -149,7 +149,7 @@ def test_hot_device_day_is_split_in_the_job_join(spark, no_broadcast):
         F.lit(day).cast("timestamp_ntz").alias("submitted_at"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in JOBS_CSV.fields[4:]],
     )
-    scored = jobs.failure_probability(work.repartition(8), history, "NONE")
+    scored = jobs.failure_probability(work.repartition(8), history)
     assert scored.groupBy().agg(F.count("*"), F.count_distinct("job_id")).first() == (30_000, 30_000)
     scored.collect()
     assert "skew=true" in plan(scored)
@@ -166,12 +166,6 @@ def test_hot_position_is_split_when_its_rows_are_fetched(spark, no_broadcast):
     assert "skew=true" in plan(rows)
 
 
-def test_drift_broadcasts_its_few_records_only(spark):
-    history = spark.createDataFrame([("C", "DEV002", "Q", NOON, 50.0, 50.0, 0.001, 0.001, 5.0, "PASS")], CALIBRATIONS_CSV)
-    text = plan(calibration.with_drift(history, "DEV002", "Q"))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-
-
 def test_latest_records_are_limited_before_the_shuffle(spark):
     history = spark.createDataFrame([("C", "DEV002", "Q", NOON, 50.0, 50.0, 0.001, 0.001, 5.0, "PASS")], CALIBRATIONS_CSV)
     assert re.search(r"Final.*Exchange hash.*Partial", plan(calibration.latest_records(history)), re.S)
@@ -207,8 +201,23 @@ def test_scratch_is_below_the_shared_folder(spark):
 
 
 def test_derived_tables_keep_every_row(spark):
-    for name, source in (("telemetry_raw", "events"), ("jobs", "orders"), ("calibrations", "lineitem"), ("statements", "conversations")):
+    for name, source in (("jobs", "orders"), ("calibrations", "lineitem"), ("statements", "conversations")):
         assert getattr(datasets, name)(spark, SF_DIR).count() == datasets.table(spark, SF_DIR, source).count()
+    ids = datasets.calibrations(spark, SF_DIR).select("calibration_id")
+    assert ids.distinct().count() == ids.count()
+
+
+@pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.01"])
+def test_silver_grows_with_the_events(spark, sf_dir):
+    """One row for each user and event time whose last copy has a valid status; nothing is folded."""
+    events = datasets.table(spark, sf_dir, "events")
+    raw = datasets.telemetry_raw(spark, sf_dir)
+    assert raw.count() == events.count() + events.filter("event_id % 8 = 1").count()
+    kept = events.filter("event_id % 97 <> 0 AND event_id % 16 <> 1 AND event_type IN ('view', 'click', 'purchase', 'error')")
+    time = F.when(F.col("event_id") % 4 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts"))
+    silver = cleaning.clean(raw)
+    assert silver.count() == kept.select("user_id", time).distinct().count() > 0.5 * events.count()
+    assert silver.select("device_id").distinct().count() == kept.select("user_id").distinct().count()
 
 
 def test_stale_data_is_relative_to_the_given_time(spark):
