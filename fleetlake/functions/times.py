@@ -6,16 +6,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Spark's cast alone would also take a bare year, or a bare time as a time of today.
-ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}(:\d{2})?)?)?\z"
+# The extended and the basic form. Spark's cast alone would also take a bare year, or a bare time as a time of today.
+_ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)?"
+_FRACTION = r"([.,]\d+)?"
+ISO_TEXT = (
+    rf"^(\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\d{{2}}(:\d{{2}}{_FRACTION})?{_ZONE})?"
+    rf"|\d{{8}}(T\d{{4}}(\d{{2}}{_FRACTION})?{_ZONE})?)\z"
+)
+
+
+# Date, time, and seconds that the basic form leaves out.
+_TO_EXTENDED = (
+    (r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+    (r"T(\d{2})(\d{2})(\d{2})?", "T$1:$2:$3"),
+    (r":(?=$|[Z+-])", ":00"),
+)
 
 
 def naive_utc(text: Column) -> Column:
     """ISO-8601 text to a naive UTC timestamp; NULL where it does not parse.
 
-    A text with an offset is shifted to UTC, one without is taken as it is.
+    A text with an offset is shifted to UTC, one without is taken as it is. Digits of a second
+    beyond the sixth are cut off.
     """
-    return F.when(text.rlike(ISO_TEXT), text.try_cast("timestamp").cast("timestamp_ntz"))
+    extended = text
+    for pattern, plain in _TO_EXTENDED:
+        extended = F.regexp_replace(extended, pattern, plain)
+    spelled = F.when(text.rlike(r"^\d{8}"), extended).otherwise(text)
+    spelled = F.regexp_replace(F.regexp_replace(spelled, r"[.,](\d{1,6})\d*", ".$1"), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(text.rlike(ISO_TEXT), spelled.try_cast("timestamp").cast("timestamp_ntz"))
 
 
 def micros(ts: Column) -> Column:

@@ -21,8 +21,8 @@ IDENTITY = ("event_timestamp", "device_id")
 # Later copies win; the lineage columns make the order total.
 ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset")
 
-# How many dates a condition lists one by one.
-MANY_DATES = 1000
+# Before every date that a text with a four-digit year can name.
+FIRST_DATE = "0000-01-01"
 
 
 def _has_required() -> Column:
@@ -69,31 +69,33 @@ def clean(bronze: DataFrame) -> DataFrame:
     return latest_copies(complete).filter(F.col("system_status").isin(*VALID_STATUSES))
 
 
-def date_filter(df: DataFrame, column: str = "event_timestamp") -> Column | None:
-    """A condition on ``event_date`` that all events of ``df`` meet; None without events.
+def touched_dates(df: DataFrame, column: str = "event_timestamp") -> DataFrame:
+    """The distinct dates of the events of ``df``, as ``event_date``."""
+    day = F.col(EVENT_DATE) if EVENT_DATE in df.columns else F.to_date(F.col(column).try_cast("timestamp_ntz"))
+    return df.select(day.alias(EVENT_DATE)).filter(F.col(EVENT_DATE).isNotNull()).distinct()
 
-    It lists the dates, so that one stray timestamp does not widen what is read; when there
-    are very many dates it falls back to their range. Only dates reach the driver.
+
+def on_dates(table: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """The rows of an event table on the given dates; all without dates, or without date partitions.
+
+    The semi-join prunes partitions when the query runs, so one stray date reads one partition
+    more, and no date reaches the driver. There are fewer than four million calendar dates, so
+    the broadcast is bounded whatever the data. The condition on the first date holds always; it
+    tells the optimizer that the dates select.
     """
-    day = F.to_date(F.col(column).try_cast("timestamp_ntz")) if EVENT_DATE not in df.columns else F.col(EVENT_DATE)
-    days = df.select(day.alias("day")).filter(F.col("day").isNotNull())
-    listed = [row.day for row in days.distinct().limit(MANY_DATES + 1).collect()]
-    if not listed:
-        return None
-    if len(listed) <= MANY_DATES:
-        return F.col(EVENT_DATE).isin(listed)
-    return F.col(EVENT_DATE).between(*days.agg(F.min("day"), F.max("day")).first())
+    if dates is None or EVENT_DATE not in table.columns:
+        return table
+    some = F.broadcast(dates.filter(F.col(EVENT_DATE) >= F.lit(FIRST_DATE).cast("date")))
+    return table.join(some, EVENT_DATE, "left_semi").select(table.columns)
 
 
-def unseen(events: DataFrame, silver: DataFrame, dates: Column | None = None) -> DataFrame:
+def unseen(events: DataFrame, silver: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Events whose identity is not in silver yet.
 
-    With ``dates`` (see :func:`date_filter`) the silver side is cut to the batch's date
+    With ``dates`` (see :func:`touched_dates`) the silver side is cut to the batch's date
     partitions, so an incremental run reads as much of silver as its batch touches.
     """
-    if dates is not None and EVENT_DATE in silver.columns:
-        silver = silver.filter(dates)
-    seen = silver.select(
+    seen = on_dates(silver, dates).select(
         upper_stripped(F.col("device_id")).alias("device_id"),
         F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),
     )
@@ -103,26 +105,28 @@ def unseen(events: DataFrame, silver: DataFrame, dates: Column | None = None) ->
 def cleaning_funnel(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """How many rows each cleaning step removes, as one row.
 
-    Rows are first reduced to one per identity; all counters come from that single
-    grouping, and the comparison with silver reuses its partitioning.
+    One pass counts the rows, another one takes the last copy of each identity, limited before the
+    shuffle, and compares it with silver in the same partitioning.
     """
-    arrival = F.struct(*[F.col(c) for c in ARRIVAL_ORDER])
-    per_event = (
-        standardize(bronze.withColumn("_complete", _has_required()))
-        .groupBy(*[F.when(F.col("_complete"), F.col(c)).alias(c) for c in IDENTITY])
-        .agg(F.count(F.lit(1)).alias("copies"), F.max_by("system_status", arrival).alias("last_status"))
-    )
-    complete = F.col("device_id").isNotNull()
+    received, missing = F.count(F.lit(1)).alias("received"), F.count_if(~_has_required()).alias("missing_required")
+    rows = bronze.agg(F.struct(received, missing).alias("rows"))
     seen = silver.select(*IDENTITY, F.lit(True).alias("_seen"))
-    valid = complete & F.coalesce(F.col("last_status").isin(*VALID_STATUSES), F.lit(False))
+    valid = F.coalesce(F.col("system_status").isin(*VALID_STATUSES), F.lit(False))
     in_silver = F.coalesce(F.col("_seen"), F.lit(False))
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return per_event.join(seen, list(IDENTITY), "left").agg(
-        total("copies").alias("received"),
-        total(F.when(~complete, F.col("copies"))).alias("missing_required"),
-        total(F.when(complete, F.col("copies") - 1)).alias("duplicates"),
-        F.count_if(complete & ~valid).alias("invalid_status"),
+    last = latest_copies(standardize(bronze.filter(_has_required()))).select(*IDENTITY, "system_status")
+    events = last.join(seen, list(IDENTITY), "left").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(~valid).alias("invalid_status"),
         F.count_if(valid).alias("available"),
         F.count_if(valid & in_silver).alias("already_processed"),
         F.count_if(valid & ~in_silver).alias("new_events"),
     )
+    return events.withColumn("rows", rows.scalar()).select(
+        "rows.received",
+        "rows.missing_required",
+        (F.col("rows.received") - F.col("rows.missing_required") - F.col("events")).alias("duplicates"),
+        "invalid_status",
+        "available",
+        "already_processed",
+        "new_events",
+    )

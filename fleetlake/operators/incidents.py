@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 from fleetlake.functions.rules import severity_rank
 from fleetlake.functions.text import upper_stripped
 from fleetlake.functions.times import key_text
+from fleetlake.operators.cleaning import on_dates
 from fleetlake.operators.health import health_report
-from fleetlake.schemas import EVENT_DATE
 
 # Alarm thresholds. They differ from the limits that set a device's status.
 TEMPERATURE_ABOVE = 18.0
@@ -93,16 +93,15 @@ def detect(events: DataFrame) -> DataFrame:
     )
 
 
-def absent(found: DataFrame, existing: DataFrame, dates: Column | None = None) -> DataFrame:
+def absent(found: DataFrame, existing: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """One row per event key that the incident table does not hold yet.
 
-    A key contains its event's time, so ``dates`` can cut the table to the dates of the batch.
+    A key contains its event's time, so ``dates`` (see ``touched_dates``) cuts the table to the dates of the
+    batch. Choosing one row per key reuses the join's partitioning.
     """
-    if dates is not None and EVENT_DATE in existing.columns:
-        existing = existing.filter(dates)
+    new_ones = found.join(on_dates(existing, dates).select("event_key"), "event_key", "left_anti")
     one = Window.partitionBy("event_key").orderBy("severity", "description")
-    unique = found.withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n")
-    return unique.join(existing.select("event_key"), "event_key", "left_anti")
+    return new_ones.withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n").select(found.columns)
 
 
 def opened(found: DataFrame, detected_at: datetime) -> DataFrame:

@@ -17,8 +17,8 @@ def value_counts(df: DataFrame, column: str, with_null: bool = False) -> DataFra
 
 def status_crosstab(events: DataFrame) -> DataFrame:
     """Events by device (rows) and status (columns), zero where there are none."""
-    counted = events.groupBy("device_id").pivot("system_status", list(VALID_STATUSES)).count()
-    return counted.na.fill(0).select("device_id", *[F.col(s).alias(s.lower()) for s in VALID_STATUSES])
+    counts = [F.count_if(F.col("system_status") == s).alias(s.lower()) for s in VALID_STATUSES]
+    return events.groupBy("device_id").agg(*counts)
 
 
 def profile(df: DataFrame, columns: tuple[str, ...] = ("schema_version", "system_status", "device_id")) -> DataFrame:

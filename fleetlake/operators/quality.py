@@ -8,7 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from fleetlake.functions.numbers import no_nan
 from fleetlake.functions.rules import VALID_STATUSES
 from fleetlake.functions.text import upper_stripped
 from fleetlake.operators.cleaning import IDENTITY, REQUIRED
@@ -29,7 +31,7 @@ RANGES = {
 MISSING_COLUMNS = "Missing required columns: %s"
 NULL_VALUES = "%s contains %d NULL values."
 OUTSIDE_RANGE = "%s has %d values outside [%d, %d]."
-INVALID_STATUS = "system_status has %d invalid values."
+INVALID_STATUS = "system_status has %d invalid values: %s."
 SURPLUS_EVENTS = "Found %d duplicate telemetry events based on device_id + event_timestamp."
 NO_ROWS = "Telemetry dataset is empty."
 NO_TIMES = "No valid event timestamps found."
@@ -49,9 +51,12 @@ def _bad_status(status: Column) -> Column:
     return ~upper_stripped(status).isin(*VALID_STATUSES)
 
 
-def _out_of_range(name: str) -> Column:
+def _out_of_range(df: DataFrame, name: str) -> Column:
+    """NULL and NaN are missing, not out of range."""
     low, high = RANGES[name]
-    return ~F.col(name).between(low, high)
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    value = no_nan(F.col(name)) if floating else F.col(name)
+    return ~value.between(low, high)
 
 
 def _entry(check: str, subject: str, violations: Column, message: Column) -> Column:
@@ -85,21 +90,41 @@ def invalid_statuses(df: DataFrame) -> DataFrame:
 def quality_report(df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> DataFrame:
     """All checks as rows ``(check_name, subject, violations, passed, message)``.
 
-    Everything but uniqueness comes out of one aggregate over the needed columns;
-    uniqueness takes one shuffle on the event identity.
+    One pass counts everything per event identity, pre-aggregated before its one shuffle, and adds
+    the counts up; the message on statuses names them in order, from a second pass over that column.
     """
-    present = set(df.columns)
-    missing = [c for c in REQUIRED if c not in present]
-    ranged = [c for c in RANGES if c in present]
-    required = [c for c in REQUIRED if c in present]
+    return report_of(quality_measures(df), df, as_of, max_age_hours)
 
-    measures = [F.count(F.lit(1)).alias("rows")]
-    measures += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]
-    measures += [F.count_if(_out_of_range(c)).alias(f"range_{c}") for c in ranged]
+
+def quality_measures(df: DataFrame) -> DataFrame:
+    """What the checks count, as one row: all rows, surplus copies, missing and unfit values, the latest event."""
+    present = set(df.columns)
+    counted = {f"null_{c}": F.col(c).isNull() for c in REQUIRED if c in present}
+    counted |= {f"range_{c}": _out_of_range(df, c) for c in RANGES if c in present}
     if "system_status" in present:
-        measures.append(F.count_if(_bad_status(F.col("system_status"))).alias("bad_status"))
+        counted["bad_status"] = _bad_status(F.col("system_status"))
+    measures = [F.count(F.lit(1)).alias("rows"), *[F.count_if(v).alias(k) for k, v in counted.items()]]
+    totals = [F.sum(c) for c in ("rows", *counted)]
     if "event_timestamp" in present:
         measures.append(F.max(F.col("event_timestamp").try_cast("timestamp_ntz")).alias("latest"))
+    keys = []
+    if set(IDENTITY) <= present:
+        keys = [
+            upper_stripped(F.col("device_id")).alias("_device"),
+            F.col("event_timestamp").try_cast("timestamp_ntz").alias("_time"),
+        ]
+    totals = [F.coalesce(t, F.lit(0)).alias(c) for t, c in zip(totals, ("rows", *counted), strict=True)]
+    surplus = F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("surplus")
+    latest = [F.max("latest").alias("latest")] if "event_timestamp" in present else []
+    return df.groupBy(*keys).agg(*measures).agg(*totals, surplus, *latest)
+
+
+def report_of(measured: DataFrame, df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> DataFrame:
+    """The checks on ``df`` from its :func:`quality_measures`."""
+    present = set(df.columns)
+    missing = [c for c in REQUIRED if c not in present]
+    ranged = [c for c in RANGES if c in present]
+    required = [c for c in REQUIRED if c in present]
 
     rows = [_entry("required_columns", "", F.lit(len(missing)), F.lit(MISSING_COLUMNS % missing))]
     for c in required:
@@ -110,7 +135,9 @@ def quality_report(df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> D
         rows.append(_entry("ranges", c, n, F.format_string(OUTSIDE_RANGE, F.lit(c), n, *map(F.lit, RANGES[c]))))
     if "system_status" in present:
         n = F.col("bad_status")
-        rows.append(_entry("status_values", "system_status", n, F.format_string(INVALID_STATUS, n)))
+        named = invalid_statuses(df).agg(F.array_join(F.array_sort(F.collect_list("system_status")), ", ").alias("named"))
+        measured = measured.withColumn("named", named.scalar())
+        rows.append(_entry("status_values", "system_status", n, F.format_string(INVALID_STATUS, n, F.col("named"))))
     if "event_timestamp" in present:
         oldest = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(max_age_hours)} HOURS")
         stale = F.coalesce(F.col("latest") < oldest, F.lit(True))
@@ -120,20 +147,10 @@ def quality_report(df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> D
             .otherwise(F.format_string(STALE, F.col("latest").cast("string")))
         )
         rows.append(_entry("freshness", "event_timestamp", stale.cast("long"), why))
-    report = df.agg(*measures).select(F.inline(F.array(*rows)))
-
     if set(IDENTITY) <= present:
-        keys = df.select(
-            upper_stripped(F.col("device_id")).alias("device_id"),
-            F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),
-        )
         n = F.col("surplus")
-        text = F.format_string(SURPLUS_EVENTS, n)
-        unique = surplus_copies(keys).select(
-            F.inline(F.array(_entry("uniqueness", "device_id + event_timestamp", n, text)))
-        )
-        report = report.unionByName(unique)
-    return report
+        rows.append(_entry("uniqueness", "device_id + event_timestamp", n, F.format_string(SURPLUS_EVENTS, n)))
+    return measured.select(F.inline(F.array(*rows)))
 
 
 def check_summary(report: DataFrame) -> DataFrame:
@@ -158,21 +175,21 @@ def gate(report: DataFrame, fail_on: Collection[str] = CHECKS) -> None:
         raise QualityError(f"bronze telemetry failed {len(messages)} quality checks: " + " ".join(messages))
 
 
-def _row_rules(columns: Collection[str]) -> dict[str, Column]:
+def _row_rules(df: DataFrame) -> dict[str, Column]:
     """The rules that one row can break by itself; NULL counts as kept."""
     rules = {f"not_null:{c}": F.col(c).isNull() for c in REQUIRED}
-    rules |= {f"range:{c}": _out_of_range(c) for c in RANGES if c in columns}
+    rules |= {f"range:{c}": _out_of_range(df, c) for c in RANGES if c in df.columns}
     rules["status_values:system_status"] = _bad_status(F.col("system_status"))
     return rules
 
 
 def with_violations(df: DataFrame) -> DataFrame:
     """Add ``violations``: the names of the row rules each row breaks."""
-    broken = [F.when(condition, F.lit(name)) for name, condition in _row_rules(df.columns).items()]
+    broken = [F.when(condition, F.lit(name)) for name, condition in _row_rules(df).items()]
     return df.withColumn("violations", F.array_compact(F.array(*broken)))
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantined rows with their violations)."""
-    bad = F.coalesce(reduce(Column.__or__, _row_rules(df.columns).values()), F.lit(False))
+    bad = F.coalesce(reduce(Column.__or__, _row_rules(df).values()), F.lit(False))
     return df.filter(~bad), with_violations(df.filter(bad))

@@ -113,6 +113,14 @@ timed_jobs AS (
          queued_at + to_milliseconds(queue_time_ms) + to_milliseconds(execution_time_ms) AS completed_at
   FROM jobs)"""
 
+JOB_TOPIC = """
+job_topic AS (
+  SELECT *, CAST(substr(job_id, 4) AS BIGINT) AS kafka_offset, job_id LIKE '%17' AS no_id,
+         strftime(submitted_at, '%Y-%m-%d %H:%M:%S') AS submitted_text,
+         CASE WHEN CAST(substr(job_id, 4) AS BIGINT) % 13 = 0 THEN 'malformed_json'
+              WHEN job_id LIKE '%17' THEN 'missing_job_id' END AS reject_reason
+  FROM jobs)"""
+
 _FAIL = "gate_error > 0.01 OR readout_error > 0.08 OR t1_us < 40 OR t2_us < 30"
 CALIBRATIONS = f"""
 measured AS (
@@ -263,7 +271,10 @@ def _quality() -> str:
         n = f"count(*) FILTER ({c} < {low} OR {c} > {high})"
         rows.append(f"SELECT 'ranges', '{c}', {n}, '{c} has ' || {n} || ' values outside [{low}, {high}].' FROM raw")
     n = f"count(*) FILTER ({_BAD_STATUS})"
-    rows.append(f"SELECT 'status_values', 'system_status', {n}, 'system_status has ' || {n} || ' invalid values.' FROM raw")
+    named = f"(SELECT string_agg(DISTINCT upper({_trim('system_status')}), ', ' ORDER BY upper({_trim('system_status')})) FROM raw WHERE {_BAD_STATUS})"
+    rows.append(
+        f"SELECT 'status_values', 'system_status', {n}, 'system_status has ' || {n} || ' invalid values: ' || {named} || '.' FROM raw"
+    )
     n = "CAST(sum(n - 1) AS BIGINT)"
     rows.append(
         f"SELECT 'uniqueness', 'device_id + event_timestamp', {n}, 'Found ' || {n} || ' duplicate telemetry events "
@@ -521,8 +532,19 @@ FROM mentioned""",
   CASE WHEN schema_version = 'v2' THEN cryogenic_pressure_mbar END AS cryogenic_pressure_mbar,
   CASE WHEN schema_version = 'v2' THEN hardware_error_rate END AS hardware_error_rate
 FROM std WHERE device_id IS NOT NULL""",
-    "job_messages": _with(JOBS) + """SELECT device_id AS device_key, queue_time_ms AS kafka_offset, job_id, status, error_code,
-  queue_time_ms, execution_time_ms, 'v1' AS schema_version FROM jobs""",
+    "job_messages": _with(JOBS, JOB_TOPIC) + """SELECT device_id AS device_key, kafka_offset, job_id, status, error_code,
+  queue_time_ms, execution_time_ms, 'v1' AS schema_version FROM job_topic WHERE reject_reason IS NULL""",
+    "rejected_jobs": _with(JOBS, JOB_TOPIC) + """SELECT reject_reason, kafka_offset, CASE reject_reason
+    WHEN 'malformed_json' THEN substr('{' || CASE WHEN no_id THEN '' ELSE '"job_id":"' || job_id || '",' END
+                                      || '"device_id":"' || device_id || '",', 1, 20)
+    ELSE '{"device_id":"' || device_id || '","user_id":"' || user_id || '","submitted_at":"' || submitted_text
+      || '","queue_time_ms":' || CAST(CAST(queue_time_ms AS DOUBLE) AS VARCHAR) || ',"execution_time_ms":' || execution_time_ms
+      || ',"shots":' || shots || ',"circuit_depth":' || circuit_depth || ',"status":"' || status || '"'
+      || CASE WHEN error_code IS NULL THEN '' ELSE ',"error_code":"' || error_code || '"' END
+      || ',"schema_version":"v1"}' END AS value
+FROM job_topic WHERE reject_reason IS NOT NULL""",
+    "stream_jobs": _with(JOBS, JOB_TOPIC) + """SELECT kafka_offset,
+  CASE WHEN reject_reason IS NULL THEN job_id END AS job_id, reject_reason FROM job_topic""",
     "csv_roundtrip": _with(JOBS) + """SELECT job_id, user_id, device_id, submitted_at, queued_at, started_at, completed_at,
   queue_time_ms, execution_time_ms, shots, circuit_depth, status, error_code FROM timed_jobs""",
     # Streaming and pipeline

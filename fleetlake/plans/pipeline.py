@@ -4,40 +4,59 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.text import READ_COMMANDS, WRITE_COMMANDS
-from fleetlake.operators.cleaning import clean, date_filter, unseen
+from fleetlake.operators.cleaning import clean, on_dates, touched_dates, unseen
 from fleetlake.operators.health import daily_health, health_of_days
 from fleetlake.operators.incidents import absent, detect, device_summary, opened, type_summary
-from fleetlake.operators.quality import CHECKS, gate, quality_report
-from fleetlake.schemas import DEVICE_HEALTH, DEVICES, EVENT_DATE
-from fleetlake.sources.tables import Lake, merge_upsert
+from fleetlake.operators.quality import CHECKS, gate, quality_measures, report_of, split_quarantine
+from fleetlake.schemas import DEVICE_HEALTH, DEVICES, EVENT_DATE, QUARANTINE
+from fleetlake.sources.tables import Lake, conform, merge_upsert
+
+
+# How far the clocks of the storage and the driver may differ.
+CLOCK_MARGIN = timedelta(hours=1)
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-Dates = tuple[date, date]
+Dates = tuple[date, date] | DataFrame
+
+
+def changed_dates(lake: Lake) -> DataFrame | None:
+    """The event dates of bronze files written since the last successful run began; None before the first one.
+
+    Only file times and partition values are read. The margin covers clocks that differ; dates
+    that are read once more add nothing.
+    """
+    runs = lake.read("ops.pipeline_runs").filter("run_status = 'SUCCESS'")
+    last = runs.agg(F.max("started_at")).first()[0]
+    if last is None:
+        return None
+    written = F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+    recent = lake.read("bronze.telemetry").filter(written >= F.lit(last - CLOCK_MARGIN).cast("timestamp_ntz"))
+    return touched_dates(recent.select(EVENT_DATE))
 
 
 def _read_dates(lake: Lake, table: str, dates: Dates | None) -> DataFrame:
     """An event table, cut to the date partitions asked for."""
     rows = lake.read(table)
-    return rows if dates is None else rows.filter(F.col(EVENT_DATE).between(*dates))
+    if dates is None or isinstance(dates, DataFrame):
+        return on_dates(rows, dates)
+    return rows.filter(F.col(EVENT_DATE).between(*dates))
 
 
 def refresh_silver(lake: Lake, dates: Dates | None = None) -> int:
     """Append bronze events that silver lacks; returns their number."""
     bronze = _read_dates(lake, "bronze.telemetry", dates)
-    touched = date_filter(bronze)
-    if touched is None:
-        return 0
-    return lake.append_events("silver.telemetry", unseen(clean(bronze), lake.read("silver.telemetry"), touched))
+    silver = _read_dates(lake, "silver.telemetry", dates)
+    return lake.append_events("silver.telemetry", unseen(clean(bronze), silver))
 
 
 def refresh_gold(lake: Lake, dates: Dates | None = None) -> int:
@@ -46,13 +65,14 @@ def refresh_gold(lake: Lake, dates: Dates | None = None) -> int:
     Silver is read for ``dates`` only (or all of it): its daily sums replace those dates,
     and health is added up from the sums of all days.
     """
-    silver = _read_dates(lake, "silver.telemetry", dates)
-    if not silver.isEmpty():
-        lake.replace_dates("gold.device_health_daily", daily_health(silver))
-    daily = lake.read("gold.device_health_daily")
-    if daily.isEmpty():
-        return 0
-    return lake.replace("gold.device_health", health_of_days(daily))
+    lake.replace_dates("gold.device_health_daily", daily_health(_read_dates(lake, "silver.telemetry", dates)))
+    return lake.replace("gold.device_health", health_of_days(lake.read("gold.device_health_daily")))
+
+
+def refresh_quarantine(lake: Lake, dates: Dates | None = None) -> None:
+    """Keep the bronze rows that break a row rule, with the rules, in place of those of the same dates."""
+    bad = split_quarantine(_read_dates(lake, "bronze.telemetry", dates))[1]
+    lake.replace_dates("ops.quarantine", conform(bad, QUARANTINE).withColumn(EVENT_DATE, F.to_date("event_timestamp")))
 
 
 def sync_devices(lake: Lake, devices: DataFrame) -> None:
@@ -72,36 +92,42 @@ def sync_current_health(lake: Lake, now: datetime | None = None) -> None:
     lake.replace("ops.device_health_current", merged)
 
 
-def record_incidents(lake: Lake, detected_at: datetime | None = None, dates: Dates | None = None) -> tuple[int, int]:
-    """Insert new incidents of silver events; returns (inserted, already there)."""
-    silver = _read_dates(lake, "silver.telemetry", dates)
-    touched = date_filter(silver)
-    if touched is None:
-        return 0, 0
-    found = detect(silver)
-    new_ones = absent(found, lake.read("ops.incidents"), touched)
-    inserted = lake.append_events("ops.incidents", opened(new_ones, detected_at or utc_now()))
-    return inserted, found.count() - inserted
+def record_incidents(lake: Lake, detected_at: datetime | None = None, dates: Dates | None = None) -> int:
+    """Insert the incidents of silver events that are not recorded yet, in one detection; returns their number."""
+    found = detect(_read_dates(lake, "silver.telemetry", dates))
+    new_ones = absent(found, _read_dates(lake, "ops.incidents", dates))
+    return lake.append_events("ops.incidents", opened(new_ones, detected_at or utc_now()))
 
 
 def run_pipeline(
-    lake: Lake, as_of: datetime | None = None, fail_on: Collection[str] = CHECKS, dates: Dates | None = None
+    lake: Lake,
+    as_of: datetime | None = None,
+    fail_on: Collection[str] = CHECKS,
+    dates: Dates | None = None,
+    full: bool = False,
 ) -> dict:
-    """Gate, silver, gold, current health, incidents; the outcome is kept in ``pipeline_runs``.
+    """Gate, quarantine, silver, gold, current health, incidents; the outcome is kept in ``pipeline_runs``.
 
-    ``dates`` limits all steps to the date partitions that received events; gold describes
-    all of silver in any case.
+    All steps are limited to ``dates``, by default those that received events since the last
+    successful run, or to nothing with ``full``; gold describes all of silver in any case. Without new events nothing
+    is done. The gate's one pass over bronze also counts its rows.
     """
     started = utc_now()
-    run = {"pipeline_name": "telemetry", "run_status": "SUCCESS", "bronze_rows": None, "silver_rows": None, "gold_rows": None}
+    run = {"pipeline_name": "telemetry", "run_status": "SUCCESS", "bronze_rows": 0, "silver_rows": 0, "gold_rows": None}
     try:
+        if dates is None and not full:
+            dates = changed_dates(lake)
         bronze = _read_dates(lake, "bronze.telemetry", dates)
-        run["bronze_rows"] = bronze.count()
-        gate(quality_report(bronze, as_of or utc_now()), fail_on)
-        run["silver_rows"] = refresh_silver(lake, dates)
-        run["gold_rows"] = refresh_gold(lake, dates)
-        sync_current_health(lake, as_of)
-        record_incidents(lake, as_of, dates)
+        measured = quality_measures(bronze).first()
+        run["bronze_rows"] = measured["rows"]
+        if measured["rows"] or dates is None or not isinstance(dates, DataFrame):
+            counted = lake.spark.createDataFrame([measured], quality_measures(bronze).schema)
+            gate(report_of(counted, bronze, as_of or utc_now()), fail_on)
+            refresh_quarantine(lake, dates)
+            run["silver_rows"] = refresh_silver(lake, dates)
+            run["gold_rows"] = refresh_gold(lake, dates)
+            sync_current_health(lake, as_of)
+            record_incidents(lake, as_of, dates)
     except Exception:
         run["run_status"] = "FAILED"
         raise

@@ -489,7 +489,10 @@ def sql_audit(spark, sf):
 def iso_timestamps(spark, sf):
     e = datasets.table(spark, sf, "events")
     zone = F.when(F.col("event_id") % 3 == 0, "+02:00").when(F.col("event_id") % 3 == 1, "-05:30").otherwise("Z")
-    iso = F.concat(F.regexp_replace(F.col("ts").cast("string"), " ", "T"), zone)
+    extended = F.concat(F.regexp_replace(F.col("ts").cast("string"), " ", "T"), zone)
+    digits = F.date_format("ts", "yyyyMMdd'T'HHmmss.SSSSSS")
+    basic = F.concat(digits, F.lit("789"), F.regexp_replace(zone, ":", ""))
+    iso = F.when(F.col("event_id") % 5 == 0, basic).otherwise(extended)
     return e.select("event_id", times.naive_utc(iso).alias("event_timestamp"))
 
 
@@ -513,27 +516,54 @@ def telemetry_by_version(spark, sf):
     return messages.telemetry_view(_messages(cleaning.standardize(_raw(spark, sf))))
 
 
-@report
-def job_messages(spark, sf):
+def _job_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Job events as a topic delivers them; every thirteenth is cut off, and every seventeenth has no id."""
     events = datasets.jobs(spark, sf).select(
-        "job_id",
+        F.when(F.substring("job_id", -2, 2) != "17", F.col("job_id")).alias("job_id"),
         "device_id",
         "user_id",
         F.col("submitted_at").cast("string").alias("submitted_at"),
-        "queue_time_ms",
+        F.col("queue_time_ms").cast("double").alias("queue_time_ms"),
         "execution_time_ms",
         "shots",
         "circuit_depth",
         "status",
         "error_code",
         F.lit("v1").alias("schema_version"),
+        F.substring("job_id", 4, 20).cast("long").alias("offset"),
+        F.lit(0).alias("partition"),
+        F.col("submitted_at").cast("timestamp").alias("timestamp"),
     )
-    topic = messages.to_messages(events).withColumns(
-        {"partition": F.lit(0), "offset": F.get_json_object("value", "$.queue_time_ms").cast("long")}
-    )
-    return messages.decode_jobs(topic).select(
-        "device_key", "kafka_offset", "job_id", "status", "error_code", "queue_time_ms", "execution_time_ms", "schema_version"
-    )
+    topic = messages.to_messages(events, schemas.JOB_EVENT.fieldNames())
+    cut = F.when(F.col("offset") % 13 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    return topic.withColumn("value", cut)
+
+
+_JOB_COLUMNS = (
+    "device_key", "kafka_offset", "job_id", "status", "error_code", "queue_time_ms", "execution_time_ms", "schema_version"
+)
+
+
+@report
+def job_messages(spark, sf):
+    decoded = messages.decode_jobs(_job_topic(spark, sf))
+    return messages.accepted(decoded, schemas.JOBS).select(*_JOB_COLUMNS)
+
+
+@report
+def rejected_jobs(spark, sf):
+    return messages.rejected(messages.decode_jobs(_job_topic(spark, sf))).select("reject_reason", "kafka_offset", "value")
+
+
+@report
+def stream_jobs(spark, sf):
+    """Job messages in the bronze table next to those kept aside: every message is in one of the two."""
+    lake, topic = _new_lake(spark), scratch_dir(spark, "topic")
+    messages.write_messages(_job_topic(spark, sf), topic)
+    ingest.ingest_jobs(lake, {"files": topic}, scratch_dir(spark, "progress")).awaitTermination()
+    kept = lake.read("bronze.jobs").select("kafka_offset", "job_id", F.lit(None).cast("string").alias("reject_reason"))
+    aside = lake.read("bronze.rejected").select("kafka_offset", F.lit(None).cast("string").alias("job_id"), "reject_reason")
+    return kept.unionByName(aside)
 
 
 @report
@@ -550,9 +580,8 @@ def csv_roundtrip(spark, sf):
 def stream_bronze(spark, sf):
     lake, topic = _new_lake(spark), scratch_dir(spark, "topic")
     messages.write_messages(_messages(_raw(spark, sf)), topic)
-    for query in ingest.ingest_bronze(lake, {"files": topic}, scratch_dir(spark, "progress")):
-        query.awaitTermination()
-    return lake.read("bronze.telemetry").drop("ingested_at", "event_date")
+    ingest.ingest_bronze(lake, {"files": topic}, scratch_dir(spark, "progress")).awaitTermination()
+    return lake.read("bronze.telemetry").drop("ingested_at", "event_date", "batch")
 
 
 @report
@@ -570,11 +599,14 @@ def stream_silver(spark, sf):
 
 @report
 def stream_incidents(spark, sf):
-    """Silver grows in two steps, and the stream follows it."""
-    lake, progress = _new_lake(spark), scratch_dir(spark, "progress")
-    for part in (_silver_before_split(spark, sf), _silver_from_split(spark, sf)):
-        lake.append_events("silver.telemetry", part)
-        ingest.stream_incidents(lake, progress, AS_OF).awaitTermination()
+    """Messages arrive in two steps, and the stream detects in each what silver lacked."""
+    lake, topic, progress = _new_lake(spark), scratch_dir(spark, "topic"), scratch_dir(spark, "progress")
+    raw = _raw(spark, sf)
+    before = F.col("event_timestamp") < F.lit(SPLIT).cast("timestamp_ntz")
+    sent = F.col("timestamp").cast("timestamp_ntz")
+    for part in (raw.filter(before), raw.filter(~before)):
+        messages.write_messages(_messages(part), topic)
+        ingest.stream_incidents(lake, {"files": topic}, progress, AS_OF, sent).awaitTermination()
     return lake.read("ops.incidents").drop("event_date", "resolved_at")
 
 

@@ -8,8 +8,9 @@ _S, _D, _I, _L = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
 _TS, _DT = T.TimestampNTZType(), T.DateType()
 
 
-# The partition column of event tables.
+# The partition column of event tables, and the one of tables that are filled batch by batch.
 EVENT_DATE = "event_date"
+BATCH = "batch"
 
 
 def _schema(*columns: tuple) -> T.StructType:
@@ -127,6 +128,16 @@ JOB_EVENT = _schema(
     ("schema_version", _S),
 )
 
+# A job event next to its key and position in the topic.
+JOBS = T.StructType(
+    [T.StructField("device_key", _S), *LINEAGE.fields[1:], LINEAGE.fields[0], *JOB_EVENT.fields]
+)
+
+# A bronze event next to the row rules it breaks.
+QUARANTINE = T.StructType(
+    [T.StructField(f.name, f.dataType) for f in TELEMETRY.fields] + [T.StructField("violations", T.ArrayType(_S))]
+)
+
 # One message per row, as a broker delivers it.
 ENVELOPE = _schema(
     ("key", _S), ("value", _S), ("partition", _I), ("offset", _L), ("timestamp", T.TimestampType())

@@ -26,27 +26,26 @@ def build_session(app_name: str = "fleetlake", master: str | None = None, **conf
     return use_utc(builder.getOrCreate())
 
 
-def sizing(data_bytes: int) -> dict[str, str]:
+def sizing(data_bytes: int, partition_bytes: int = 256 * 2**20, most: int | None = None) -> dict[str, str]:
     """SQL settings for a job over about ``data_bytes`` of input.
 
     Adaptive execution merges small shuffle partitions but, joins apart, does not split
-    large ones, so their number has to fit the data from the start. It is bounded because
-    every map task writes one block per partition; beyond the bound partitions grow and
-    sorts spill. Larger scan splits keep the number of map tasks in check likewise.
+    large ones, so their number has to fit the data from the start: one for each
+    ``partition_bytes``, and 200 at least. Every map task writes one block per partition; where a
+    cluster's shuffle service bears only so many, ``most`` bounds their number, and partitions
+    grow beyond ``partition_bytes`` and spill.
     """
-    mib = 2**20
-    width = min(max(math.ceil(data_bytes / (256 * mib)), 200), 50_000)
-    split = 128 * mib if data_bytes < 10 * 2**40 else 512 * mib
+    width = max(math.ceil(data_bytes / partition_bytes), 200)
     return {
-        "spark.sql.shuffle.partitions": str(width),
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mib),
+        "spark.sql.shuffle.partitions": str(width if most is None else min(width, most)),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
     }
 
 
-def size_for(spark: SparkSession, data_bytes: int) -> SparkSession:
+def size_for(spark: SparkSession, data_bytes: int, **limits: int) -> SparkSession:
     """Apply :func:`sizing` to a running session."""
-    for key, value in sizing(data_bytes).items():
+    for key, value in sizing(data_bytes, **limits).items():
         spark.conf.set(key, value)
     return spark
 

@@ -18,12 +18,15 @@ PAYLOAD_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 ENVELOPE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+# What one micro-batch takes at most unless told otherwise; the rest follows in the next ones.
+MAX_ROWS = 50_000_000
+MAX_FILES = 1_000
+
+
 def _event_schema(schema: T.StructType) -> T.StructType:
-    """How a payload looks in JSON: timestamps are texts, and nothing is mandatory."""
-    fields = [
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
-        for f in schema.fields
-    ]
+    """How a payload looks in JSON: timestamps and whole numbers are texts, and nothing is mandatory."""
+    as_text = (T.TimestampNTZType, T.IntegerType, T.LongType)
+    fields = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, as_text) else f.dataType) for f in schema.fields]
     return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
 
 
@@ -31,8 +34,9 @@ def message_stream(spark: SparkSession, source: dict) -> DataFrame:
     """Stream of ``key, value, partition, offset, timestamp`` from the earliest message on.
 
     ``{"kafka": servers, "topic": name}`` reads a topic (the connector must be on the
-    class path); ``{"files": folder}`` reads the same envelope as JSON lines. ``max_rows``
-    or ``max_files`` bounds one micro-batch; ``min_partitions`` reads a topic's few or
+    class path) and fails when offsets are gone that it has not read, unless ``fail_on_data_loss`` is
+    false; ``{"files": folder}`` reads the same envelope as JSON lines. ``max_rows``
+    or ``max_files`` bounds one micro-batch, MAX_ROWS and MAX_FILES by default; ``min_partitions`` reads a topic's few or
     uneven partitions in more tasks than there are partitions.
     """
     if "kafka" in source:
@@ -41,17 +45,14 @@ def message_stream(spark: SparkSession, source: dict) -> DataFrame:
             .option("kafka.bootstrap.servers", source["kafka"])
             .option("subscribe", source["topic"])
             .option("startingOffsets", "earliest")
-            .option("failOnDataLoss", "false")
+            .option("failOnDataLoss", str(source.get("fail_on_data_loss", True)).lower())
         )
-        if "max_rows" in source:
-            reader = reader.option("maxOffsetsPerTrigger", source["max_rows"])
+        reader = reader.option("maxOffsetsPerTrigger", source.get("max_rows", MAX_ROWS))
         if "min_partitions" in source:
             reader = reader.option("minPartitions", source["min_partitions"])
         raw = reader.load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset", "timestamp")
-    reader = spark.readStream.schema(ENVELOPE)
-    if "max_files" in source:
-        reader = reader.option("maxFilesPerTrigger", source["max_files"])
+    reader = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", source.get("max_files", MAX_FILES))
     return reader.json(source["files"])
 
 
@@ -97,39 +98,57 @@ def _parsed(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return messages.withColumn("event", F.explode(F.array(event)))
 
 
+def _fields(schema: T.StructType) -> dict[str, Column]:
+    """The parsed event's fields. A number in a whole-number field counts if it is whole, also as ``45.0``; else it is NULL."""
+    out = {}
+    for f in schema.fields:
+        value = F.col(f"event.{f.name}")
+        if isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            number = value.try_cast("decimal(38,9)")
+            value = F.when(number == F.floor(number), number.try_cast(f.dataType))
+        elif isinstance(f.dataType, T.DoubleType):
+            value = no_nan(value)
+        out[f.name] = value
+    return out
+
+
+def _malformed() -> Column:
+    return F.col("event").isNull() | F.col(f"event.{CORRUPT}").isNotNull()
+
+
+def _position() -> list[Column]:
+    return [F.col("partition").cast("int").alias("kafka_partition"), F.col("offset").cast("long").alias("kafka_offset")]
+
+
 def decode_telemetry(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Bronze columns plus ``reject_reason``, which is NULL for a usable message.
 
     Missing fields become NULL, unknown ones are dropped, and an event without a version
     is of the first version.
     """
-    event = {f.name: F.col(f"event.{f.name}") for f in PAYLOAD.fields}
+    event = _fields(PAYLOAD)
     happened = naive_utc(event["event_timestamp"])
     reason = (
-        F.when(F.col("event").isNull() | F.col(f"event.{CORRUPT}").isNotNull(), "malformed_json")
+        F.when(_malformed(), "malformed_json")
         .when(event["device_id"].isNull(), "missing_device_id")
         .when(event["event_timestamp"].isNull(), "missing_event_timestamp")
         .when(happened.isNull(), "bad_event_timestamp")
     )
     event["event_timestamp"] = happened
     event["schema_version"] = F.coalesce(event["schema_version"], F.lit(FIRST_VERSION))
-    for f in PAYLOAD.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            event[f.name] = no_nan(event[f.name])
     now = F.current_timestamp().cast("timestamp_ntz") if ingested_at is None else ingested_at
     return _parsed(messages, PAYLOAD).select(
         *[event[f.name].alias(f.name) for f in PAYLOAD.fields],
         now.alias("ingested_at"),
-        F.col("partition").cast("int").alias("kafka_partition"),
-        F.col("offset").cast("long").alias("kafka_offset"),
+        *_position(),
         reason.alias("reject_reason"),
         "key",
         "value",
     )
 
 
-def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("reject_reason").isNull()).select(*TELEMETRY.fieldNames())
+def accepted(decoded: DataFrame, schema: T.StructType = TELEMETRY) -> DataFrame:
+    return decoded.filter(F.col("reject_reason").isNull()).select(*schema.fieldNames())
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
@@ -158,11 +177,19 @@ def telemetry_view(messages: DataFrame) -> DataFrame:
     )
 
 
-def decode_jobs(messages: DataFrame) -> DataFrame:
-    """Job messages as columns, next to their key and position in the topic."""
-    return _parsed(messages, JOB_EVENT).filter(F.col(f"event.{CORRUPT}").isNull()).select(
+def decode_jobs(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+    """Job messages as columns, next to their key and position in the topic, plus ``reject_reason``.
+
+    A message that is no JSON object, or has no job id, is rejected.
+    """
+    event = _fields(JOB_EVENT)
+    reason = F.when(_malformed(), "malformed_json").when(event["job_id"].isNull(), "missing_job_id")
+    now = F.current_timestamp().cast("timestamp_ntz") if ingested_at is None else ingested_at
+    return _parsed(messages, JOB_EVENT).select(
         F.col("key").alias("device_key"),
-        F.col("partition").cast("int").alias("kafka_partition"),
-        F.col("offset").cast("long").alias("kafka_offset"),
-        *[F.col(f"event.{f.name}").alias(f.name) for f in JOB_EVENT.fields],
+        *_position(),
+        now.alias("ingested_at"),
+        *[event[f.name].alias(f.name) for f in JOB_EVENT.fields],
+        reason.alias("reject_reason"),
+        "value",
     )

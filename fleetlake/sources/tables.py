@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions.numbers import no_nan
-from fleetlake.schemas import EVENT_DATE
+from fleetlake.schemas import BATCH, EVENT_DATE
 from fleetlake.session import use_utc
 
 # Tables that grow are partitioned by the event's date, so that incremental work reads
@@ -20,6 +21,7 @@ EVENT_TABLES = {
     "bronze.telemetry": schemas.TELEMETRY,
     "silver.telemetry": schemas.TELEMETRY,
     "ops.incidents": schemas.INCIDENTS,
+    "ops.quarantine": schemas.QUARANTINE,
     "gold.device_health_daily": schemas.DEVICE_HEALTH_DAILY,
 }
 STATE_TABLES = {
@@ -28,8 +30,18 @@ STATE_TABLES = {
     "ops.device_health_current": schemas.DEVICE_HEALTH_CURRENT,
     "ops.pipeline_runs": schemas.PIPELINE_RUNS,
 }
+MESSAGE_TABLES = {"bronze.jobs": schemas.JOBS, "bronze.rejected": schemas.REJECTED}
 NAMESPACES = ("bronze", "silver", "gold", "ops")
-STREAM_TABLES = {"bronze.rejected": schemas.REJECTED}
+
+# Tables that also have the batch of each row as a partition, so that a batch that is written again
+# takes its own place.
+BATCHED = ("bronze.telemetry", *MESSAGE_TABLES)
+
+# Tables whose mandatory columns are enforced. Bronze keeps incomplete events, which the checks count.
+ENFORCED = ("silver.telemetry", "ops.incidents")
+
+# Folders of replaced contents are kept this long, for readers that still hold them.
+KEEP_REPLACED_HOURS = 24
 
 
 def conform(df: DataFrame, schema: T.StructType, enforce: bool = False) -> DataFrame:
@@ -121,20 +133,22 @@ class Lake:
             )
 
     def create_table(self, table: str, schema: T.StructType) -> None:
-        """Create the table unless it exists; event tables get an ``event_date`` partition."""
+        """Create the table unless it exists; event tables get an ``event_date`` partition, batched ones a ``batch``.
+
+        Overwriting replaces the partitions that the new rows have, and no others.
+        """
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema.fields]
-        partitioning = ""
-        if table in EVENT_TABLES:
-            columns.append(f"{EVENT_DATE} date")
-            partitioning = f"PARTITIONED BY ({EVENT_DATE})"
+        parts = [EVENT_DATE] * (table in EVENT_TABLES) + [BATCH] * (table in BATCHED)
+        columns += [f"{c} {'date' if c == EVENT_DATE else 'string'}" for c in parts]
+        partitioning = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(columns)}) USING parquet "
-            f"{partitioning} LOCATION '{self._folder(table)}'"
+            f"OPTIONS (partitionOverwriteMode 'dynamic') {partitioning} LOCATION '{self._folder(table)}'"
         )
 
     def create_all(self) -> Lake:
         self.create_namespaces()
-        for table, schema in {**EVENT_TABLES, **STATE_TABLES, **STREAM_TABLES}.items():
+        for table, schema in {**EVENT_TABLES, **STATE_TABLES, **MESSAGE_TABLES}.items():
             self.create_table(table, schema)
         return self
 
@@ -161,32 +175,36 @@ class Lake:
         self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
-    def append_events(self, table: str, df: DataFrame) -> int:
+    def append_events(self, table: str, df: DataFrame, batch: str | None = None) -> int:
         """Append to an event table, by date; returns the number of rows.
 
-        A bronze table that a stream fills takes its rows from that stream only: its readers
-        go by the stream's log of files.
+        In a batched table the rows of a ``batch`` that was written before are replaced, so that
+        a repeated micro-batch adds nothing.
 
         ``REBALANCE`` lets adaptive execution split a date that holds a large share of the
         rows over several files and merge small ones, so neither one task nor many tiny
         files result. Rows are ordered within files only.
         """
-        conformed = conform(df, EVENT_TABLES[table]).withColumn(EVENT_DATE, F.to_date("event_timestamp"))
+        conformed = conform(df, EVENT_TABLES[table], enforce=table in ENFORCED)
+        conformed = conformed.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
         spread = conformed.hint("rebalance", EVENT_DATE)
         rows, seen = _counted(spread.sortWithinPartitions(EVENT_DATE, "event_timestamp", "device_id"))
-        rows.write.mode("append").insertInto(self.name(table))
+        self._insert(table, rows, batch)
         return seen.get["rows"]
 
+    def append_messages(self, table: str, df: DataFrame, batch: str | None = None) -> None:
+        """Append to a table of messages; the rows of a ``batch`` that was written before are replaced."""
+        self._insert(table, conform(df, MESSAGE_TABLES[table]), batch)
+
+    def _insert(self, table: str, rows: DataFrame, batch: str | None) -> None:
+        if table in BATCHED:
+            rows = rows.withColumn(BATCH, F.lit(batch or uuid.uuid4().hex))
+        rows.write.insertInto(self.name(table), overwrite=table in BATCHED)
+
     def replace_dates(self, table: str, df: DataFrame) -> None:
         """Put the dates that ``df`` has in place of the table's; other dates stay."""
         spread = df.select(*EVENT_TABLES[table].fieldNames(), EVENT_DATE).hint("rebalance", EVENT_DATE)
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
-            spread.write.insertInto(self.name(table), overwrite=True)
-        finally:
-            self.spark.conf.set(mode, before)
+        spread.write.insertInto(self.name(table), overwrite=True)
 
     def append_rows(self, table: str, df: DataFrame) -> None:
         conform(df, STATE_TABLES[table]).write.mode("append").insertInto(self.name(table))
@@ -195,12 +213,22 @@ class Lake:
         """Put new contents in place of the old, also when they were computed from the old.
 
         The rows go to a new folder and the table is then pointed to it, so readers see
-        one state or the other, and a failed write leaves the old one. Earlier folders
-        are left for the operator to remove.
+        one state or the other, and a failed write leaves the old one. Folders that were
+        replaced more than KEEP_REPLACED_HOURS ago are removed.
         """
         folder = f"{self._folder(table)}-{uuid.uuid4().hex}"
         rows, seen = _counted(conform(df, STATE_TABLES[table]))
         rows.write.parquet(folder)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
         self.spark.catalog.refreshTable(self.name(table))
+        self._remove_replaced(table, folder)
         return seen.get["rows"]
+
+    def _remove_replaced(self, table: str, current: str) -> None:
+        """Remove the table's earlier folders, by their names and age."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(current).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        oldest = (time.time() - KEEP_REPLACED_HOURS * 3600) * 1000
+        for status in fs.globStatus(path(f"{self._folder(table)}-{'[0-9a-f]' * 32}")):
+            if status.getModificationTime() < oldest and status.getPath().getName() != path(current).getName():
+                fs.delete(status.getPath(), True)

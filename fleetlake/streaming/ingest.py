@@ -1,56 +1,64 @@
-"""Streaming: messages to bronze, bronze to silver, silver to incidents."""
+"""Streaming: messages to bronze, and bronze to silver and incidents.
+
+Every query takes its messages in bounded micro-batches, decodes each message once, and keeps those it
+cannot use in ``bronze.rejected``. A micro-batch that runs again takes the place of its first
+run, or finds its events already there.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlake.operators.cleaning import clean, date_filter, unseen
+from fleetlake.operators.cleaning import clean, touched_dates, unseen
 from fleetlake.operators.incidents import absent, detect, opened
 from fleetlake.plans.pipeline import utc_now
-from fleetlake.schemas import EVENT_DATE, TELEMETRY
-from fleetlake.sources.messages import accepted, decode_telemetry, message_stream, rejected
-from fleetlake.sources.tables import EVENT_TABLES, Lake, conform
+from fleetlake.schemas import JOBS
+from fleetlake.sources.messages import accepted, decode_jobs, decode_telemetry, message_stream, rejected
+from fleetlake.sources.tables import Lake
+
+Step = Callable[[Lake, DataFrame, str], None]
 
 
-def _start(lake: Lake, stream: DataFrame, checkpoint: str, step: Callable[[Lake, DataFrame], None], follow: bool) -> StreamingQuery:
-    def each(batch: DataFrame, _: int) -> None:
+def _start(lake: Lake, source: dict, decode: Callable[[DataFrame], DataFrame], step: Step, checkpoint: str, follow: bool):
+    """Run ``step`` on every decoded micro-batch, after keeping its rejected messages."""
+    name = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
+
+    def each(decoded: DataFrame, number: int) -> None:
         # The micro-batch runs in a session of its own, through which it must see the lake.
-        batch.persist()
+        decoded.persist()
         try:
-            step(Lake(batch.sparkSession, lake.root, lake.prefix), batch)
+            own, batch = Lake(decoded.sparkSession, lake.root, lake.prefix), f"{name}-{number}"
+            own.append_messages("bronze.rejected", rejected(decoded), batch)
+            step(own, decoded, batch)
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
+    stream = decode(message_stream(lake.spark, source))
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer if follow else writer.trigger(availableNow=True)).start()
 
 
-def ingest_bronze(
-    lake: Lake, source: dict, checkpoint: str, follow: bool = False, keep_rejected: bool = True
-) -> list[StreamingQuery]:
-    """Decode messages into the bronze table, and unusable ones into ``bronze.rejected``.
+def ingest_bronze(lake: Lake, source: dict, checkpoint: str, follow: bool = False) -> StreamingQuery:
+    """Telemetry messages into the bronze table; without ``follow`` the query drains what is there and stops."""
 
-    Both go through the file sink, whose log makes each micro-batch appear exactly once.
-    Without ``follow`` the queries drain what is there and stop. Keeping rejected messages
-    reads the source a second time.
-    """
+    def step(own: Lake, decoded: DataFrame, batch: str) -> None:
+        own.append_events("bronze.telemetry", accepted(decoded), batch)
+
+    return _start(lake, source, decode_telemetry, step, checkpoint, follow)
+
+
+def ingest_jobs(lake: Lake, source: dict, checkpoint: str, follow: bool = False) -> StreamingQuery:
+    """Job messages into ``bronze.jobs``."""
 
-    def start(rows: DataFrame, table: str, *partitions: str) -> StreamingQuery:
-        writer = rows.writeStream.option("checkpointLocation", f"{checkpoint}/{table}")
-        if partitions:
-            writer = writer.partitionBy(*partitions)
-        return (writer if follow else writer.trigger(availableNow=True)).toTable(lake.name(table))
+    def step(own: Lake, decoded: DataFrame, batch: str) -> None:
+        own.append_messages("bronze.jobs", accepted(decoded, JOBS), batch)
 
-    usable = conform(accepted(decode_telemetry(message_stream(lake.spark, source))), TELEMETRY)
-    queries = [start(usable.withColumn(EVENT_DATE, F.to_date("event_timestamp")), "bronze.telemetry", EVENT_DATE)]
-    if keep_rejected:
-        queries.append(start(rejected(decode_telemetry(message_stream(lake.spark, source))), "bronze.rejected"))
-    return queries
+    return _start(lake, source, decode_jobs, step, checkpoint, follow)
 
 
 def add_to_silver(lake: Lake, bronze: DataFrame) -> None:
@@ -59,39 +67,50 @@ def add_to_silver(lake: Lake, bronze: DataFrame) -> None:
     A batch that is delivered or retried again adds nothing, because its events are then
     already there.
     """
-    dates = date_filter(bronze)
-    if dates is None:
-        return
-    new_events = unseen(clean(bronze), lake.read("silver.telemetry"), dates)
-    lake.append_events("silver.telemetry", new_events)
+    lake.append_events("silver.telemetry", _new_events(lake, bronze))
+
+
+def _new_events(lake: Lake, bronze: DataFrame) -> DataFrame:
+    return unseen(clean(bronze), lake.read("silver.telemetry"), touched_dates(bronze))
 
 
 def add_incidents(lake: Lake, events: DataFrame, detected_at: datetime) -> None:
     """Insert the incidents of a batch of events that are not recorded yet."""
-    dates = date_filter(events)
-    if dates is None:
-        return
-    new_ones = absent(detect(events), lake.read("ops.incidents"), dates)
+    new_ones = absent(detect(events), lake.read("ops.incidents"), touched_dates(events))
     lake.append_events("ops.incidents", opened(new_ones, detected_at))
 
 
 def stream_silver(
     lake: Lake, source: dict, checkpoint: str, ingested_at: Column | None = None, follow: bool = False
 ) -> StreamingQuery:
-    """Messages to silver, micro-batch by micro-batch.
+    """Telemetry messages to silver, micro-batch by micro-batch.
 
     ``ingested_at`` may name the message's own time instead of the time of reading.
     """
-    events = accepted(decode_telemetry(message_stream(lake.spark, source), ingested_at))
-    return _start(lake, events, checkpoint, add_to_silver, follow)
+
+    def step(own: Lake, decoded: DataFrame, batch: str) -> None:
+        add_to_silver(own, accepted(decoded))
+
+    return _start(lake, source, lambda m: decode_telemetry(m, ingested_at), step, checkpoint, follow)
 
 
-def stream_incidents(lake: Lake, checkpoint: str, detected_at: datetime | None = None, follow: bool = False) -> StreamingQuery:
-    """New silver rows to incidents; silver is read as a stream of its files."""
-    table = lake.name("silver.telemetry")
-    events = lake.spark.readStream.table(table).select(*EVENT_TABLES["silver.telemetry"].fieldNames())
+def stream_incidents(
+    lake: Lake,
+    source: dict,
+    checkpoint: str,
+    detected_at: datetime | None = None,
+    ingested_at: Column | None = None,
+    follow: bool = False,
+) -> StreamingQuery:
+    """Telemetry messages to silver and to the incidents of the events that silver lacked.
+
+    Incidents are detected in the batch itself, so silver's files are never listed. They go
+    first: if the batch fails in between, its next run finds them there and adds the events.
+    """
 
-    def step(seen: Lake, batch: DataFrame) -> None:
-        add_incidents(seen, batch, detected_at or utc_now())
+    def step(own: Lake, decoded: DataFrame, batch: str) -> None:
+        events = accepted(decoded)
+        add_incidents(own, _new_events(own, events), detected_at or utc_now())
+        add_to_silver(own, events)
 
-    return _start(lake, events, checkpoint, step, follow)
+    return _start(lake, source, lambda m: decode_telemetry(m, ingested_at), step, checkpoint, follow)

@@ -229,6 +229,15 @@ def test_every_check_fails_on_its_own_fault(spark):
     quality.gate(report, fail_on=("required_columns", "freshness"))
 
 
+def test_nan_is_missing_and_invalid_statuses_are_named(spark):
+    df = telemetry(spark, {"temperature_mk": float("nan")}, {"event_timestamp": at(1), "system_status": "odd"}, {"event_timestamp": at(2), "system_status": " Bad"})
+    report = quality.quality_report(df, at(60))
+    assert failed(report) == {("status_values", "system_status"): 2}
+    assert report.filter("check_name = 'status_values'").first().message == "system_status has 2 invalid values: BAD, ODD."
+    good, bad = quality.split_quarantine(df)
+    assert (good.count(), bad.count()) == (1, 2)
+
+
 def test_null_keys_count_as_equal(spark):
     df = telemetry(spark, {"event_timestamp": None}, {"event_timestamp": None}, {"device_id": None}, {"device_id": None})
     assert quality.surplus_copies(df).first().surplus == 2

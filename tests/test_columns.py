@@ -102,6 +102,11 @@ def test_iso_texts_become_utc(spark):
         "2026-08-22 17:47:33.000001",
         "2026-08-22T17:47:00+05:30",
         "2026-08-22",
+        "2026-08-22T10:00:00.123456789Z",
+        "20260822T100000Z",
+        "20260822T100000,5+0530",
+        "20260822T1000-0100",
+        "20260822",
         "2026-13-22T17:47:33Z",
         "2026",
         "17:47:33",
@@ -117,6 +122,11 @@ def test_iso_texts_become_utc(spark):
         datetime(2026, 8, 22, 17, 47, 33, 1),
         datetime(2026, 8, 22, 12, 17),
         datetime(2026, 8, 22),
+        datetime(2026, 8, 22, 10, 0, 0, 123456),
+        datetime(2026, 8, 22, 10),
+        datetime(2026, 8, 22, 4, 30, 0, 500000),
+        datetime(2026, 8, 22, 11),
+        datetime(2026, 8, 22),
         *[None] * 7,
     ]
 

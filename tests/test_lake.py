@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from frames import DEGRADED, NOON, at, telemetry
@@ -13,7 +14,7 @@ from fleetlake import schemas
 from fleetlake.operators import health
 from fleetlake.operators.quality import REPLAY_TOLERANT, QualityError
 from fleetlake.plans import pipeline
-from fleetlake.sources import files, messages
+from fleetlake.sources import files, messages, tables
 from fleetlake.sources.tables import conform, merge_upsert
 from fleetlake.streaming import ingest
 
@@ -26,8 +27,8 @@ def rows(df, *columns):
 
 def test_tables_are_created_once_and_listed(lake):
     lake.create_all()
-    assert lake.list_tables("ops") == ["device_health_current", "devices", "incidents", "pipeline_runs"]
-    assert lake.list_tables("bronze") == ["rejected", "telemetry"]
+    assert lake.list_tables("ops") == ["device_health_current", "devices", "incidents", "pipeline_runs", "quarantine"]
+    assert lake.list_tables("bronze") == ["jobs", "rejected", "telemetry"]
     assert lake.read("silver.telemetry").columns == [*schemas.TELEMETRY.fieldNames(), "event_date"]
 
 
@@ -113,7 +114,7 @@ def test_pipeline_over_some_dates(lake):
     lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, {"event_timestamp": at(24 * 60)}))
     day = at(24 * 60).date()
     assert pipeline.run_pipeline(lake, at(24 * 60), dates=(day, day))["silver_rows"] == 1
-    assert pipeline.run_pipeline(lake, at(24 * 60))["silver_rows"] == 1
+    assert pipeline.run_pipeline(lake, at(24 * 60), full=True)["silver_rows"] == 1
 
 
 def test_gold_from_daily_sums_equals_gold_from_events(lake):
@@ -154,7 +155,7 @@ def test_writing_no_rows(lake):
 def test_nothing_to_do(lake):
     assert pipeline.refresh_silver(lake) == 0
     assert pipeline.refresh_gold(lake) == 0
-    assert pipeline.record_incidents(lake) == (0, 0)
+    assert pipeline.record_incidents(lake) == 0
 
 
 def test_current_health_keeps_silent_devices(lake):
@@ -168,8 +169,8 @@ def test_current_health_keeps_silent_devices(lake):
 
 def test_incident_counts(lake):
     lake.append_events("silver.telemetry", telemetry(lake.spark, DEGRADED))
-    assert pipeline.record_incidents(lake, NOON) == (5, 0)
-    assert pipeline.record_incidents(lake, LATER) == (0, 5)
+    assert pipeline.record_incidents(lake, NOON) == 5
+    assert pipeline.record_incidents(lake, LATER) == 0
     table = lake.read("ops.incidents")
     assert {r.detected_at for r in table.collect()} == {NOON} and {r.status for r in table.collect()} == {"OPEN"}
 
@@ -238,7 +239,7 @@ def test_decoding(spark):
         0: None,
         1: None,
         2: "malformed_json",
-        3: "malformed_json",
+        3: None,
         4: "missing_device_id",
         5: "missing_event_timestamp",
         6: "bad_event_timestamp",
@@ -247,7 +248,8 @@ def test_decoding(spark):
     good = {r.kafka_offset: r for r in messages.accepted(df).collect()}
     assert good[0].event_timestamp == datetime(2026, 8, 22, 15, 47, 33, 500000)
     assert (good[0].schema_version, good[0].hardware_error_rate, good[7].temperature_mk) == ("v1", None, None)
-    assert messages.rejected(df).count() == 5
+    assert good[3].queue_depth is None and good[0].queue_depth == 3
+    assert messages.rejected(df).count() == 4
     assert messages.accepted(df).columns == schemas.TELEMETRY.fieldNames()
 
 
@@ -281,8 +283,7 @@ def test_bronze_stream_appears_once(lake, tmp_path):
     folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
 
     def drain():
-        for q in ingest.ingest_bronze(lake, {"files": folder, "max_files": 1}, progress):
-            q.awaitTermination()
+        ingest.ingest_bronze(lake, {"files": folder, "max_files": 1}, progress).awaitTermination()
         return lake.read("bronze.telemetry").count()
 
     send(lake.spark, folder, {}, {"event_timestamp": at(1)}, {"device_id": None})
@@ -312,18 +313,81 @@ def test_rejected_event_can_be_accepted_later(lake, tmp_path):
     assert rows(lake.read("silver.telemetry"), "system_status") == [("HEALTHY",)]
 
 
-def test_incident_stream_follows_silver(lake, tmp_path):
-    progress = str(tmp_path / "progress")
+def test_incidents_come_from_the_batch(lake, tmp_path):
+    folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
     for minute in (0, 1):
-        lake.append_events("silver.telemetry", telemetry(lake.spark, {**DEGRADED, "event_timestamp": at(minute)}))
-        ingest.stream_incidents(lake, progress, at(minute)).awaitTermination()
+        send(lake.spark, folder, {**DEGRADED, "event_timestamp": at(minute)}, {**DEGRADED, "event_timestamp": at(0)})
+        ingest.stream_incidents(lake, {"files": folder}, progress, at(minute)).awaitTermination()
     table = lake.read("ops.incidents")
-    assert table.count() == 10
+    assert table.count() == 10 and lake.read("silver.telemetry").count() == 2
     assert table.filter(F.col("detected_at") == F.lit(NOON).cast("timestamp_ntz")).count() == 5
     ingest.add_incidents(lake, telemetry(lake.spark, DEGRADED), LATER)
     assert lake.read("ops.incidents").count() == 10
 
 
+def test_no_message_is_lost(lake, tmp_path):
+    """Accepted and rejected are all that were sent, in every stream."""
+    events, progress = str(tmp_path / "events"), str(tmp_path / "progress")
+    bad = ["{bad", None, "[1]", '{"device_id": "DEV001"}', json.dumps({**EVENT, "event_timestamp": "soon"})]
+    good = [json.dumps(EVENT), json.dumps({**EVENT, "event_timestamp": "20260822T100000.1234567Z", "queue_depth": 45.0, "active_jobs": 1.5})]
+    rows_ = [("DEV001", v, 0, i, NOON) for i, v in enumerate(bad + good)]
+    sent = lake.spark.createDataFrame(rows_, "key string, value string, partition int, offset long, timestamp timestamp")
+    messages.write_messages(sent, events)
+    ingest.ingest_bronze(lake, {"files": events}, f"{progress}-bronze").awaitTermination()
+    assert lake.read("bronze.telemetry").count() == 2 and lake.read("bronze.rejected").count() == 5
+    kept = lake.read("bronze.telemetry").filter("kafka_offset = 6").first()
+    assert (kept.event_timestamp, kept.queue_depth, kept.active_jobs) == (datetime(2026, 8, 22, 10, 0, 0, 123456), 45, None)
+    ingest.stream_silver(lake, {"files": events}, f"{progress}-silver").awaitTermination()
+    assert lake.read("bronze.rejected").count() == 10
+    jobs = str(tmp_path / "jobs")
+    values = ["{bad", None, "{}", '{"job_id": "J1", "shots": 10.0}', '{"job_id": "J2", "shots": 10.5}']
+    sent = lake.spark.createDataFrame([("DEV001", v, 0, i, NOON) for i, v in enumerate(values)], sent.schema)
+    messages.write_messages(sent, jobs)
+    ingest.ingest_jobs(lake, {"files": jobs}, f"{progress}-jobs").awaitTermination()
+    assert rows(lake.read("bronze.jobs"), "job_id", "shots") == [("J1", 10), ("J2", None)]
+    assert rows(lake.read("bronze.rejected").filter("reject_reason = 'missing_job_id'"), "value") == [("{}",)]
+    assert lake.read("bronze.rejected").count() == 13
+
+
+def test_a_repeated_batch_takes_its_own_place(lake):
+    for _ in range(2):
+        assert lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, {"event_timestamp": at(24 * 60)}), "b-1") == 2
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}), "b-2")
+    assert lake.read("bronze.telemetry").count() == 3
+
+
+def test_mandatory_columns_are_enforced(lake):
+    with pytest.raises(Exception, match="device_id must not be NULL"):
+        lake.append_events("silver.telemetry", telemetry(lake.spark, {"device_id": None}))
+
+
+def test_quarantine_is_filled_and_renewed(lake):
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, {"event_timestamp": at(1), "temperature_mk": 99.0}))
+    for _ in range(2):
+        pipeline.run_pipeline(lake, at(60), REPLAY_TOLERANT)
+    assert rows(lake.read("ops.quarantine"), "violations") == [(["range:temperature_mk"],)]
+
+
+def test_a_run_takes_the_dates_of_new_files(lake, monkeypatch):
+    monkeypatch.setattr(pipeline, "CLOCK_MARGIN", timedelta(0))
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}))
+    assert pipeline.run_pipeline(lake, at(60))["bronze_rows"] == 1
+    assert pipeline.run_pipeline(lake, at(60))["bronze_rows"] == 0
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {"event_timestamp": at(24 * 60)}))
+    run = pipeline.run_pipeline(lake, at(25 * 60))
+    assert (run["bronze_rows"], run["silver_rows"]) == (1, 1)
+    assert pipeline.run_pipeline(lake, at(25 * 60), full=True)["bronze_rows"] == 2
+
+
+def test_replaced_folders_go(lake, monkeypatch):
+    gold = health.device_health(telemetry(lake.spark, {}))
+    monkeypatch.setattr(tables, "KEEP_REPLACED_HOURS", -1)
+    for _ in range(3):
+        lake.replace("gold.device_health", gold)
+    left = [p.name for p in Path(lake.root, "gold").glob("device_health-*")]
+    assert len(left) == 1 and lake.read("gold.device_health").count() == 1
+
+
 def test_from_messages_to_summary(lake, tmp_path):
     """A stream fills bronze, the batch job does the rest, and a replay of all messages changes nothing."""
     folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
@@ -332,8 +396,7 @@ def test_from_messages_to_summary(lake, tmp_path):
     state = None
     for _ in range(2):
         send(lake.spark, folder, *events)
-        for q in ingest.ingest_bronze(lake, {"files": folder}, progress, keep_rejected=False):
-            q.awaitTermination()
+        ingest.ingest_bronze(lake, {"files": folder}, progress).awaitTermination()
         run = pipeline.run_pipeline(lake, now, REPLAY_TOLERANT, dates=days)
         tables = ("silver.telemetry", "gold.device_health", "ops.incidents", "ops.device_health_current")
         found = {t: sorted(map(str, lake.read(t).collect())) for t in tables}

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import re
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import SF_DIR
 from frames import NOON, at, telemetry
 from pyspark.sql import functions as F
 
-from fleetlake.operators import calibration, cleaning, duplicates, health, incidents, jobs, quality, series
-from fleetlake.plans import datasets
+from fleetlake.operators import calibration, cleaning, duplicates, health, incidents, jobs, profile, quality, series
+from fleetlake.plans import datasets, pipeline
 from fleetlake.plans.reports import REPORTS
 from fleetlake.schemas import CALIBRATIONS_CSV, JOBS_CSV
 from fleetlake.session import scratch_dir, shared_dir, size_for, sizing
+from fleetlake.sources.tables import Lake
 
 # These write tables or run streams while the result is set up.
-EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "run_metrics", "incidents_after_two_runs", "csv_roundtrip"}
+EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "run_metrics", "incidents_after_two_runs", "csv_roundtrip"}
 
 
 def plan(df) -> str:
@@ -81,18 +82,20 @@ def test_required_columns_are_filtered_in_the_scan(lake):
 def test_incremental_run_reads_touched_dates_only(lake):
     silver = stored(lake, *[{"event_timestamp": at(day * 24 * 60)} for day in range(5)])
     batch = telemetry(lake.spark, {"event_timestamp": at(24 * 60 + 5)}, {"event_timestamp": at(3 * 24 * 60)})
-    new = cleaning.unseen(cleaning.clean(batch), silver, cleaning.date_filter(batch))
+    new = cleaning.unseen(cleaning.clean(batch), silver, cleaning.touched_dates(batch))
     assert [r.event_timestamp for r in new.collect()] == [at(24 * 60 + 5)]
-    assert re.search(r"PartitionFilters: \[[^\]]*event_date#\d+ IN \(2026-08-23,2026-08-25\)", plan(new))
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan(new))
 
 
-def test_very_many_dates_become_a_range(spark, monkeypatch):
-    monkeypatch.setattr(cleaning, "MANY_DATES", 2)
-    df = telemetry(spark, *[{"event_timestamp": at(day * 24 * 60)} for day in range(4)])
-    held = cleaning.date_filter(df)
-    days = spark.createDataFrame([(at(d * 24 * 60).date(),) for d in range(-1, 6)], "event_date date")
-    assert days.filter(held).count() == 4
-    assert cleaning.date_filter(df.limit(0)) is None
+def test_many_dates_and_a_stray_one_prune_by_semi_join(lake):
+    """However many dates a batch has, a table is read for just these."""
+    days = [datetime(2020, 1, 1) + timedelta(days=d) for d in range(1500)] + [datetime(2126, 1, 1)]
+    batch = telemetry(lake.spark, *[{"event_timestamp": d} for d in days])
+    lake.append_events("silver.telemetry", telemetry(lake.spark, {}, {"event_timestamp": days[3]}, {"event_timestamp": days[-1]}))
+    held = cleaning.on_dates(lake.read("silver.telemetry"), cleaning.touched_dates(batch))
+    assert sorted(r.event_timestamp for r in held.collect()) == [days[3], days[-1]]
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan(held))
+    assert cleaning.on_dates(lake.read("silver.telemetry"), cleaning.touched_dates(batch.limit(0))).collect() == []
 
 
 def test_copies_are_limited_before_the_shuffle(spark):
@@ -226,12 +229,29 @@ def test_stale_data_is_relative_to_the_given_time(spark):
 
 
 def test_settings_grow_with_the_data(spark):
-    width = lambda size: int(sizing(size)["spark.sql.shuffle.partitions"])
-    assert (width(2**30), width(2**40), width(100 * 2**40)) == (200, 4096, 50_000)
-    assert sizing(2**40)["spark.sql.files.maxPartitionBytes"] < sizing(100 * 2**40)["spark.sql.files.maxPartitionBytes"]
+    width = lambda *a, **b: int(sizing(*a, **b)["spark.sql.shuffle.partitions"])
+    assert (width(2**30), width(2**40), width(100 * 2**40)) == (200, 4096, 409_600)
+    assert width(100 * 2**40, most=50_000) == 50_000 and width(2**40, 2**30) == 1024
+    assert sizing(2**40)["spark.sql.files.maxPartitionBytes"] == sizing(100 * 2**40)["spark.sql.files.maxPartitionBytes"]
     before = {k: spark.conf.get(k) for k in sizing(1)}
     try:
         assert size_for(spark, 2**40).conf.get("spark.sql.shuffle.partitions") == "4096"
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_run_reads_bronze_and_silver_few_times(lake, monkeypatch):
+    """Data scans of one run: bronze for the gate (with the names of statuses), quarantine and cleaning, silver for gold, comparison and detection."""
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, {"event_timestamp": at(24 * 60)}))
+    read, seen = Lake.read, []
+    monkeypatch.setattr(Lake, "read", lambda self, table: seen.append(table) or read(self, table))
+    pipeline.run_pipeline(lake, at(24 * 60))
+    assert seen.count("bronze.telemetry") == 3 and seen.count("silver.telemetry") == 3
+
+
+def test_funnel_and_crosstab_aggregate_in_hash_tables(spark):
+    df = telemetry(spark, {}, {"device_id": "DEV002"})
+    for text in (plan(cleaning.cleaning_funnel(df, df)), plan(profile.status_crosstab(df))):
+        assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    assert len(re.findall("Exchange hash", plan(profile.status_crosstab(df)))) == 1
