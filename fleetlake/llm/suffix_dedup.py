@@ -217,10 +217,11 @@ def repeated(rows: DataFrame) -> DataFrame:
         .where("least <> most")
         .select("high", "low", "least")
     )
-    settled = found.where(F.col("kind") == _SETTLED).select(*order, "first")
-    # at most two edges for each partition of the sort
-    opened = found.where(F.col("kind") == _OPEN).drop("first").join(F.broadcast(edges), ["high", "low"])
-    return settled.union(opened.select(*order, F.col("least").alias("first")))
+    # at most two edges for each partition of the sort; a settled key that goes on elsewhere has the same first document there
+    known = found.where(F.col("kind") != _EDGE).join(F.broadcast(edges), ["high", "low"], "left")
+    return known.where((F.col("kind") == _SETTLED) | F.col("least").isNotNull()).select(
+        *order, F.coalesce("least", "first").alias("first")
+    )
 
 
 def _windows(docs: DataFrame, min_words: int) -> DataFrame:
