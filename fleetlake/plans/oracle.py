@@ -428,6 +428,9 @@ FROM raw WHERE {_BAD_STATUS} GROUP BY 1""",
 FROM silver GROUP BY device_id""",
     "registry_totals": _with(DEVICES)
     + "SELECT count(*) AS row_count, CAST(sum(qubit_count) AS BIGINT) AS total FROM devices",
+    "lineage_sample": _with(RAW) + """SELECT device_id, kafka_partition, kafka_offset, ingested_at FROM raw
+ORDER BY kafka_partition, kafka_offset, ingested_at LIMIT 10""",
+    "bronze_head": _with(RAW) + f"SELECT {_TELEMETRY} FROM raw ORDER BY kafka_partition, kafka_offset, ingested_at LIMIT 10",
     # Incidents
     "incidents": _with(*_I)
     + "SELECT event_key, device_id, incident_type, severity, description, event_timestamp FROM found",
@@ -447,13 +450,14 @@ FROM silver GROUP BY device_id""",
     "severity_histogram": _with(*_I) + "SELECT severity, count(*) AS incident_count FROM incidents GROUP BY 1",
     "newest_incidents": _with(*_I) + """SELECT event_key, device_id, incident_type, severity, event_timestamp, detected_at,
   status FROM incidents ORDER BY detected_at DESC, event_key DESC LIMIT 20""",
-    "device_evidence": _with(*_I, GOLD, DEVICES) + """SELECT d.device_id, gold.health_score, gold.total_events,
-  by_device.raw_incident_count, by_device.critical_count, t.open_incidents
-FROM devices d LEFT JOIN gold USING (device_id) LEFT JOIN by_device USING (device_id)
+    "device_evidence": _with(*_I, GOLD, DEVICES) + f"""SELECT d.*, s.* EXCLUDE (device_id), t.open_incidents
+FROM (SELECT {_REPORT} FROM devices LEFT JOIN gold USING (device_id)) d
+LEFT JOIN by_device s ON d.device_id = s.device_id
 LEFT JOIN (
-  SELECT device_id, string_agg(severity || ':' || incident_type || ':' || occurrence_count || ':' || incident_end, ';'
+  SELECT device_id, string_agg(concat_ws('|', severity, incident_type, occurrence_count, incident_start, incident_end,
+                                         first_detected_at, last_detected_at), ';'
            ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 ELSE 3 END, incident_type) AS open_incidents
-  FROM by_type GROUP BY device_id) t USING (device_id)""",
+  FROM by_type GROUP BY device_id) t ON d.device_id = t.device_id""",
     # Readings over time
     "status_classify_v1": _with(RAW) + f"SELECT kafka_offset, {_operating(False)} AS status FROM raw",
     "status_classify_v2": _with(RAW) + f"SELECT kafka_offset, {_operating(True)} AS status FROM raw",
@@ -547,6 +551,10 @@ FROM job_topic WHERE reject_reason IS NOT NULL""",
   CASE WHEN reject_reason IS NULL THEN job_id END AS job_id, reject_reason FROM job_topic""",
     "csv_roundtrip": _with(JOBS) + """SELECT job_id, user_id, device_id, submitted_at, queued_at, started_at, completed_at,
   queue_time_ms, execution_time_ms, shots, circuit_depth, status, error_code FROM timed_jobs""",
+    # Tables
+    "table_evolution": _with(RAW) + f"SELECT {_TELEMETRY} FROM raw",
+    "table_listing": _with(RAW) + """SELECT 'jobs' AS table_name, 0 AS row_count, true AS other_dropped
+UNION ALL SELECT 'telemetry', count(*), true FROM raw""",
     # Streaming and pipeline
     "stream_bronze": _with(RAW) + f"SELECT {_NO_INGEST} FROM raw WHERE device_id IS NOT NULL",
     "stream_silver": _with(*_S) + f"SELECT {_TELEMETRY} FROM silver",

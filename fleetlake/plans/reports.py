@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions import rules, text, times
@@ -61,14 +62,14 @@ def _silver_before_split(spark: SparkSession, sf: str) -> DataFrame:
     return _silver(spark, sf).filter(F.col("event_timestamp") < F.lit(SPLIT).cast("timestamp_ntz"))
 
 
-def _silver_from_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver(spark, sf).filter(F.col("event_timestamp") >= F.lit(SPLIT).cast("timestamp_ntz"))
-
-
 def _incidents(spark: SparkSession, sf: str) -> DataFrame:
     """Incidents of all silver events, detected five minutes later, the earliest resolved."""
+    return _incidents_of(_silver(spark, sf))
+
+
+def _incidents_of(silver: DataFrame) -> DataFrame:
     old = F.col("event_timestamp") < F.lit(RESOLVED_BEFORE).cast("timestamp_ntz")
-    found = incidents.detect(_silver(spark, sf))
+    found = incidents.detect(silver)
     return found.withColumn("detected_at", F.col("event_timestamp") + F.expr("INTERVAL 5 MINUTES")).withColumn(
         "status", F.when(old, "RESOLVED").otherwise("OPEN")
     )
@@ -82,6 +83,18 @@ def _calibrations(spark: SparkSession, sf: str) -> DataFrame:
     return calibration.with_status(datasets.calibrations(spark, sf))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` stored in the shared folder, so that what several branches read is cleaned once."""
+    path = scratch_dir(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _halves(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+    before = F.col("event_timestamp") < F.lit(SPLIT).cast("timestamp_ntz")
+    return silver.filter(before), silver.filter(~before)
+
+
 def _messages(raw: DataFrame) -> DataFrame:
     """Telemetry as a topic delivers it."""
     return messages.to_messages(raw, schemas.PAYLOAD.fieldNames()).select(
@@ -180,8 +193,9 @@ def upsert_devices(spark, sf):
 @report
 def upsert_health_current(spark, sf):
     stamp = F.lit(SPLIT).cast("timestamp_ntz")
-    current = health.device_health(_silver_before_split(spark, sf)).withColumn("updated_at", stamp)
-    gold = health.device_health(_silver_from_split(spark, sf))
+    before, after = _halves(_kept(_silver(spark, sf)))
+    current = health.device_health(before).withColumn("updated_at", stamp)
+    gold = health.device_health(after)
     update = [c for c in gold.columns if c != "device_id"]
     merged = merge_upsert(
         current, gold, "device_id", update, {"updated_at": F.lit(AS_OF).cast("timestamp_ntz")}
@@ -270,6 +284,17 @@ def registry_totals(spark, sf):
     return profile.column_total(datasets.devices(spark, sf), "qubit_count")
 
 
+@report
+def lineage_sample(spark, sf):
+    first = _raw(spark, sf).orderBy("kafka_partition", "kafka_offset", "ingested_at")
+    return profile.lineage_sample(first)
+
+
+@report
+def bronze_head(spark, sf):
+    return profile.head(_raw(spark, sf).orderBy("kafka_partition", "kafka_offset", "ingested_at"))
+
+
 # Incidents ---------------------------------------------------------------------------
 
 
@@ -280,8 +305,9 @@ def incidents_(spark, sf):
 
 @report
 def incidents_insert_absent(spark, sf):
-    existing = incidents.opened(incidents.detect(_silver_before_split(spark, sf)), SPLIT)
-    new_ones = incidents.absent(incidents.detect(_silver(spark, sf)), existing)
+    silver = _kept(_silver(spark, sf))
+    existing = incidents.opened(incidents.detect(_halves(silver)[0]), SPLIT)
+    new_ones = incidents.absent(incidents.detect(silver), existing)
     return existing.unionByName(incidents.opened(new_ones, AS_OF))
 
 
@@ -327,22 +353,16 @@ def newest_incidents(spark, sf):
 
 @report
 def device_evidence(spark, sf):
-    gold = health.device_health(_silver(spark, sf))
-    found = incidents.device_evidence(datasets.devices(spark, sf), gold, _incidents(spark, sf))
+    silver = _kept(_silver(spark, sf))
+    found = incidents.device_evidence(datasets.devices(spark, sf), health.device_health(silver), _incidents_of(silver))
+    times_ = ("incident_start", "incident_end", "first_detected_at", "last_detected_at")
     listed = F.transform(
         "open_incidents",
         lambda i: F.concat_ws(
-            ":", i.severity, i.incident_type, i.occurrence_count.cast("string"), i.incident_end.cast("string")
+            "|", i.severity, i.incident_type, i.occurrence_count.cast("string"), *[i[c].cast("string") for c in times_]
         ),
     )
-    return found.select(
-        "device_id",
-        "device_health.health_score",
-        "device_health.total_events",
-        "incident_summary.raw_incident_count",
-        "incident_summary.critical_count",
-        F.array_join(listed, ";").alias("open_incidents"),
-    )
+    return found.select("device_health.*", "incident_summary.*", F.array_join(listed, ";").alias("open_incidents"))
 
 
 # Readings over time ------------------------------------------------------------------
@@ -573,6 +593,39 @@ def csv_roundtrip(spark, sf):
     return files.read_csv(spark, path, schemas.JOBS_CSV)
 
 
+# Tables ------------------------------------------------------------------------------
+
+
+@report
+def table_evolution(spark, sf):
+    """Rows of a table before and after it got the columns of the second version; adding them again changes nothing."""
+    lake, name = _new_lake(spark), "bronze.versions"
+    raw = _raw(spark, sf)
+    first = T.StructType([f for f in schemas.TELEMETRY.fields if f.name not in schemas.V2_ONLY])
+    lake.create_table(name, first)
+    is_v1 = text.lower_stripped(F.col("schema_version")) == "v1"
+    conform(raw.filter(is_v1), first).write.insertInto(lake.name(name))
+    lake.add_missing_columns(name, schemas.TELEMETRY)
+    lake.add_missing_columns(name, schemas.TELEMETRY)
+    columns = lake.read(name).columns
+    conform(raw.filter(~is_v1), schemas.TELEMETRY).select(columns).write.insertInto(lake.name(name))
+    return lake.read(name).select(schemas.TELEMETRY.fieldNames())
+
+
+@report
+def table_listing(spark, sf):
+    """The tables of a namespace with their rows, after one was dropped."""
+    lake = _new_lake(spark)
+    lake.append_events("bronze.telemetry", _raw(spark, sf))
+    dropped = lake.drop_table("bronze.rejected")
+    listed = None
+    for name in lake.list_tables("bronze"):
+        counted = lake.read(f"bronze.{name}").agg(F.count(F.lit(1)).alias("row_count"))
+        row = counted.select(F.lit(name).alias("table_name"), "row_count", F.lit(dropped).alias("other_dropped"))
+        listed = row if listed is None else listed.unionByName(row)
+    return listed
+
+
 # Streaming and pipeline --------------------------------------------------------------
 
 

@@ -18,7 +18,7 @@ from fleetlake.session import scratch_dir, shared_dir, size_for, sizing
 from fleetlake.sources.tables import Lake
 
 # These write tables or run streams while the result is set up.
-EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "run_metrics", "incidents_after_two_runs", "csv_roundtrip"}
+EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "run_metrics", "incidents_after_two_runs", "csv_roundtrip", "table_evolution", "table_listing"}
 
 
 def plan(df) -> str:
