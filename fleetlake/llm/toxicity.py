@@ -64,10 +64,12 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _telling(flat: np.ndarray, owner: np.ndarray, grades: np.ndarray) -> np.ndarray:
+def _telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
     """The features whose documents' mean grade differs most from the rest's, in order."""
-    documents = np.bincount(flat, minlength=FEATURES)
-    apart = np.bincount(flat, (grades - grades.mean())[owner], FEATURES)
+    documents, apart = np.zeros(FEATURES, np.int32), np.zeros(FEATURES)
+    for features, off in zip(rows, grades - grades.mean(), strict=True):
+        documents[features] += 1
+        apart[features] += off
     apart = np.abs(apart) / np.sqrt(np.maximum(documents, 1))
     apart[documents < LEAST_DOCUMENTS] = 0
     least = np.partition(apart, -WEIGHED)[-WEIGHED]
@@ -80,13 +82,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = ST
     Proximal gradient steps with per-weight step sizes on the mean negative log likelihood, with an
     absolute-value penalty that leaves most weights at zero.
     """
-    flat = np.concatenate(rows).astype(np.int32)
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    used = _telling(flat, owner, grades)
+    used = _telling(rows, grades)
     places = np.full(FEATURES, -1, np.int32)
     places[used] = np.arange(len(used))
-    column = places[flat]
-    owner, column = owner[column >= 0], column[column >= 0]
+    columns = [c[c >= 0] for c in (places[r] for r in rows)]
+    column = np.concatenate(columns)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(c) for c in columns])
     weights = np.zeros(len(used))
     shares = 1 - np.arange(1, levels) / levels
     first = np.log((1 - shares) / shares)
@@ -152,6 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE_PER_GRADE,
         return Model({}, np.array([np.inf]))
     rows = [np.frombuffer(r.features, np.int32) for r in found]
     known = np.array([names.index(r.grade) for r in found])
+    del found
     model = fit(rows, known, len(names))
     if len(names) == 2 and grades > 2:
         scores = np.array([model.score(model.weights.keys() & r.tolist()) for r in rows])
