@@ -80,7 +80,7 @@ def check(rows, pieces, length=1024):
         assert [p.offset for p in parts] == np.cumsum([0] + [p.length for p in parts])[:-1].tolist()
         assert {p.sequence_length for p in parts} == {sum(p.length for p in parts)}
     lengths = [x[0].sequence_length for x in by_sequence.values()]
-    return padding(lengths, length) / sum(lengths), len(lengths)
+    return padding(lengths, length) / max(sum(lengths), 1), len(lengths)
 
 
 def test_pieces_of_odd_documents(spark):

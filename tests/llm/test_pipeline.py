@@ -76,3 +76,20 @@ def test_every_token_is_packed(stages):
 def test_run_gives_the_last_stage(spark, stages):
     out = entry_points.queries()["pipeline"](spark, SF_DIR)
     assert out.columns == stages[5].columns and out.count() == stages[5].count()
+
+
+@pytest.mark.parametrize("empty", [True, False])
+def test_odd_rows_pass_every_stage(spark, empty):
+    """Nulls, empty and very long texts, repeated rows and an extra column; and a table without rows."""
+    long = " ".join(f"word{i}" for i in range(30_000))
+    rows = [(1, None, "en", "s", None, 1), (2, "", None, None, 0, 1), (None, "text without an id", "en", "s", 18, 1), (None, None, None, None, None, None)]
+    rows += [(3, long, "en", "s", len(long), 1), (4, "one short text", "en", "s", 14, 1), (4, "one short text", "en", "s", 14, 1), (5, "x" * 200_000, "en", "s", 200_000, 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, removed int"
+    docs = spark.createDataFrame([] if empty else rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF_DIR), name)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "removed"]
+    kept = {(r.doc_id, r.text) for r in docs.collect()}
+    # the texts without words are one group, of which the smallest id stays
+    assert kept == (set() if empty else {(1, None), (None, "text without an id"), (3, long), (4, "one short text"), (5, "x" * 200_000)})
+    check([] if empty else list(kept), corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect())
