@@ -13,13 +13,23 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_BYTES = 32 * 2**20
 
 
+#: Bytes of a batch of rows that Spark hands to a task's Python function at once.
+BATCH_BYTES = 16 * 2**20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the batches that later queries hand to Python, so that long texts don't add up to much memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
+    spark = small_batches(df.sparkSession)
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import checked_broadcast, stored
-from fleetlake.llm.decontaminate import merged
 
 #: Words of the shortest passage that counts.
 MIN_WORDS = 50
@@ -311,14 +310,18 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
+            bounds = batch["all"].offsets.to_numpy()
+            bounds = bounds - bounds[0]
+            found = batch["all"].flatten()
+            start, end = (found.field(c).to_numpy() for c in ("start", "end"))
+            own = found.field("own").to_numpy(zero_copy_only=False)
             removed, kept = [], []
-            for found in batch["all"].to_pylist():
-                cut = merged([(s["start"], s["end"]) for s in found if not s["own"]])
-                rest = merged([(s["start"], s["end"]) for s in found if s["own"]])
-                removed.append([{"start": a, "end": b} for a, b in cut])
-                kept.append([{"start": a, "end": b} for a, b in _without(rest, cut)])
-            spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                cut, rest = (_joined(start[a:b][which], end[a:b][which]) for which in (~own[a:b], own[a:b]))
+                removed.append([{"start": x, "end": y} for x, y in cut])
+                kept.append([{"start": x, "end": y} for x, y in _without(rest, cut)])
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["mark"], pa.array(removed, spans_type), pa.array(kept, spans_type)],
                 ["doc_id", "mark", "removed", "kept"],
@@ -329,6 +332,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def _joined(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Spans in order, with touching ones made one."""
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.concatenate([[0], np.flatnonzero(starts[1:] > reach[:-1]) + 1])
+    last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
+    return list(zip(starts[first].tolist(), reach[last].tolist(), strict=True))
+
+
 def _without(spans: list[tuple[int, int]], cut: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What of the spans lies outside the cuts; both in order and apart."""
     out, i = [], 0

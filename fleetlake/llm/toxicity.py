@@ -34,7 +34,7 @@ WEIGHED, LEAST_DOCUMENTS = 20_000, 3
 #: Steps of the fit, step size, and pull of weights towards zero.
 STEPS, RATE, SHRINK = 300, 0.05, 1e-3
 #: Words whose weights a task remembers.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 
 def word_features(word: bytes) -> list[int]:
