@@ -83,14 +83,21 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share a passage: words removed and kept, and their stretches as ``first-behind`` texts."""
     found = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
-    words = lambda spans: F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+    def words(spans: str):
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+    def listed(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+
     return found.select(
         "doc_id",
         words("removed").alias("n_removed"),
         words("kept").alias("n_kept"),
-        "removed",
-        "kept",
+        listed("removed").alias("removed"),
+        listed("kept").alias("kept"),
     )
 
 
@@ -215,6 +222,29 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {NEIGHBOURS}
     """,
+    "op8_suffix_dedup": f"""
+        WITH texts AS (SELECT DISTINCT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        runs AS (
+            SELECT doc_id, i, list_slice(w, i, i + {suffix_dedup.MIN_WORDS - 1}) AS run
+            FROM texts, unnest(range(1, len(w) - {suffix_dedup.MIN_WORDS} + 2)) AS u(i)
+        ),
+        shared AS (SELECT run, min(doc_id) AS first FROM runs GROUP BY run HAVING min(doc_id) <> max(doc_id)),
+        words AS (
+            SELECT doc_id, j, bool_or(first <> doc_id) AS cut
+            FROM runs JOIN shared USING (run), unnest(range(i - 1, i - 1 + {suffix_dedup.MIN_WORDS})) AS u(j)
+            GROUP BY doc_id, j
+        ),
+        numbered AS (SELECT *, j - row_number() OVER (PARTITION BY doc_id, cut ORDER BY j) AS island FROM words),
+        spans AS (
+            SELECT doc_id, cut, min(j) AS a, count(*) AS n, min(j) || '-' || (max(j) + 1) AS span
+            FROM numbered GROUP BY doc_id, cut, island
+        )
+        SELECT doc_id, coalesce(sum(n) FILTER (cut), 0)::BIGINT AS n_removed,
+               coalesce(sum(n) FILTER (NOT cut), 0)::BIGINT AS n_kept,
+               coalesce(string_agg(span, ',' ORDER BY a) FILTER (cut), '') AS removed,
+               coalesce(string_agg(span, ',' ORDER BY a) FILTER (NOT cut), '') AS kept
+        FROM spans GROUP BY doc_id
+    """,
     "op9_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
