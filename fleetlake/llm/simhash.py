@@ -28,7 +28,7 @@ MAX_BITS = 4
 SEED = 42
 BITS = 64
 #: Variants that a task expands at once, and fingerprints that one group of them may have.
-VARIANTS_AT_ONCE = 4 * 2**20
+VARIANTS_AT_ONCE = 2 * 2**20
 GROUP_ROWS = 1_000_000
 #: Shingles whose bits are counted at once.
 HASHES_AT_ONCE = 2**16
@@ -204,7 +204,8 @@ def one_of_each(docs: DataFrame, distance: int = MAX_BITS, shingle: int = SHINGL
     """
     found = stored(near_duplicates(docs, distance, shingle), "simhash-found")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
-    firsts = found.groupBy("root").agg(F.min(rank).alias("first"))
+    # stored, so that the join shuffles both sides anew and can split a large component
+    firsts = stored(found.groupBy("root").agg(F.min(rank).alias("first")), "simhash-firsts")
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
     judged = found.join(firsts, "root").groupBy("doc_id", "mark").agg(
         F.every(is_first).alias("kept"), F.count(F.lit(1)).alias("copies")
