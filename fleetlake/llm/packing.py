@@ -33,7 +33,7 @@ WINDOW_COST, SENTENCE_COST, INNER_COST = 16, 2, 8
 #: Within a sentence, cuts are allowed at every so manieth token.
 INNER_STEP = 64
 #: Text bytes of the documents that are packed together, one document at least.
-STRETCH_BYTES = 8 * 2**20
+STRETCH_BYTES = 2 * 2**20
 _LONG_SPACE = re.compile(r"\s{1000}")
 
 PIECES = (
