@@ -90,33 +90,34 @@ def invalid_statuses(df: DataFrame) -> DataFrame:
 def quality_report(df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> DataFrame:
     """All checks as rows ``(check_name, subject, violations, passed, message)``.
 
-    One pass counts everything per event identity, pre-aggregated before its one shuffle, and adds
-    the counts up; the message on statuses names them in order, from a second pass over that column.
+    The message on statuses names them in order, from a pass over that column.
     """
     return report_of(quality_measures(df), df, as_of, max_age_hours)
 
 
 def quality_measures(df: DataFrame) -> DataFrame:
-    """What the checks count, as one row: all rows, surplus copies, missing and unfit values, the latest event."""
+    """What the checks count, as one row: all rows, surplus copies, missing and unfit values, the latest event.
+
+    All but the copies come out of one aggregate without a shuffle of rows. Copies are counted by a shuffle of the
+    two identity columns, read once more: identities are nearly as many as rows, so counting everything per
+    identity would shuffle all counts instead.
+    """
     present = set(df.columns)
     counted = {f"null_{c}": F.col(c).isNull() for c in REQUIRED if c in present}
     counted |= {f"range_{c}": _out_of_range(df, c) for c in RANGES if c in present}
     if "system_status" in present:
         counted["bad_status"] = _bad_status(F.col("system_status"))
     measures = [F.count(F.lit(1)).alias("rows"), *[F.count_if(v).alias(k) for k, v in counted.items()]]
-    totals = [F.sum(c) for c in ("rows", *counted)]
     if "event_timestamp" in present:
         measures.append(F.max(F.col("event_timestamp").try_cast("timestamp_ntz")).alias("latest"))
-    keys = []
+    measured = df.agg(*measures)
     if set(IDENTITY) <= present:
-        keys = [
-            upper_stripped(F.col("device_id")).alias("_device"),
-            F.col("event_timestamp").try_cast("timestamp_ntz").alias("_time"),
-        ]
-    totals = [F.coalesce(t, F.lit(0)).alias(c) for t, c in zip(totals, ("rows", *counted), strict=True)]
-    surplus = F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("surplus")
-    latest = [F.max("latest").alias("latest")] if "event_timestamp" in present else []
-    return df.groupBy(*keys).agg(*measures).agg(*totals, surplus, *latest)
+        keys = df.select(
+            upper_stripped(F.col("device_id")).alias("device_id"),
+            F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),
+        )
+        measured = measured.withColumn("surplus", surplus_copies(keys).scalar())
+    return measured
 
 
 def report_of(measured: DataFrame, df: DataFrame, as_of: datetime, max_age_hours: int = 24) -> DataFrame:
