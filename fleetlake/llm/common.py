@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +20,30 @@ BROADCAST_BYTES = 32 * 2**20
 BATCH_BYTES = 16 * 2**20
 
 
+#: The folder that holds this package.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> SparkSession:
-    """Bound the batches that later queries hand to Python, so that long texts don't add up to much memory."""
+def prepared(spark: SparkSession) -> SparkSession:
+    """Let later queries' Python tasks find this package, wherever the application was started, and bound their batches.
+
+    Batches of a bounded size keep long texts from adding up to much memory.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
-    spark = small_batches(df.sparkSession)
+    spark = prepared(df.sparkSession)
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
