@@ -242,7 +242,7 @@ def test_settings_grow_with_the_data(spark):
 
 
 def test_a_run_reads_bronze_and_silver_few_times(lake, monkeypatch):
-    """Data scans of one run: bronze for the gate (with the names of statuses), quarantine and cleaning, silver for gold, comparison and detection."""
+    """Tables a run opens, not scans: bronze for the gate (which scans it three times), quarantine and cleaning; silver for gold, comparison and detection."""
     lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, {"event_timestamp": at(24 * 60)}))
     read, seen = Lake.read, []
     monkeypatch.setattr(Lake, "read", lambda self, table: seen.append(table) or read(self, table))
