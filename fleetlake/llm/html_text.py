@@ -10,8 +10,9 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,11 +25,13 @@ from fleetlake.llm.url_filter import url_host
 WINNER_BYTES = 512
 #: Share of a block's text that the next outer container gets, and so on down to the least share.
 OUTER, LEAST_SHARE = 0.5, 0.01
+#: Share of the page's text, links apart, above which an element that is only named like noise is kept.
+MOST = 0.5
 
 # Element and class names as HTML and its authors use them. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title noscript template textarea iframe svg math object".split())
-DROPPED = frozenset("nav header footer aside form button select dialog menu".split())
+DROPPED = frozenset("nav header footer aside button select dialog menu".split())
 CONTAINERS = frozenset("body main article section div td".split())
 BLOCKS = CONTAINERS | frozenset(
     "html p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption blockquote pre address "
@@ -40,7 +43,7 @@ NOISE = frozenset(
     "navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist disqus reply replies "
     "related recommended widget widgets toolbar pagination pager login search skip".split()
 )
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 PARAGRAPHS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 SCOPES = frozenset(("table", "ul", "ol", "dl"))
 #: A start tag on the left ends open elements of the tags on the right. Fixed values.
@@ -61,7 +64,6 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_ARTICLE = re.compile(r"<(?:article|main)(?=[\s/>])", re.IGNORECASE)
 _DIGITS = re.compile(r"\d+")
 _NAME_PARTS = re.compile(r"[^a-z]+")
 
@@ -77,6 +79,7 @@ class Container:
     start: int
     end: int = 0
     score: float = 0.0
+    own_article: bool = False  # an article or main part that isn't named like noise
 
     def path(self) -> str:
         steps, at = [], self
@@ -96,19 +99,42 @@ class Container:
         return True
 
 
+@dataclass
+class Noise:
+    """An element that is dropped, or unless it holds the text: its blocks and containers, from and to.
+
+    ``first`` has the block and container at which the first article or main part in it starts; ``holds``
+    tells of one that is the page's own, neither named like noise nor a part of an article around the element.
+    """
+
+    surely: bool
+    in_article: bool
+    in_main: bool
+    start: tuple[int, int]
+    end: tuple[int, int] = (0, 0)
+    first: tuple[int, int] | None = None
+    holds: bool = False
+
+
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
 def _noise(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether the element is never text, by its tag, role or being hidden."""
     if tag in ("html", "head", "body"):
         return False
     if tag in DROPPED or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if attributes.get("role", "").lower() in NOISE_ROLES:
-        return True
+    return attributes.get("role", "").lower() in NOISE_ROLES
+
+
+def _like_noise(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether the element is a form or has a class or id like noise; wrappers of the text may be, too."""
+    if tag in ("html", "head", "body"):
+        return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return tag not in ("main", "article") and not NOISE.isdisjoint(_NAME_PARTS.split(names))
+    return tag == "form" or attributes.get("role", "").lower() == "form" or not NOISE.isdisjoint(_NAME_PARTS.split(names))
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -121,12 +147,18 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
     """The containers of a page in the order in which they start, the page itself first, and its blocks.
 
     Unclosed elements end where the next block or the container around them does; an end tag
-    without a start counts for nothing. What is in dropped elements is in no block.
+    without a start counts for nothing. What is in dropped elements is in no block. An element without
+    its own end tag is dropped up to the first article or main part in it.
     """
     root = Container("", "", None, 0, 0)
     found, blocks = [root], []
-    open_tags: list[tuple[str, Container | None]] = []  # with the container, where the element is one
+    inside: list[Container] = []  # of each block
+    sizes: list[tuple[int, int]] = []  # characters of each block and of the links in it
+    open_tags: list[tuple[str, Container | None, Noise | None]] = []  # with what it is, if it is one
     opened: Counter[str] = Counter()
+    noises: list[Noise] = []
+    open_noises: list[Noise] = []
+    articles: list[tuple[int, int]] = []  # blocks of the page's own article and main parts
     here = root
     text: list[str] = []
     in_links = 0  # characters of this block
@@ -137,24 +169,28 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
         text.clear()
         if block:
             blocks.append(block)
-            gain = max(len(block) - 2 * in_links, 0)
-            at, share = here, 1.0
-            while at is not None and share >= LEAST_SHARE:
-                at.score += gain * share
-                at, share = at.outer, share * OUTER
+            inside.append(here)
+            sizes.append((len(block), in_links))
         in_links = 0
 
-    def close(down_to: int) -> None:
+    def close(down_to: int, ended: bool = False) -> None:
+        """End the open elements from ``down_to`` on; ``ended`` tells that the first has its own end tag."""
         nonlocal here
         while len(open_tags) > down_to:
-            tag, container = open_tags[-1]
-            if tag in BLOCKS:
+            tag, container, noise = open_tags[-1]
+            if tag in BLOCKS or noise is not None:
                 flush()
             if container is not None:
                 container.end = len(blocks)
                 here = container.outer
+                if container.own_article:
+                    articles.append((container.start, container.end))
             open_tags.pop()
             opened[tag] -= 1
+            if noise is not None:
+                own_end = ended and len(open_tags) == down_to
+                noise.end = (len(blocks), len(found)) if own_end or noise.first is None else noise.first
+                open_noises.pop()
 
     def close_open(tags: tuple[str, ...]) -> None:
         """End the innermost open element of these, unless another container or list is in between."""
@@ -165,6 +201,15 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
             if open_tags[i][1] is not None or open_tags[i][0] in SCOPES:
                 return
 
+    def article_starts(tag: str, own: bool) -> None:
+        """Tell the open elements that may be dropped; the outer ones know what an inner one knows."""
+        for noise in reversed(open_noises):
+            counts = own and (tag == "main" or not noise.in_article)
+            if noise.first is not None and (noise.holds or not counts):
+                return
+            noise.first = noise.first or (len(blocks), len(found))
+            noise.holds = noise.holds or counts
+
     def add(part: str) -> None:
         nonlocal in_links
         decoded = html.unescape(part)
@@ -187,29 +232,89 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                     text.append(" ")
                 elif tag == "hr":
                     flush()
-            elif _noise(tag, attributes):
-                flush()
-                position = _behind(page, tag, position)
             else:
+                surely, like = _noise(tag, attributes), _like_noise(tag, attributes)
                 if tag in BLOCKS:
                     close_open(PARAGRAPHS)
-                    flush()
                 if tag in ENDS:
                     close_open(ENDS[tag])
+                if tag in BLOCKS or surely or like:
+                    flush()
+                noise = None
+                if surely or (like and tag not in ("article", "main")):
+                    noise = Noise(surely, opened["article"] > 0, opened["main"] > 0, (len(blocks), len(found)))
+                    noises.append(noise)
+                    open_noises.append(noise)
+                elif tag in ("article", "main"):
+                    article_starts(tag, not like)
                 container = None
                 if tag in CONTAINERS:
                     container = Container(_step(tag, attributes), tag, here, here.depth + 1, len(blocks))
+                    container.own_article = tag in ("article", "main") and not like
                     found.append(container)
                     here = container
-                open_tags.append((tag, container))
+                open_tags.append((tag, container, noise))
                 opened[tag] += 1
         elif m[3] and opened[tag := m[3].lower()]:
-            close(max(i for i, x in enumerate(open_tags) if x[0] == tag))
+            close(next(i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), ended=True)
     add(page[position:])
     close(0)
     flush()
     root.end = len(blocks)
-    return found, blocks
+    return _without_noise(found, blocks, inside, sizes, noises, articles)
+
+
+def _covered(spans: Iterable[tuple[int, int]], length: int) -> list[bool]:
+    """For each of ``length`` positions whether a span has it."""
+    change = [0] * (length + 1)
+    for start, end in spans:
+        change[start] += 1
+        change[end] -= 1
+    return [depth > 0 for depth in accumulate(change[:-1])]
+
+
+def _without_noise(
+    found: list[Container],
+    blocks: list[str],
+    inside: list[Container],
+    sizes: list[tuple[int, int]],
+    noises: list[Noise],
+    articles: list[tuple[int, int]],
+) -> tuple[list[Container], list[str]]:
+    """The containers and blocks that stay, scored.
+
+    An element that is only named like noise, or a form, stays if it holds an article or main part of the
+    page's own or most of the page's text, links apart. Most of the text is not enough where an article or
+    main part with text stands beside it: long comments behind an article are not the page's text.
+    """
+    sure = _covered([(n.start[0], n.end[0]) for n in noises if n.surely], len(blocks))
+    plain = [0 if s else max(length - links, 0) for s, (length, links) in zip(sure, sizes, strict=True)]
+    upto = [0, *accumulate(plain)]
+    in_article = _covered(articles, len(blocks))
+    article_upto = [0, *accumulate(size * a for size, a in zip(plain, in_article, strict=True))]
+
+    def stays(noise: Noise) -> bool:
+        if noise.surely or noise.holds:
+            return not noise.surely
+        start, end = noise.start[0], noise.end[0]
+        beside = article_upto[-1] - (article_upto[end] - article_upto[start])
+        if beside and not (noise.in_article or noise.in_main):
+            return False
+        return upto[end] - upto[start] > MOST * upto[-1]
+
+    gone = [n for n in noises if not stays(n)]
+    block_gone = _covered([(n.start[0], n.end[0]) for n in gone], len(blocks))
+    container_gone = _covered([(n.start[1], n.end[1]) for n in gone], len(found))
+    kept_upto = [0, *accumulate(not g for g in block_gone)]
+    for container in found:
+        container.start, container.end = kept_upto[container.start], kept_upto[container.end]
+    for at, (length, links), dropped in zip(inside, sizes, block_gone, strict=True):
+        gain, share = 0 if dropped else max(length - 2 * links, 0), 1.0
+        while gain and at is not None and share >= LEAST_SHARE:
+            at.score += gain * share
+            at, share = at.outer, share * OUTER
+    kept = [b for b, g in zip(blocks, block_gone, strict=True) if not g]
+    return [c for c, g in zip(found, container_gone, strict=True) if not g], kept
 
 
 def _behind_raw(page: str, tag: str, start: int) -> int:
@@ -218,23 +323,6 @@ def _behind_raw(page: str, tag: str, start: int) -> int:
     return m.end() if m else len(page)
 
 
-def _behind(page: str, tag: str, start: int) -> int:
-    """Behind the end tag that closes a dropped element; without one, before an article or main part, or the page's end."""
-    depth, begin = 1, start
-    for m in _TOKEN.finditer(page, start):
-        if m.start() < start:
-            continue
-        name = (m[1] or m[3] or m[4] or "").lower()
-        if not m[3] and name in RAW:
-            start = _behind_raw(page, name, m.end())
-        elif name == tag:
-            depth += -1 if m[3] else 1
-            if not depth:
-                return m.end()
-    m = _ARTICLE.search(page, begin)
-    return m.start() if m else len(page)
-
-
 def best(found: list[Container]) -> Container:
     """The container of the highest score, the first of equals; the article or main part around it, if there is one."""
     chosen = max(found, key=lambda c: c.score)

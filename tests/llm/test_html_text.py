@@ -67,6 +67,34 @@ def test_odd_markup(page, text):
     assert own(page) == text
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='layout has-sidebar'>{}</div>",
+        "<div class=no-sidebar>{}</div>",
+        "<section class='content-with-nav'>{}</section>",
+        "<div id='page-header-wrap'><div class=social-science>{}</div></div>",
+        "<form action=x method=post>{}</form>",
+        "<div role=form>{}</div>",
+    ],
+)
+def test_a_wrapper_named_like_noise_keeps_the_text(wrapper):
+    parts = f"<p>{LONG}</p><p>{LONG * 2}</p>"
+    beside = f"<nav>{LONG * 9}</nav><div class=sidebar><p>{LONG}</p></div><footer>{LONG * 9}</footer>"
+    expected = f"{LONG.strip()}\n\n{(LONG * 2).strip()}"
+    assert own(f"<body>{wrapper.format(f'<article>{parts}</article>{beside}')}</body>") == expected
+    assert own(f"<body>{wrapper.format(f'<main>{parts}</main>')}{beside}</body>") == expected
+    assert own(f"<body>{wrapper.format(f'<div class=x>{parts}</div>{beside}')}</body>") == expected
+    assert own(f"<body><main>{wrapper.format(parts)}{beside}</main></body>") == expected
+
+
+def test_long_noise_beside_an_article_is_dropped():
+    comments = f"<div id=comments><ol><li><article class=comment-body><p>{LONG * 9}</p></article></ol></div>"
+    assert own(f"<body><article><p>{LONG}</p></article>{comments}</body>") == LONG.strip()
+    related = f"<div class=related><article><p>{LONG * 9}</p></article></div>"
+    assert own(f"<body><article><p>{LONG * 10}</p>{related}</article></body>") == (LONG * 10).strip()
+
+
 def test_deep_and_long_pages_take_no_more_than_their_length():
     deep = "<div>" * 20_000 + LONG + "</div>" * 20_000
     assert own(deep) == LONG.strip()
