@@ -2,7 +2,7 @@
 
 Every page's containers are scored by the text that stands right in them, links apart, and the best
 one gives its path of tags and classes, numbers generalised. Spark counts these votes per host, and the
-text of each page is taken from the container at its host's winning path.
+text of each page is taken from the containers at its host's winning path.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ WINNER_BYTES = 512
 OUTER, LEAST_SHARE = 0.5, 0.01
 #: Share of the page's text, links apart, above which an element that is only named like noise is kept.
 MOST = 0.5
+#: Share of a container's text, links apart, that none of its children may leave out.
+LEFT_OUT = 0.1
 
 # Element and class names as HTML and its authors use them. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,7 +72,11 @@ _NAME_PARTS = re.compile(r"[^a-z]+")
 
 @dataclass
 class Container:
-    """An element that holds blocks: the step of its path, where its blocks start and end, and its score."""
+    """An element that holds blocks: the step of its path, where its blocks start and end, and its score.
+
+    Containers of a page with the same path have the same ``place``. ``own`` has the characters that stand right
+    in it, links apart twice, ``total`` those in all of it, ``titles`` those of its level-one headings.
+    """
 
     step: str
     tag: str
@@ -78,7 +84,11 @@ class Container:
     depth: int
     start: int
     end: int = 0
+    place: int = 0
     score: float = 0.0
+    own: int = 0
+    total: int = 0
+    titles: int = 0
     own_article: bool = False  # an article or main part that isn't named like noise
 
     def path(self) -> str:
@@ -153,7 +163,8 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
     root = Container("", "", None, 0, 0)
     found, blocks = [root], []
     inside: list[Container] = []  # of each block
-    sizes: list[tuple[int, int]] = []  # characters of each block and of the links in it
+    sizes: list[tuple[int, int, bool]] = []  # characters of each block and of the links in it; in a title
+    places: dict[tuple[int, str], int] = {}
     open_tags: list[tuple[str, Container | None, Noise | None]] = []  # with what it is, if it is one
     opened: Counter[str] = Counter()
     noises: list[Noise] = []
@@ -170,7 +181,7 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
         if block:
             blocks.append(block)
             inside.append(here)
-            sizes.append((len(block), in_links))
+            sizes.append((len(block), in_links, opened["h1"] > 0))
         in_links = 0
 
     def close(down_to: int, ended: bool = False) -> None:
@@ -249,7 +260,9 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                     article_starts(tag, not like)
                 container = None
                 if tag in CONTAINERS:
-                    container = Container(_step(tag, attributes), tag, here, here.depth + 1, len(blocks))
+                    step = _step(tag, attributes)
+                    container = Container(step, tag, here, here.depth + 1, len(blocks))
+                    container.place = places.setdefault((here.place, step), len(places) + 1)
                     container.own_article = tag in ("article", "main") and not like
                     found.append(container)
                     here = container
@@ -277,7 +290,7 @@ def _without_noise(
     found: list[Container],
     blocks: list[str],
     inside: list[Container],
-    sizes: list[tuple[int, int]],
+    sizes: list[tuple[int, int, bool]],
     noises: list[Noise],
     articles: list[tuple[int, int]],
 ) -> tuple[list[Container], list[str]]:
@@ -288,7 +301,7 @@ def _without_noise(
     main part with text stands beside it: long comments behind an article are not the page's text.
     """
     sure = _covered([(n.start[0], n.end[0]) for n in noises if n.surely], len(blocks))
-    plain = [0 if s else max(length - links, 0) for s, (length, links) in zip(sure, sizes, strict=True)]
+    plain = [0 if s else max(length - links, 0) for s, (length, links, _) in zip(sure, sizes, strict=True)]
     upto = [0, *accumulate(plain)]
     in_article = _covered(articles, len(blocks))
     article_upto = [0, *accumulate(size * a for size, a in zip(plain, in_article, strict=True))]
@@ -308,11 +321,17 @@ def _without_noise(
     kept_upto = [0, *accumulate(not g for g in block_gone)]
     for container in found:
         container.start, container.end = kept_upto[container.start], kept_upto[container.end]
-    for at, (length, links), dropped in zip(inside, sizes, block_gone, strict=True):
+    for at, (length, links, title), dropped in zip(inside, sizes, block_gone, strict=True):
         gain, share = 0 if dropped else max(length - 2 * links, 0), 1.0
+        at.own += gain
+        at.total += gain
+        at.titles += gain * title
         while gain and at is not None and share >= LEAST_SHARE:
             at.score += gain * share
             at, share = at.outer, share * OUTER
+    for container in reversed(found[1:]):
+        container.outer.total += container.total
+        container.outer.titles += container.titles
     kept = [b for b, g in zip(blocks, block_gone, strict=True) if not g]
     return [c for c, g in zip(found, container_gone, strict=True) if not g], kept
 
@@ -324,23 +343,36 @@ def _behind_raw(page: str, tag: str, start: int) -> int:
 
 
 def best(found: list[Container]) -> Container:
-    """The container of the highest score, the first of equals; the article or main part around it, if there is one."""
+    """The container of the highest score, the first of equals, or one around it that has more of the text.
+
+    The article or main part around it is taken, if there is one. Otherwise a parent is taken that has text of
+    its own or a title besides, or whose other children have more than a small share of its text.
+    """
     chosen = max(found, key=lambda c: c.score)
     at = chosen
     while at is not None:
         if at.tag in ("article", "main"):
             return at
         at = at.outer
+    at = chosen
+    while (parent := at.outer) is not None:
+        left_out = parent.total - at.total
+        if parent.own or parent.titles > at.titles or left_out > LEFT_OUT * parent.total:
+            chosen = parent
+        at = parent
     return chosen
 
 
 def main_text(page: str, path: str | None) -> str:
-    """The blocks in the container at the path, of several the best; without one in the page's own best."""
+    """The blocks in all containers at the path, in the page's order; without text there, at the path of the page's own best."""
     found, blocks = containers(page)
     steps = path.split(">") if path else None
-    at_path = [c for c in found if c.is_at(steps)] if steps else []
-    chosen = max(at_path, key=lambda c: c.score) if at_path else best(found)
-    return "\n\n".join(blocks[chosen.start : chosen.end])
+
+    def parts(chosen: Container | None) -> list[str]:
+        return [b for c in found if c.place == chosen.place for b in blocks[c.start : c.end]] if chosen else []
+
+    at_path = next((c for c in found if c.is_at(steps)), None) if steps else None
+    return "\n\n".join(parts(at_path) or parts(best(found)))
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -357,7 +389,7 @@ def votes(pages: DataFrame) -> DataFrame:
                 ],
                 ["host", "path", "score"],
             )
-            yield voted.filter(pa.array([c.score > 0 for c in chosen], pa.bool_()))
+            yield voted.filter(pa.array([c.total > 0 for c in chosen], pa.bool_()))
 
     hosted = pages.select(url_host(F.col("url")).alias("host"), "html").where(F.col("host") != "")
     return hosted.mapInArrow(vote, "host string, path string, score double")
@@ -374,8 +406,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     ``text`` has the blocks of the main container, white space in each made one space and trimmed, in
     the page's order with an empty line between; it is empty where there are none, and for a null or empty html.
-    A page whose URL is null or has no host, or that lacks its host's winning path, uses its own best
-    container. Repeated rows vote and are extracted each. Other columns are ignored.
+    A page whose URL is null or has no host, or that has no text at its host's winning path, uses its own
+    best container and those at the same path. Repeated rows vote and are extracted each. Other columns are ignored.
     """
     winners = stored(winning_paths(pages), "html-paths")
     hosted = pages.select("page_id", "url", "html", url_host(F.col("url")).alias("host"))

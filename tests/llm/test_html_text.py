@@ -95,6 +95,38 @@ def test_long_noise_beside_an_article_is_dropped():
     assert own(f"<body><article><p>{LONG * 10}</p>{related}</article></body>") == (LONG * 10).strip()
 
 
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ("<div class=left><p>{}</p></div>", LONG * 6, "<div class=right><p>{}</p></div>", LONG * 4),
+        ("<section><p>{}</p></section>", LONG * 6, "<section><p>{}</p></section>", LONG * 4),
+        ("<h1>{}</h1>", "Title", "<div class=body><p>{}</p></div>", LONG * 9),
+        ("<p>{}</p>", "A lead.", "<div class=body><p>{}</p></div>", LONG * 9),
+        ("<div class=title><h1>{}</h1></div>", "Title", "<div class=body><p>{}</p></div>", LONG * 9),
+    ],
+)
+def test_no_part_of_the_text_is_left_out(parts):
+    first, one, second, two = parts
+    content = f"<div class=content>{first.format(one)}{second.format(two)}</div>"
+    expected = f"{one.strip()}\n\n{two.strip()}"
+    for around in ("<body>{}</body>", "<body>{}<div class=extra><p>short</p></div></body>"):
+        page = around.format(content)
+        assert own(page) == html_text.main_text(page, "body>div.content") == expected
+        assert html_text.best(html_text.containers(page)[0]).path() == "body>div.content"
+
+
+def test_all_containers_at_the_path_count():
+    page = f"<body><div><section><p>{LONG}</p></section><p>x</p><section><p>{LONG * 2}</p></section></div></body>"
+    assert html_text.main_text(page, "body>div>section") == f"{LONG.strip()}\n\n{(LONG * 2).strip()}"
+    two = f"<body><article><p>{LONG}</p></article><article><p>{LONG * 2}</p></article></body>"
+    assert own(two) == f"{LONG.strip()}\n\n{(LONG * 2).strip()}"
+
+
+def test_a_path_without_text_gives_the_own_best():
+    page = f"<body><div class=story><img src=x></div><div class=other><p>{LONG}</p></div></body>"
+    assert html_text.main_text(page, "body>div.story") == LONG.strip()
+
+
 def test_deep_and_long_pages_take_no_more_than_their_length():
     deep = "<div>" * 20_000 + LONG + "</div>" * 20_000
     assert own(deep) == LONG.strip()
