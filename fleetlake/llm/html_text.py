@@ -32,8 +32,12 @@ LEFT_OUT = 0.1
 
 # Element and class names as HTML and its authors use them. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title noscript template textarea iframe svg math object".split())
+RAW = frozenset("script style title noscript template textarea iframe".split())
+# Elements of other markup, in which any element may close itself.
+FOREIGN = ("svg", "math")
 DROPPED = frozenset("nav header footer aside button select dialog menu".split())
+# Without text, and no boundary of blocks.
+UNSEEN = frozenset("svg object annotation annotation-xml".split())
 CONTAINERS = frozenset("body main article section div td".split())
 BLOCKS = CONTAINERS | frozenset(
     "html p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption blockquote pre address "
@@ -47,16 +51,19 @@ NOISE = frozenset(
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 PARAGRAPHS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
-SCOPES = frozenset(("table", "ul", "ol", "dl"))
-#: A start tag on the left ends open elements of the tags on the right. Fixed values.
+SCOPES = DROPPED | UNSEEN | frozenset(("table", "ul", "ol", "dl", "form", "math"))
+#: Elements that end an open paragraph, although they aren't blocks themselves.
+ENDS_PARAGRAPH = frozenset("nav header footer aside form dialog menu".split())
+#: A start tag on the left ends open elements of the tags on the right, one of each group. Fixed values.
 ENDS = {
-    "li": ("li",),
-    "dt": ("dt", "dd"),
-    "dd": ("dt", "dd"),
-    "tr": ("tr", "td", "th"),
-    "td": ("td", "th"),
-    "th": ("td", "th"),
-    "option": ("option",),
+    "li": (("li",),),
+    "dt": (("dt", "dd"),),
+    "dd": (("dt", "dd"),),
+    "tr": (("td", "th"), ("tr",)),
+    "td": (("td", "th"),),
+    "th": (("td", "th"),),
+    "option": (("option",),),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (("td", "th"), ("tr",), ("thead", "tbody", "tfoot"))),
 }
 
 # A comment; a start tag with its attributes; an end tag; a declaration; a start tag with a broken attribute; a cut-off tag.
@@ -173,6 +180,7 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
     here = root
     text: list[str] = []
     in_links = 0  # characters of this block
+    unseen = 0  # open elements without text
 
     def flush() -> None:
         nonlocal in_links
@@ -186,7 +194,7 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
 
     def close(down_to: int, ended: bool = False) -> None:
         """End the open elements from ``down_to`` on; ``ended`` tells that the first has its own end tag."""
-        nonlocal here
+        nonlocal here, unseen
         while len(open_tags) > down_to:
             tag, container, noise = open_tags[-1]
             if tag in BLOCKS or noise is not None:
@@ -198,6 +206,7 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                     articles.append((container.start, container.end))
             open_tags.pop()
             opened[tag] -= 1
+            unseen -= tag in UNSEEN
             if noise is not None:
                 own_end = ended and len(open_tags) == down_to
                 noise.end = (len(blocks), len(found)) if own_end or noise.first is None else noise.first
@@ -223,6 +232,8 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
 
     def add(part: str) -> None:
         nonlocal in_links
+        if unseen:
+            return
         decoded = html.unescape(part)
         text.append(decoded)
         if opened["a"]:
@@ -236,7 +247,10 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
         if name := m[1] or m[4]:
             tag = name.lower()
             attributes = _attributes(m[2]) if m[2] else {}
-            if tag in RAW:
+            foreign = tag in FOREIGN or any(opened[f] for f in FOREIGN)
+            if (m[2] or "").endswith("/") and (foreign or tag == "object"):
+                pass  # closes itself
+            elif tag in RAW:
                 position = _behind_raw(page, tag, position)
             elif tag in VOID:
                 if tag == "br":
@@ -245,10 +259,12 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                     flush()
             else:
                 surely, like = _noise(tag, attributes), _like_noise(tag, attributes)
-                if tag in BLOCKS:
+                if tag in BLOCKS or tag in ENDS_PARAGRAPH:
+                    if foreign and not opened["foreignobject"] and not opened["annotation-xml"]:
+                        close_open(FOREIGN)
                     close_open(PARAGRAPHS)
-                if tag in ENDS:
-                    close_open(ENDS[tag])
+                for ended in ENDS.get(tag, ()):
+                    close_open(ended)
                 if tag in BLOCKS or surely or like:
                     flush()
                 noise = None
@@ -268,6 +284,7 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                     here = container
                 open_tags.append((tag, container, noise))
                 opened[tag] += 1
+                unseen += tag in UNSEEN
         elif m[3] and opened[tag := m[3].lower()]:
             close(next(i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), ended=True)
     add(page[position:])

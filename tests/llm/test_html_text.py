@@ -127,6 +127,26 @@ def test_a_path_without_text_gives_the_own_best():
     assert html_text.main_text(page, "body>div.story") == LONG.strip()
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p class='notice'>Hint<p>Text</p><p>More</p></article>", "Text\n\nMore"),
+        ("<article><ul><li class='share'>One<li>Two</ul><p>Three</article>", "Two\n\nThree"),
+        ("<article><dl><dt class=ad>a<dd>b</dl><table><tr><td class=ad>c<td>d<tr class=ad><td>e<tr><td>f</table>g</article>", "b\n\nd\n\nf\n\ng"),
+        ("<article><p class=notice>Hint<form>mail</form><p>Text</article>", "Text"),
+        ("<article><select><option>a<option>b</select><p>Text</article>", "Text"),
+        ("<article><p>Text</p><div><span class=share>x</div><p>More</p></article>", "Text\n\nMore"),
+        ("<article><p>Text <button><p>x</p></button><p>More</article>", "Text\n\nMore"),
+        ("<article><p>one <svg viewBox='0 0 1 1'/>two</p><p>three</p></article>", "one two\n\nthree"),
+        ("<article><p>one <svg><path d='x'>no</path></svg>two <svg><path d='x'>no<p>three</article>", "one two\n\nthree"),
+        ("<article><p>one</p><svg><title/><path d='x'/><text>no</text></svg><object/><p>two</p></article>", "one\n\ntwo"),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn><annotation>x=2</annotation></math></p></article>", "So x=2"),
+    ],
+)
+def test_dropped_elements_end_like_others(page, text):
+    assert own(page) == text
+
+
 def test_deep_and_long_pages_take_no_more_than_their_length():
     deep = "<div>" * 20_000 + LONG + "</div>" * 20_000
     assert own(deep) == LONG.strip()
