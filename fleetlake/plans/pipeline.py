@@ -18,7 +18,7 @@ from fleetlake.schemas import DEVICE_HEALTH, DEVICES, EVENT_DATE, QUARANTINE
 from fleetlake.sources.tables import Lake, conform, merge_upsert
 
 
-# How far the clocks of the storage and the driver may differ.
+# Without effect: runs go by the names of files, not by their times. Kept for callers that set it.
 CLOCK_MARGIN = timedelta(hours=1)
 
 
@@ -29,24 +29,35 @@ def utc_now() -> datetime:
 Dates = tuple[date, date] | DataFrame
 
 
-def changed_dates(lake: Lake) -> DataFrame | None:
-    """The event dates of bronze files written since the last successful run began; None before the first one.
+def bronze_files(lake: Lake) -> DataFrame:
+    """``event_date, file`` of the committed bronze files, as listed now; ``file`` is the path below the table's folder.
 
-    Only file times and partition values are read. The margin covers clocks that differ; dates
-    that are read once more add nothing.
+    File names are never used again, so a batch that is written again has new ones.
     """
-    runs = lake.read("ops.pipeline_runs").filter("run_status = 'SUCCESS'")
-    last = runs.agg(F.max("started_at")).first()[0]
-    if last is None:
+    listed = ["/".join(f.rsplit("/", 3)[1:]) for f in lake.files("bronze.telemetry")]
+    files = lake.spark.createDataFrame([(f,) for f in listed], "file string")
+    day = F.regexp_extract("file", rf"^{EVENT_DATE}=([^/]*)/", 1).try_cast("date")
+    return files.select(day.alias(EVENT_DATE), "file")
+
+
+def changed_dates(lake: Lake, files: DataFrame | None = None) -> DataFrame | None:
+    """The event dates of bronze files that no successful run has read; None before the first one.
+
+    Only partition values and file names are compared, no times: an append that is committed after a run
+    listed bronze is seen by the next one, however long it took. ``files`` are :func:`bronze_files`.
+    """
+    if lake.read("ops.pipeline_runs").filter("run_status = 'SUCCESS'").isEmpty():
         return None
-    written = F.col("_metadata.file_modification_time").cast("timestamp_ntz")
-    recent = lake.read("bronze.telemetry").filter(written >= F.lit(last - CLOCK_MARGIN).cast("timestamp_ntz"))
-    return touched_dates(recent.select(EVENT_DATE))
+    new = (bronze_files(lake) if files is None else files).join(lake.files_done(), "file", "left_anti")
+    return touched_dates(new.select(EVENT_DATE))
 
 
 def _read_dates(lake: Lake, table: str, dates: Dates | None) -> DataFrame:
     """An event table, cut to the date partitions asked for."""
-    rows = lake.read(table)
+    return _cut(lake.read(table), dates)
+
+
+def _cut(rows: DataFrame, dates: Dates | None) -> DataFrame:
     if dates is None or isinstance(dates, DataFrame):
         return on_dates(rows, dates)
     return rows.filter(F.col(EVENT_DATE).between(*dates))
@@ -108,15 +119,16 @@ def run_pipeline(
 ) -> dict:
     """Gate, quarantine, silver, gold, current health, incidents; the outcome is kept in ``pipeline_runs``.
 
-    All steps are limited to ``dates``, by default those that received events since the last
-    successful run, or to nothing with ``full``; gold describes all of silver in any case. Without new events nothing
+    All steps are limited to ``dates``, by default those with bronze files that no successful
+    run has read, or to nothing with ``full``; gold describes all of silver in any case. Without new events nothing
     is done. The gate's one pass over bronze also counts its rows.
     """
     started = utc_now()
     run = {"pipeline_name": "telemetry", "run_status": "SUCCESS", "bronze_rows": 0, "silver_rows": 0, "gold_rows": None}
     try:
+        files = bronze_files(lake)
         if dates is None and not full:
-            dates = changed_dates(lake)
+            dates = changed_dates(lake, files)
         bronze = _read_dates(lake, "bronze.telemetry", dates)
         measured = quality_measures(bronze).first()
         run["bronze_rows"] = measured["rows"]
@@ -128,6 +140,7 @@ def run_pipeline(
             run["gold_rows"] = refresh_gold(lake, dates)
             sync_current_health(lake, as_of)
             record_incidents(lake, as_of, dates)
+            lake.mark_done(_cut(files, dates).select("file"))
     except Exception:
         run["run_status"] = "FAILED"
         raise

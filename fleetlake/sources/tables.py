@@ -40,6 +40,9 @@ BATCHED = ("bronze.telemetry", *MESSAGE_TABLES)
 # Tables whose mandatory columns are enforced. Bronze keeps incomplete events, which the checks count.
 ENFORCED = ("silver.telemetry", "ops.incidents")
 
+# Folder of the names of the bronze files that successful runs have read.
+FILES_DONE = "ops.bronze_files_done"
+
 # Folders of replaced contents are kept this long, for readers that still hold them.
 KEEP_REPLACED_HOURS = 24
 
@@ -175,6 +178,12 @@ class Lake:
         self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
+    def files(self, table: str) -> list[str]:
+        """The table's committed files as listed now; none is opened."""
+        name = self.name(table)
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name).inputFiles()
+
     def append_events(self, table: str, df: DataFrame, batch: str | None = None) -> int:
         """Append to an event table, by date; returns the number of rows.
 
@@ -209,6 +218,18 @@ class Lake:
     def append_rows(self, table: str, df: DataFrame) -> None:
         conform(df, STATE_TABLES[table]).write.mode("append").insertInto(self.name(table))
 
+    def files_done(self) -> DataFrame:
+        """``file``: the bronze files that successful runs have read. Not a catalog table, as only runs use it."""
+        folder = self._folder(FILES_DONE)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], "file string")
+        return self.spark.read.schema("file string").parquet(folder).distinct()
+
+    def mark_done(self, files: DataFrame) -> None:
+        """Add to :meth:`files_done` those of ``files`` that it lacks."""
+        files.join(self.files_done(), "file", "left_anti").coalesce(1).write.mode("append").parquet(self._folder(FILES_DONE))
+
     def replace(self, table: str, df: DataFrame) -> int:
         """Put new contents in place of the old, also when they were computed from the old.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -379,6 +381,38 @@ def test_a_run_takes_the_dates_of_new_files(lake, monkeypatch):
     assert pipeline.run_pipeline(lake, at(25 * 60), full=True)["bronze_rows"] == 2
 
 
+def age_bronze(lake):
+    """Make bronze files look a day old, as those of an append that took that long to be committed."""
+    long_ago = time.time() - 24 * 3600
+    for file in Path(lake.root, "bronze", "telemetry").rglob("part-*"):
+        os.utime(file, (long_ago, long_ago))
+
+
+def test_a_run_takes_files_that_were_committed_late(lake):
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}))
+    assert pipeline.run_pipeline(lake, at(60))["bronze_rows"] == 1
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {"event_timestamp": at(24 * 60)}), "b-1")
+    age_bronze(lake)
+    run = pipeline.run_pipeline(lake, at(25 * 60))
+    assert (run["bronze_rows"], run["silver_rows"]) == (1, 1)
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {"event_timestamp": at(24 * 60 + 1)}), "b-1")
+    age_bronze(lake)
+    run = pipeline.run_pipeline(lake, at(25 * 60))
+    assert (run["bronze_rows"], run["silver_rows"]) == (1, 1)
+    assert pipeline.run_pipeline(lake, at(25 * 60))["bronze_rows"] == 0
+
+
+def test_runs_of_given_dates_leave_the_others(lake):
+    days = [{"event_timestamp": at(24 * 60 * d)} for d in range(3)]
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, days[0]))
+    pipeline.run_pipeline(lake, at(60))
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, *days[1:]))
+    day = days[1]["event_timestamp"].date()
+    assert pipeline.run_pipeline(lake, at(25 * 60), dates=(day, day))["silver_rows"] == 1
+    run = pipeline.run_pipeline(lake, at(72 * 60))
+    assert (run["bronze_rows"], run["silver_rows"]) == (1, 1)
+
+
 def test_replaced_folders_go(lake, monkeypatch):
     gold = health.device_health(telemetry(lake.spark, {}))
     monkeypatch.setattr(tables, "KEEP_REPLACED_HOURS", -1)
