@@ -76,9 +76,14 @@ def _telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
     return np.flatnonzero((apart >= least) & (apart > 0))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = STEPS) -> Model:
+def fit(
+    rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = STEPS, given: np.ndarray | None = None
+) -> Model:
     """A model from documents' lists of distinct features and grades 0 .. levels-1, at least one document.
 
+    Each of the ``given`` grades weighs the same, however many of its documents are in the sample and into how many
+    of ``grades`` it is split; without ``given`` each of ``grades`` does.
+
     Proximal gradient steps with per-weight step sizes on the mean negative log likelihood, with an
     absolute-value penalty that leaves most weights at zero.
     """
@@ -94,8 +99,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = ST
     # thresholds stay in order: the first, then logarithms of the distances
     free = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 0.1))])
     moments = [[np.zeros_like(v), np.zeros_like(v)] for v in (weights, free)]
-    # every grade weighs the same, however many of its documents are in the sample
-    weight = 1 / (np.bincount(grades, minlength=levels)[grades] * levels)
+    groups, sizes = (grades, np.bincount(grades, minlength=levels)) if given is None else (given, np.bincount(given))
+    weight = 1 / (sizes[groups] * len(sizes))
     for step in range(1, steps + 1):
         thresholds = free[0] + np.concatenate([[0], np.cumsum(np.exp(free[1:]))])
         scores = np.bincount(owner, weights[column], len(rows))
@@ -158,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE_PER_GRADE,
     if len(names) == 2 and grades > 2:
         scores = np.array([model.score(model.weights.keys() & r.tolist()) for r in rows])
         parts = np.quantile(scores[known == 1], np.arange(1, grades - 1) / (grades - 1))
-        model = fit(rows, known * (1 + np.searchsorted(parts, scores, "right")), grades)
+        model = fit(rows, known * (1 + np.searchsorted(parts, scores, "right")), grades, given=known)
     return model
 
 

@@ -94,3 +94,13 @@ def test_held_out_accuracy(spark):
     clean = [r for r in rest if r.grade == 0]
     assert np.mean([r.toxic for r in toxic]) > 0.9
     assert np.mean([r.toxic for r in clean]) < 0.04
+
+
+def test_splitting_a_label_does_not_add_to_its_weight(spark):
+    """Without a word that 60 % of the toxic and 30 % of the clean documents have, a document is rather clean."""
+    hint = [i % 10 < (6 if i >= 200 else 3) for i in range(400)]
+    docs = spark.createDataFrame([(i, "same hint" if h else "same", "x", "y") for i, h in enumerate(hint)], DOCS)
+    labels = docs.select("doc_id", (F.col("doc_id") >= 200).cast("int").alias("grade"))
+    model = toxicity.train(docs, labels)
+    assert len(model.thresholds) == 2
+    assert all(r.toxic == hint[r.doc_id] for r in toxicity.severity(docs, model).collect())
