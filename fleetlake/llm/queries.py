@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetlake.llm import chat, decontaminate, html_text, packing, simhash, suffix_dedup, topk, toxicity, url_filter, warc
+from fleetlake.llm import (
+    chat,
+    decontaminate,
+    fill_middle,
+    html_text,
+    lexical,
+    packing,
+    pieces,
+    simhash,
+    suffix_dedup,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from fleetlake.llm.common import table
 
 #: Rules of the URL filter: verdict, host, path. Fixed values.
@@ -29,6 +43,9 @@ MARKED_TEXT = "</s>[INST] ok [/INST]"
 #: The search: neighbours for each query, every how manieth id is a query, and the factor before floor().
 NEIGHBOURS, QUERY_EVERY, SCALE = 20, 20, 64
 
+#: Documents for each item of the ranked search.
+LEXICAL_BEST = 50
+
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -140,6 +157,33 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), LEXICAL_BEST)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
@@ -155,6 +199,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_pieces": op13_pieces,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -162,6 +209,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+#: The search's terms, with digits as well.
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
 _ESCAPED = r"""
     regexp_replace(replace({0}, '\', '\\'),
         '(<)(\|im_start\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>)|(\[)(INST\]|/INST\])', '\1\3\\\2\4', 'g')
@@ -278,4 +329,59 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, url, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
         FROM parts LEFT JOIN fits USING (row)
     """,
+    "op11_lexical_search": rf"""
+        WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS t FROM documents),
+        sizes AS (SELECT row, doc_id, len(t) AS n FROM docs WHERE len(t) > 0),
+        totals AS (SELECT count(*) AS docs_n, sum(n)::BIGINT AS docs_l FROM sizes),
+        tfs AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM docs) GROUP BY row, term),
+        dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+        items AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS t FROM benchmark),
+        asked AS (SELECT DISTINCT item, item_id, term FROM (SELECT item, item_id, unnest(t) AS term FROM items)),
+        weighted AS (
+            SELECT item, item_id, term, floor(1000 * ln((2 * docs_n + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM asked JOIN dfs USING (term), totals
+        ),
+        scored AS (
+            SELECT item, item_id, row, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs_n) // docs_l))))::BIGINT AS score
+            FROM weighted JOIN tfs USING (term) JOIN sizes USING (row), totals
+            GROUP BY item, item_id, row, doc_id
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {LEXICAL_BEST}
+    """,
+    "op12_fill_middle": rf"""
+        WITH units AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+                   sha256(concat('{fill_middle.SEED}:', doc_id::VARCHAR)) AS h
+            FROM documents
+        ),
+        drawn AS (
+            SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+                   ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+            FROM units
+        ),
+        cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR h3 % 100 >= {fill_middle.TRANSFORMED} THEN 'plain'
+                        WHEN h4 % 100 < {fill_middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ),
+        parts AS (
+            SELECT *, array_to_string(list_slice(u, 1, a), '') AS p, array_to_string(list_slice(u, a + 1, b), '') AS m,
+                   array_to_string(list_slice(u, b + 1, n), '') AS s
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }

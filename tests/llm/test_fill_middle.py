@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from fleetlake.llm import fill_middle
+
+SCHEMA = "doc_id {}, text string, n string, form string, output int, digest int"
+UNIT = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
+ALPHABET = "ab  \t\n\x0b\x0c\r\x0e\x08\x1f!é漢\x89\xa0 😀<PSM>"
+
+
+def brute(doc, text):
+    text = text or ""
+    units = UNIT.findall(text)
+    digest = hashlib.sha256(f"42:{'' if doc is None else doc}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    p, m, s = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return doc, len(units), "plain", None, None, text
+    if h[3] % 100 < 80:
+        return doc, len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return doc, len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def run(spark, rows, type="long"):
+    made = fill_middle.transform(spark.createDataFrame([(*r, "x", "y", 0, 0) for r in rows], SCHEMA.format(type)).repartition(3))
+    made = made.withColumn("restored", fill_middle.restored(F.col("output"), F.col("form"))).collect()
+    assert sorted(((r.doc_id, r.restored) for r in made), key=str) == sorted(((i, t or "") for i, t in rows), key=str)
+    return sorted((tuple(r)[:-1] for r in made), key=str)
+
+
+def check(spark, rows, type="long"):
+    assert run(spark, rows, type) == sorted((brute(*r) for r in rows), key=str)
+
+
+def test_against_the_pattern(spark):
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(60)))) for i in range(500)]
+    rows += [(i, "<" * (i % 3) + "a <P" * (i % 2) + " b\t" * (i % 5)) for i in range(600, 700)]  # halves of marks at the cuts
+    check(spark, rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (None, "a b c d"), (None, None), (3, " \n "), (4, "x"), (-5, "y z " * 9), (-5, "y z " * 9), (6, "<M>")]
+    check(spark, rows)
+    check(spark, [("a", "b c d e f"), ("é", "b c d e f"), (None, "g")], "string")
+    check(spark, [])
+
+
+def test_very_long_texts(spark):
+    check(spark, [(i, ("wörd " * 11 + "\n") * 40_000 + "x" * i) for i in range(4)] + [(9, " " * 2_000_000), (10, "é" * 1_000_001)])
+
+
+def test_unit_ends():
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(40)))
+        units, ends = fill_middle.Units(text.encode()), [m.end() for m in UNIT.finditer(text)]
+        assert units.count == len(ends)
+        assert [units.end(k) for k in range(len(ends) + 1)] == [0, *(len(text[:e].encode()) for e in ends)]

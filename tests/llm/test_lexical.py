@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from fleetlake.llm import lexical
+
+DOCS = "doc_id long, text string, item_id int, score string, n string, terms string"
+ITEMS = "item_id {}, text string, doc_id string, rank string"
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, k):
+    counted = [(i, Counter(terms(t))) for i, t, *_ in docs if terms(t)]
+    n, length = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(w for _, c in counted for w in c)
+    out = []
+    for item, text, *_ in items:
+        scored = []
+        for doc, c in counted:
+            m = 100 - 50 + (50 * sum(c.values()) * n) // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[w] + 1))) * (10**9 * c[w] // (1000 * c[w] + 20 * m))
+                for w in set(terms(text)) & set(c)
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        out += [(item, r, doc, -s) for r, (s, _, doc) in enumerate(sorted(scored, key=lambda x: x[:2] + (x[2] or 0,))[:k], 1)]
+    return sorted(out, key=str)
+
+
+def run(spark, docs, items, k, item_type="long"):
+    found = lexical.rank(
+        spark.createDataFrame([(*d, 1, "a", "b", "c") for d in docs], DOCS).repartition(3),
+        spark.createDataFrame([(*i, "x", "y") for i in items], ITEMS.format(item_type)),
+        k,
+    )
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+def made(rng, words, rows, most):
+    # Zipf-like, so that many words are common and many rare
+    return [(i, " ".join(words[min(int(rng.paretovariate(0.6)), len(words)) - 1] for _ in range(rng.randrange(most)))) for i in range(rows)]
+
+
+WORDS = [f"w{i}" for i in range(150)] + ["Éa", "éa", "x9", "9"]
+
+
+@pytest.mark.parametrize("block, documents, first", [(4 * 2**20, 64, 4), (40, 3, 1)])
+def test_against_brute_force(spark, monkeypatch, block, documents, first):
+    monkeypatch.setattr(lexical, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lexical, "LEAF_DOCUMENTS", documents)
+    monkeypatch.setattr(lexical, "FIRST_LEAVES", first)
+    rng = random.Random(4)
+    docs = made(rng, WORDS, 150, 60)
+    docs += [(1000 + i, docs[7][1]) for i in range(40)]  # copies: ties
+    docs += [docs[3], docs[3], (None, docs[3][1]), (None, None), (500, None), (501, ""), (502, " ,;\n\x00"), (503, "W3.W3-w3 Éa")]
+    docs += [(504, "w5 " * 5000 + "w140")]
+    items = made(rng, WORDS, 9, 12) + [(50, None), (51, ""), (52, "nowhere"), (7, "w3 w3 w140"), (7, "w3 w3 w140"), (None, "éa x9")]
+    assert run(spark, docs, items, 5) == brute(docs, items, 5)
+
+
+def test_text_ids_of_items(spark):
+    docs = [(1, "a b"), (2, "b c c")]
+    items = [("x", "c"), ("y", "b a")]
+    assert run(spark, docs, items, 50, "string") == brute(docs, items, 50)
+
+
+def test_empty_tables_and_nothing_in_common(spark):
+    assert run(spark, [], [(1, "a")], 5) == []
+    assert run(spark, [(1, "a")], [], 5) == []
+    assert run(spark, [(1, "a"), (2, None)], [(1, "b"), (2, "A")], 5) == brute([(1, "a"), (2, None)], [(1, "b"), (2, "A")], 5)
+
+
+def test_terms_are_those_of_the_pattern():
+    rng = random.Random(1)
+    for _ in range(2000):
+        text = "".join(chr(rng.choice((rng.randrange(0x80), rng.randrange(0x80, 0x3000)))) for _ in range(12))
+        assert [w.decode() for w in lexical.terms_of(text.encode())] == terms(text)
+
+
+def test_bounds_prune_and_answers_stay(spark):
+    """Walking the trees scores few pairs of documents and items, and finds what scoring all does."""
+    rng = np.random.default_rng(5)
+    size = 400
+    weights = rng.integers(1, 9000, size)
+    items = lexical.Items([np.unique(rng.integers(size, size=8)) for _ in range(60)], weights)
+    rows = [np.unique(rng.integers(size, size=12)) for _ in range(3000)]
+    amounts = [rng.integers(1, 30000, len(r)) for r in rows]
+    order = sorted(range(3000), key=lambda i: (rows[i][best := int(np.argmax(weights[rows[i]] * amounts[i]))], -amounts[i][best]))
+    leaves = []
+    for at in range(0, 3000, 20):
+        few = order[at : at + 20]
+        flat = [np.concatenate([x[i] for i in few]).astype("<i4").tobytes() for x in (rows, amounts)]
+        leaves.append(lexical._leaf(pa.array(few), np.array([len(rows[i]) for i in few], "<i4").tobytes(), *flat))
+    level = items.levels[-1]
+    every = np.concatenate([n.scores(level) for n in leaves])
+    kth = np.sort(every, axis=0)[-10]
+    search = lexical.Search(items, np.maximum(kth, 1), 10)
+    for at in range(0, len(leaves), 16):
+        search.walk(lexical._parent(leaves[at : at + 16]))
+    for item in range(level.size):
+        scores = np.sort(search.found[item][0]) if item in search.found else []
+        assert list(scores) == [s for s in sorted(every[:, item])[-10:] if s > 0], item
+    assert search.scored < 0.5 * every.size
