@@ -32,9 +32,10 @@ def check(spark, library, rows, type="long"):
     assert run(spark, rows, type) == sorted(((i, ids, library.decode(ids)) for i, ids in whole), key=str)
 
 
-@pytest.mark.parametrize("size", [16 * 2**20, 50])
-def test_like_the_library(spark, library, monkeypatch, size):
-    monkeypatch.setattr(pieces, "STRETCH_BYTES", size)
+@pytest.mark.parametrize("stretch, chunk", [(48 * 2**20, 4 * 2**20), (2000, 50), (50, 4 * 2**20)])
+def test_like_the_library(spark, library, monkeypatch, stretch, chunk):
+    monkeypatch.setattr(pieces, "STRETCH_CHARS", stretch)
+    monkeypatch.setattr(pieces, "CHUNK_CHARS", chunk)
     rng = random.Random(6)
     rows = [(i, "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(30)))) for i in range(300)]
     rows += [(1000 + i, "the same words again and again ") for i in range(50)]
