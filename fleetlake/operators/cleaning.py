@@ -21,7 +21,7 @@ IDENTITY = ("event_timestamp", "device_id")
 # Later copies win; the lineage columns make the order total.
 ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset")
 
-# Before every date that a text with a four-digit year can name.
+# No date that a text with a four-digit year can name is before it.
 FIRST_DATE = "0000-01-01"
 
 
@@ -70,36 +70,48 @@ def clean(bronze: DataFrame) -> DataFrame:
 
 
 def touched_dates(df: DataFrame, column: str = "event_timestamp") -> DataFrame:
-    """The distinct dates of the events of ``df``, as ``event_date``."""
+    """The distinct dates of the events of ``df``, as ``event_date``; NULL stands for those without a time."""
     day = F.col(EVENT_DATE) if EVENT_DATE in df.columns else F.to_date(F.col(column).try_cast("timestamp_ntz"))
-    return df.select(day.alias(EVENT_DATE)).filter(F.col(EVENT_DATE).isNotNull()).distinct()
+    return df.select(day.alias(EVENT_DATE)).distinct()
+
+
+def date_key(date: Column) -> Column:
+    """A date that equals itself also where it is NULL."""
+    return F.coalesce(date, F.lit(FIRST_DATE).cast("date"))
 
 
 def on_dates(table: DataFrame, dates: DataFrame | None) -> DataFrame:
     """The rows of an event table on the given dates; all without dates, or without date partitions.
 
-    The semi-join prunes partitions when the query runs, so one stray date reads one partition
-    more, and no date reaches the driver. There are fewer than four million calendar dates, so
-    the broadcast is bounded whatever the data. The condition on the first date holds always; it
-    tells the optimizer that the dates select.
+    NULL among the dates asks for the rows without a date. The semi-join prunes partitions when the query
+    runs, so one stray date reads one partition more, and no date reaches the driver. There are
+    fewer than four million calendar dates, so the broadcast is bounded whatever the data. The
+    condition on the first date holds always; it tells the optimizer that the dates select.
     """
     if dates is None or EVENT_DATE not in table.columns:
         return table
-    some = F.broadcast(dates.filter(F.col(EVENT_DATE) >= F.lit(FIRST_DATE).cast("date")))
-    return table.join(some, EVENT_DATE, "left_semi").select(table.columns)
+    some = dates.select(date_key(F.col(EVENT_DATE)).alias("_date")).distinct()
+    some = F.broadcast(some.filter(F.col("_date") >= F.lit(FIRST_DATE).cast("date")))
+    return table.join(some, date_key(F.col(EVENT_DATE)) == F.col("_date"), "left_semi").select(table.columns)
 
 
-def unseen(events: DataFrame, silver: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def unseen(events: DataFrame, silver: DataFrame, dates: DataFrame | None = None, standard: bool = False) -> DataFrame:
     """Events whose identity is not in silver yet.
 
     With ``dates`` (see :func:`touched_dates`) the silver side is cut to the batch's date
-    partitions, so an incremental run reads as much of silver as its batch touches.
+    partitions, so an incremental run reads as much of silver as its batch touches. Where silver's texts
+    are ``standard`` already, as in the lake's table, its columns are compared as they are stored, so that a table
+    bucketed by identity is not shuffled.
     """
-    seen = on_dates(silver, dates).select(
-        upper_stripped(F.col("device_id")).alias("device_id"),
-        F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),
-    )
-    return events.join(seen, list(IDENTITY), "left_anti").select(events.columns)
+    seen = on_dates(silver, dates)
+    if not standard:
+        seen = seen.withColumns(
+            {
+                "device_id": upper_stripped(F.col("device_id")),
+                "event_timestamp": F.col("event_timestamp").try_cast("timestamp_ntz"),
+            }
+        )
+    return events.join(seen.select(*IDENTITY), list(IDENTITY), "left_anti").select(events.columns)
 
 
 def cleaning_funnel(bronze: DataFrame, silver: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from fleetlake.functions.text import upper_stripped
 from fleetlake.functions.times import key_text
 from fleetlake.operators.cleaning import on_dates
 from fleetlake.operators.health import health_report
+from fleetlake.schemas import EVENT_DATE
 
 # Alarm thresholds. They differ from the limits that set a device's status.
 TEMPERATURE_ABOVE = 18.0
@@ -119,18 +120,39 @@ def opened(found: DataFrame, detected_at: datetime) -> DataFrame:
     )
 
 
+def _occurrences() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("occurrence_count"),
+        F.min("event_timestamp").alias("incident_start"),
+        F.max("event_timestamp").alias("incident_end"),
+        F.min("detected_at").alias("first_detected_at"),
+        F.max("detected_at").alias("last_detected_at"),
+    ]
+
+
 def type_summary(incidents: DataFrame) -> DataFrame:
     """Open incidents by device, type and severity."""
+    return incidents.filter(F.col("status") == "OPEN").groupBy("device_id", "incident_type", "severity").agg(*_occurrences())
+
+
+def daily_summary(incidents: DataFrame) -> DataFrame:
+    """As :func:`type_summary`, also by the date of the events: what is added up to it."""
+    day = F.to_date("event_timestamp").alias(EVENT_DATE)
     return (
         incidents.filter(F.col("status") == "OPEN")
-        .groupBy("device_id", "incident_type", "severity")
-        .agg(
-            F.count(F.lit(1)).alias("occurrence_count"),
-            F.min("event_timestamp").alias("incident_start"),
-            F.max("event_timestamp").alias("incident_end"),
-            F.min("detected_at").alias("first_detected_at"),
-            F.max("detected_at").alias("last_detected_at"),
-        )
+        .groupBy("device_id", "incident_type", "severity", day)
+        .agg(*_occurrences())
+    )
+
+
+def summary_of_days(daily: DataFrame) -> DataFrame:
+    """The :func:`type_summary` of all incidents from their daily summaries."""
+    return daily.groupBy("device_id", "incident_type", "severity").agg(
+        F.sum("occurrence_count").alias("occurrence_count"),
+        F.min("incident_start").alias("incident_start"),
+        F.max("incident_end").alias("incident_end"),
+        F.min("first_detected_at").alias("first_detected_at"),
+        F.max("last_detected_at").alias("last_detected_at"),
     )
 
 
@@ -151,12 +173,14 @@ def _device_totals() -> list[Column]:
     ]
 
 
-def device_summary(incidents: DataFrame) -> DataFrame:
-    """Open incidents by device, added up from the summary by type.
+def device_totals(summary: DataFrame) -> DataFrame:
+    """A :func:`type_summary` by device. It has a row for each type, so counting them needs no incident."""
+    return summary.groupBy("device_id").agg(*_device_totals())
 
-    Counting distinct types over that summary needs no second pass over the incidents.
-    """
-    return type_summary(incidents).groupBy("device_id").agg(*_device_totals())
+
+def device_summary(incidents: DataFrame) -> DataFrame:
+    """Open incidents by device, added up from the summary by type."""
+    return device_totals(type_summary(incidents))
 
 
 def summary_of(incidents: DataFrame, device_id: str) -> DataFrame:

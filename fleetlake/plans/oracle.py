@@ -565,4 +565,34 @@ UNION ALL SELECT 'telemetry', count(*), true FROM raw""",
   (SELECT count(DISTINCT device_id) FROM silver) AS gold_rows""",
     "incidents_after_two_runs": _with(*_I) + """SELECT device_id, count(*) AS raw_incident_count,
   count(*) FILTER (severity = 'CRITICAL') AS critical_count FROM found GROUP BY device_id""",
+    "runs_with_late_events": _with(
+        RAW,
+        """
+timed AS (
+  SELECT * REPLACE (CASE WHEN kafka_offset % 101 <> 0 THEN event_timestamp END AS event_timestamp) FROM raw)""",
+        STD.replace("FROM raw", "FROM timed"),
+        SILVER,
+    )
+    + """SELECT 'SUCCESS' AS run_status, (SELECT count(*) FROM timed WHERE event_timestamp >= TIMESTAMP '2024-01-16') AS bronze_rows,
+  count(*) AS silver_rows, count(DISTINCT device_id) AS gold_rows,
+  (SELECT count(*) FROM timed WHERE event_timestamp IS NULL) AS untimed_rows_kept
+FROM silver WHERE event_timestamp >= TIMESTAMP '2024-01-16'
+UNION ALL
+SELECT 'SUCCESS', (SELECT count(*) FROM timed WHERE event_timestamp IS NULL OR event_timestamp < TIMESTAMP '2024-01-16'),
+  (SELECT count(*) FROM old_silver), count(DISTINCT device_id), (SELECT count(*) FROM timed WHERE event_timestamp IS NULL)
+FROM silver""",
+    "incident_summary_kept_up": _with(*_I) + """SELECT device_id, incident_type, severity,
+  CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 4 ELSE 5 END AS severity_rank,
+  occurrence_count, incident_start, incident_end FROM by_type""",
+    "stream_metrics": _with(
+        *_S,
+        """
+counted AS (
+  SELECT count(*) AS messages, count(*) FILTER (device_id IS NULL) AS rejected, (SELECT count(*) FROM silver) AS new
+  FROM raw)""",
+    )
+    + """SELECT 'silver' AS stream, 0::BIGINT AS batch_number, messages, rejected, new AS accepted, messages - rejected - new AS surplus FROM counted
+UNION ALL SELECT 'silver', 1, messages, rejected, 0, messages - rejected FROM counted""",
 }
+
+ORACLE_SQL["upsert_buckets"] = ORACLE_SQL["upsert_devices"]

@@ -26,7 +26,7 @@ from fleetlake.operators import (
     series,
 )
 from fleetlake.plans import datasets, pipeline
-from fleetlake.session import scratch_dir
+from fleetlake.session import kept, scratch_dir
 from fleetlake.sources import files, messages
 from fleetlake.sources.tables import Lake, conform, merge_upsert
 from fleetlake.streaming import ingest
@@ -83,13 +83,6 @@ def _calibrations(spark: SparkSession, sf: str) -> DataFrame:
     return calibration.with_status(datasets.calibrations(spark, sf))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared folder, so that what several branches read is cleaned once."""
-    path = scratch_dir(df.sparkSession, "kept")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _halves(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     before = F.col("event_timestamp") < F.lit(SPLIT).cast("timestamp_ntz")
     return silver.filter(before), silver.filter(~before)
@@ -169,8 +162,8 @@ def queue_rank_low(spark, sf):
     return health.queue_ranking(_silver(spark, sf), "ASC")
 
 
-@report
-def upsert_devices(spark, sf):
+def _observed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The registry, what was observed of devices, and the columns that observation renews."""
     registry = datasets.devices(spark, sf).withColumn("created_at", F.lit(SPLIT).cast("timestamp_ntz"))
     observed = (
         _silver(spark, sf)
@@ -185,15 +178,29 @@ def upsert_devices(spark, sf):
             F.lit(AS_OF).cast("timestamp_ntz").alias("created_at"),
         )
     )
-    return merge_upsert(
-        registry, observed, "device_id", ["device_name", "location", "qubit_count", "operational_status"]
-    )
+    return registry, observed, ["device_name", "location", "qubit_count", "operational_status"]
+
+
+@report
+def upsert_devices(spark, sf):
+    registry, observed, update = _observed(spark, sf)
+    return merge_upsert(registry, observed, "device_id", update)
+
+
+@report
+def upsert_buckets(spark, sf):
+    """As upsert_devices, in the lake's table, of which only the buckets that are touched are written anew."""
+    registry, observed, update = _observed(spark, sf)
+    lake = _new_lake(spark)
+    lake.upsert("ops.devices", registry, update)
+    lake.upsert("ops.devices", observed, update)
+    return lake.read("ops.devices").select(schemas.DEVICES.fieldNames())
 
 
 @report
 def upsert_health_current(spark, sf):
     stamp = F.lit(SPLIT).cast("timestamp_ntz")
-    before, after = _halves(_kept(_silver(spark, sf)))
+    before, after = _halves(kept(_silver(spark, sf)))
     current = health.device_health(before).withColumn("updated_at", stamp)
     gold = health.device_health(after)
     update = [c for c in gold.columns if c != "device_id"]
@@ -305,7 +312,7 @@ def incidents_(spark, sf):
 
 @report
 def incidents_insert_absent(spark, sf):
-    silver = _kept(_silver(spark, sf))
+    silver = kept(_silver(spark, sf))
     existing = incidents.opened(incidents.detect(_halves(silver)[0]), SPLIT)
     new_ones = incidents.absent(incidents.detect(silver), existing)
     return existing.unionByName(incidents.opened(new_ones, AS_OF))
@@ -353,7 +360,7 @@ def newest_incidents(spark, sf):
 
 @report
 def device_evidence(spark, sf):
-    silver = _kept(_silver(spark, sf))
+    silver = kept(_silver(spark, sf))
     found = incidents.device_evidence(datasets.devices(spark, sf), health.device_health(silver), _incidents_of(silver))
     times_ = ("incident_start", "incident_end", "first_detected_at", "last_detected_at")
     listed = F.transform(
@@ -466,7 +473,7 @@ def incident_assertions(spark, sf):
         datasets.devices(spark, sf),
         _calibrations(spark, sf),
         datasets.jobs(spark, sf),
-        _silver(spark, sf),
+        kept(_silver(spark, sf)),
         TARGET_DEVICE,
         TARGET_QUBIT,
     )
@@ -680,3 +687,50 @@ def incidents_after_two_runs(spark, sf):
         pipeline.run_pipeline(lake, AS_OF, fail_on=("required_columns",))
     pipeline.register_views(lake)
     return pipeline.query(lake, "SELECT device_id, raw_incident_count, critical_count FROM device_incident_summary")
+
+
+@report
+def runs_with_late_events(spark, sf):
+    """Runs over fresh events, then over late ones and rows without a time, both behind the gate on freshness."""
+    lake = _new_lake(spark)
+    untimed = F.col("kafka_offset") % 101 == 0
+    raw = _raw(spark, sf).withColumn("event_timestamp", F.when(~untimed, F.col("event_timestamp")))
+    fresh = F.coalesce(F.col("event_timestamp") >= F.lit(SPLIT).cast("timestamp_ntz"), F.lit(False))
+    for part in (raw.filter(fresh), raw.filter(~fresh)):
+        lake.append_events("bronze.telemetry", part)
+        pipeline.run_pipeline(lake, AS_OF, fail_on=("required_columns", "freshness"))
+    kept_aside = lake.read("ops.quarantine").filter("event_timestamp IS NULL").agg(F.count(F.lit(1)).alias("n"))
+    runs = lake.read("ops.pipeline_runs").select("run_status", "bronze_rows", "silver_rows", "gold_rows")
+    return runs.withColumn("untimed_rows_kept", kept_aside.scalar())
+
+
+@report
+def incident_summary_kept_up(spark, sf):
+    """The summary by type after two runs, a resolution and a replay of everything; it reads daily summaries only."""
+    lake = _new_lake(spark)
+    raw = _raw(spark, sf)
+    later = F.col("event_timestamp") >= F.lit(SPLIT).cast("timestamp_ntz")
+    for part in (raw.filter(later), raw.filter(~later)):
+        lake.append_events("bronze.telemetry", part)
+        pipeline.run_pipeline(lake, AS_OF, fail_on=("required_columns",))
+    old = F.col("event_timestamp") < F.lit(RESOLVED_BEFORE).cast("timestamp_ntz")
+    pipeline.resolve_incidents(lake, lake.read("ops.incidents").filter(old), AS_OF)
+    lake.append_events("bronze.telemetry", raw)
+    pipeline.run_pipeline(lake, AS_OF, fail_on=("required_columns",))
+    pipeline.register_views(lake)
+    return pipeline.query(
+        lake,
+        "SELECT device_id, incident_type, severity, severity_rank(severity) AS severity_rank, occurrence_count, "
+        "incident_start, incident_end FROM incident_type_summary",
+    )
+
+
+@report
+def stream_metrics(spark, sf):
+    """What each micro-batch of a stream took in and what became of it, after all messages came a second time."""
+    lake, topic, progress = _new_lake(spark), scratch_dir(spark, "topic"), scratch_dir(spark, "progress")
+    sent = F.col("timestamp").cast("timestamp_ntz")
+    for _ in range(2):
+        messages.write_messages(_messages(_raw(spark, sf)), topic)
+        ingest.stream_silver(lake, {"files": topic}, progress, sent).awaitTermination()
+    return lake.read("ops.stream_batches").select("stream", "batch_number", "messages", "rejected", "accepted", "surplus")

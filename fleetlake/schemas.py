@@ -12,6 +12,10 @@ _TS, _DT = T.TimestampNTZType(), T.DateType()
 EVENT_DATE = "event_date"
 BATCH = "batch"
 
+# The partition columns of the batch ledger, and of state tables that are merged bucket by bucket.
+DAY = "day"
+BUCKET = "bucket"
+
 
 def _schema(*columns: tuple) -> T.StructType:
     return T.StructType([T.StructField(c[0], c[1], nullable="req" not in c[2:]) for c in columns])
@@ -95,6 +99,18 @@ INCIDENTS = _schema(
     ("status", _S),
 )
 
+# Open incidents per device, type, severity and day, from which the summaries are added up.
+INCIDENT_DAILY = _schema(
+    ("device_id", _S),
+    ("incident_type", _S),
+    ("severity", _S),
+    ("occurrence_count", _L, "req"),
+    ("incident_start", _TS),
+    ("incident_end", _TS),
+    ("first_detected_at", _TS),
+    ("last_detected_at", _TS),
+)
+
 REJECTED = _schema(
     ("reject_reason", _S),
     ("value", _S),
@@ -103,6 +119,19 @@ REJECTED = _schema(
     ("ingested_at", _TS),
 )
 
+# What became of the messages of a micro-batch: kept aside, taken into the stream's table, or neither, as they
+# were copies, known already, or not valid.
+STREAM_BATCHES = _schema(
+    ("stream", _S),
+    ("batch_number", _L),
+    ("messages", _L),
+    ("rejected", _L),
+    ("accepted", _L),
+    ("surplus", _L),
+    ("started_at", _TS),
+    ("completed_at", _TS),
+)
+
 PIPELINE_RUNS = _schema(
     ("pipeline_name", _S),
     ("run_status", _S),
@@ -114,6 +143,20 @@ PIPELINE_RUNS = _schema(
     ("created_at", _TS),
 )
 
+# What happened to each write of a batch, named by its commit: it began, it left rows of a date, it ended.
+BATCHES = _schema(
+    ("batch", _S, "req"),
+    ("commit_id", _S, "req"),
+    ("state", _S, "req"),
+    ("batch_date", _DT),
+    ("row_count", _L),
+    ("latest_event", _TS),
+    ("noted_at", _TS, "req"),
+)
+
+# The dates of commits that a successful run of the batch job has taken.
+BATCHES_DONE = _schema(("commit_id", _S, "req"), ("batch_date", _DT), ("noted_at", _TS, "req"))
+
 JOB_EVENT = _schema(
     ("job_id", _S),
     ("device_id", _S),

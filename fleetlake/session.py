@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "fleetlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -75,3 +75,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
+
+
+def kept(df: DataFrame, label: str = "kept") -> DataFrame:
+    """``df`` stored in the shared folder, so that what several steps read is computed once and stays as it is."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -34,4 +34,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture()
 def lake(spark, tmp_path):
-    return Lake(spark, str(tmp_path), f"t{uuid.uuid4().hex[:8]}_").create_all()
+    return Lake(spark, str(tmp_path), f"t{uuid.uuid4().hex[:8]}_", buckets=4).create_all()

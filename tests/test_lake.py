@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import time
 from datetime import datetime, timedelta
 from pathlib import Path
@@ -17,7 +18,7 @@ from fleetlake.operators import health
 from fleetlake.operators.quality import REPLAY_TOLERANT, QualityError
 from fleetlake.plans import pipeline
 from fleetlake.sources import files, messages, tables
-from fleetlake.sources.tables import conform, merge_upsert
+from fleetlake.sources.tables import Lake, conform, merge_upsert
 from fleetlake.streaming import ingest
 
 LATER = at(60)
@@ -29,7 +30,8 @@ def rows(df, *columns):
 
 def test_tables_are_created_once_and_listed(lake):
     lake.create_all()
-    assert lake.list_tables("ops") == ["device_health_current", "devices", "incidents", "pipeline_runs", "quarantine"]
+    ops = ["batches", "batches_done", "device_health_current", "devices", "incidents", "pipeline_runs", "quarantine", "stream_batches"]
+    assert lake.list_tables("ops") == ops
     assert lake.list_tables("bronze") == ["jobs", "rejected", "telemetry"]
     assert lake.read("silver.telemetry").columns == [*schemas.TELEMETRY.fieldNames(), "event_date"]
 
@@ -351,6 +353,27 @@ def test_no_message_is_lost(lake, tmp_path):
     assert lake.read("bronze.rejected").count() == 13
 
 
+def test_every_message_of_a_micro_batch_is_accounted_for(lake, tmp_path, monkeypatch):
+    """Accepted, rejected and surplus are all messages, also when a batch fails and runs again, or comes again."""
+    folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
+    events = [{}, {}, {"event_timestamp": at(1)}, {"device_id": None}, {"event_timestamp": at(2), "system_status": "?"}]
+    start = lambda: ingest.stream_incidents(lake, {"files": folder}, progress, NOON).awaitTermination()
+    send(lake.spark, folder, *events)
+    with monkeypatch.context() as failing:
+        calls = iter([lambda: NOON, lambda: 1 / 0])  # the second one is made when the batch is noted
+        failing.setattr(ingest, "utc_now", lambda: next(calls)())
+        with pytest.raises(Exception, match="division by zero"):
+            start()
+    assert lake.read("ops.stream_batches").isEmpty() and lake.read("silver.telemetry").count() == 2
+    start()
+    send(lake.spark, folder, *events, {"event_timestamp": at(3)}, start=10)
+    start()
+    noted = ("stream", "batch_number", "messages", "rejected", "accepted", "surplus")
+    # the second attempt finds the first one's two events in silver
+    assert rows(lake.read("ops.stream_batches"), *noted) == [("incidents", 0, 5, 1, 0, 4), ("incidents", 1, 6, 1, 1, 4)]
+    assert lake.read("bronze.rejected").count() == 2
+
+
 def test_a_repeated_batch_takes_its_own_place(lake):
     for _ in range(2):
         assert lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, {"event_timestamp": at(24 * 60)}), "b-1") == 2
@@ -370,8 +393,7 @@ def test_quarantine_is_filled_and_renewed(lake):
     assert rows(lake.read("ops.quarantine"), "violations") == [(["range:temperature_mk"],)]
 
 
-def test_a_run_takes_the_dates_of_new_files(lake, monkeypatch):
-    monkeypatch.setattr(pipeline, "CLOCK_MARGIN", timedelta(0))
+def test_a_run_takes_the_dates_of_new_files(lake):
     lake.append_events("bronze.telemetry", telemetry(lake.spark, {}))
     assert pipeline.run_pipeline(lake, at(60))["bronze_rows"] == 1
     assert pipeline.run_pipeline(lake, at(60))["bronze_rows"] == 0
@@ -402,6 +424,125 @@ def test_a_run_takes_files_that_were_committed_late(lake):
     assert pipeline.run_pipeline(lake, at(25 * 60))["bronze_rows"] == 0
 
 
+def test_late_events_pass_the_default_gate(lake):
+    """How fresh the data are is a matter of all of bronze, not of the dates that a run touches."""
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}))
+    pipeline.run_pipeline(lake, at(60))
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {"event_timestamp": at(-5 * 24 * 60)}))
+    run = pipeline.run_pipeline(lake, at(60))
+    assert (run["run_status"], run["bronze_rows"], run["silver_rows"]) == ("SUCCESS", 1, 1)
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {"event_timestamp": at(-4 * 24 * 60)}))
+    with pytest.raises(QualityError, match="stale.*2026-08-22 12:00"):
+        pipeline.run_pipeline(lake, at(25 * 60))
+
+
+def test_rows_without_a_time_are_counted_kept_aside_and_refused_in_every_run(lake):
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}))
+    pipeline.run_pipeline(lake, at(60))
+    untimed = [{"event_timestamp": None, "device_id": f"DEV{i}"} for i in range(2)]
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, *untimed, {"event_timestamp": at(1)}))
+    day = NOON.date()
+    for given in ({}, {}, {"dates": (day, day)}, {"full": True}):
+        with pytest.raises(QualityError, match="event_timestamp contains 2 NULL values"):
+            pipeline.run_pipeline(lake, at(60), **given)
+    lenient = ("required_columns", "ranges")
+    for given, expected in (({"dates": (day, day)}, (4, 1)), ({"full": True}, (4, 0)), ({}, (0, 0))):
+        run = pipeline.run_pipeline(lake, at(60), lenient, **given)
+        assert (run["bronze_rows"], run["silver_rows"]) == expected
+        bad = lake.read("ops.quarantine")
+        assert rows(bad, "device_id", "violations") == [(f"DEV{i}", ["not_null:event_timestamp"]) for i in range(2)]
+
+
+def test_a_mended_date_leaves_quarantine(lake):
+    bad = [{"event_timestamp": at(1), "temperature_mk": 99.0}, {"event_timestamp": None}, {"event_timestamp": at(24 * 60), "temperature_mk": 99.0}]
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, *bad), "b-1")
+    pipeline.run_pipeline(lake, at(60), ("required_columns",))
+    assert lake.read("ops.quarantine").count() == 3
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}, bad[2]), "b-1")
+    pipeline.run_pipeline(lake, at(60), ("required_columns",), full=True)
+    assert rows(lake.read("ops.quarantine"), "event_timestamp") == [(at(24 * 60),)]
+    assert not list(Path(lake.root, "ops", "quarantine").glob("event_date=2026-08-22"))
+
+
+def test_a_batch_written_again_loses_the_dates_it_no_longer_has(lake):
+    days = [{"event_timestamp": at(24 * 60 * d)} for d in range(3)]
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, *days, {"event_timestamp": None}), "b-1")
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, days[1]), "b-2")
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, days[2]), "b-1")
+    assert rows(lake.read("bronze.telemetry"), "batch", "event_timestamp") == [
+        ("b-1", days[2]["event_timestamp"]), ("b-2", days[1]["event_timestamp"])
+    ]
+
+
+def test_a_write_that_died_is_found(lake, monkeypatch):
+    """Rows that were committed before their application could note it are taken by the next runs, until the batch is closed."""
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, {}))
+    pipeline.run_pipeline(lake, at(60))
+    with monkeypatch.context() as died:
+        died.setattr(Lake, "_note_closed", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            lake.append_events("bronze.telemetry", telemetry(lake.spark, {"event_timestamp": at(24 * 60)}), "b-1")
+    assert rows(lake.open_batches(), "batch") == [("b-1",)]
+    for closed, expected in ((False, (1, 1)), (False, (1, 0)), (True, (1, 0)), (False, (0, 0))):
+        if closed:
+            lake.close_batch("b-1")
+        run = pipeline.run_pipeline(lake, at(25 * 60))
+        assert (run["bronze_rows"], run["silver_rows"]) == expected
+    assert lake.open_batches().isEmpty()
+
+
+def test_the_ledger_is_compared_in_tables(lake, monkeypatch):
+    """100,000 lines of the ledger: what is pending comes from an anti-join; no file is listed, and no name reaches the driver."""
+    n = 100_000
+    lines = lake.spark.range(n).select(
+        F.concat(F.lit("b-"), F.col("id")).alias("batch"),
+        F.concat(F.lit("c-"), F.col("id")).alias("commit_id"),
+        F.explode(F.array(F.lit("STARTED"), F.lit("COMMITTED"), F.lit("CLOSED"))).alias("state"),
+        F.date_add(F.lit(NOON.date()), (F.col("id") % 1000).cast("int")).alias("batch_date"),
+        F.lit(1).alias("row_count"),
+        F.lit(NOON).alias("latest_event"),
+    )
+    lake._note(lines)
+    lake._note(lines.filter("state = 'COMMITTED' AND commit_id NOT IN ('c-7', 'c-1007', 'c-99999')"), "ops.batches_done")
+    monkeypatch.setattr("pyspark.sql.DataFrame.inputFiles", lambda *_: pytest.fail("files are listed"))
+    pending = lake.pending_dates()
+    assert re.search("Join.*LeftAnti", pending._jdf.queryExecution().executedPlan().toString())
+    days = [NOON.date() + timedelta(days=d) for d in (7, 7, 999)]
+    assert rows(pending, "commit_id", "event_date") == sorted(zip(("c-7", "c-1007", "c-99999"), days, strict=True))
+    lake.compact_ledger(datetime.now().date() + timedelta(days=2))
+    assert lake.read("ops.batches").count() == 3 * n
+    assert lake.read("ops.batches").select(F.input_file_name()).distinct().count() == 1
+
+
+def test_upsert_writes_only_the_buckets_it_touches(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), "ups_", buckets=32).create_all()
+    schema = schemas.T.StructType(schemas.DEVICES.fields[:5])
+    everyone = spark.createDataFrame([(f"DEV{i:03d}", "n", "Lab", 1, "ACTIVE") for i in range(600)], schema)
+    pipeline.sync_devices(lake, everyone)
+    files = lambda: {r.f for r in lake.read("ops.devices").select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    assert len(before) == 32
+    few = spark.createDataFrame([(f"DEV{i:03d}", "new", "Hall", 2, "ACTIVE") for i in range(598, 604)], schema)
+    pipeline.sync_devices(lake, few)
+    after = files()
+    assert 32 - 6 <= len(before & after) < 32 and len(after) <= 32
+    now = lake.read("ops.devices")
+    assert now.count() == 604 and now.filter("location = 'Hall' AND qubit_count = 2").count() == 6
+    assert now.filter("created_at IS NULL").isEmpty()
+
+
+def test_small_files_of_a_date_are_put_together(lake):
+    for minute in range(3):
+        lake.append_events("silver.telemetry", telemetry(lake.spark, *[{"event_timestamp": at(minute + 10 * i)} for i in range(30)]))
+    lake.append_events("silver.telemetry", telemetry(lake.spark, {"event_timestamp": at(24 * 60)}))
+    day = lake.spark.createDataFrame([(NOON.date(),)], "event_date date")
+    before = sorted(map(str, lake.read("silver.telemetry").collect()))
+    lake.compact_dates("silver.telemetry", day)
+    assert sorted(map(str, lake.read("silver.telemetry").collect())) == before
+    files = lake.read("silver.telemetry").filter("event_date = '2026-08-22'").select(F.input_file_name()).distinct().count()
+    assert files <= lake.buckets
+
+
 def test_runs_of_given_dates_leave_the_others(lake):
     days = [{"event_timestamp": at(24 * 60 * d)} for d in range(3)]
     lake.append_events("bronze.telemetry", telemetry(lake.spark, days[0]))

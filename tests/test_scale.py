@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import SF_DIR
-from frames import NOON, at, telemetry
+from frames import DEGRADED, NOON, at, telemetry
 from pyspark.sql import functions as F
 
 from fleetlake.operators import calibration, cleaning, duplicates, health, incidents, jobs, profile, quality, series
@@ -18,7 +18,10 @@ from fleetlake.session import scratch_dir, shared_dir, size_for, sizing
 from fleetlake.sources.tables import Lake
 
 # These write tables or run streams while the result is set up.
-EAGER = {"stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "run_metrics", "incidents_after_two_runs", "csv_roundtrip", "table_evolution", "table_listing"}
+EAGER = {
+    "stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "stream_metrics", "run_metrics", "runs_with_late_events",
+    "incidents_after_two_runs", "incident_summary_kept_up", "upsert_buckets", "csv_roundtrip", "table_evolution", "table_listing",
+}
 
 
 def plan(df) -> str:
@@ -191,11 +194,75 @@ def test_top_k_needs_no_full_sort(spark):
 
 def test_appends_are_rebalanced_by_date(lake):
     rows = [{"event_timestamp": at(i)} for i in range(40)] + [{"event_timestamp": at(24 * 60 * 3)}]
-    assert lake.append_events("silver.telemetry", telemetry(lake.spark, *rows)) == 41
-    files = lake.read("silver.telemetry").select(F.input_file_name()).distinct().count()
+    assert lake.append_events("bronze.telemetry", telemetry(lake.spark, *rows)) == 41
+    files = lake.read("bronze.telemetry").select(F.input_file_name()).distinct().count()
     assert files == 2
 
 
+def scans(text, table):
+    """The plan's operators above each scan of a table up to the next join."""
+    lines = text.splitlines()
+    for at, line in enumerate(lines):
+        if re.search(rf"FileScan parquet \S*{table}\b", line):
+            depth, above = line.index("FileScan"), []
+            for other in reversed(lines[:at]):
+                place = re.search(r"[A-Za-z]", other)
+                if place and place.start() < depth:
+                    depth = place.start()
+                    if re.match(r"(SortMerge|ShuffledHash)Join", other[depth:]):
+                        break
+                    above.append(other[depth:])
+            yield line, above
+
+
+def test_looking_for_known_keys_does_not_shuffle_the_tables(lake, no_broadcast):
+    """Silver and incidents keep each key in one bucket: only the new side moves."""
+    lake.append_events("silver.telemetry", telemetry(lake.spark, {}, DEGRADED))
+    pipeline.record_incidents(lake, NOON)
+    batch = telemetry(lake.spark, {}, {"event_timestamp": at(1)}, {**DEGRADED, "event_timestamp": at(24 * 60)})
+    dates = cleaning.touched_dates(batch)
+    new = cleaning.unseen(cleaning.clean(batch), lake.read("silver.telemetry"), dates, standard=True)
+    absent = incidents.absent(incidents.detect(batch), lake.read("ops.incidents"), dates)
+    assert (new.count(), absent.count()) == (2, 5)
+    for df, table in ((new, "telemetry"), (absent, "incidents")):
+        found = list(scans(plan(df), table))
+        assert found
+        for scan, above in found:
+            assert "Bucketed: true" in scan and not any("Exchange hash" in line for line in above), above
+
+
+def test_a_bucket_of_silver_is_written_by_one_task(lake):
+    rows = [{"event_timestamp": at(i), "device_id": f"D{i % 7}"} for i in range(400)]
+    lake.append_events("bronze.telemetry", telemetry(lake.spark, *rows))
+    pipeline.refresh_silver(lake)
+    files = lake.read("silver.telemetry").select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == lake.buckets
+
+
+def rows_read(df) -> int:
+    """Rows that the scan of a query without a shuffle gave, after row groups and pages were skipped."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_a_device_is_found_in_few_row_groups(lake):
+    """Files are sorted by device, so that a device's rows stand together; Bloom filters tell of keys in no order."""
+    rows = [{"event_timestamp": at(i / 60), "device_id": f"DEV{i % 50:03d}", "queue_depth": 95 if i % 4 == 0 else 1} for i in range(20_000)]
+    lake.spark.conf.set("parquet.block.size", "20000")
+    try:
+        lake.append_events("silver.telemetry", telemetry(lake.spark, *rows))
+        pipeline.record_incidents(lake, NOON)
+    finally:
+        lake.spark.conf.unset("parquet.block.size")
+    one = lake.read("silver.telemetry").filter("device_id = 'DEV007'")
+    assert one.count() == 400 and rows_read(one) < 20_000 / 10
+    found = lake.read("ops.incidents")
+    key = found.first().event_key
+    assert found.count() == 5000
+    assert found.filter(F.col("event_key") == key).count() == 1 and rows_read(found.filter(F.col("event_key") == key)) < 5000 / 10
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_dir(spark) == named
