@@ -25,8 +25,10 @@ from fleetlake.llm.url_filter import url_host
 WINNER_BYTES = 512
 #: Share of a block's text that the next outer container gets, and so on down to the least share.
 OUTER, LEAST_SHARE = 0.5, 0.01
-#: Share of the page's text, links apart, above which an element that is only named like noise is kept.
+#: Share of the page's text, links apart, above which a form, or an element that is only named after a place, is kept.
 MOST = 0.5
+#: Share of the page's text from which on its article is its text, whatever stands beside it.
+ARTICLE = 0.1
 #: Share of a container's text, links apart, that none of its children may leave out.
 LEFT_OUT = 0.1
 
@@ -43,11 +45,16 @@ BLOCKS = CONTAINERS | frozenset(
     "html p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption blockquote pre address "
     "figure hr details summary fieldset hgroup center".split()
 )
-NOISE = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "gdpr notice popup modal newsletter subscribe subscription signup share sharing social sidebar menu nav navbar "
-    "navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist disqus reply replies "
-    "related recommended widget widgets toolbar pagination pager login search skip".split()
+# Names of what is never the page's text, however long it is, and of places, which wrappers of the text are named
+# after as well ("has-sidebar").
+NEVER_TEXT = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice "
+    "popup modal newsletter subscribe subscription signup comment comments commentlist disqus discussion discussions "
+    "reply replies responses share sharing related recommended".split()
+)
+PLACES = frozenset(
+    "banner social sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead widget widgets toolbar "
+    "pagination pager login search skip".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 PARAGRAPHS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
@@ -74,6 +81,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _DIGITS = re.compile(r"\d+")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[^a-z]+")
 
 
@@ -120,11 +128,13 @@ class Container:
 class Noise:
     """An element that is dropped, or unless it holds the text: its blocks and containers, from and to.
 
-    ``first`` has the block and container at which the first article or main part in it starts; ``holds``
+    ``never`` tells of a name that no text has, ``heads`` of a header within an article, whose title stays. ``first`` has the block and container at which the first article or main part in it starts; ``holds``
     tells of one that is the page's own, neither named like noise nor a part of an article around the element.
     """
 
     surely: bool
+    never: bool
+    heads: bool
     in_article: bool
     in_main: bool
     start: tuple[int, int]
@@ -143,15 +153,22 @@ def _noise(tag: str, attributes: dict[str, str]) -> bool:
         return False
     if tag in DROPPED or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
+    if _HIDDEN.search(attributes.get("style", "")):
+        return True
     return attributes.get("role", "").lower() in NOISE_ROLES
 
 
-def _like_noise(tag: str, attributes: dict[str, str]) -> bool:
+def _names(attributes: dict[str, str]) -> set[str]:
+    """The parts of the element's class and id names."""
+    return set(_NAME_PARTS.split(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+
+
+def _like_noise(tag: str, attributes: dict[str, str], names: set[str]) -> bool:
     """Whether the element is a form or has a class or id like noise; wrappers of the text may be, too."""
     if tag in ("html", "head", "body"):
         return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return tag == "form" or attributes.get("role", "").lower() == "form" or not NOISE.isdisjoint(_NAME_PARTS.split(names))
+    form = tag == "form" or attributes.get("role", "").lower() == "form"
+    return form or not NEVER_TEXT.isdisjoint(names) or not PLACES.isdisjoint(names)
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -214,6 +231,8 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
 
     def close_open(tags: tuple[str, ...]) -> None:
         """End the innermost open element of these, unless another container or list is in between."""
+        if not any(opened[t] for t in tags):
+            return
         for i in range(len(open_tags) - 1, -1, -1):
             if open_tags[i][0] in tags:
                 close(i)
@@ -258,7 +277,8 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                 elif tag == "hr":
                     flush()
             else:
-                surely, like = _noise(tag, attributes), _like_noise(tag, attributes)
+                names = _names(attributes)
+                surely, like = _noise(tag, attributes), _like_noise(tag, attributes, names)
                 if tag in BLOCKS or tag in ENDS_PARAGRAPH:
                     if foreign and not opened["foreignobject"] and not opened["annotation-xml"]:
                         close_open(FOREIGN)
@@ -269,7 +289,9 @@ def containers(page: str) -> tuple[list[Container], list[str]]:
                     flush()
                 noise = None
                 if surely or (like and tag not in ("article", "main")):
-                    noise = Noise(surely, opened["article"] > 0, opened["main"] > 0, (len(blocks), len(found)))
+                    never, heads = not NEVER_TEXT.isdisjoint(names), tag == "header" or "header" in names
+                    within = opened["article"] > 0, opened["main"] > 0
+                    noise = Noise(surely, never, heads and any(within), *within, (len(blocks), len(found)))
                     noises.append(noise)
                     open_noises.append(noise)
                 elif tag in ("article", "main"):
@@ -314,8 +336,9 @@ def _without_noise(
     """The containers and blocks that stay, scored.
 
     An element that is only named like noise, or a form, stays if it holds an article or main part of the
-    page's own or most of the page's text, links apart. Most of the text is not enough where an article or
-    main part with text stands beside it: long comments behind an article are not the page's text.
+    page's own. A form, and an element named after a place, also stays if it has most of the page's text, links
+    apart, and no article or main part with text stands beside it. One named after comments, notices, adverts and the like
+    is never text for its length, unless there is no other. Of a header in an article its title stays.
     """
     sure = _covered([(n.start[0], n.end[0]) for n in noises if n.surely], len(blocks))
     plain = [0 if s else max(length - links, 0) for s, (length, links, _) in zip(sure, sizes, strict=True)]
@@ -327,13 +350,17 @@ def _without_noise(
         if noise.surely or noise.holds:
             return not noise.surely
         start, end = noise.start[0], noise.end[0]
+        if noise.never:
+            return upto[end] - upto[start] == upto[-1] > 0
         beside = article_upto[-1] - (article_upto[end] - article_upto[start])
         if beside and not (noise.in_article or noise.in_main):
             return False
         return upto[end] - upto[start] > MOST * upto[-1]
 
     gone = [n for n in noises if not stays(n)]
-    block_gone = _covered([(n.start[0], n.end[0]) for n in gone], len(blocks))
+    block_gone = _covered([(n.start[0], n.end[0]) for n in gone if not n.heads], len(blocks))
+    in_head = _covered([(n.start[0], n.end[0]) for n in gone if n.heads], len(blocks))
+    block_gone = [g or (h and not title) for g, h, (_, _, title) in zip(block_gone, in_head, sizes, strict=True)]
     container_gone = _covered([(n.start[1], n.end[1]) for n in gone], len(found))
     kept_upto = [0, *accumulate(not g for g in block_gone)]
     for container in found:
@@ -362,16 +389,21 @@ def _behind_raw(page: str, tag: str, start: int) -> int:
 def best(found: list[Container]) -> Container:
     """The container of the highest score, the first of equals, or one around it that has more of the text.
 
-    The article or main part around it is taken, if there is one. Otherwise a parent is taken that has text of
+    Where the page has articles of its own, or else main parts, with more than a small share of its text, only these and
+    what is in them count, and the one around the highest score is taken. Otherwise a parent is taken that has text of
     its own or a title besides, or whose other children have more than a small share of its text.
     """
-    chosen = max(found, key=lambda c: c.score)
-    at = chosen
-    while at is not None:
-        if at.tag in ("article", "main"):
-            return at
-        at = at.outer
-    at = chosen
+    for tag in ("article", "main"):
+        own: dict[int, Container] = {}  # by container, the innermost such part around it
+        for c in found[1:]:
+            if c.tag == tag and c.own_article:
+                own[id(c)] = c
+            elif id(c.outer) in own:
+                own[id(c)] = own[id(c.outer)]
+        inner = [c for c in found if id(c) in own]
+        if inner and max(c.total for c in own.values()) >= ARTICLE * found[0].total > 0:
+            return own[id(max(inner, key=lambda c: c.score))]
+    chosen = at = max(found, key=lambda c: c.score)
     while (parent := at.outer) is not None:
         left_out = parent.total - at.total
         if parent.own or parent.titles > at.titles or left_out > LEFT_OUT * parent.total:

@@ -177,3 +177,41 @@ def test_a_host_votes_for_its_path(spark):
 
 def test_empty_table(spark):
     assert html_text.extract(spark.createDataFrame([], PAGES)).collect() == []
+
+
+SAID = "This is a whole sentence of the story, long enough to count. "
+OTHER = "A reader says something about it, at some length as well. "
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class=post><p>{SAID * 4}</p></div><ol class=comments>{f'<li>{OTHER}</li>' * 20}</ol></body>",
+        f"<body><div class=post><p>{SAID * 4}</p></div><div class=cookie-consent><p>{OTHER * 20}</p></div></body>",
+        f"<body><div class=post><p>{SAID * 4}</p></div><form class=newsletter><p>{OTHER * 20}</p></form></body>",
+        f"<body><article><p>{SAID * 4}</p></article><section class=discussion><p>{OTHER * 20}</p></section></body>",
+        f"<body><main><article><p>{SAID * 4}</p></article><section class=talk><p>{OTHER * 20}</p></section></main></body>",
+        f"<body><div><p>{SAID * 4}</p><p style='color:red; display: none'>{OTHER}</p></div></body>",
+        f"<body><div class='layout has-sidebar'><p>{SAID * 4}</p></div><p>{OTHER}</p></body>",
+        f"<body><div class='with-comments'><p>{SAID * 4}</p></div></body>",
+    ],
+)
+def test_noise_never_comes_back_for_its_length(page):
+    assert html_text.main_text(page, None).startswith((SAID * 4).strip())
+    if "has-sidebar" not in page:
+        assert OTHER.strip() not in html_text.main_text(page, None)
+
+
+@pytest.mark.parametrize("head", ["<header><h1>The title</h1><p>By someone</p></header>", "<div class=entry-header><h1>The title</h1><a href=x>Share</a></div>"])
+def test_an_article_keeps_its_title(head):
+    page = f"<body><header><h1>Site</h1></header><article>{head}<p>{SAID * 4}</p></article></body>"
+    assert html_text.main_text(page, None) == f"The title\n\n{(SAID * 4).strip()}"
+
+
+@pytest.mark.parametrize("page", ["<b>" * 60_000 + "<p>x" * 60_000, "<p>x<b>" * 60_000, "<div><p>" + "<i>" * 60_000 + "<li>x" * 60_000])
+def test_unclosed_tags_take_no_more_than_their_length(page):
+    import time
+
+    start = time.process_time()
+    html_text.main_text(page, None)
+    assert time.process_time() - start < 10
