@@ -18,12 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.llm.common import stored
 from fleetlake.llm.decontaminate import words_of
 
-#: Labelled documents of each given grade that the fit takes, those of the smallest hash, and of each
-#: document the distinct words, likewise. Scoring takes all documents and all words.
+#: Labelled documents of each given grade that the fit takes, those of the smallest hash, with all their words.
 SAMPLE_PER_GRADE = 2_500
-SAMPLE_WORDS = 20_000
 #: Grades to predict where the labels tell two only: the upper one is split at equal parts of its scores.
 GRADES = 3
 #: Hashed features, and lengths of the beginnings of longer words.
@@ -151,41 +150,77 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE_PER_GRADE,
         low = key.cast("double") < 2.0**64 * min(2 * per_grade / count, 1.0) - 2.0**63
         some = graded.where((F.col("grade") == grade) & low).orderBy(key).limit(per_grade)
         chosen = some if chosen is None else chosen.union(some)
-    found = [] if chosen is None else _features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).collect()
-    found.sort(key=lambda r: r.doc_id)
-    names = sorted({r.grade for r in found})
+    if chosen is None:
+        return Model({}, np.array([np.inf]))
+    sample = stored(_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "toxicity-sample")
+    names = sorted(r.grade for r in sample.select("grade").distinct().collect())
     if len(names) < 2:
         return Model({}, np.array([np.inf]))
-    rows = [np.frombuffer(r.features, np.int32) for r in found]
-    known = np.array([names.index(r.grade) for r in found])
-    del found
+    given = F.array_position(F.array(*map(F.lit, names)), F.col("grade")).cast("int") - 1
+    sample = sample.select("doc_id", given.alias("given"), "features")
+    ids, rows, known, _ = _told(sample.withColumn("grade", F.col("given")))
     model = fit(rows, known, len(names))
     if len(names) == 2 and grades > 2:
         scores = np.array([model.score(model.weights.keys() & r.tolist()) for r in rows])
         parts = np.quantile(scores[known == 1], np.arange(1, grades - 1) / (grades - 1))
-        model = fit(rows, known * (1 + np.searchsorted(parts, scores, "right")), grades, given=known)
+        finer = known * (1 + np.searchsorted(parts, scores, "right"))
+        split = docs.sparkSession.createDataFrame(list(zip(ids, finer.tolist(), strict=True)), _SPLIT.format(_type(docs, "doc_id")))
+        _, rows, finer, known = _told(sample.join(F.broadcast(split), "doc_id"))  # a row for each of the sample
+        model = fit(rows, finer, grades, given=known)
     return model
 
 
-def _features(docs: DataFrame) -> DataFrame:
-    """``doc_id, grade, features`` of the sample: distinct features as bytes, one row per id."""
+_SPLIT = "doc_id {}, grade int"
 
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def _told(sample: DataFrame) -> tuple[list, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Ids, features, grades and given grades of the sample, with the features that tell the grades apart best.
+
+    Features are counted in Spark; only the chosen ones come to the driver: as many as the fit weighs, for each document.
+    """
+    mean = sample.agg(F.avg("grade")).first()[0]
+    apart = F.abs(F.sum("grade") - mean * F.count(F.lit(1))) / F.sqrt(F.count(F.lit(1)))
+    counted = sample.select("grade", F.explode("features").alias("feature")).groupBy("feature")
+    counted = counted.agg(F.count(F.lit(1)).alias("documents"), apart.alias("apart"))
+    chosen = counted.where((F.col("documents") >= LEAST_DOCUMENTS) & (F.col("apart") > 0))
+    used = [r.feature for r in chosen.orderBy(F.desc("apart"), "feature").limit(WEIGHED).collect()]
+    used = np.sort(np.array(used, np.int32))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch["text"].cast(pa.binary()).to_pylist():
-                words = set(words_of(text))
-                if len(words) > SAMPLE_WORDS:
-                    words = sorted(words, key=xxhash.xxh64_intdigest)[:SAMPLE_WORDS]
-                out.append(np.unique(np.array([f for w in words for f in word_features(w)], np.int32)).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["grade"], pa.array(out, pa.binary())], ["doc_id", "grade", "features"]
-            )
+            rows = [np.asarray(r.values, np.int32) for r in batch["features"]]
+            kept = pa.array([r[np.isin(r, used)].tobytes() for r in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], kept], ["doc_id", "given", "grade", "features"])
 
-    types = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "grade")}
-    return docs.mapInArrow(featured, f"doc_id {types['doc_id']}, grade {types['grade']}, features binary").dropDuplicates(
-        ["doc_id"]
+    few = sample.select("doc_id", "given", "grade", "features").mapInArrow(
+        keep, f"doc_id {_type(sample, 'doc_id')}, given int, grade int, features binary"
     )
+    found = sorted(few.collect(), key=lambda r: r.doc_id)
+    rows = [np.frombuffer(r.features, np.int32) for r in found]
+    return [r.doc_id for r in found], rows, np.array([r.grade for r in found]), np.array([r.given for r in found])
+
+
+def _features(docs: DataFrame) -> DataFrame:
+    """``doc_id, grade, features`` of the sample: all distinct features, one row per id.
+
+    Of several texts under one id that of the smallest hash counts.
+    """
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch["text"].cast(pa.binary()).to_pylist()):
+                found = {f for w in set(words_of(text)) for f in word_features(w)}
+                features = pa.array([np.sort(np.fromiter(found, np.int32, len(found)))], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(i, 1), batch["grade"].slice(i, 1), features], ["doc_id", "grade", "features"]
+                )
+
+    one = docs.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.mapInArrow(featured, f"doc_id {_type(docs, 'doc_id')}, grade {_type(docs, 'grade')}, features array<int>")
 
 
 class _Weighted(dict):

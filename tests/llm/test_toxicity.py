@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -104,3 +106,54 @@ def test_splitting_a_label_does_not_add_to_its_weight(spark):
     model = toxicity.train(docs, labels)
     assert len(model.thresholds) == 2
     assert all(r.toxic == hint[r.doc_id] for r in toxicity.severity(docs, model).collect())
+
+
+def words(text):
+    return set(re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower()))
+
+
+def test_scores_against_brute_force(spark, graded):
+    """Every score, chance and grade recomputed from weights and thresholds, a feature at a time."""
+    docs, _, model = graded
+    found = {r.doc_id: r for r in toxicity.severity(docs, model).collect()}
+    for row in docs.collect():
+        features = {f for w in words(row.text) for f in toxicity.word_features(w.encode())}
+        score = sum(model.weights.get(f, 0.0) for f in features)
+        chances = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        got = found[row.doc_id]
+        assert got.expected_severity == pytest.approx(sum(chances), abs=2e-6)
+        assert got.severity == sum(c >= 0.5 for c in chances) and got.toxic == (got.severity > 0)
+
+
+def test_the_fit_against_numeric_gradients():
+    """At the fitted values the likelihood, recomputed document by document, has no slope along any threshold, and
+    along a weight none beyond the penalty."""
+    rng = np.random.default_rng(2)
+    grades = np.arange(300) % 3
+    rows = [np.unique(np.append(rng.integers(0, 30, 6), 30 + g) if rng.random() < 0.7 else rng.integers(0, 33, 6)) for g in grades]
+    model = toxicity.fit([r.astype(np.int32) for r in rows], grades, 3, steps=4000)
+
+    def loss(weights, thresholds):
+        total = 0.0
+        for features, grade in zip(rows, grades, strict=True):
+            score = sum(weights.get(int(f), 0.0) for f in features)
+            above = [1.0, *(1 / (1 + math.exp(t - score)) for t in thresholds), 0.0]
+            total -= math.log(above[grade] - above[grade + 1])
+        return total / len(rows)
+
+    step = 1e-5
+    for k in range(2):
+        moved = [model.thresholds + d * np.eye(2)[k] for d in (step, -step)]
+        assert abs(loss(model.weights, moved[0]) - loss(model.weights, moved[1])) / (2 * step) < 2e-3
+    for feature, weight in list(model.weights.items())[:10]:
+        moved = [loss({**model.weights, feature: weight + d}, model.thresholds) for d in (step, -step)]
+        assert (moved[0] - moved[1]) / (2 * step) == pytest.approx(-math.copysign(toxicity.SHRINK, weight), abs=2e-3)
+
+
+def test_one_id_with_two_texts_and_very_long_ones(spark):
+    rows = texts(80, 3) + [(3, "another text of this id", "x", "y"), (1, None, "x", "y")]
+    rows += [(1000, " ".join(f"w{i}" for i in range(30_000)), "x", "y")]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(r[0], r[0] % 4) for r in rows], "doc_id long, grade long")
+    one, two = (toxicity.train(d, labels) for d in (docs, docs.orderBy(F.desc("doc_id"))))
+    assert one.weights == two.weights and (one.thresholds == two.thresholds).all()
