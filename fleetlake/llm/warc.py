@@ -24,9 +24,9 @@ from fleetlake.session import scratch_dir
 
 #: Payloads shorter than this are always written in full.
 MIN_REVISIT_BYTES = 100
-#: The dictionary is made from at most so many records, of each at most so many bytes.
+#: The dictionary is made from at most so many records, of each a stretch of at most so many characters at a hashed place.
 SAMPLE_RECORDS = 1_000
-SAMPLE_BYTES = 8 * 2**10
+SAMPLE_CHARS = 8 * 2**10
 DICTIONARY_BYTES = 64 * 2**10
 #: A task goes on with a new archive when one has so many bytes.
 ARCHIVE_BYTES = 256 * 2**20
@@ -155,9 +155,12 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     # Of all rows, about twice the sample have a hash this low; so tasks send no more than that together.
     share = 2 * SAMPLE_RECORDS / max(pages.count(), 1)
     key = F.xxhash64("page_id", "url")
+    whole = F.coalesce("html", F.lit(""))
+    places = F.greatest(F.length(whole) - SAMPLE_CHARS + 1, F.lit(1))
+    place = F.pmod(F.xxhash64(F.lit("place"), "page_id", "url"), places).cast("int") + 1
     sample = (
         pages.where(key.cast("double") < 2.0**64 * min(share, 1.0) - 2.0**63)
-        .select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES).alias("html"))
+        .select("page_id", "url", F.substr(whole, place, F.lit(SAMPLE_CHARS)).alias("html"))
         .orderBy(key)
         .limit(SAMPLE_RECORDS)
     )
