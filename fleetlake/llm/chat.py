@@ -24,8 +24,9 @@ CONTROL = ("<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<
 _CONTROL = re.compile("|".join(map(re.escape, CONTROL)))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 _TURN = re.compile(r"<\|im_start\|>((?:[^\\\n]|\\.)*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
-#: Probe characters are taken from the private use area.
-_PROBES = range(0xE000, 0xF900)
+#: Probes are two characters of the private use area.
+_PROBES = [chr(c) for c in range(0xE000, 0xF900)]
+_PRIVATE = re.compile("[\ue000-\uf8ff](?=(.))", re.DOTALL)
 
 FORMATTED = (
     "conv_id long, formatted string, loss_spans array<struct<start:int,end:int>>, "
@@ -74,10 +75,15 @@ def _probed(template: Template, before: Turns, turn: tuple[str, str], after: Tur
     return len(head), len(output) - len(tail)
 
 
+def _probe(turns: Turns) -> str:
+    """Two different characters that stand nowhere side by side; there are more such pairs than a string can hold."""
+    used = {m[0] + m[1] for turn in turns for s in turn for m in _PRIVATE.finditer(s)}
+    return next(a + b for a in _PROBES for b in _PROBES if a != b and a + b not in used)
+
+
 def render(template: Template, turns: Turns):
     """``formatted, text spans, turn spans, rewriting turns``; spans that can't be told are None."""
-    used = set().union(*(text for _, text in turns), *(role for role, _ in turns)) if turns else set()
-    probe = next(c for c in map(chr, _PROBES) if c not in used)
+    probe = _probe(turns)
     output, texts, spans, rewriting = "", [], [], []
     for i, turn in enumerate(turns):
         following = template(turns[: i + 1])

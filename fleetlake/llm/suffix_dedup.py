@@ -265,7 +265,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     the last), in order: runs of words that a document with a smaller id has too, and those that only documents with
     larger ids have. ``mark`` is a hash of the text, to tell rows of one id apart.
 
-    Rows with a null id are not compared. Null, empty and shorter texts share nothing. Repeated rows, and other
+    Ids are whole numbers. Rows with a null id are not compared. Null, empty and shorter texts share nothing. Repeated rows, and other
     texts under one id, are one document: what they share among themselves doesn't count, nor
     does what one text repeats within itself. Other columns are ignored.
     """

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import stored
@@ -40,7 +40,12 @@ def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
 
     Rows with a null id, a null vector, or a null or non-finite component are left out.
     """
-    dims = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
+
+    def floor(x: Column) -> Column:
+        # doubles from 2^53 on are whole; the function gives 64-bit integers, which large ones are beyond
+        return F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x)
+
+    dims = F.transform("embedding", lambda x: floor(x.cast("double") * scale))
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(
         F.col("vec_id").cast("long").alias("vec_id"), dims.alias("dims")
@@ -176,7 +181,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     start at 1, ties go to the smaller id. Rows with the query's own id are not entries of its list;
     repeated rows of another id are entries each. A repeated query row is answered once; an id with
     two vectors is two queries. Only vectors of equal length meet; a query without entries, and an
-    empty table, have no rows. Scores are 64-bit integers.
+    empty table, have no rows. Scores are 64-bit integers; one that leaves them ends the query with an OverflowError.
     """
     queries = queries.select("vec_id", "dims")
     query_blocks = _blocks(queries.groupBy("vec_id", "dims").agg(F.lit(0)).select("vec_id", "dims"), QUERY_BLOCK)

@@ -109,10 +109,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         )
         .select(
             "page_id",
-            "url",
             url_host(F.col("url")).alias("host"),
             url_path(F.col("url")).alias("path"),
             F.col("best.rule").alias("rule"),
             F.coalesce(F.col("best.says"), F.lit(default)).alias("verdict"),
+            "url",
         )
     )

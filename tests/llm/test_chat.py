@@ -58,3 +58,11 @@ def test_nulls_ties_repeats_and_clashing_columns(spark):
 
 def test_an_empty_table(spark):
     assert chat.format_chats(spark.createDataFrame([], COLUMNS)).collect() == []
+
+
+def test_texts_that_hold_every_probe_character():
+    every = "".join(map(chr, range(0xE000, 0xF900)))
+    turns = [("user", every + every[:1]), ("assistant", every[::-1])]
+    output, texts, _, rewriting = chat.render(chat.chatml, turns)
+    assert chat.parse(output) == turns and not rewriting
+    assert [output[a:b] for a, b in texts] == [text for _, text in turns]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 
 import pytest
 
@@ -54,3 +55,9 @@ def test_large_components_stay_exact(spark):
 
 def test_empty_table(spark):
     assert run(spark, [], "vec_id = 0", 3) == []
+
+
+def test_components_beyond_whole_numbers_of_64_bits(spark):
+    rows = [(i, [x], 0, "x") for i, x in enumerate((-0.25, -1e-20, 0.999, 2.0**62, 2.0**63, 2.0**80))]
+    found = topk.quantised(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r.dims[0] for r in found] == [math.floor(64 * struct.unpack("f", struct.pack("f", v))[0]) for _, (v,), *_ in rows]
