@@ -47,6 +47,7 @@ def daily_health(silver: DataFrame) -> DataFrame:
         F.count_if(status == "DEGRADED").alias("degraded_events"),
         F.count_if(status == "CRITICAL").alias("critical_events"),
         F.max("event_timestamp").alias("latest_event_timestamp"),
+        F.min("event_timestamp").alias("first_event_timestamp"),
     )
 
 

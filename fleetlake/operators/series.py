@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetlake.functions.times import elapsed_days, from_micros, micros
+from fleetlake.operators.cleaning import on_dates, touched_dates
+from fleetlake.schemas import EVENT_DATE
 
 HOURS_PER_READING = 0.25
 SLOT_MINUTES = 15
@@ -20,7 +22,7 @@ def running_total(
     df: DataFrame,
     value: Column,
     name: str,
-    entity: str = "device_id",
+    entity: str | tuple[str, ...] = "device_id",
     order: tuple[str, ...] = ("event_timestamp",),
 ) -> DataFrame:
     """Running sum of ``value`` per entity in time order.
@@ -30,19 +32,20 @@ def running_total(
     added to it; that carry has one row per entity and hour. ``order`` is unique per
     entity, as event times are in silver.
     """
+    entity = (entity,) if isinstance(entity, str) else entity
     sliced = df.withColumn("_slice", F.date_trunc(SLICE, order[0])).withColumn("_value", value)
     so_far = (
-        Window.partitionBy(entity, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*entity, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = Window.partitionBy(entity).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*entity).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        sliced.groupBy(entity, "_slice")
+        sliced.groupBy(*entity, "_slice")
         .agg(F.sum("_value").alias("_sum"))
-        .select(entity, "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carry"))
+        .select(*entity, "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carry"))
     )
     return (
         sliced.withColumn("_sum", F.sum("_value").over(so_far))
-        .join(carry, [entity, "_slice"])
+        .join(carry, [*entity, "_slice"])
         .withColumn(name, F.col("_sum") + F.col("_carry"))
         .select(*df.columns, name)
     )
@@ -54,6 +57,38 @@ def uptime_hours(events: DataFrame, start: float = 0.0) -> DataFrame:
     return grown.withColumn("uptime_hours", F.round(F.col("uptime_hours") + start, 2))
 
 
+def uptime_of_dates(events: DataFrame, daily: DataFrame, start: float = 0.0) -> DataFrame:
+    """As :func:`uptime_hours` of all events, for whole dates of them: what came before is taken from daily counts.
+
+    ``daily`` has ``device_id, event_date, total_events`` for every device and date, one row each.
+    """
+    date = F.to_date("event_timestamp")
+    earlier = Window.partitionBy("device_id").orderBy(EVENT_DATE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = daily.select("device_id", EVENT_DATE, F.coalesce(F.sum("total_events").over(earlier), F.lit(0)).alias("_before"))
+    grown = running_total(events.withColumn("_date", date), F.lit(1), "_readings", order=("event_timestamp",), entity=("device_id", "_date"))
+    carry = carry.withColumnRenamed(EVENT_DATE, "_date")
+    total = F.round((F.col("_before") + F.col("_readings")) * HOURS_PER_READING + start, 2)
+    return grown.join(carry, ["device_id", "_date"]).select(*events.columns, total.alias("uptime_hours"))
+
+
+def gaps_ending_on(events: DataFrame, daily: DataFrame, step_minutes: int = SLOT_MINUTES) -> DataFrame:
+    """The :func:`missing_slots` of all events that end on the dates of ``events``, which are whole dates of them.
+
+    ``daily`` has ``device_id, event_date, first_event_timestamp, latest_event_timestamp`` for every device and date; it
+    tells when a device was heard of before a date. Stretches behind a device's last slot end on no date.
+    """
+    step = step_minutes * 60_000_000
+    day, slot = F.to_date("event_timestamp").alias("day"), _slot(F.col("event_timestamp"), step).alias("slot")
+    occupied = events.groupBy("device_id", day, slot).agg(F.lit(1).alias("_one"))
+    within = Window.partitionBy("device_id", "day").orderBy("slot")
+    inner = occupied.select("device_id", F.lag("slot").over(within).alias("before"), F.col("slot").alias("after"))
+    by_day = Window.partitionBy("device_id").orderBy(EVENT_DATE)
+    last = F.lag(_slot(F.col("latest_event_timestamp"), step)).over(by_day)
+    days = daily.select("device_id", EVENT_DATE, last.alias("before"), _slot(F.col("first_event_timestamp"), step).alias("after"))
+    between = on_dates(days, touched_dates(events)).select("device_id", "before", "after")
+    return _stretches(inner.unionByName(between), step)
+
+
 def _slot(time: Column, step: int) -> Column:
     return F.floor(micros(time) / step).cast("long")
 
@@ -97,18 +132,18 @@ def missing_slots(
             )
         ),
     )
+    return _stretches(inner.unionByName(between).unionByName(outer), step)
+
+
+def _stretches(neighbours: DataFrame, step: int) -> DataFrame:
+    """What lies between neighbouring occupied slots, where there is something."""
     began, ended = from_micros((F.col("before") + 1) * step), from_micros(F.col("after") * step)
-    return (
-        inner.unionByName(between)
-        .unionByName(outer)
-        .filter(F.col("after") - F.col("before") > 1)
-        .select(
-            "device_id",
-            began.alias("gap_start"),
-            ended.alias("gap_end"),
-            (F.col("after") - F.col("before") - 1).alias("missing_slots"),
-            elapsed_days(began, ended).alias("gap_days"),
-        )
+    return neighbours.filter(F.col("after") - F.col("before") > 1).select(
+        "device_id",
+        began.alias("gap_start"),
+        ended.alias("gap_end"),
+        (F.col("after") - F.col("before") - 1).alias("missing_slots"),
+        elapsed_days(began, ended).alias("gap_days"),
     )
 
 

@@ -596,3 +596,13 @@ UNION ALL SELECT 'silver', 1, messages, rejected, 0, messages - rejected FROM co
 }
 
 ORACLE_SQL["upsert_buckets"] = ORACLE_SQL["upsert_devices"]
+ORACLE_SQL["uptime_from_carry"] = (
+    f"SELECT * FROM ({ORACLE_SQL['running_uptime']}) WHERE event_timestamp >= TIMESTAMP '2024-01-16'"
+)
+ORACLE_SQL["gaps_from_carry"] = _with(
+    *_S,
+    """slots AS (SELECT DISTINCT device_id, epoch_us(event_timestamp) // 3600000000 AS slot FROM silver),
+pairs AS (SELECT device_id, lag(slot) OVER (PARTITION BY device_id ORDER BY slot) AS before, slot AS after FROM slots)""",
+) + """SELECT device_id, make_timestamp((before + 1) * 3600000000) AS gap_start, make_timestamp(after * 3600000000) AS gap_end,
+  after - before - 1 AS missing_slots, (after - before - 1) / 24e0 AS gap_days
+FROM pairs WHERE after - before > 1 AND after * 3600000000 >= epoch_us(TIMESTAMP '2024-01-16')"""

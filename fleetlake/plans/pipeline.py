@@ -14,6 +14,7 @@ from fleetlake.operators.cleaning import clean, on_dates, touched_dates, unseen
 from fleetlake.operators.health import daily_health, health_of_days
 from fleetlake.operators.incidents import absent, daily_summary, detect, device_totals, opened, summary_of_days
 from fleetlake.operators.quality import CHECKS, gate, quality_measures, report_of, split_quarantine
+from fleetlake.operators.series import SLOT_MINUTES, gaps_ending_on, uptime_of_dates
 from fleetlake.plans.readonly import require_known
 from fleetlake.plans.sqlfunctions import FUNCTIONS, register_functions
 from fleetlake.schemas import DEVICE_HEALTH, DEVICES, EVENT_DATE, QUARANTINE
@@ -68,6 +69,21 @@ def refresh_gold(lake: Lake, dates: Dates | None = None) -> int:
     return lake.replace("gold.device_health", health_of_days(lake.read("gold.device_health_daily")))
 
 
+def uptime_on(lake: Lake, dates: Dates | None, start: float = 0.0) -> DataFrame:
+    """Silver's events of ``dates`` with their device's uptime so far; gold's daily counts carry that of earlier dates.
+
+    A late date changes the uptime of all later ones, which the next call gives: no total is stored.
+    """
+    events = _read_dates(lake, "silver.telemetry", dates).drop(EVENT_DATE)
+    return uptime_of_dates(events, lake.read("gold.device_health_daily"), start)
+
+
+def gaps_on(lake: Lake, dates: Dates | None, step_minutes: int = SLOT_MINUTES) -> DataFrame:
+    """The stretches without a reading that end on ``dates``; what came before these is told by gold's daily rows."""
+    events = _read_dates(lake, "silver.telemetry", dates).drop(EVENT_DATE)
+    return gaps_ending_on(events, lake.read("gold.device_health_daily"), step_minutes)
+
+
 def refresh_quarantine(lake: Lake, dates: Dates | None = None) -> None:
     """Keep the bronze rows that break a row rule, with the rules, in place of those of the same dates."""
     bad = split_quarantine(_read_dates(lake, "bronze.telemetry", dates))[1]

@@ -734,3 +734,32 @@ def stream_metrics(spark, sf):
         messages.write_messages(_messages(_raw(spark, sf)), topic)
         ingest.stream_silver(lake, {"files": topic}, progress, sent).awaitTermination()
     return lake.read("ops.stream_batches").select("stream", "batch_number", "messages", "rejected", "accepted", "surplus")
+
+
+@report
+def uptime_from_carry(spark, sf):
+    """Uptime of the later dates after two runs, the earlier dates last; their events are counted by day only."""
+    lake = _two_runs(spark, sf)
+    total = pipeline.uptime_on(lake, _later_dates(lake), 100.0)
+    return total.select("device_id", "event_timestamp", "uptime_hours")
+
+
+@report
+def gaps_from_carry(spark, sf):
+    """Gaps that end on the later dates, after the same runs."""
+    lake = _two_runs(spark, sf)
+    return pipeline.gaps_on(lake, _later_dates(lake), SLOT_MINUTES)
+
+
+def _two_runs(spark: SparkSession, sf: str) -> Lake:
+    lake, raw = _new_lake(spark), _raw(spark, sf)
+    later = F.col("event_timestamp") >= F.lit(SPLIT).cast("timestamp_ntz")
+    for part in (raw.filter(later), raw.filter(~later)):
+        lake.append_events("bronze.telemetry", part)
+        pipeline.refresh_silver(lake)
+        pipeline.refresh_gold(lake)
+    return lake
+
+
+def _later_dates(lake: Lake) -> DataFrame:
+    return lake.dates_of("silver.telemetry").filter(F.col("event_date") >= F.lit(SPLIT.date()))

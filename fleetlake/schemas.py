@@ -71,6 +71,7 @@ DEVICE_HEALTH_DAILY = _schema(
     ("degraded_events", _L, "req"),
     ("critical_events", _L, "req"),
     ("latest_event_timestamp", _TS, "req"),
+    ("first_event_timestamp", _TS),
 )
 
 DEVICES = _schema(

@@ -20,7 +20,8 @@ from fleetlake.sources.tables import Lake
 # These write tables or run streams while the result is set up.
 EAGER = {
     "stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "stream_metrics", "run_metrics", "runs_with_late_events",
-    "incidents_after_two_runs", "incident_summary_kept_up", "upsert_buckets", "csv_roundtrip", "table_evolution", "table_listing",
+    "incidents_after_two_runs", "incident_summary_kept_up", "upsert_buckets", "uptime_from_carry",
+    "gaps_from_carry", "csv_roundtrip", "table_evolution", "table_listing",
 }
 
 
