@@ -34,6 +34,16 @@ def _has_required() -> Column:
     )
 
 
+def standardize_identity(df: DataFrame) -> DataFrame:
+    """The two columns that identify an event, as silver has them."""
+    return df.withColumns(
+        {
+            "device_id": upper_stripped(F.col("device_id")),
+            "event_timestamp": F.col("event_timestamp").try_cast("timestamp_ntz"),
+        }
+    )
+
+
 def standardize(bronze: DataFrame) -> DataFrame:
     """Coerce timestamps, normalise texts and turn NaN readings into NULL. Keeps every row."""
     changed = {
@@ -105,12 +115,7 @@ def unseen(events: DataFrame, silver: DataFrame, dates: DataFrame | None = None,
     """
     seen = on_dates(silver, dates)
     if not standard:
-        seen = seen.withColumns(
-            {
-                "device_id": upper_stripped(F.col("device_id")),
-                "event_timestamp": F.col("event_timestamp").try_cast("timestamp_ntz"),
-            }
-        )
+        seen = standardize_identity(seen)
     return events.join(seen.select(*IDENTITY), list(IDENTITY), "left_anti").select(events.columns)
 
 

@@ -606,3 +606,5 @@ pairs AS (SELECT device_id, lag(slot) OVER (PARTITION BY device_id ORDER BY slot
 ) + """SELECT device_id, make_timestamp((before + 1) * 3600000000) AS gap_start, make_timestamp(after * 3600000000) AS gap_end,
   after - before - 1 AS missing_slots, (after - before - 1) / 24e0 AS gap_days
 FROM pairs WHERE after - before > 1 AND after * 3600000000 >= epoch_us(TIMESTAMP '2024-01-16')"""
+ORACLE_SQL["late_bound_column"] = _with(*_S) + """SELECT device_id, event_timestamp, kafka_offset,
+  CASE WHEN kafka_offset % 3 <> 0 THEN 'S' || (kafka_offset % 5) END AS site FROM silver"""

@@ -8,9 +8,18 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.functions.text import READ_COMMANDS, WRITE_COMMANDS
-from fleetlake.operators.cleaning import clean, on_dates, touched_dates, unseen
+from fleetlake.operators.cleaning import (
+    IDENTITY,
+    clean,
+    latest_copies,
+    on_dates,
+    standardize_identity,
+    touched_dates,
+    unseen,
+)
 from fleetlake.operators.health import daily_health, health_of_days
 from fleetlake.operators.incidents import absent, daily_summary, detect, device_totals, opened, summary_of_days
 from fleetlake.operators.quality import CHECKS, gate, quality_measures, report_of, split_quarantine
@@ -59,6 +68,21 @@ def refresh_silver(lake: Lake, dates: Dates | None = None) -> int:
     return lake.append_events("silver.telemetry", unseen(clean(bronze), silver, standard=True), placed=True)
 
 
+def fill_column(lake: Lake, name: str, kind: T.DataType, dates: Dates | None = None) -> None:
+    """Give silver a column, and its events of ``dates`` the value that was sent, also where they came before the column.
+
+    The value is that of the event's last copy among the payloads kept by the stream; it stays NULL where the event did not
+    have the field or it does not fit the type. Values that are there already stay. The dates are written anew.
+    """
+    lake.add_missing_columns("silver.telemetry", T.StructType([T.StructField(name, kind)]))
+    silver = _read_dates(lake, "silver.telemetry", dates)
+    sent = standardize_identity(_read_dates(lake, "ops.payloads", dates))
+    value = F.try_variant_get("payload", f"$.{name}", kind.simpleString())
+    last = latest_copies(sent.withColumn("_sent", value).drop("payload")).select(*IDENTITY, "_sent")
+    filled = silver.join(last, list(IDENTITY), "left").withColumn(name, F.coalesce(name, "_sent"))
+    lake.replace_dates("silver.telemetry", kept(filled.select(silver.columns), "filled"))
+
+
 def refresh_gold(lake: Lake, dates: Dates | None = None) -> int:
     """Rebuild device health; returns the number of devices.
 

@@ -88,9 +88,9 @@ def _halves(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     return silver.filter(before), silver.filter(~before)
 
 
-def _messages(raw: DataFrame) -> DataFrame:
-    """Telemetry as a topic delivers it."""
-    return messages.to_messages(raw, schemas.PAYLOAD.fieldNames()).select(
+def _messages(raw: DataFrame, *more: str) -> DataFrame:
+    """Telemetry as a topic delivers it, with ``more`` columns as fields that no schema knows."""
+    return messages.to_messages(raw, [*schemas.PAYLOAD.fieldNames(), *more]).select(
         "key",
         "value",
         F.col("kafka_partition").alias("partition"),
@@ -763,3 +763,17 @@ def _two_runs(spark: SparkSession, sf: str) -> Lake:
 
 def _later_dates(lake: Lake) -> DataFrame:
     return lake.dates_of("silver.telemetry").filter(F.col("event_date") >= F.lit(SPLIT.date()))
+
+
+@report
+def late_bound_column(spark, sf):
+    """A field that no schema knew when its events came, as a column that silver got afterwards."""
+    lake = _new_lake(spark)
+    site = F.concat(F.lit("S"), F.col("kafka_offset") % 5)
+    raw = _raw(spark, sf).withColumn("site", F.when(F.col("kafka_offset") % 3 != 0, site))
+    decoded = messages.decode_telemetry(_messages(raw, "site"), F.col("timestamp").cast("timestamp_ntz"))
+    lake.append_events("bronze.telemetry", messages.accepted(decoded))
+    lake.append_messages("ops.payloads", messages.payloads(decoded))
+    pipeline.refresh_silver(lake)
+    pipeline.fill_column(lake, "site", T.StringType())
+    return lake.read("silver.telemetry").select("device_id", "event_timestamp", "kafka_offset", "site")

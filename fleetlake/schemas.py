@@ -120,6 +120,11 @@ REJECTED = _schema(
     ("ingested_at", _TS),
 )
 
+# Events with all fields as they were sent, for columns that are added later.
+PAYLOADS = _schema(
+    ("device_id", _S, "req"), ("event_timestamp", _TS, "req"), ("payload", T.VariantType()), *[(f.name, f.dataType) for f in LINEAGE.fields]
+)
+
 # What became of the messages of a micro-batch: kept aside, taken into the stream's table, or neither, as they
 # were copies, known already, or not valid.
 STREAM_BATCHES = _schema(

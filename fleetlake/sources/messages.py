@@ -151,6 +151,11 @@ def accepted(decoded: DataFrame, schema: T.StructType = TELEMETRY) -> DataFrame:
     return decoded.filter(F.col("reject_reason").isNull()).select(*schema.fieldNames())
 
 
+def payloads(decoded: DataFrame) -> DataFrame:
+    """Usable events with all their fields, known or not."""
+    return decoded.filter(F.col("reject_reason").isNull()).withColumn("payload", F.try_parse_json("value"))
+
+
 def rejected(decoded: DataFrame) -> DataFrame:
     """Messages that are kept aside instead of stopping the stream."""
     return decoded.filter(F.col("reject_reason").isNotNull()).select(

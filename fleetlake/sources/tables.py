@@ -36,6 +36,7 @@ STATE_TABLES = {
 MESSAGE_TABLES = {
     "bronze.jobs": schemas.JOBS,
     "bronze.rejected": schemas.REJECTED,
+    "ops.payloads": schemas.PAYLOADS,
     "ops.stream_batches": schemas.STREAM_BATCHES,
 }
 LEDGER_TABLES = {"ops.batches": schemas.BATCHES, "ops.batches_done": schemas.BATCHES_DONE}
@@ -45,6 +46,9 @@ NAMESPACES = ("bronze", "silver", "gold", "ops")
 # takes its own place.
 BATCHED = ("bronze.telemetry", *MESSAGE_TABLES)
 
+# Tables of messages that are read by the dates of their events.
+DATED = ("ops.payloads",)
+
 # Tables whose mandatory columns are enforced. Bronze keeps incomplete events, which the checks count.
 ENFORCED = ("silver.telemetry", "ops.incidents")
 
@@ -177,7 +181,7 @@ class Lake:
         key a ``bucket``. Overwriting replaces the partitions that the new rows have, and no others.
         """
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema.fields]
-        parts = {EVENT_DATE: ("date", table in EVENT_TABLES), BATCH: ("string", table in BATCHED)}
+        parts = {EVENT_DATE: ("date", table in EVENT_TABLES or table in DATED), BATCH: ("string", table in BATCHED)}
         parts |= {DAY: ("date", table in LEDGER_TABLES), BUCKET: ("int", table in MERGED)}
         parts = {name: kind for name, (kind, wanted) in parts.items() if wanted}
         columns += [f"{name} {kind}" for name, kind in parts.items()]
@@ -220,6 +224,12 @@ class Lake:
         self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
+    def schema_of(self, table: str) -> T.StructType:
+        """An event table's declared columns, then those that were added to it."""
+        declared, partitions = EVENT_TABLES[table], (EVENT_DATE, BATCH)
+        there = self.spark.table(self.name(table)).schema.fields
+        return T.StructType(declared.fields + [f for f in there if f.name not in (*declared.fieldNames(), *partitions)])
+
     def append_events(self, table: str, df: DataFrame, batch: str | None = None, placed: bool = False) -> int:
         """Append to an event table, by date; returns the number of rows.
 
@@ -231,7 +241,7 @@ class Lake:
         share of the rows over several files and merge small ones, so neither one task nor many tiny
         files result. Rows are ordered within files only.
         """
-        conformed = conform(df, EVENT_TABLES[table], enforce=table in ENFORCED)
+        conformed = conform(df, self.schema_of(table), enforce=table in ENFORCED)
         conformed = conformed.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
         if table in BUCKETED:
             spread = conformed if placed else conformed.repartition(self.buckets, *BUCKETED[table])
@@ -246,7 +256,10 @@ class Lake:
 
     def append_messages(self, table: str, df: DataFrame, batch: str | None = None) -> int:
         """Append to a table of messages; returns the number of rows. Those of a ``batch`` written before are replaced."""
-        rows, seen = _counted(conform(df, MESSAGE_TABLES[table]))
+        rows = conform(df, MESSAGE_TABLES[table])
+        if table in DATED:
+            rows = rows.withColumn(EVENT_DATE, F.to_date("event_timestamp")).hint("rebalance", EVENT_DATE)
+        rows, seen = _counted(rows)
         self._insert(table, rows, batch or uuid.uuid4().hex)
         return seen.get["rows"]
 
@@ -367,7 +380,7 @@ class Lake:
 
         Of the dates ``cleared`` those that ``df`` lacks become empty.
         """
-        rows = df.select(*EVENT_TABLES[table].fieldNames(), EVENT_DATE)
+        rows = df.select(*self.schema_of(table).fieldNames(), EVENT_DATE)
         if table in BUCKETED:
             rows = rows.repartition(self.buckets, *BUCKETED[table])
         else:

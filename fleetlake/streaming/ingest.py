@@ -20,7 +20,7 @@ from fleetlake.operators.incidents import absent, detect, opened
 from fleetlake.plans.pipeline import refresh_incident_summary, utc_now
 from fleetlake.schemas import JOBS, STREAM_BATCHES
 from fleetlake.session import kept
-from fleetlake.sources.messages import accepted, decode_jobs, decode_telemetry, message_stream, rejected
+from fleetlake.sources.messages import accepted, decode_jobs, decode_telemetry, message_stream, payloads, rejected
 from fleetlake.sources.tables import Lake
 
 #: What a stream does with a decoded micro-batch; returns how many rows its table took.
@@ -64,10 +64,17 @@ def _start(
     return (writer if follow else writer.trigger(availableNow=True)).start()
 
 
-def ingest_bronze(lake: Lake, source: dict, checkpoint: str, follow: bool = False) -> StreamingQuery:
-    """Telemetry messages into the bronze table; without ``follow`` the query drains what is there and stops."""
+def ingest_bronze(
+    lake: Lake, source: dict, checkpoint: str, follow: bool = False, whole: bool = False
+) -> StreamingQuery:
+    """Telemetry messages into the bronze table; without ``follow`` the query drains what is there and stops.
+
+    With ``whole`` events are also kept with all their fields, for columns that are added later.
+    """
 
     def step(own: Lake, decoded: DataFrame, batch: str) -> int:
+        if whole:
+            own.append_messages("ops.payloads", payloads(decoded), batch)
         return own.append_events("bronze.telemetry", accepted(decoded), batch)
 
     return _start(lake, "bronze", source, decode_telemetry, step, checkpoint, follow)

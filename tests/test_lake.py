@@ -31,7 +31,8 @@ def rows(df, *columns):
 
 def test_tables_are_created_once_and_listed(lake):
     lake.create_all()
-    ops = ["batches", "batches_done", "device_health_current", "devices", "incidents", "pipeline_runs", "quarantine", "stream_batches"]
+    ops = ["batches", "batches_done", "device_health_current", "devices", "incidents", "payloads", "pipeline_runs", "quarantine"]
+    ops += ["stream_batches"]
     assert lake.list_tables("ops") == ops
     assert lake.list_tables("bronze") == ["jobs", "rejected", "telemetry"]
     assert lake.read("silver.telemetry").columns == [*schemas.TELEMETRY.fieldNames(), "event_date"]
@@ -327,6 +328,35 @@ def test_bronze_stream_appears_once(lake, tmp_path):
     assert lake.read("bronze.telemetry").filter(F.col("event_date") == at(24 * 60).date()).count() == 1
 
 
+def test_a_column_added_later_is_filled_from_earlier_events(lake, tmp_path):
+    """Events with a field that no schema knows, then the column: it has their values, and later events get theirs."""
+    folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
+
+    def deliver(*values, start=0):
+        sent = [("DEV001", json.dumps(v), 0, start + i, NOON) for i, v in enumerate(values)]
+        schema = "key string, value string, partition int, offset long, timestamp timestamp"
+        messages.write_messages(lake.spark.createDataFrame(sent, schema).coalesce(1), folder)
+        ingest.ingest_bronze(lake, {"files": folder}, progress, whole=True).awaitTermination()
+        pipeline.refresh_silver(lake)
+
+    def event(minute, **fields):
+        return {**EVENT, "event_timestamp": at(minute).isoformat(), "system_status": "HEALTHY", **fields}
+
+    deliver(event(0, gate_fidelity=0.5), event(1, gate_fidelity="soon"), event(2), event(1440, gate_fidelity=7), {**event(0, gate_fidelity=0.75), "device_id": " dev001"})
+    assert lake.read("ops.payloads").count() == 5
+    fill = lambda **given: pipeline.fill_column(lake, "gate_fidelity", schemas.T.DoubleType(), **given)
+    fill()
+    found = lambda: rows(lake.read("silver.telemetry").na.fill(-1.0), "event_timestamp", "gate_fidelity")
+    assert found() == [(at(0), 0.75), (at(1), -1.0), (at(2), -1.0), (at(1440), 7.0)]
+    deliver(event(3, gate_fidelity=0.25), event(1441, gate_fidelity=0.5), start=10)
+    assert (at(3), -1.0) in found()
+    fill(dates=(NOON.date(), NOON.date()))
+    assert found() == [(at(0), 0.75), (at(1), -1.0), (at(2), -1.0), (at(3), 0.25), (at(1440), 7.0), (at(1441), -1.0)]
+    fill()
+    assert (at(1441), 0.5) in found() and lake.read("silver.telemetry").columns[-2:] == ["gate_fidelity", "event_date"]
+    assert pipeline.refresh_gold(lake) == 1
+
+
 def test_silver_stream_in_chunks_equals_one_batch(lake, tmp_path):
     folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")
     chunks = [[{}, {"event_timestamp": at(1)}, {}], [{"event_timestamp": at(2)}, {}], [{"event_timestamp": at(1), "temperature_mk": 30.0}]]

@@ -21,7 +21,7 @@ from fleetlake.sources.tables import Lake
 EAGER = {
     "stream_bronze", "stream_silver", "stream_incidents", "stream_jobs", "stream_metrics", "run_metrics", "runs_with_late_events",
     "incidents_after_two_runs", "incident_summary_kept_up", "upsert_buckets", "uptime_from_carry",
-    "gaps_from_carry", "csv_roundtrip", "table_evolution", "table_listing",
+    "gaps_from_carry", "late_bound_column", "csv_roundtrip", "table_evolution", "table_listing",
 }
 
 
