@@ -19,7 +19,6 @@ from fleetlake.operators.cleaning import clean, touched_dates, unseen
 from fleetlake.operators.incidents import absent, detect, opened
 from fleetlake.plans.pipeline import refresh_incident_summary, utc_now
 from fleetlake.schemas import JOBS, STREAM_BATCHES
-from fleetlake.session import kept
 from fleetlake.sources.messages import accepted, decode_jobs, decode_telemetry, message_stream, payloads, rejected
 from fleetlake.sources.tables import Lake
 
@@ -131,13 +130,16 @@ def stream_incidents(
 ) -> StreamingQuery:
     """Telemetry messages to silver and to the incidents of the events that silver lacked.
 
-    A batch is cleaned and compared with silver once; its new events are stored, and both tables are filled from
-    them. Incidents go first: if the batch fails in between, its next run finds them there and adds the events.
+    A batch is cleaned and compared with silver once; its new events are held, and both tables are filled from
+    them: computed again, after a lost executor, they are the same, as silver's files are those of the comparison. Incidents go first: if the batch fails in between, its next run finds them there and adds the events.
     """
 
     def step(own: Lake, decoded: DataFrame, batch: str) -> int:
-        events = kept(new_events(own, accepted(decoded)), "new-events")
-        add_incidents(own, events, detected_at or utc_now())
-        return own.append_events("silver.telemetry", events)
+        events = new_events(own, accepted(decoded)).persist()
+        try:
+            add_incidents(own, events, detected_at or utc_now())
+            return own.append_events("silver.telemetry", events, placed=True)
+        finally:
+            events.unpersist()
 
     return _start(lake, "incidents", source, lambda m: decode_telemetry(m, ingested_at), step, checkpoint, follow)
