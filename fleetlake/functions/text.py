@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,6 +69,14 @@ def require_device_id(c: Column) -> Column:
     return F.coalesce(valid_device_id(c), F.raise_error(message).cast("string"))
 
 
+def device_id_of(given: str) -> str:
+    """A device id that a caller gave, normalised; ValueError if it does not have the required format."""
+    normal = given.strip().upper()
+    if not re.fullmatch(DEVICE_ID_FORMAT, normal, re.ASCII):
+        raise ValueError(f"invalid device id: {given}")
+    return normal
+
+
 def mentioned_device_id(text: Column) -> Column:
     """The first device id that stands as a word of its own in a free text, upper-cased."""
     found = F.regexp_extract(text, rf"(?iU)\b{DEVICE_ID_FORMAT}\b", 0)

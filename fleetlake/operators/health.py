@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.numbers import settle
 from fleetlake.functions.rules import health_score
+from fleetlake.functions.text import device_id_of
 from fleetlake.schemas import EVENT_DATE
 
 AVERAGED = (
@@ -101,9 +102,9 @@ def _reported(name: str) -> Column:
 
 
 def health_report(devices: DataFrame, gold: DataFrame, device_id: str | None = None) -> DataFrame:
-    """Registry data and rounded health of all devices, or of one; no events gives NULLs."""
+    """Registry data and rounded health of all devices, or of one; no events gives NULLs. A malformed id is refused."""
     if device_id is not None:
-        devices = devices.filter(F.col("device_id") == device_id)
+        devices = devices.filter(F.col("device_id") == device_id_of(device_id))
     return devices.join(gold, "device_id", "left").select(
         "device_id",
         "device_name",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetlake.functions.rules import severity_rank
-from fleetlake.functions.text import upper_stripped
+from fleetlake.functions.text import device_id_of, upper_stripped
 from fleetlake.functions.times import key_text
 from fleetlake.operators.cleaning import on_dates
 from fleetlake.operators.health import health_report
@@ -184,14 +184,14 @@ def device_summary(incidents: DataFrame) -> DataFrame:
 
 
 def summary_of(incidents: DataFrame, device_id: str) -> DataFrame:
-    """The summary of one device; no row when it has no open incident."""
-    return device_summary(incidents.filter(F.col("device_id") == device_id))
+    """The summary of one device; no row when it has no open incident. A malformed id is refused."""
+    return device_summary(incidents.filter(F.col("device_id") == device_id_of(device_id)))
 
 
 def open_ranked(summary: DataFrame, device_id: str | None = None) -> DataFrame:
     """Open incident types, most severe first."""
     if device_id is not None:
-        summary = summary.filter(F.col("device_id") == device_id)
+        summary = summary.filter(F.col("device_id") == device_id_of(device_id))
     return summary.orderBy(severity_rank(F.col("severity")), "device_id", "incident_type")
 
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.functions import numbers, rules, text, times
+from fleetlake.operators import health, incidents
 from fleetlake.operators.incidents import event_key
 from fleetlake.plans.pipeline import require_read_only
 
@@ -226,3 +227,12 @@ def test_time_arithmetic(spark):
 def test_word_lists_are_plain_words():
     words = text.INVESTIGATION_WORDS + text.CRITICAL_PHRASES + text.RANKING_WORDS + text.LOWEST_WORDS
     assert all(re.fullmatch(r"[a-z ]+", w) for w in words)
+
+
+def test_lookups_refuse_a_malformed_device_id(spark):
+    frame = spark.createDataFrame([("DEV001",)], "device_id string")
+    for bad in ("", "DEV1", "DEV0011", "xDEV001", "DEV٠٠١", "DEV001; DROP"):
+        for lookup in (lambda: health.health_report(frame, frame, bad), lambda: incidents.summary_of(frame, bad), lambda: incidents.open_ranked(frame, bad)):
+            with pytest.raises(ValueError, match="invalid device id"):
+                lookup()
+    assert text.device_id_of(" dev001\n") == "DEV001"
