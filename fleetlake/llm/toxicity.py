@@ -180,13 +180,27 @@ def _type(df: DataFrame, column: str) -> str:
 def _told(sample: DataFrame) -> tuple[list, list[np.ndarray], np.ndarray, np.ndarray]:
     """Ids, features, grades and given grades of the sample, with the features that tell the grades apart best.
 
-    Features are counted in Spark; only the chosen ones come to the driver: as many as the fit weighs, for each document.
+    Tasks count features and Spark adds them up; only the chosen ones come to the driver: as many as the fit weighs, for
+    each document.
     """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents, total = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
+        for batch in batches:
+            for features, grade in zip(batch["features"], batch["grade"].to_pylist(), strict=True):
+                documents[found := np.asarray(features.values)] += 1
+                total[found] += grade
+        seen = np.flatnonzero(documents)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen.astype(np.int32)), pa.array(documents[seen]), pa.array(total[seen])],
+            ["feature", "documents", "total"],
+        )
+
     mean = sample.agg(F.avg("grade")).first()[0]
-    apart = F.abs(F.sum("grade") - mean * F.count(F.lit(1))) / F.sqrt(F.count(F.lit(1)))
-    counted = sample.select("grade", F.explode("features").alias("feature")).groupBy("feature")
-    counted = counted.agg(F.count(F.lit(1)).alias("documents"), apart.alias("apart"))
-    chosen = counted.where((F.col("documents") >= LEAST_DOCUMENTS) & (F.col("apart") > 0))
+    counted = sample.select("grade", "features").mapInArrow(count, "feature int, documents long, total long")
+    counted = counted.groupBy("feature").agg(F.sum("documents").alias("documents"), F.sum("total").alias("total"))
+    apart = F.abs(F.col("total") - mean * F.col("documents")) / F.sqrt("documents")
+    chosen = counted.withColumn("apart", apart).where((F.col("documents") >= LEAST_DOCUMENTS) & (F.col("apart") > 0))
     used = [r.feature for r in chosen.orderBy(F.desc("apart"), "feature").limit(WEIGHED).collect()]
     used = np.sort(np.array(used, np.int32))
 
