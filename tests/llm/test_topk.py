@@ -43,6 +43,28 @@ def test_against_brute_force(spark, monkeypatch, entries, queries, step):
     assert run(spark, rows, "vec_id % 5 = 0", 4) == brute(rows, lambda i: i % 5 == 0, 4)
 
 
+@pytest.mark.parametrize("lists, gathered", [(1, 1), (4, 2)])
+def test_lists_and_long_vectors(spark, monkeypatch, lists, gathered):
+    monkeypatch.setattr(topk, "LISTS", lists)
+    monkeypatch.setattr(topk, "GATHERED", gathered)
+    monkeypatch.setattr(topk, "ENTRY_BLOCK", 20)
+    rng = random.Random(lists)
+    rows = [(i, [rng.gauss(0, 10 ** (i % 4 - 2)) for _ in range(7)], 0, "x") for i in range(150)]
+    rows += [(200 + i, [-x for x in rows[3][1]], 0, "x") for i in range(5)]
+    rows += [(300, [0.0] * 7, 0, "x"), (302, [0.0, 1.0], 0, "x")]
+    assert run(spark, rows, "vec_id % 2 = 0", 3) == brute(rows, lambda i: i % 2 == 0, 3)
+
+
+def test_copies_are_searched_as_one(spark):
+    rows = [(i, [1.0, 2.0, 3.0], 0, "x") for i in range(400)] + [(500, [1.0, 1.0, 1.0], 0, "x")] * 9
+    rows += [(0, [2.0, 0.0, 0.0], 0, "x")] * 9 + [(1, [9.0, 9.0, 9.0], 0, "x")]
+    entries = topk._entries(topk.quantised(spark.createDataFrame(rows, SCHEMA)), 5)
+    assert sorted((r.id, r.alone, len(r.members), max(m.n for m in r.members)) for r in entries.collect()) == [
+        (0, False, 6, 1), (0, True, 1, 5), (1, True, 1, 1), (500, True, 1, 5)
+    ]
+    assert run(spark, rows, "vec_id in (0, 1, 399, 500)", 5) == brute(rows, lambda i: i in (0, 1, 399, 500), 5)
+
+
 def test_fewer_entries_than_asked_for(spark):
     rows = [(i, [float(i), 1.0], 0, "x") for i in range(4)]
     assert run(spark, rows, "vec_id = 0", 20) == brute(rows, lambda i: i == 0, 20)
