@@ -5,7 +5,8 @@ from it at document ends, sentence ends, or, where a sentence is long, within it
 over the allowed cuts minimises padding plus penalties for cuts within documents; a window's padding is
 linear in its start, so the best start among those in reach is kept by a monotone queue, and windows
 of a power of two, which are not padded, are looked up beside it. Documents keep their order, nothing is
-shuffled, and a stretch is bounded, as one task packs what it reads.
+shuffled, and a stretch is bounded, as one task packs what it reads: a document of more tokens than a stretch may
+have goes through several, one after the other.
 """
 
 from __future__ import annotations
@@ -34,7 +35,13 @@ WINDOW_COST, SENTENCE_COST, INNER_COST = 16, 2, 8
 INNER_STEP = 64
 #: Text bytes of the documents that are packed together, one document at least.
 STRETCH_BYTES = 2 * 2**20
+#: Tokens that are packed together at most.
+STRETCH_TOKENS = 2**20
+#: Characters of a text that are encoded at once, if it has a word that ends before a blank there.
+SEGMENT = 2**20
 _LONG_SPACE = re.compile(r"\s{1000}")
+#: No token reaches over the end of a word into the blank behind it.
+_WORD_END = re.compile(r"[^\W_](?= )")
 
 PIECES = (
     "doc_id {doc_id}, start long, length long, ids binary, doc_tokens long, "
@@ -52,17 +59,29 @@ class Vocabulary:
     def __init__(self, vocabulary: str, ranks: str):
         self.whole = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.blanks = any(" " in s for s in self.special)
         self.fast = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(ranks), special_tokens={}
         )
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self._encode, self._segments(text)))
+
+    def _segments(self, text: str) -> Iterator[str]:
+        """The text in parts of about SEGMENT characters that have the same ids as the whole."""
+        at = 0
+        while len(text) - at > SEGMENT and not self.blanks and (end := _WORD_END.search(text, at + SEGMENT)):
+            yield text[at : end.end()]
+            at = end.end()
+        yield text[at:] if at else text
+
+    def _encode(self, text: str) -> bytes:
         if any(s in text for s in self.special) or _LONG_SPACE.search(text):
-            ids = self.whole.encode(text, add_special_tokens=False).ids
+            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids)
         else:
-            ids = self.fast.encode_ordinary(text)
-        return np.array(ids, "<u4").tobytes()
+            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        return ids.astype("<u4").tobytes()
 
     def sentence_ends(self) -> np.ndarray:
         """By id: whether a sentence may end behind the token."""
@@ -159,22 +178,25 @@ def pack(
         made = 0
         for ids, part, documents in _stretches(batches):
             tokens = [tokenizer.encode(t or "") + end for t in documents]
-            pieces = pack_stretch(tokens, ends_sentence, length)
-            made, first = made + pieces["sequences"], (part << 33) + made
-            document = pieces["document"]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(pa.array(document)),
-                    pa.array(pieces["start"]),
-                    pa.array(pieces["length"]),
-                    pa.array(pieces["ids"], pa.binary()),
-                    pa.array(np.array([len(t) // 4 for t in tokens])[document]),
-                    pa.array(pieces["sequence"] + first),
-                    pa.array(pieces["offset"]),
-                    pa.array(pieces["sequence_length"]),
-                ],
-                ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "sequence_length"],
-            )
+            sizes = np.array([len(t) // 4 for t in tokens])
+            for document, before, some in _portions(tokens):
+                pieces = pack_stretch(some, ends_sentence, length)
+                made, first = made + pieces["sequences"], (part << 33) + made
+                portion = pieces["document"]
+                document = document[portion]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(document)),
+                        pa.array(pieces["start"] + before[portion]),
+                        pa.array(pieces["length"]),
+                        pa.array(pieces["ids"], pa.binary()),
+                        pa.array(sizes[document]),
+                        pa.array(pieces["sequence"] + first),
+                        pa.array(pieces["offset"]),
+                        pa.array(pieces["sequence_length"]),
+                    ],
+                    ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "sequence_length"],
+                )
 
     rows = docs.select("doc_id", "text", F.spark_partition_id().alias("part"))
     return rows.mapInArrow(packed, PIECES.format(doc_id=docs.schema["doc_id"].dataType.simpleString()))
@@ -200,6 +222,27 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, in
         yield pa.concat_arrays(ids), part, texts
 
 
+def _portions(tokens: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Consecutive tokens of documents, at most STRETCH_TOKENS at once: their documents, the tokens before them there, they."""
+    held, room = [], STRETCH_TOKENS
+    for document, ids in enumerate(tokens):
+        at = 0
+        while at < len(ids) // 4:
+            part = ids[4 * at : 4 * (at + room)]
+            held.append((document, at, part))
+            at, room = at + len(part) // 4, room - len(part) // 4
+            if not room:
+                yield _columns(held)
+                held, room = [], STRETCH_TOKENS
+    if held:
+        yield _columns(held)
+
+
+def _columns(held: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    documents, before, parts = zip(*held, strict=True)
+    return np.array(documents), np.array(before), list(parts)
+
+
 def pack_stretch(tokens: list[bytes], ends_sentence: np.ndarray, length: int) -> dict:
     """The pieces of some documents' tokens, in order."""
     stream = b"".join(tokens)

@@ -31,6 +31,20 @@ def test_ids_are_those_of_the_whole_text(text):
     assert np.frombuffer(FAST.encode(text), "<u4").tolist() == ids_of(text)
 
 
+@pytest.mark.parametrize("segment", [1, 3, 10])
+def test_ids_of_segments_are_those_of_the_whole_text(monkeypatch, segment):
+    monkeypatch.setattr(packing, "SEGMENT", segment)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(PIECES, max_size=20).map("".join))
+    def same(text):
+        assert np.frombuffer(FAST.encode(text), "<u4").tolist() == ids_of(text)
+        assert "".join(FAST._segments(text)) == text
+
+    same()
+    assert len(list(FAST._segments("one two three four five six"))) > 1
+
+
 def test_long_runs_of_white_space():
     for text in (" " * 1_000_000 + "a", "a" + "\n" * 5_000 + "b", "x" * 100_000):
         assert np.frombuffer(FAST.encode(text), "<u4").tolist() == ids_of(text)
@@ -104,6 +118,15 @@ def test_stretches_keep_all_documents(spark, monkeypatch):
     check([tuple(r) for r in docs.collect()], packing.pack(docs).collect())
 
 
+@pytest.mark.parametrize("most", [1, 700, 5_000])
+def test_long_documents_go_through_several_stretches(spark, monkeypatch, most):
+    monkeypatch.setattr(packing, "STRETCH_TOKENS", most)
+    size = 40 if most == 1 else 4_000
+    rows = [(1, "a few words. " * size), (2, ""), (3, "x " * size), (4, None), (5, "Another one.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    check(rows, packing.pack(docs).collect())
+
+
 def test_query_digests(spark):
     docs = {r.doc_id: [*ids_of(r.text), 0] for r in table(spark, SF_DIR, "documents").collect()}
     for r in QUERIES["op2_packing"](spark, SF_DIR).collect():
