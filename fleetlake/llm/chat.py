@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.llm.common import prepared
+
 Turns = list[tuple[str, str]]
 Template = Callable[[Turns], str]
 
@@ -115,6 +117,7 @@ def format_chats(conversations: DataFrame, template: Template = chatml, trained:
     A conversation is one string and so is made in one task, in time that grows with the square of
     its turns, as every prefix is rendered.
     """
+    prepared(conversations.sparkSession)
     grouped = conversations.groupBy("conv_id").agg(
         F.sort_array(
             F.collect_list(

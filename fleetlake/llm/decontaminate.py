@@ -6,7 +6,8 @@ scanned in one narrow pass: words become numbers of the benchmark's vocabulary,
 the runs of known words are looked up, and every hit is verified word by word.
 
 What is broadcast is bounded: a benchmark with more text than ``BLOCK_BYTES`` is taken in blocks,
-each with a pass of its own over the documents.
+each with a pass of its own over the documents; a stage makes ``BLOCKS_A_STAGE`` passes and stores what it found,
+so that no executor holds more window sets than that for a core.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import stored
+from fleetlake.llm.common import prepared, stored
 
 WINDOW = 10
 #: Most benchmark text that one broadcast window set is made from.
 BLOCK_BYTES = 4 * 2**20
+#: Passes of one stage, each of which has a worker and a window set of its own.
+BLOCKS_A_STAGE = 4
 #: Documents are scanned together up to this much text, to bound what one task holds.
 SCAN_BYTES = 4 * 2**20
 
@@ -160,6 +163,7 @@ def benchmark_hits(
     reported each. An item with a null text or without words has no windows; one with a null id is
     named by the empty string; equal items count once. Other columns are ignored.
     """
+    prepared(docs.sparkSession)
     rows = docs.select(
         "doc_id",
         "text",
@@ -169,11 +173,16 @@ def benchmark_hits(
     )
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_type}, text string, n_words long, spans {SPANS}, items array<string>"
-    for windows in window_sets(benchmark, window, block_bytes):
-        rows = rows.mapInArrow(_reporter(docs.sparkSession.sparkContext.broadcast(windows)), schema)
+    for b, windows in enumerate(window_sets(benchmark, window, block_bytes)):
+        rows = _between(rows, b).mapInArrow(_reporter(docs.sparkSession.sparkContext.broadcast(windows)), schema)
     return rows.drop("text")
 
 
+def _between(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` as they are, or stored if the block's pass begins a stage."""
+    return stored(rows, "decontamination-blocks") if block and block % BLOCKS_A_STAGE == 0 else rows
+
+
 def _reporter(windows):
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,11 +234,12 @@ def remove_spans(
     text that is benchmark as a whole becomes what is left, possibly the empty text. Null texts stay
     null. A document without hits keeps its text as it is.
     """
+    prepared(docs.sparkSession)
     sets = [docs.sparkSession.sparkContext.broadcast(w) for w in window_sets(benchmark, window, block_bytes)]
     while True:
         out = docs
-        for windows in sets:
-            out = out.mapInArrow(_cutter(windows), docs.schema)
+        for b, windows in enumerate(sets):
+            out = _between(out, b).mapInArrow(_cutter(windows), docs.schema)
         if len(sets) == 1:
             return out
         docs = stored(out, "decontaminated")  # a cut for a later block may bring one for an earlier block
@@ -257,8 +267,9 @@ def drop_documents(
 ) -> DataFrame:
     """``docs`` without the documents that hold some window; rows with a null text stay."""
     out = docs
-    for windows in window_sets(benchmark, window, block_bytes):
-        out = out.mapInArrow(_dropper(docs.sparkSession.sparkContext.broadcast(windows)), docs.schema)
+    prepared(docs.sparkSession)
+    for b, windows in enumerate(window_sets(benchmark, window, block_bytes)):
+        out = _between(out, b).mapInArrow(_dropper(docs.sparkSession.sparkContext.broadcast(windows)), docs.schema)
     return out
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import checked_broadcast, stored
+from fleetlake.llm.common import checked_broadcast, prepared, stored
 from fleetlake.llm.url_filter import url_host
 
 #: Bytes of a host and its winning path when they are broadcast.
@@ -440,6 +440,7 @@ def votes(pages: DataFrame) -> DataFrame:
             )
             yield voted.filter(pa.array([c.total > 0 for c in chosen], pa.bool_()))
 
+    prepared(pages.sparkSession)
     hosted = pages.select(url_host(F.col("url")).alias("host"), "html").where(F.col("host") != "")
     return hosted.mapInArrow(vote, "host string, path string, score double")
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import checked_broadcast, stored
+from fleetlake.llm.common import checked_broadcast, prepared, stored
 from fleetlake.llm.components import components, local_forest
 
 SHINGLE_WORDS = 4
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
                 [batch["doc_id"], batch["mark"], pa.array(found.view(np.int64))], ["doc_id", "mark", "fingerprint"]
             )
 
+    prepared(docs.sparkSession)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
         hashed, f"doc_id {doc_type}, mark long, fingerprint long"

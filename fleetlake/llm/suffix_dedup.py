@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import checked_broadcast, stored
+from fleetlake.llm.common import checked_broadcast, prepared, stored
 
 #: Words of the shortest passage that counts.
 MIN_WORDS = 50
@@ -269,6 +269,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts under one id, are one document: what they share among themselves doesn't count, nor
     does what one text repeats within itself. Other columns are ignored.
     """
+    prepared(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, min_words), "suffix-signatures")
     copies = stored(

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import checked_broadcast, stored
+from fleetlake.llm.common import checked_broadcast, prepared, stored
 from fleetlake.session import scratch_dir
 
 #: Payloads shorter than this are always written in full.
@@ -149,7 +149,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     characters in one are percent-encoded. Other columns are ignored. An empty table gives no archive.
     ``folder`` is a new one below the shared folder unless named.
     """
-    spark = pages.sparkSession
+    spark = prepared(pages.sparkSession)
     folder = folder or scratch_dir(spark, "warc")
     rows = classify(pages)
     # Of all rows, about twice the sample have a hash this low; so tasks send no more than that together.
@@ -225,6 +225,7 @@ def read_archives(spark: SparkSession, index: DataFrame, payloads: bool = True)
     """The records of the archives in ``index``: page id, url, type, size and digest of the full
     payload, the page id that a revisit refers to, and the payload (null for revisits, or if not
     asked for). Every response's payload is checked against its digest."""
+    prepared(spark)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from fleetlake.llm import decontaminate as d
+from fleetlake.llm.common import stored
 
 DOCS = "doc_id long, text string, spans string, n_words long"
 ITEMS = [(i, " ".join(random.Random(i).choices("alpha Beta gamma42 déjà omega the of".split(), k=14))) for i in range(6)]
@@ -82,6 +83,22 @@ def test_cuts_leave_nothing_and_clean_documents_alone(spark, block):
     assert kept == {i for i, _ in clean}
 
 
+def test_many_blocks_make_several_stages(spark, monkeypatch):
+    monkeypatch.setattr(d, "BLOCKS_A_STAGE", 2)
+    kept = []
+    monkeypatch.setattr(d, "stored", lambda df, label: kept.append(label) or stored(df, label))
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = spark.createDataFrame(documents(), DOCS)
+    size = sum(len((text or "").encode()) for _, text in ITEMS)
+    blocks = -(-size // (size // 5))
+    one, many = (
+        sorted(map(str, d.benchmark_hits(docs, items, block_bytes=b).collect())) for b in (d.BLOCK_BYTES, size // 5)
+    )
+    assert one == many and len(kept) == (blocks - 1) // 2
+    dropped = [sorted(map(str, d.drop_documents(docs, items, block_bytes=b).collect())) for b in (d.BLOCK_BYTES, size // 5)]
+    assert dropped[0] == dropped[1]
+
+
 def test_a_cut_that_joins_a_passage_is_cut_again(spark):
     item = "a b c d e f g h i j"
     docs = spark.createDataFrame([(1, f"x a b c d e {item} f g h i j y", "", 0)], DOCS)
