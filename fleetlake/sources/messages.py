@@ -21,6 +21,8 @@ ENVELOPE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # What one micro-batch takes at most unless told otherwise; the rest follows in the next ones.
 MAX_ROWS = 50_000_000
 MAX_FILES = 1_000
+# What a file of messages holds at most: it is compressed, and one task reads it.
+FILE_ROWS = 100_000
 
 
 def _event_schema(schema: T.StructType) -> T.StructType:
@@ -71,8 +73,9 @@ def _json(columns: list[str]) -> Column:
 
 
 def write_messages(messages: DataFrame, path: str) -> None:
-    """Add envelope rows to a folder that ``message_stream`` can follow."""
-    messages.write.mode("append").option("timestampFormat", ENVELOPE_TIME).json(path)
+    """Add envelope rows to a folder that ``message_stream`` can follow, as compressed files of at most FILE_ROWS."""
+    writer = messages.write.mode("append").option("timestampFormat", ENVELOPE_TIME)
+    writer.option("maxRecordsPerFile", FILE_ROWS).json(path, compression="gzip")
 
 
 def publish(messages: DataFrame, servers: str, topic: str) -> None:

@@ -61,6 +61,9 @@ BUCKETED = {"silver.telemetry": IDENTITY, "ops.incidents": ("event_key",)}
 SORTED = ("device_id", "event_timestamp")
 # Columns with Bloom filters in every row group.
 LOOKED_UP = {"silver.telemetry": ("device_id",), "ops.incidents": ("device_id", "event_key")}
+# A filter is of the smallest of FILTER_SIZES, each half the one before it, that holds the row group's values; the first has
+# the one megabyte that every filter would have otherwise, however few rows a file of one date and bucket has.
+FILTER_SIZES = 10
 
 # State tables that are merged bucket by bucket, with their keys.
 MERGED = {"ops.devices": "device_id", "ops.device_health_current": "device_id"}
@@ -187,6 +190,9 @@ class Lake:
         columns += [f"{name} {kind}" for name, kind in parts.items()]
         options = ["partitionOverwriteMode 'dynamic'"]
         options += [f"'parquet.bloom.filter.enabled#{c}' 'true'" for c in LOOKED_UP.get(table, ())]
+        if table in LOOKED_UP:
+            options.append("'parquet.bloom.filter.adaptive.enabled' 'true'")
+            options += [f"'parquet.bloom.filter.candidates.number#{c}' '{FILTER_SIZES}'" for c in LOOKED_UP[table]]
         layout = f"PARTITIONED BY ({', '.join(parts)}) " if parts else ""
         if table in BUCKETED:
             layout += f"CLUSTERED BY ({', '.join(BUCKETED[table])}) SORTED BY ({', '.join(SORTED)}) INTO {self.buckets} BUCKETS "

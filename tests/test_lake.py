@@ -328,6 +328,17 @@ def test_bronze_stream_appears_once(lake, tmp_path):
     assert lake.read("bronze.telemetry").filter(F.col("event_date") == at(24 * 60).date()).count() == 1
 
 
+def test_files_of_messages_are_compressed_and_bounded(lake, tmp_path, monkeypatch):
+    """They held a task's messages as plain text, in one file however many there were."""
+    monkeypatch.setattr(messages, "FILE_ROWS", 40)
+    topic = tmp_path / "topic"
+    send(lake.spark, str(topic), *[{"event_timestamp": at(i)} for i in range(100)])
+    files_ = [p for p in topic.iterdir() if p.name.startswith("part-")]
+    assert len(files_) == 3 and all(p.read_bytes()[:2] == b"\x1f\x8b" for p in files_)
+    ingest.ingest_bronze(lake, {"files": str(topic)}, str(tmp_path / "progress")).awaitTermination()
+    assert rows(lake.read("bronze.telemetry"), "kafka_offset", "event_timestamp") == [(i, at(i)) for i in range(100)]
+
+
 def test_a_column_added_later_is_filled_from_earlier_events(lake, tmp_path):
     """Events with a field that no schema knows, then the column: it has their values, and later events get theirs."""
     folder, progress = str(tmp_path / "topic"), str(tmp_path / "progress")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import duckdb
 import pytest
 from conftest import SF_DIR
 from frames import DEGRADED, NOON, at, telemetry
@@ -264,6 +266,19 @@ def test_a_device_is_found_in_few_row_groups(lake):
     assert found.filter(F.col("event_key") == key).count() == 1 and rows_read(found.filter(F.col("event_key") == key)) < 5000 / 10
 
 
+def test_bloom_filters_are_of_the_size_that_their_rows_need(lake):
+    """A file of few rows had a filter of a megabyte for each column."""
+    hot = [{**DEGRADED, "event_timestamp": at(i), "device_id": f"DEV{i:03d}"} for i in range(300)]
+    events = telemetry(lake.spark, *hot)
+    lake.append_events("silver.telemetry", events)
+    pipeline.record_incidents(lake, NOON)
+    for table, column in (("silver/telemetry", "device_id"), ("ops/incidents", "event_key")):
+        files = [str(p) for p in Path(lake.root, table).rglob("*.parquet")]
+        found = duckdb.sql(f"SELECT bloom_filter_length FROM parquet_metadata({files}) WHERE path_in_schema = '{column}'").fetchall()
+        assert len(found) >= len(files) > 0 and all(0 < length < 2**16 for (length,) in found)
+        assert all(Path(f).stat().st_size < 2**17 for f in files)
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_dir(spark) == named
