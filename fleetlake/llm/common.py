@@ -16,8 +16,9 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_BYTES = 32 * 2**20
 
 
-#: Bytes of a batch of rows that Spark hands to a task's Python function at once.
-BATCH_BYTES = 16 * 2**20
+#: Bytes of a batch of rows that Spark hands to a task's Python function at once. The executor's native buffers for it and
+#: the worker's texts, words and results of it are several times as large, for every task that runs, and stay reserved.
+BATCH_BYTES = 6 * 2**20
 
 
 #: The folder that holds this package.

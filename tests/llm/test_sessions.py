@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlake.llm import chat, decontaminate, html_text, lexical, packing, simhash, suffix_dedup, topk, toxicity, warc
-from fleetlake.llm.common import ROOT
+from fleetlake.llm.common import ROOT, prepared
 
 DOCS = [(i, f"word{i} " * 60, f"http://h.org/{i}", f"<p>{i}</p>") for i in range(4)]
 CALLS = {
@@ -36,3 +38,15 @@ def test_tasks_find_the_package_in_a_session_started_elsewhere(spark, monkeypatc
     monkeypatch.setattr(type(docs), "mapInArrow", spied)
     CALLS[name](docs).collect()
     assert seen and all(ROOT in paths for paths in seen)
+
+
+def test_batches_of_long_texts_are_small(spark):
+    """Three thousand texts of 4 kB came to a task as one batch, whose buffers stay with the executor."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    texts = prepared(spark).range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 4096).alias("text"))
+    found = texts.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in found) == 3000 and max(r.size for r in found) < 8 * 2**20
