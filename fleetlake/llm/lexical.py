@@ -36,6 +36,10 @@ LEAF_DOCUMENTS, LEAF_COORDINATES = 64, 32_768
 LEAVES, ITEMS = 16, 8
 #: Leaves that each item is scored on first.
 FIRST_LEAVES = 4
+#: Bytes of coordinates in a file of leaves, rows in a file of answers. A shuffle may have far more partitions than that
+#: makes files, and a file for each costs more than what it holds: where Hadoop's native library is missing, an executor
+#: even starts two processes a file to set permissions.
+FILE_BYTES, FILE_ROWS = 8 * 2**20, 2**20
 
 #: What terms are made of: 0-9, A-Z, a-z and every byte of a character beyond ASCII. Fixed values.
 _LETTERS = b"0123456789abcdefghijklmnopqrstuvwxyz"
@@ -221,16 +225,17 @@ def _counted(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     return stored(rows.mapInArrow(count, f"doc_id {doc_id}, n long, terms array<int>, tfs array<int>"), "lexical-terms")
 
 
-def _weights(counted: DataFrame, terms: int, n: int) -> np.ndarray:
-    """Every term's weight, from the number of documents that hold it."""
+def _weights(counted: DataFrame, terms: int, n: int) -> tuple[np.ndarray, int]:
+    """Every term's weight, from the number of documents that hold it, and the sum of these numbers."""
     df = np.zeros(terms, np.int64)
     for term, count in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
         df[term] = count
-    return np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
+    weights = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
+    return weights, int(df.sum())
 
 
-def _leaves(counted: DataFrame, weights: np.ndarray, n: int, length: int) -> DataFrame:
-    """The stored leaves over all documents that can score."""
+def _leaves(counted: DataFrame, weights: np.ndarray, n: int, length: int, files: int) -> DataFrame:
+    """The leaves over all documents that can score, stored in so many files at most."""
     doc_id = counted.schema["doc_id"].dataType.simpleString()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,9 +298,9 @@ def _leaves(counted: DataFrame, weights: np.ndarray, n: int, length: int) -> Dat
     columns = f"doc_id {doc_id}, strongest int, strength int, terms binary, amounts binary"
     placed = stored(counted.mapInArrow(place, columns), "lexical-coordinates")
     order = ("strongest", F.desc("strength"), "doc_id")
-    dealt = placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    dealt = placed.repartitionByRange(*order).coalesce(files).sortWithinPartitions(*order)
     leaf = f"leaf long, ids array<{doc_id}>, sizes binary, terms binary, amounts binary"
-    return stored(dealt.mapInArrow(pack, leaf), "lexical-leaves")
+    return stored(dealt.withColumn("part", F.spark_partition_id()).mapInArrow(pack, leaf), "lexical-leaves")
 
 
 def _nodes(batch: pa.RecordBatch) -> list[Node]:
@@ -363,11 +368,12 @@ def _search(docs: DataFrame, ids: list, texts: list[bytes | None], id_type: T.Da
     n, length = counted.agg(F.count("*"), F.sum("n")).first()
     if not n:
         return None
-    weights = _weights(counted, len(vocabulary), n)
+    weights, coordinates = _weights(counted, len(vocabulary), n)
     items = Items(terms, weights)
     if not len(items.order):
         return None
-    leaves = _leaves(counted, weights, n, length)
+    files = max(spark.sparkContext.defaultParallelism, math.ceil(8 * coordinates / FILE_BYTES))  # work for every core
+    leaves = _leaves(counted, weights, n, length, files)
     shared = spark.sparkContext.broadcast((items, _first_scores(leaves, items, k)))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,9 +394,10 @@ def _search(docs: DataFrame, ids: list, texts: list[bytes | None], id_type: T.Da
     found = leaves.mapInArrow(walk, f"item long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, score long")
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
-    named = T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", id_type)])
-    names = spark.createDataFrame(list(enumerate(ids)), named)  # a block's
-    return stored(ranked.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score"), "lexical-found")
+    columns = T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", id_type)])
+    names = spark.createDataFrame(list(enumerate(ids)), columns)  # a block's
+    named = ranked.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
+    return stored(named.repartition(math.ceil(len(items.order) * k / FILE_ROWS)), "lexical-found")
 
 
 def _blocks(items: DataFrame) -> Iterator[tuple[list, list[bytes | None]]]:

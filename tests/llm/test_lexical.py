@@ -83,6 +83,31 @@ def test_empty_tables_and_nothing_in_common(spark):
     assert run(spark, [(1, "a"), (2, None)], [(1, "b"), (2, "A")], 5) == brute([(1, "a"), (2, None)], [(1, "b"), (2, "A")], 5)
 
 
+def test_files_fit_their_rows_not_the_shuffle(spark, monkeypatch):
+    files, store = {}, lexical.stored
+
+    def noted(df, label):
+        out = store(df, label)
+        files[label] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(lexical, "stored", noted)
+    monkeypatch.setattr(lexical, "FILE_ROWS", 40, raising=False)
+    cores = spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(5 * cores + 20), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rng = random.Random(7)
+        docs, items = made(rng, WORDS, 300, 40), made(rng, WORDS, 4 * cores + 10, 12)
+        assert run(spark, docs, items, 5) == brute(docs, items, 5)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert files["lexical-leaves"] <= cores and files["lexical-found"] <= math.ceil(len(items) * 5 / 40), files
+
+
 def test_terms_are_those_of_the_pattern():
     rng = random.Random(1)
     for _ in range(2000):
