@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from pathlib import Path
 
@@ -21,6 +22,12 @@ BROADCAST_BYTES = 32 * 2**20
 BATCH_BYTES = 6 * 2**20
 
 
+#: Bytes of rows in a stored file, by estimate. A shuffle may have far more partitions than its rows make files, and a file
+#: for each costs more than what it holds: where Hadoop's native library is missing, an executor even starts two processes
+#: a file to set permissions, and each counts as a copy of the executor until it has loaded its program.
+FILE_BYTES = 16 * 2**20
+
+
 #: The folder that holds this package.
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -42,9 +49,20 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+def files_for(size: int, least: int = 1) -> int:
+    """How many files ``size`` bytes of rows fill."""
+    return max(math.ceil(size / FILE_BYTES), least)
+
+
+def stored(df: DataFrame, label: str, size: int | None = None) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    With ``size``, an estimate of the rows' bytes, they are dealt out to files of that size together; else each partition
+    with rows writes one.
+    """
     spark = prepared(df.sparkSession)
+    if size is not None:
+        df = df.repartition(files_for(size))
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import stored
 
 
+#: Bytes of an edge.
+EDGE_BYTES = 16
+
+
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that link every node of the given edges to the smallest of its component, itself left out."""
     nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -31,22 +35,24 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of two steps, each a minimum per node and a join: every node hands the smallest of its
     neighbours and itself to its larger neighbours, then to its smaller ones. Both keep components
     and end with stars around the smallest nodes. A minimum is pre-aggregated before the shuffle, and the
-    engine splits hot nodes in the join. Every step is stored in the shared folder.
+    engine splits hot nodes in the join. Every step is stored in the shared folder, in files of the size of its edges.
+    ``edges`` should be stored, for they are counted here.
     """
+    count = edges.count()
     edges = _ordered(edges.select("a", "b"))
     known = None
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = stored(_ordered(large), "star-large")
+        large = stored(_ordered(large), "star-large", EDGE_BYTES * count)
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        edges = stored(_ordered(small.union(least.select("a", "least"))), "star-small")
+        edges = stored(_ordered(small.union(least.select("a", "least"))), "star-small", EDGE_BYTES * count)
         seen = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if seen == known:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        known = seen
+        known, count = seen, seen[0]
 
 
 def _ordered(edges: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import checked_broadcast, prepared, stored
+from fleetlake.llm.common import checked_broadcast, files_for, prepared, stored
 
 #: Words of the shortest passage that counts.
 MIN_WORDS = 50
@@ -32,6 +32,8 @@ MIN_WORDS = 50
 GRAM = 8
 #: Bytes of a copied text's digest and ids, and of a document's id with one span, when they are broadcast.
 COPY_BYTES, SPAN_BYTES, POSITION_BYTES = 96, 64, 8
+#: Bytes by which stored files are sized: of a row for :func:`repeated`, of a document with its spans, and of a hit's position.
+RUN_BYTES, DOCUMENT_BYTES, HIT_BYTES = 36, 96, 8
 #: Windows that a task hands on at once.
 WINDOWS_AT_ONCE = 50_000
 
@@ -201,14 +203,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield edge()
 
 
-def repeated(rows: DataFrame) -> DataFrame:
+def repeated(rows: DataFrame, count: int) -> DataFrame:
     """The rows of ``high, low, doc_id, mark, start`` whose key, high and low, two documents have; stored.
 
-    ``first`` is the smallest document of the key.
+    ``first`` is the smallest document of the key. ``count`` is the most rows there can be; files are as many as they fill,
+    if these are work for every core.
     """
     order = ["high", "low", "doc_id", "mark", "start"]
     ordered = rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stored(ordered.mapInArrow(_neighbours, f"{RUN}, first long, kind int"), "suffix-runs")
+    files = files_for(RUN_BYTES * count, rows.sparkSession.sparkContext.defaultParallelism)
+    # a task takes several partitions, one after the other: each keeps its own edges
+    found = stored(ordered.mapInArrow(_neighbours, f"{RUN}, first long, kind int").coalesce(files), "suffix-runs")
     edges = (
         found.where(F.col("kind") == _EDGE)
         .groupBy("high", "low")
@@ -272,12 +277,14 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     prepared(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, min_words), "suffix-signatures")
+    documents, kept = signed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("positions")), F.lit(0))).first()
     copies = stored(
         signed.groupBy("digest")
         .agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last"))
         .where("original <> last")
         .drop("last"),
         "suffix-copies",
+        DOCUMENT_BYTES * documents,
     )
     known = signed.join(checked_broadcast(copies, COPY_BYTES), "digest", "left")
     firsts = known.where(F.col("original").isNull() | (F.col("original") == F.col("doc_id")))
@@ -291,14 +298,18 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.col("suffix.positions").alias("start"),
     )
     hits = stored(
-        repeated(beginnings).groupBy("doc_id", "mark").agg(F.collect_set("start").alias("at")), "suffix-hits"
+        repeated(beginnings, kept).groupBy("doc_id", "mark").agg(F.collect_set("start").alias("at")),
+        "suffix-hits",
+        HIT_BYTES * kept,
     )
+    n_hits = hits.agg(F.sum(F.size("at"))).first()[0] or 0
     few = checked_broadcast(hits, SPAN_BYTES + POSITION_BYTES * F.size("at"))
     texts = docs.join(
         few.withColumnRenamed("doc_id", "hit_id"),
         (F.col("doc_id") == F.col("hit_id")) & (F.xxhash64("text") == F.col("mark")),
     )
-    spans = repeated(_windows(texts.select("doc_id", "mark", "at", "text"), min_words)).select(
+    windows = _windows(texts.select("doc_id", "mark", "at", "text"), min_words)
+    spans = repeated(windows, n_hits * (min_words // 2)).select(
         "doc_id", "mark", "start", (F.col("start") + min_words).alias("end"), "first"
     )
     whole = known.where(F.col("original").isNotNull()).select(
@@ -329,7 +340,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             )
 
     return stored(
-        by_document.mapInArrow(join, f"doc_id long, mark long, removed {SPANS}, kept {SPANS}"), "suffix-passages"
+        by_document.mapInArrow(join, f"doc_id long, mark long, removed {SPANS}, kept {SPANS}"),
+        "suffix-passages",
+        DOCUMENT_BYTES * documents,
     )
 
 

@@ -18,11 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import prepared, stored
+from fleetlake.llm.common import files_for, prepared, stored
 from fleetlake.llm.decontaminate import words_of
 
 #: Labelled documents of each given grade that the fit takes, those of the smallest hash, with all their words.
 SAMPLE_PER_GRADE = 2_500
+#: Bytes of a sampled document's text, by estimate.
+SAMPLE_BYTES = 16 * 2**10
 #: Grades to predict where the labels tell two only: the upper one is split at equal parts of its scores.
 GRADES = 3
 #: Hashed features, and lengths of the beginnings of longer words.
@@ -144,16 +146,19 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE_PER_GRADE,
         .agg(F.max("grade").alias("grade"))
     )
     prepared(docs.sparkSession)
-    chosen = None
+    chosen, most = None, 0
     key = F.xxhash64("doc_id")
     for grade, count in sorted(tuple(r) for r in graded.groupBy("grade").count().collect()):
         # about twice as many have a hash this low, so tasks send no more than that together
         low = key.cast("double") < 2.0**64 * min(2 * per_grade / count, 1.0) - 2.0**63
         some = graded.where((F.col("grade") == grade) & low).orderBy(key).limit(per_grade)
+        most += min(count, per_grade)
         chosen = some if chosen is None else chosen.union(some)
     if chosen is None:
         return Model({}, np.array([np.inf]))
-    sample = stored(_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "toxicity-sample")
+    sample = _features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    files = files_for(SAMPLE_BYTES * most, docs.sparkSession.sparkContext.defaultParallelism)
+    sample = stored(sample.coalesce(files), "toxicity-sample")  # a file for each core at least, as the texts are read here
     names = sorted(r.grade for r in sample.select("grade").distinct().collect())
     if len(names) < 2:
         return Model({}, np.array([np.inf]))

@@ -12,7 +12,7 @@ from test_suffix_dedup import brute as passages
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from fleetlake.llm import suffix_dedup, toxicity
+from fleetlake.llm import components, simhash, suffix_dedup, toxicity
 from fleetlake.llm.common import stored, table
 
 
@@ -78,6 +78,32 @@ def test_run_gives_the_last_stage(spark, stages):
     assert out.columns == stages[5].columns and out.count() == stages[5].count()
 
 
+def test_files_fit_their_rows_not_the_shuffle(spark, stages, monkeypatch):
+    files, cores = {}, spark.sparkContext.defaultParallelism
+
+    def noted(df, label, *size):
+        out = stored(df, label, *size)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    for module in (components, simhash, suffix_dedup, toxicity):
+        monkeypatch.setattr(module, "stored", noted)
+    settings = {"spark.sql.shuffle.partitions": str(10 * cores), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+            out = stage(spark, stages[i], SF_DIR)
+            assert sorted(out.collect(), key=str) == sorted(stages[i + 1].collect(), key=str), name
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    del files["simhash-links"]  # the groups of one key each are the work there
+    assert {"toxicity-sample", "simhash-found", "star-small", "suffix-runs"} < files.keys()
+    assert max(files.values()) <= cores, files
+
+
 @pytest.mark.parametrize("empty", [True, False])
 def test_odd_rows_pass_every_stage(spark, empty):
     """Nulls, empty and very long texts, repeated rows and an extra column; and a table without rows."""
