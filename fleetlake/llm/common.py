@@ -49,20 +49,20 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def files_for(size: int, least: int = 1) -> int:
-    """How many files ``size`` bytes of rows fill."""
-    return max(math.ceil(size / FILE_BYTES), least)
+def files_for(size: int, least: int = 1, each: int = FILE_BYTES) -> int:
+    """How many files of ``each`` bytes ``size`` bytes of rows fill."""
+    return max(math.ceil(size / each), least)
 
 
-def stored(df: DataFrame, label: str, size: int | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, size: int | None = None, each: int = FILE_BYTES) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors.
 
-    With ``size``, an estimate of the rows' bytes, they are dealt out to files of that size together; else each partition
-    with rows writes one.
+    With ``size``, an estimate of the rows' bytes, they are dealt out to files of that size together, ``each`` at most; else
+    each partition with rows writes one.
     """
     spark = prepared(df.sparkSession)
     if size is not None:
-        df = df.repartition(files_for(size))
+        df = df.repartition(files_for(size, each=each))
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import checked_broadcast, files_for, prepared, stored
@@ -34,6 +34,10 @@ GRAM = 8
 COPY_BYTES, SPAN_BYTES, POSITION_BYTES = 96, 64, 8
 #: Bytes by which stored files are sized: of a row for :func:`repeated`, of a document with its spans, and of a hit's position.
 RUN_BYTES, DOCUMENT_BYTES, HIT_BYTES = 36, 96, 8
+#: Bytes of text to a byte of signatures: 12 bytes are kept of every 13 words or so.
+TEXT_BYTES = 5
+#: Bytes in a stored file of what grows with the words, larger than other steps' files.
+WORDS_FILE_BYTES = 32 * 2**20
 #: Windows that a task hands on at once.
 WINDOWS_AT_ONCE = 50_000
 
@@ -209,9 +213,10 @@ def repeated(rows: DataFrame, count: int) -> DataFrame:
     ``first`` is the smallest document of the key. ``count`` is the most rows there can be; files are as many as they fill,
     if these are work for every core.
     """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     order = ["high", "low", "doc_id", "mark", "start"]
     ordered = rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    files = files_for(RUN_BYTES * count, rows.sparkSession.sparkContext.defaultParallelism)
+    files = files_for(RUN_BYTES * count, cores, WORDS_FILE_BYTES)
     # a task takes several partitions, one after the other: each keeps its own edges
     found = stored(ordered.mapInArrow(_neighbours, f"{RUN}, first long, kind int").coalesce(files), "suffix-runs")
     edges = (
@@ -263,6 +268,17 @@ def _windows(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.mapInArrow(cut, RUN)
 
 
+def _window_count(at: str, min_words: int) -> Column:
+    """The most windows that :func:`_windows` cuts for the positions: those of near ones overlap."""
+    each = min_words // 2
+    return F.aggregate(
+        F.array_sort(at),
+        F.struct(F.lit(-each).alias("last"), F.lit(0).cast("long").alias("n")),
+        lambda sofar, x: F.struct(x.alias("last"), (sofar["n"] + F.least(x - sofar["last"], F.lit(each))).alias("n")),
+        lambda sofar: sofar["n"],
+    )
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, mark, removed, kept`` of the documents that share a passage of at least ``min_words`` words; stored.
 
@@ -276,7 +292,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     prepared(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(signatures(docs, min_words), "suffix-signatures")
+    # read once more for their size: a file for each split of the input would be many small ones where splits are small
+    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = files_for(text_bytes // TEXT_BYTES, docs.sparkSession.sparkContext.defaultParallelism, WORDS_FILE_BYTES)
+    signed = stored(signatures(docs, min_words).coalesce(files), "suffix-signatures")
     documents, kept = signed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("positions")), F.lit(0))).first()
     copies = stored(
         signed.groupBy("digest")
@@ -301,15 +320,16 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         repeated(beginnings, kept).groupBy("doc_id", "mark").agg(F.collect_set("start").alias("at")),
         "suffix-hits",
         HIT_BYTES * kept,
+        WORDS_FILE_BYTES,
     )
-    n_hits = hits.agg(F.sum(F.size("at"))).first()[0] or 0
+    n_windows = hits.agg(F.sum(_window_count("at", min_words))).first()[0] or 0
     few = checked_broadcast(hits, SPAN_BYTES + POSITION_BYTES * F.size("at"))
     texts = docs.join(
         few.withColumnRenamed("doc_id", "hit_id"),
         (F.col("doc_id") == F.col("hit_id")) & (F.xxhash64("text") == F.col("mark")),
     )
     windows = _windows(texts.select("doc_id", "mark", "at", "text"), min_words)
-    spans = repeated(windows, n_hits * (min_words // 2)).select(
+    spans = repeated(windows, n_windows).select(
         "doc_id", "mark", "start", (F.col("start") + min_words).alias("end"), "first"
     )
     whole = known.where(F.col("original").isNotNull()).select(

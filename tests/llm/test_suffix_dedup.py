@@ -131,3 +131,30 @@ def test_query_against_brute_force(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     assert s.repeated_passages(docs).collect() == [] and s.without_repeats(docs).collect() == []
+
+
+def test_files_fit_their_rows_not_the_splits(spark, monkeypatch):
+    files, store, cores = {}, s.stored, spark.sparkContext.defaultParallelism
+
+    def noted(df, label, *size):
+        out = store(df, label, *size)
+        files.setdefault(label, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(s, "stored", noted)
+    rows = made(5, 50)
+    compare(spark, rows, 50, 10 * cores)
+    assert files.keys() == {"suffix-signatures", "suffix-copies", "suffix-runs", "suffix-hits", "suffix-passages"}
+    assert max(max(x) for x in files.values()) <= cores, files
+    files.clear()
+    text = sum(len(r[1] or "") for r in rows)
+    monkeypatch.setattr(s, "WORDS_FILE_BYTES", text // s.TEXT_BYTES // (2 * cores))
+    compare(spark, rows, 50, 10 * cores)
+    assert cores < files["suffix-signatures"][0] <= 2 * cores + 1, files
+
+
+def test_windows_are_counted_once(spark):
+    words = " ".join(f"w{i}" for i in range(200))
+    for at, count in (([60], 6), ([60, 61, 63], 9), ([100, 60], 12), ([60, 66], 12), ([60, 65], 11)):
+        hits = spark.createDataFrame([(1, 2, at, words)], "doc_id long, mark long, at array<int>, text string")
+        assert hits.select(s._window_count("at", 12)).first()[0] == count == s._windows(hits, 12).count(), at
